@@ -1,4 +1,4 @@
-"""Distances and a latitude-row grid, as column expressions.
+"""Distances and a latitude-row grid, as SQL expression text over column names.
 
 The grid has rows of equal height in latitude. Each row is cut into a whole number of equal
 columns, chosen so that a column is at least as wide as the row is high anywhere in the row.
@@ -12,65 +12,76 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rentlens.functions.numeric import as_col
-
 EARTH_RADIUS_M = 6_371_000.0
 METRES_PER_DEGREE = EARTH_RADIUS_M * math.pi / 180.0
 # a little slack so that rounding never separates two points that are exactly the radius apart
 SLACK = 1.0001
 
 
-def haversine_m(lat1: Column | str, lon1: Column | str, lat2: Column | str, lon2: Column | str) -> Column:
-    lat1, lon1, lat2, lon2 = (as_col(c) for c in (lat1, lon1, lat2, lon2))
-    s_lat = F.sin(F.radians(lat2 - lat1) / 2)
-    s_lon = F.sin(F.radians(lon2 - lon1) / 2)
-    a = s_lat * s_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * s_lon * s_lon
-    return 2 * EARTH_RADIUS_M * F.atan2(F.sqrt(a), F.sqrt(F.greatest(1 - a, F.lit(0.0))))
+def haversine(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    """Great-circle distance in metres (atan2 form, stable near zero)."""
+    s_lat = f"sin(radians({lat2} - {lat1}) / 2)"
+    s_lon = f"sin(radians({lon2} - {lon1}) / 2)"
+    a = f"({s_lat} * {s_lat} + cos(radians({lat1})) * cos(radians({lat2})) * {s_lon} * {s_lon})"
+    return f"(2 * {EARTH_RADIUS_M!r}D * atan2(sqrt({a}), sqrt(greatest(1 - {a}, 0D))))"
 
 
-def _size_degrees(size_m: Column | float) -> Column:
-    size = size_m if isinstance(size_m, Column) else F.lit(float(size_m))
-    return size * SLACK / METRES_PER_DEGREE
+def haversine_m(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
+    return F.expr(haversine(lat1, lon1, lat2, lon2))
 
 
-def cell_row(lat: Column, size_m: Column | float) -> Column:
-    return F.floor((lat + 90) / _size_degrees(size_m)).cast("long")
+def _degrees(size_m: float | str) -> str:
+    if isinstance(size_m, str):
+        return f"({size_m} * {SLACK / METRES_PER_DEGREE!r}D)"
+    return f"{float(size_m) * SLACK / METRES_PER_DEGREE!r}D"
 
 
-def columns_in_row(row: Column, size_m: Column | float) -> Column:
-    """How many columns the row has: 360° over the cell width at the row's widest degree."""
-    d = _size_degrees(size_m)
-    nearest_pole = F.least(F.greatest(F.abs(row * d - 90), F.abs((row + 1) * d - 90)), F.lit(90.0))
-    return F.greatest(F.floor(360 * F.cos(F.radians(nearest_pole)) / d), F.lit(1)).cast("long")
+def cell_row(lat: str, size_m: float | str) -> str:
+    return f"cast(floor(({lat} + 90) / {_degrees(size_m)}) AS bigint)"
 
 
-def cell_column(lon: Column, row: Column, size_m: Column | float) -> Column:
-    n = columns_in_row(row, size_m)
-    return F.pmod(F.floor((lon + 180) / 360 * n).cast("long"), n)
+def columns_in_row(row: str, size_m: float | str) -> str:
+    """How many columns the row has: 360° over the cell width at the row's most polar degree."""
+    d = _degrees(size_m)
+    pole = f"least(greatest(abs({row} * {d} - 90), abs(({row} + 1) * {d} - 90)), 90D)"
+    return f"greatest(cast(floor(360 * cos(radians({pole})) / {d}) AS bigint), 1L)"
 
 
-def cell(lat: Column | str, lon: Column | str, size_m: Column | float) -> Column:
-    """struct(row, col) of a point."""
-    lat, lon = as_col(lat), as_col(lon)
-    row = cell_row(lat, size_m)
-    return F.struct(row.alias("row"), cell_column(lon, row, size_m).alias("col"))
+def cell_column(lon: str, row: str, size_m: float | str) -> str:
+    n = columns_in_row(row, size_m)
+    return f"pmod(cast(floor(({lon} + 180) / 360 * {n}) AS bigint), {n})"
 
 
-def cells_around(lat: Column | str, lon: Column | str, size_m: Column | float) -> Column:
-    """Array of distinct struct(row, col): the cells that can hold a point within ``size_m`` of this one."""
-    lat, lon = as_col(lat), as_col(lon)
+def cells_around(lat: str, lon: str, size_m: float | str) -> str:
+    """Array of distinct struct(cy, cx): the cells that can hold a point within ``size_m`` of this one."""
+    d = _degrees(size_m)
     row = cell_row(lat, size_m)
-    d = _size_degrees(size_m)
-
-    def in_row(r: Column) -> Column:
-        n = columns_in_row(r, size_m)
-        # widest longitude difference a point in reach can have: taken at the latitude nearest the pole
-        pole = F.least(F.abs(lat) + d, F.lit(90.0))
-        reach = F.when(pole >= 89.9, F.lit(180.0)).otherwise(F.least(d / F.cos(F.radians(pole)), F.lit(180.0)))
-        first = F.floor((lon + 180 - reach) / 360 * n).cast("long")
-        last = F.floor((lon + 180 + reach) / 360 * n).cast("long")
-        whole = last - first + 1 >= n
-        cols = F.sequence(F.when(whole, F.lit(0)).otherwise(first).cast("long"), F.when(whole, n - 1).otherwise(last))
-        return F.transform(cols, lambda c: F.struct(r.alias("row"), F.pmod(c, n).alias("col")))
-
-    return F.flatten(F.transform(F.array(row - 1, row, row + 1), in_row))
+    # widest longitude difference a point in reach can have, taken at the most polar latitude in reach
+    pole = f"least(abs({lat}) + {d}, 90D)"
+    reach = f"CASE WHEN {pole} >= 89.9D THEN 180D ELSE least({d} / cos(radians({pole})), 180D) END"
+    first = f"cast(floor(({lon} + 180 - {reach}) / 360 * n) AS bigint)"
+    last = f"cast(floor(({lon} + 180 + {reach}) / 360 * n) AS bigint)"
+    whole = f"{last} - {first} + 1 >= n"
+    cols = f"sequence(CASE WHEN {whole} THEN 0L ELSE {first} END, CASE WHEN {whole} THEN n - 1 ELSE {last} END)"
+    rows = (
+        f"transform(sequence({row} - 1, {row} + 1), r -> struct(r AS r, {columns_in_row('r', size_m)} AS n))"
+    )
+    cells = cols.replace(" n)", " q.n)").replace(">= n", ">= q.n").replace("THEN n - 1", "THEN q.n - 1")
+    return f"flatten(transform({rows}, q -> transform({cells}, c -> struct(q.r AS cy, pmod(c, q.n) AS cx))))"
+
+
+def unit_vector(lat: str, lon: str) -> str:
+    """Columns ux, uy, uz of the point on the unit sphere."""
+    la, lo = f"radians({lat})", f"radians({lon})"
+    return f"cos({la}) * cos({lo}) AS ux, cos({la}) * sin({lo}) AS uy, sin({la}) AS uz"
+
+
+def within(a: str, alat: str, alon: str, b: str, blat: str, blon: str, radius_m: float) -> str:
+    """SQL: point of alias ``a`` within the radius of that of ``b``; both carry ``unit_vector`` columns.
+
+    The squared chord decides all but a hair around the radius; only there is the haversine needed.
+    """
+    chord = " + ".join(f"({a}.u{i} - {b}.u{i}) * ({a}.u{i} - {b}.u{i})" for i in "xyz")
+    limit = (2 * math.sin(min(radius_m / EARTH_RADIUS_M, math.pi) / 2)) ** 2
+    exact = haversine(f"{a}.{alat}", f"{a}.{alon}", f"{b}.{blat}", f"{b}.{blon}")
+    return f"(({chord}) < {limit * (1 - 1e-7)!r}D OR (({chord}) < {limit * (1 + 1e-7)!r}D AND {exact} <= {float(radius_m)!r}D))"
