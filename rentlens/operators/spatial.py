@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 
 from rentlens.functions.geo import cell_column, cell_row, cells_around, haversine, unit_vector, within
 from rentlens.operators.quantiles import exact_quantiles, iqr_bounds, ranked_values, run
-from rentlens.session import materialise
+from rentlens.session import materialise, parallelism
 
 # a location whose surrounding cells hold at most this many donor rows is solved from one array
 ARRAY_LIMIT = 20_000
+# a cell with more spots than this is split into several salted parts, each joined by its own task
+SALT_ROWS = 2_000
 # ranks around the middle: enough for the plain median and for the median without one own value
 _MIDDLE = ["floor((n - 2) / 2)", "floor((n - 2) / 2) + 1", "floor((n - 2) / 2) + 2"]
 
@@ -41,47 +43,57 @@ def neighbour_middle(probes: DataFrame, spots: DataFrame, radius_m: float) -> Da
     any, by rank selection, which spreads one location over many tasks.
     """
     placed = run(
-        f"""SELECT *, {cell_column('lon', 'cy', radius_m)} AS cx, {unit_vector('lat', 'lon')} FROM
+        f"""SELECT *, {cell_column('lon', 'cy', radius_m)} AS cx FROM
         (SELECT *, {cell_row('lat', radius_m)} AS cy FROM {{s}})""",
         s=spots,
     )
-    bound = materialise(
+    cells = materialise(
         run(
-            f"""SELECT g, plat, plon, sum(cw) AS bound FROM
+            f"SELECT g, cy, cx, sum(w) AS cw, count(*) DIV {SALT_ROWS} + 1 AS parts FROM {{s}} GROUP BY g, cy, cx", s=placed
+        ),
+        "cells",
+    )
+    around = materialise(
+        run(
+            f"""SELECT g, plat, plon, sum(cw) AS bound, collect_list(struct(cy, cx, parts)) AS cells FROM
             (SELECT g, plat, plon, c.cy AS cy, c.cx AS cx FROM
               (SELECT g, lat AS plat, lon AS plon, explode({cells_around('lat', 'lon', radius_m)}) AS c FROM
                 (SELECT DISTINCT g, lat, lon FROM {{p}} WHERE g IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL)))
-            JOIN (SELECT g, cy, cx, sum(w) AS cw FROM {{s}} GROUP BY g, cy, cx) USING (g, cy, cx)
-            GROUP BY g, plat, plon""",
+            JOIN {{c}} USING (g, cy, cx) GROUP BY g, plat, plon""",
             p=probes,
-            s=placed,
+            c=cells,
         ),
-        "bound",
+        "around",
     )
+    salted = run(
+        f"""SELECT g, lat, lon, v, w, cy, cx, pmod(xxhash64(lat, lon, v), parts) AS part, {unit_vector('lat', 'lon')}
+        FROM {{s}} JOIN {{c}} USING (g, cy, cx)""",
+        s=placed,
+        c=cells,
+    ).repartition(parallelism(spots.sparkSession), "g", "cy", "cx", "part")
 
-    def pairs(condition: str, placed: DataFrame) -> DataFrame:
+    def pairs(condition: str, donors: DataFrame) -> DataFrame:
         return run(
             f"""SELECT a.g, a.plat, a.plon, s.v, s.w FROM
-            (SELECT g, plat, plon, ux, uy, uz, c.cy AS cy, c.cx AS cx FROM
-              (SELECT *, explode({cells_around('plat', 'plon', radius_m)}) AS c FROM
-                (SELECT g, plat, plon, {unit_vector('plat', 'plon')} FROM {{b}} WHERE {condition}))) a
-            JOIN {{s}} s ON a.g = s.g AND a.cy = s.cy AND a.cx = s.cx
+            (SELECT *, explode(sequence(0, c.parts - 1)) AS part FROM
+              (SELECT g, plat, plon, explode(cells) AS c, {unit_vector('plat', 'plon')} FROM {{b}} WHERE {condition})) a
+            JOIN {{s}} s ON a.g = s.g AND a.c.cy = s.cy AND a.c.cx = s.cx AND a.part = s.part
             WHERE {within('a', 'plat', 'plon', 's', 'lat', 'lon', radius_m)}""",
-            b=bound,
-            s=placed,
+            b=around,
+            s=donors,
         )
 
     # a spot heavier than the limit has no location below the limit around it
-    copies = run(f"SELECT *, explode(array_repeat(1, cast(w AS int))) AS copy FROM {{s}} WHERE w <= {ARRAY_LIMIT}", s=placed)
+    copies = run(f"SELECT *, explode(array_repeat(1, cast(w AS int))) AS copy FROM {{s}} WHERE w <= {ARRAY_LIMIT}", s=salted)
     picks = ", ".join(f"get(vs, cast({r.replace('(n', '(size(vs)')} AS int)) AS s{i}" for i, r in enumerate(_MIDDLE))
     middle = run(
         f"""SELECT g, plat AS lat, plon AS lon, cast(size(vs) AS bigint) AS n, {picks} FROM
         (SELECT g, plat, plon, sort_array(collect_list(v)) AS vs FROM {{few}} GROUP BY g, plat, plon)""",
         few=pairs(f"bound <= {ARRAY_LIMIT}", copies),
     )
-    if bound.filter(F.col("bound") > ARRAY_LIMIT).isEmpty():
+    if around.filter(F.col("bound") > ARRAY_LIMIT).isEmpty():
         return middle
-    crowded = pairs(f"bound > {ARRAY_LIMIT}", placed).groupBy("g", "plat", "plon", "v").agg(F.sum("w").alias("w"))
+    crowded = pairs(f"bound > {ARRAY_LIMIT}", salted).groupBy("g", "plat", "plon", "v").agg(F.sum("w").alias("w"))
     large = ranked_values(crowded, "v", _MIDDLE, ["g", "plat", "plon"], "w").select(
         "g", F.col("plat").alias("lat"), F.col("plon").alias("lon"), "n", "s0", "s1", "s2"
     )

@@ -47,3 +47,8 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Task count for a step whose work is far larger than its input bytes, so size-based splitting would give one task."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
