@@ -62,42 +62,6 @@ def combined_label(label: Column | str, tier: Column | str) -> Column:
     return F.concat(as_col(label), F.lit(" ("), as_col(tier), F.lit(")"))
 
 
-def bin_index(value: Column | str, edges: Column | str) -> Column:
-    """0-based right-closed bin of ``value`` among sorted ``edges`` (both ends included)."""
-    value, edges = as_col(value), as_col(edges)
-    inner = F.slice(edges, F.lit(2), F.greatest(F.size(edges) - 2, F.lit(0)))
-    return F.when(value.isNotNull() & edges.isNotNull(), F.size(F.filter(inner, lambda e: e < value)))
-
-
-def open_ended(edges: Column | str) -> Column:
-    """Replace both end edges by -inf / +inf, so unseen extreme values still get a bin."""
-    edges = as_col(edges)
-    inner = F.slice(edges, F.lit(2), F.greatest(F.size(edges) - 2, F.lit(0)))
-    return F.concat(F.array(F.lit(float("-inf"))), inner, F.array(F.lit(float("inf"))))
-
-
-def tier_name(bin_: Column | str, n_bins: Column | int, tiers: Sequence[str] = CONFIDENCE_TIERS) -> Column:
-    """Name of a confidence bin; with fewer bins than tiers only the extreme names are used."""
-    bin_, n = as_col(bin_), n_bins if isinstance(n_bins, Column) else F.lit(n_bins)
-    names = F.array(*[F.lit(t) for t in tiers])
-    extreme = F.when(bin_ == 0, F.lit(tiers[0])).otherwise(F.lit(tiers[-1]))
-    return F.when(bin_.isNotNull(), F.when(n < len(tiers), extreme).otherwise(F.get(names, bin_)))
-
-
-def vector_mean(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / F.size(values)
-
-
-def vector_std(values: Column) -> Column:
-    """Population standard deviation over an array column."""
-    mean = vector_mean(values)
-    return F.sqrt(F.aggregate(values, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean)) / F.size(values))
-
-
-def ensemble_cv(mean: Column, std: Column) -> Column:
-    return std / F.when(mean == 0, F.lit(TINY_DIVISOR)).otherwise(mean)
-
-
 def one_hot(column: str, categories: Iterable[str], prefix: str | None = None) -> list[Column]:
     """0/1 columns for the sorted categories without the first one."""
     prefix = prefix or column

@@ -1,35 +1,51 @@
-"""Quantile bins, robust scores within bins, calibration tables and labels."""
+"""Quantile bins, robust scores within bins, calibration tables and labels.
+
+Bin edges (at most ``bins + 1`` numbers) come to the driver and go back into the plan as literals, so
+assigning a bin is a handful of comparisons inside generated code.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rentlens.functions.numeric import (
-    CONFIDENCE_TIERS, MAD_SCALE, TINY_DIVISOR, bin_index, combined_label, ensemble_cv, label_by_threshold, open_ended,
-    tier_name, vector_mean, vector_std,
+    CONFIDENCE_TIERS, MAD_SCALE, TINY_DIVISOR, combined_label, label_by_threshold,
 )
-from rentlens.operators.quantiles import median_mad, quantile_edges
+from rentlens.operators.quantiles import edge_values, median_mad
 from rentlens.session import materialise
 
 
-def with_edges(df: DataFrame, value: str, bins: int, out: str = "edges") -> DataFrame:
-    """Adds the global bin edges of ``value`` as an array column (one scalar subquery, no join)."""
-    return df.withColumn(out, quantile_edges(df, value, bins).select("edges").scalar())
+def bin_expr(value: str, edges: Sequence[float]) -> Column:
+    """0-based right-closed bin of ``value``: the number of inner edges strictly below it; null for null."""
+    inner = list(edges)[1:-1]
+    count = " + ".join([f"cast({value} > {float(e)!r}D AS int)" for e in inner] or ["0"])
+    return F.expr(f"CASE WHEN {value} IS NOT NULL THEN {count} END")
 
 
 def quantile_bin(df: DataFrame, value: str, bins: int, out: str = "bin") -> DataFrame:
     """Adds the 0-based equal-count bin: right-closed, duplicate edges dropped."""
-    edged = with_edges(df, value, bins, "_edges")
-    return edged.withColumn(out, bin_index(value, "_edges")).drop("_edges")
+    return df.withColumn(out, bin_expr(value, edge_values(df, value, bins)))
+
+
+def tier_expr(value: str, edges: Sequence[float], tiers: Sequence[str] = CONFIDENCE_TIERS) -> Column:
+    """Name of the confidence bin; with fewer bins than tiers only the extreme names are used."""
+    bins = max(len(edges) - 1, 1)
+    used = list(tiers) if bins >= len(tiers) else [tiers[0], tiers[-1]]
+    out = F.when(bin_expr(value, edges) == 0, used[0])
+    for i, t in enumerate(used[1:], start=1):
+        out = out.when(bin_expr(value, edges) == i, t)
+    return out
 
 
 def bin_statistics(df: DataFrame, error: str, bin_: str) -> DataFrame:
-    """n, median and MAD of the error per bin. The bins are few by construction."""
-    return median_mad(df, error, [bin_], few_groups=True)
+    """n, median and MAD of the error per bin, written once. The bins are few by construction."""
+    return materialise(median_mad(df.select(bin_, error), error, [bin_], few_groups=True), "binstats")
 
 
-def _z(median: str, mad: str, error: str, scale: float):
+def _z(median: str, mad: str, error: str, scale: float) -> Column:
     spread = F.col(mad) * scale
     return (F.col(error) - F.col(median)) / F.when(spread == 0, F.lit(TINY_DIVISOR)).otherwise(spread)
 
@@ -44,31 +60,40 @@ def robust_z_by_bin(
     return rows.withColumn("z", _z("median", "mad", "error", scale)), stats
 
 
-def with_ensemble(df: DataFrame, predictions: list[str]) -> DataFrame:
-    """Adds ``pred`` (mean), ``pred_std`` (population) and ``cv`` over the per-model prediction columns."""
-    values = F.array(*[F.col(c) for c in predictions])
-    out = df.withColumn("_p", values).withColumn("pred", vector_mean(F.col("_p"))).withColumn("pred_std", vector_std(F.col("_p")))
-    return out.withColumn("cv", ensemble_cv(F.col("pred"), F.col("pred_std"))).drop("_p")
+def with_ensemble(df: DataFrame, predictions: Sequence[str]) -> DataFrame:
+    """Adds ``pred`` (mean), ``pred_std`` (population) and ``cv`` over the per-model prediction columns.
+
+    Plain arithmetic over the columns, which stays in generated code; a zero mean divides by a tiny number.
+    """
+    n = len(predictions)
+    total = " + ".join(f"`{p}`" for p in predictions)
+    squares = " + ".join(f"(`{p}` - pred) * (`{p}` - pred)" for p in predictions)
+    out = df.withColumn("pred", F.expr(f"({total}) / {n}")).withColumn("pred_std", F.expr(f"sqrt(({squares}) / {n})"))
+    return out.withColumn("cv", F.expr(f"pred_std / CASE WHEN pred = 0 THEN {TINY_DIVISOR!r}D ELSE pred END"))
 
 
-def confidence_tier(df: DataFrame, cv: str = "cv", tiers: list[str] = CONFIDENCE_TIERS, out: str = "confianza") -> DataFrame:
-    """Equal-count tiers of the ensemble's variation; with fewer bins only the extreme names are used."""
-    edged = with_edges(df, cv, len(tiers), "_cv_edges")
-    n_bins = F.size("_cv_edges") - 1
-    return edged.withColumn(out, tier_name(bin_index(cv, "_cv_edges"), n_bins, tiers)).drop("_cv_edges")
+def narrow_scores(df: DataFrame, actual: str, predictions: Sequence[str], *keep: str) -> DataFrame:
+    """keep…, y, pred, cv written once: the passes that follow read four narrow columns, not the prediction matrix."""
+    scored = with_ensemble(df, predictions).select(*keep, F.col(actual).cast("double").alias("y"), "pred", "cv")
+    return materialise(scored, "scores")
+
+
+def confidence_tier(df: DataFrame, cv: str = "cv", tiers: Sequence[str] = CONFIDENCE_TIERS, out: str = "confianza") -> DataFrame:
+    """Equal-count tiers of the ensemble's variation."""
+    return df.withColumn(out, tier_expr(cv, edge_values(df, cv, len(tiers)), tiers))
 
 
 def label_opportunities(
-    df: DataFrame, id_col: str, actual: str, predictions: list[str], bins: int = 10, low: float = 1.0, high: float = 1.0
+    df: DataFrame, id_col: str, actual: str, predictions: Sequence[str], bins: int = 10, low: float = 1.0, high: float = 1.0
 ) -> DataFrame:
     """The full labelling table: cost, prediction, error, bin statistics, robust z, dispersion, tier and label."""
-    scored = with_ensemble(df, predictions).select(id_col, F.col(actual).alias("costo_total_real"), F.col("pred").alias("costo_total_predicho"), "cv")
+    scored = narrow_scores(df, actual, predictions, id_col).select(
+        id_col, F.col("y").alias("costo_total_real"), F.col("pred").alias("costo_total_predicho"), "cv"
+    )
     rows, _ = robust_z_by_bin(scored, "costo_total_real", "costo_total_predicho", bins)
-    edges = quantile_edges(scored, "cv", len(CONFIDENCE_TIERS)).select("edges").scalar()
-    rows = rows.withColumn("_cv_edges", edges)
-    rows = rows.withColumn(
-        "nivel_confianza", tier_name(bin_index("cv", "_cv_edges"), F.size("_cv_edges") - 1, CONFIDENCE_TIERS)
-    ).withColumn("etiqueta", label_by_threshold("z", low, high))
+    rows = rows.withColumn("etiqueta", label_by_threshold("z", low, high)).withColumn(
+        "nivel_confianza", tier_expr("cv", edge_values(scored, "cv", len(CONFIDENCE_TIERS)))
+    )
     return rows.select(
         id_col, "costo_total_real", "costo_total_predicho", "error", F.col("bin").alias("decil_precio"),
         F.col("median").alias("mediana_error_decil"), F.col("mad").alias("mad_error_decil"), F.col("z").alias("z_robusto"),
@@ -76,65 +101,61 @@ def label_opportunities(
     )
 
 
-def calibrate(df: DataFrame, actual: str, predictions: list[str], bins: int = 10, low: float = 1.0, high: float = 1.0) -> DataFrame:
+def _numbers(values: Sequence[float]) -> Column:
+    """Array of doubles whose end values are replaced by -inf / +inf, so unseen extreme values still get a bin."""
+    inner = [F.lit(float(v)) for v in list(values)[1:-1]]
+    return F.array(F.lit(float("-inf")), *inner, F.lit(float("inf")))
+
+
+def calibrate(
+    df: DataFrame, actual: str, predictions: Sequence[str], bins: int = 10, low: float = 1.0, high: float = 1.0
+) -> DataFrame:
     """One row holding everything needed to label unseen rows: open-ended edges, per-bin statistics, tier edges, constants."""
-    scored = with_ensemble(df, predictions).select(F.col(actual).alias("y"), "pred", "cv")
-    binned = quantile_bin(scored, "y", bins).withColumn("error", F.col("y") - F.col("pred"))
-    stats = bin_statistics(binned, "error", "bin").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("bin").alias("decil"), "n", F.col("median").alias("mediana_error"), F.col("mad").alias("mad_error")))).alias("s")
-    )
-    one = quantile_edges(scored, "y", bins).select(open_ended("edges").alias("bordes_deciles_precio"))
-    return one.select(
-        "bordes_deciles_precio",
-        stats.scalar().alias("stats_por_decil"),
-        quantile_edges(scored, "cv", len(CONFIDENCE_TIERS)).select(open_ended("edges")).scalar().alias("bordes_cv_confianza"),
+    scored = narrow_scores(df, actual, predictions)
+    edges = edge_values(scored, "y", bins)
+    binned = scored.select(bin_expr("y", edges).alias("bin"), (F.col("y") - F.col("pred")).alias("error"))
+    stat = F.struct(F.col("bin").alias("decil"), "n", F.col("median").alias("mediana_error"), F.col("mad").alias("mad_error"))
+    return bin_statistics(binned, "error", "bin").agg(F.sort_array(F.collect_list(stat)).alias("stats_por_decil")).select(
+        _numbers(edges).alias("bordes_deciles_precio"),
+        "stats_por_decil",
+        _numbers(edge_values(scored, "cv", len(CONFIDENCE_TIERS))).alias("bordes_cv_confianza"),
         F.array(*[F.lit(t) for t in CONFIDENCE_TIERS]).alias("etiquetas_confianza"),
         F.lit(MAD_SCALE).alias("mad_scale_const"), F.lit(float(low)).alias("umbral_oportunidad"), F.lit(float(high)).alias("umbral_caro"),
     )
 
 
-def attach_calibration(df: DataFrame, calibration: DataFrame) -> DataFrame:
-    """The one-row calibration as a struct column ``cal`` of every row (scalar subquery)."""
-    packed = calibration.select(F.struct(*calibration.columns).alias("cal"))
-    return df.withColumn("cal", packed.scalar())
-
-
 def bin_lookup(df: DataFrame, calibration: DataFrame, value: str) -> DataFrame:
-    """Adds the stored bin of ``value`` and that bin's n, median and MAD."""
-    c = attach_calibration(df, calibration).withColumn("decil", bin_index(value, F.col("cal.bordes_deciles_precio")))
-    stat = F.filter(F.col("cal.stats_por_decil"), lambda s: s["decil"] == F.col("decil"))[0]
-    return (
-        c.withColumn("_s", stat)
-        .withColumns({"n": F.col("_s.n"), "mediana_error": F.col("_s.mediana_error"), "mad_error": F.col("_s.mad_error")})
-        .drop("_s")
-    )
+    """Adds the stored bin of ``value`` and that bin's n, median and MAD. The calibration is one row of a few dozen numbers."""
+    cal = calibration.first()
+    stats = calibration.select(F.explode("stats_por_decil").alias("s")).select("s.*")
+    return df.withColumn("decil", bin_expr(value, cal["bordes_deciles_precio"])).join(F.broadcast(stats), "decil", "left")
 
 
 def market_band(df: DataFrame, calibration: DataFrame, predicted: str, charges: str) -> DataFrame:
     """Adds the range regarded as market price around a prediction, and the rent it implies net of charges."""
-    b = bin_lookup(df, calibration, predicted)
-    spread = F.col("mad_error") * F.col("cal.mad_scale_const")
+    cal = calibration.first()
+    spread = F.col("mad_error") * cal["mad_scale_const"]
     middle = F.col(predicted) + F.col("mediana_error")
-    return b.withColumns(
+    return bin_lookup(df, calibration, predicted).withColumns(
         {
-            "limite_inferior": middle - F.col("cal.umbral_oportunidad") * spread,
-            "limite_superior": middle + F.col("cal.umbral_caro") * spread,
+            "limite_inferior": middle - cal["umbral_oportunidad"] * spread,
+            "limite_superior": middle + cal["umbral_caro"] * spread,
             "arriendo_implicito": F.col(predicted) - F.col(charges),
         }
-    ).drop("cal")
+    )
 
 
-def score_rows(df: DataFrame, calibration: DataFrame, actual: str, predictions: list[str]) -> DataFrame:
+def score_rows(df: DataFrame, calibration: DataFrame, actual: str, predictions: Sequence[str]) -> DataFrame:
     """Label unseen rows with a stored calibration; rows without an actual cost are left out."""
+    cal = calibration.first()
     scored = with_ensemble(df.filter(F.col(actual).isNotNull()), predictions).withColumn("error", F.col(actual) - F.col("pred"))
-    b = bin_lookup(scored, calibration, actual)
-    spread = F.col("mad_error") * F.col("cal.mad_scale_const")
-    z = (F.col("error") - F.col("mediana_error")) / F.when(spread == 0, F.lit(TINY_DIVISOR)).otherwise(spread)
-    tier = F.get(F.col("cal.etiquetas_confianza"), bin_index("cv", F.col("cal.bordes_cv_confianza")))
-    label = F.when(z < -F.col("cal.umbral_oportunidad"), "oportunidad").when(z > F.col("cal.umbral_caro"), "caro")
+    b = bin_lookup(scored, calibration, actual).withColumn("z_robusto", _z("mediana_error", "mad_error", "error", cal["mad_scale_const"]))
     return b.withColumns(
-        {"z_robusto": z, "etiqueta": label.otherwise("precio_de_mercado"), "nivel_confianza": tier}
-    ).drop("cal", "n")
+        {
+            "etiqueta": label_by_threshold("z_robusto", cal["umbral_oportunidad"], cal["umbral_caro"]),
+            "nivel_confianza": tier_expr("cv", cal["bordes_cv_confianza"], cal["etiquetas_confianza"]),
+        }
+    ).drop("n")
 
 
 def stored_calibration(calibration: DataFrame) -> DataFrame:

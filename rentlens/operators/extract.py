@@ -177,11 +177,18 @@ def find_categories(df: DataFrame, json: str, id_col: str) -> DataFrame:
 
 
 def extract_status_text(json: Column | str, ids: Sequence[str] = STATUS_IDS) -> Column:
-    """Text of the status component, '' when the component has none, null when there is no such component."""
+    """Text of the status component under the page's head, else under its short description.
+
+    '' when the component has no text, null when there is no such component.
+    """
     pattern = r'(?s)"id"\s*:\s*"(?:' + "|".join(ids) + r')"(.*?)(?="id"\s*:|$)'
-    part = F.regexp_extract(as_col(json), pattern, 0)
-    text = F.regexp_extract(part, r'"body"\s*:\s*\{[^{}]*?"text"\s*:\s*"((?:[^"\\]|\\.)*)"', 1)
-    return F.when(part != "", text)
+    found = []
+    for part in ("head", "short_description"):
+        subtree = F.get_json_object(as_col(json), f"$.appProps.pageProps.initialState.components.{part}")
+        piece = F.regexp_extract(subtree, pattern, 0)
+        text = F.regexp_extract(piece, r'"body"\s*:\s*\{[^{}]*?"text"\s*:\s*"((?:[^"\\]|\\.)*)"', 1)
+        found.append(F.when(piece != "", text))
+    return F.coalesce(*found)
 
 
 def publication_status(json: Column | str) -> Column:

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from rentlens.session import materialise
+
 BUCKETS_PER_OCTAVE = 256
 
 
@@ -124,13 +126,24 @@ def iqr_bounds(df: DataFrame, value: str, by: Sequence[str] = (), multiplier: fl
     )
 
 
+def edge_values(df: DataFrame, value: str, bins: int) -> list[float]:
+    """Distinct edges of ``bins`` equal-count bins, as at most ``bins + 1`` numbers on the driver."""
+    row = quantile_edges(df, value, bins).first()
+    return list(row["edges"]) if row and row["n"] else []
+
+
 def median_mad(df: DataFrame, value: str, by: Sequence[str] = (), few_groups: bool = False) -> DataFrame:
-    """Median and unscaled median absolute deviation per group: ``by…, n, median, mad``."""
+    """Median and unscaled median absolute deviation per group: ``by…, n, median, mad``.
+
+    The medians, one row per group, are written once and read by the second pass.
+    """
     by = list(by)
-    med = exact_median(df, value, by, few_groups=few_groups)
+    med = materialise(exact_median(df, value, by, few_groups=few_groups), "medians")
     if not by:
-        dev = df.withColumn("_median", med.select("median").scalar())
-        mad = exact_median(dev, f"abs({value} - _median)", out="mad")
+        middle = med.first()["median"]
+        if middle is None:
+            return med.selectExpr("n", "median", "cast(NULL AS double) AS mad")
+        mad = exact_median(df, f"abs({value} - {middle!r}D)", out="mad")
         return med.withColumn("mad", mad.select("mad").scalar())
     medians = med.withColumnRenamed("median", "_median").drop("n")
     dev = df.join(medians.hint("broadcast") if few_groups else medians, by)

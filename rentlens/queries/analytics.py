@@ -75,21 +75,20 @@ def _(t):
     return rounded(out.select("id", "decil", "limite_inferior", "limite_superior", "arriendo_implicito"), "limite_inferior", "limite_superior", "arriendo_implicito", digits=4)
 
 
-@query("ensemble_dispersion", ENS + " SELECT id, round(pm,4) AS pred, round(ps,4) AS pred_std, round(cv,8) AS cv FROM e2", S)
+@query("ensemble_dispersion", ENS + " SELECT id, round(pm,6) AS pred, round(ps,6) AS pred_std, round(cv,9) AS cv FROM e2", S)
 def _(t):
-    return rounded(rounded(binning.with_ensemble(tidy(t), PREDS).select("id", "pred", "pred_std", "cv"), "pred", "pred_std", digits=4), "cv", digits=8)
+    return rounded(rounded(binning.with_ensemble(tidy(t), PREDS).select("id", "pred", "pred_std", "cv"), "pred", "pred_std", digits=6), "cv", digits=9)
 
 
 @query("confidence_tier", LAB + " SELECT tier AS confianza, count(*) AS n FROM lab GROUP BY 1", S)
 def _(t):
-    e = binning.with_ensemble(tidy(t), PREDS).withColumn("cv", F.round("cv", 12))
-    return binning.confidence_tier(e).groupBy("confianza").agg(F.count(F.lit(1)).alias("n"))
+    return binning.confidence_tier(binning.narrow_scores(tidy(t), "y", PREDS, "id").withColumn("cv", F.round("cv", 12))).groupBy("confianza").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("label_opportunities", LAB + """ SELECT id, round(y,4) AS costo_total_real, round(pm,4) AS costo_total_predicho, bin AS decil_precio, round(zr,5) AS z_robusto, etiqueta FROM lab""", S)
+@query("label_opportunities", LAB + """ SELECT id, round(y,6) AS costo_total_real, round(pm,6) AS costo_total_predicho, bin AS decil_precio, round(zr,5) AS z_robusto, etiqueta FROM lab""", S)
 def _(t):
     out = binning.label_opportunities(tidy(t), "id", "y", PREDS)
-    return rounded(rounded(out.select("id", "costo_total_real", "costo_total_predicho", "decil_precio", "z_robusto", "etiqueta"), "costo_total_real", "costo_total_predicho", digits=4), "z_robusto", digits=5)
+    return rounded(rounded(out.select("id", "costo_total_real", "costo_total_predicho", "decil_precio", "z_robusto", "etiqueta"), "costo_total_real", "costo_total_predicho"), "z_robusto", digits=5)
 
 
 @query("score_new_rows", LAB + f""", nb AS (SELECT id, y*1.05 AS y2, pm, {inner_bins('y', 'scored', 10, 'y * 1.05')} AS bin FROM e2 WHERE l_quantity > 5), sc AS (SELECT nb.*, (y2-pm-med)/CASE WHEN mad*1.4826=0 THEN 1e-6 ELSE mad*1.4826 END AS zr FROM nb JOIN m USING (bin) JOIN a USING (bin))
@@ -312,7 +311,7 @@ def _(t):
     return run_record(t.visits, "c1", "seq", "seq", "value > 90", "fallo")
 
 
-SIZES = """, d AS (SELECT page_id % 3 AS corrida, page_id AS seq, length(html) AS tam, CASE WHEN page_id % 23 = 0 THEN 'timeout' END AS error, CASE WHEN page_id % 29 = 0 THEN 403 ELSE 200 END AS status, contains(url,'#') AS redir, contains(html,'<nav>') AND page_id % 31 <> 0 AS bloque FROM pages),
+SIZES = """WITH d AS (SELECT page_id % 3 AS corrida, page_id AS seq, length(html) AS tam, CASE WHEN page_id % 23 = 0 THEN 'timeout' END AS error, CASE WHEN page_id % 29 = 0 THEN 403 ELSE 200 END AS status, contains(url,'#') AS redir, contains(html,'<nav>') AND page_id % 31 <> 0 AS bloque FROM pages),
  r AS (SELECT *, error IS NULL AND status=200 AND bloque AND tam>0 AS good, row_number() OVER (PARTITION BY corrida ORDER BY seq) AS k FROM d),
  g AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY corrida ORDER BY seq) AS gk FROM r WHERE good) WHERE gk<=20),
  b AS (SELECT r.corrida, r.seq, median(g.tam) AS base FROM r JOIN g ON g.corrida=r.corrida AND g.seq<r.seq WHERE r.k>5 GROUP BY 1,2)"""

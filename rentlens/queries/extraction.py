@@ -24,7 +24,7 @@ def _(t):
     return out.select("page_id", *PAGE_PATTERNS)
 
 
-@query("extract_cards", """, c AS (SELECT page_id, unnest(list_slice(string_split(html,'<li>'),2,NULL)) AS card FROM pages) SELECT page_id, nullif(regexp_extract(card,'href="/([^"]*)"',1),'') AS url, count(*) AS n FROM c GROUP BY 1,2""".lstrip(", ").replace("c AS", "WITH c AS", 1))
+@query("extract_cards", """, c AS (SELECT page_id, unnest(string_split(html,'<li>')[2:]) AS card FROM pages) SELECT page_id, nullif(regexp_extract(card,'href="/([^"]*)"',1),'') AS url, count(*) AS n FROM c GROUP BY 1,2""".lstrip(", ").replace("c AS", "WITH c AS", 1))
 def _(t):
     cards = X.split_cards(t.pages.select("page_id", "html"), "html", "<li>")
     return cards.groupBy("page_id", T.capture("card", r'href="/([^"]*)"').alias("url")).agg(F.count(F.lit(1)).alias("n"))

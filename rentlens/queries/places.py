@@ -41,7 +41,7 @@ def _(t):
 @query("nearest_fill", f""", n AS (SELECT a.id, arg_min(b.barrio, struct_pack(d := {DIST}, i := b.id)) AS cerca FROM listings a JOIN listings b
  ON a.barrio IS NULL AND b.barrio IS NOT NULL AND a.lat IS NOT NULL AND b.lat IS NOT NULL GROUP BY 1) SELECT id, coalesce(barrio, cerca) AS barrio FROM listings LEFT JOIN n USING (id)""", L)
 def _(t):
-    return spatial.nearest_fill(t.listings.select("id", "lat", "lon", "barrio"), "id", "lat", "lon", "barrio")
+    return spatial.nearest_fill(t.listings.select("id", "lat", "lon", "barrio"), "id", "lat", "lon", "barrio").select("id", "barrio")
 
 
 LOOKUP = f""", ref AS (SELECT id, comuna, lat, lon, antiguedad, piso, cantidad_plazas, {V} AS v FROM listings WHERE estado IN ('finalizado','no_disponible') AND lat IS NOT NULL AND lon IS NOT NULL),
