@@ -120,8 +120,9 @@ def reference_lookup(
     out = lookup_median(points, fair, lat, lon, "precio_m2", price_radius, "_sector")
     out = lookup_median(out, reference.filter(F.col(age).isNotNull()), lat, lon, age, age_radius, "_age")
     out = out.join(exact_median(reference, age, [place], "_place_age").select(place, "_place_age"), place, "left")
-    means = reference.groupBy(place).agg(*[F.avg(c).alias(f"_mean_{c}") for c in indicators])
-    out = out.join(means, place, "left")
+    if indicators:
+        means = reference.groupBy(place).agg(*[F.avg(c).alias(f"_mean_{c}") for c in indicators])
+        out = out.join(means, place, "left")
     overall = reference.agg(*[F.avg(c).alias(c) for c in indicators], F.avg(floor_).alias(floor_))
     overall = overall.select(F.struct(*overall.columns).alias("s"))
     medians = exact_quantiles(fair, "precio_m2", [0.5]).select(F.col("q")[0]).scalar()

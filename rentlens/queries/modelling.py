@@ -1,0 +1,161 @@
+"""Models, feature tables and streams over whole tables (row checks: these have no SQL equivalent)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from rentlens.models import regression as R
+from rentlens.operators import selection
+from rentlens.operators.metrics import regression_metrics
+from rentlens.operators.sampling import stratified_split
+from rentlens.plans import features as P
+from rentlens.plans.production import score_new_rows, train_production
+from rentlens.queries.registry import query
+from rentlens.session import materialise, scratch_path
+from rentlens.streaming import jobs
+
+FEATS = ["l_quantity", "l_discount", "l_tax", "sector"]
+SMALL = {"maxIter": 3, "maxDepth": 3}
+
+
+def base(t):
+    """Scored rows with one noisy prediction standing for the sector price."""
+    return t.scored.select("id", "y", "l_quantity", "l_discount", "l_tax", F.col("p1").alias("sector"))
+
+
+def split_scored(t):
+    return materialise(stratified_split(base(t), "id", "y").withColumn("es_val", F.col("split") == "val"), "split")
+
+
+@query("seed_ensemble")
+def _(t):
+    """Metrics of a small ensemble on the test part, early-stopped on the validation part."""
+    s = split_scored(t)
+    models = R.fit_ensemble(s.filter("split <> 'test'"), FEATS, "y", 2, 42, SMALL, validation="es_val")
+    return regression_metrics(R.predict_mean(models, s.filter("split = 'test'"), FEATS), "y", "pred")
+
+
+@query("predict_matrix")
+def _(t):
+    s = split_scored(t)
+    models = R.fit_ensemble(s.filter("split = 'train'"), FEATS, "y", 2, 42, SMALL)
+    return R.predict_matrix(models, s.filter("split = 'test'"), FEATS).select("id", "y", "p1", "p2")
+
+
+@query("predict_mean")
+def _(t):
+    s = split_scored(t)
+    models = R.fit_ensemble(s.filter("split = 'train'"), FEATS, "y", 2, 42, SMALL)
+    return R.predict_mean(models, s.filter("split = 'test'"), FEATS).select("id", "y", "pred")
+
+
+@query("param_search")
+def _(t):
+    space = {"maxDepth": [2, 3], "maxIter": [2, 3], "stepSize": [0.1, 0.3]}
+    return R.param_search(base(t), "id", FEATS, "y", space, trials=2, folds=2)
+
+
+@query("stability_selection")
+def _(t):
+    imp = R.stability_selection(base(t), "id", FEATS, "y", 2, 2, params=SMALL)
+    return selection.stability_score(imp, "feature", "importance")
+
+
+@query("k_curve")
+def _(t):
+    s = split_scored(t)
+    return R.k_curve(s.filter("split = 'train'"), s.filter("split = 'val'"), ["sector", "l_quantity"], "y", 1, 2, 2, params=SMALL)
+
+
+@query("permutation_importance")
+def _(t):
+    s = split_scored(t)
+    models = R.fit_ensemble(s.filter("split = 'train'"), FEATS, "y", 2, 42, SMALL)
+    return R.permutation_importance(models, s.filter("split = 'test'"), "id", FEATS, "y")
+
+
+@query("repeat_over_seeds")
+def _(t):
+    return R.repeat_over_seeds(base(t), "id", FEATS, "y", [1, 2], 1, SMALL)
+
+
+@query("surface_regression_impute")
+def _(t):
+    src = t.listings.select("id", "tipo", "comuna", "dormitorios", "banos", "superficie_util")
+    out, _ = R.surface_regression_impute(src, "superficie_util", ["dormitorios", "banos"], ["comuna"], "tipo", ["departamento", "casa"], trees=10)
+    return out.select("id", "superficie_util")
+
+
+@query("apply_saved_imputer")
+def _(t):
+    """Fit, store, load and apply the imputer to the rows of the other kind."""
+    from pyspark.ml import PipelineModel
+
+    src = t.listings.select("id", "tipo", "comuna", "dormitorios", "banos", "superficie_util")
+    model = R.fit_surface_imputer(src.filter("tipo = 'departamento'"), "superficie_util", ["dormitorios", "banos"], ["comuna"], trees=10)
+    path = scratch_path(t.spark, "imputer")
+    model.write().save(path)
+    return R.apply_surface_imputer(PipelineModel.load(path), src, "superficie_util", ["dormitorios", "banos"]).select("id", "superficie_util")
+
+
+def training_table(t):
+    return P.feature_table_training(t.listings, t.rates, ["departamento", "casa"], trees=10)
+
+
+@query("feature_table_training")
+def _(t):
+    out, _ = training_table(t)
+    return out.select("id", *P.FEATURES, "costo_total")
+
+
+@query("feature_table_serving")
+def _(t):
+    table, artifacts = training_table(t)
+    out, _ = P.feature_table_serving(t.listings, t.predictions, materialise(table, "reference"), artifacts)
+    return out
+
+
+@query("train_production")
+def _(t):
+    return train_production(base(t), FEATS, "y", scratch_path(t.spark, "versions"), "20250101000000", n_models=2, params=SMALL)
+
+
+@query("score_pending_rows")
+def _(t):
+    """Train a version on the feature table, then label every listing without a prediction."""
+    table, artifacts = training_table(t)
+    table = materialise(table, "reference")
+    root = scratch_path(t.spark, "versions")
+    train_production(table, P.FEATURES, "costo_total", root, "20250101000000", n_models=2, params=SMALL)
+    pending, _ = P.feature_table_serving(t.listings, t.predictions, table, artifacts)
+    return score_new_rows(t.spark, root, pending, t.listings, t.rates)
+
+
+@query("stream_new_listings", "SELECT user_id AS id, min(event_id) AS event_id FROM events GROUP BY 1")
+def _(t):
+    """First event of each user, appended by a stream over the events file."""
+    source = jobs.file_stream(t.spark, t.sf_dir, t.events.schema, "events.parquet").selectExpr("user_id AS id", "event_id", "cast(ts AS timestamp) AS ts")
+    table = scratch_path(t.spark, "new-listings")
+    jobs.run_to_end(jobs.stream_new_listings(source, "id", "event_id", "ts", table, scratch_path(t.spark, "ck"), "3650 days"))
+    return t.spark.read.parquet(table).select("id", "event_id")
+
+
+def visit_stream(t):
+    kinds = "CASE event_type WHEN 'signup' THEN 'pausado' WHEN 'purchase' THEN 'finalizado' WHEN 'error' THEN 'no_disponible' ELSE 'activo' END AS estado"
+    return jobs.file_stream(t.spark, t.sf_dir, t.events.schema, "events.parquet").selectExpr("user_id AS id", "event_id AS seq", "ts", "event_type = 'error' AS fallo", kinds)
+
+
+@query("stream_status_changes", """, z AS (SELECT id, seq, fallo, estado, sum((NOT fallo)::INT) OVER (PARTITION BY id ORDER BY seq) AS g FROM visits), f AS (SELECT *, sum(fallo::INT) OVER (PARTITION BY id, g ORDER BY seq)::BIGINT AS n FROM z),
+ s AS (SELECT *, CASE WHEN NOT fallo THEN estado WHEN n>2 THEN 'no_disponible' END AS nuevo FROM f), k AS (SELECT *, lag(nuevo) OVER (PARTITION BY id ORDER BY seq) AS antes FROM s WHERE nuevo IS NOT NULL)
+ SELECT id, seq, nuevo AS estado, n AS intentos_fallidos, n>2 AS terminal FROM k WHERE antes IS NULL OR antes<>nuevo""", ["visits"])
+def _(t):
+    table = scratch_path(t.spark, "changes")
+    jobs.run_to_end(jobs.stream_status_changes(visit_stream(t), table, scratch_path(t.spark, "ck"), limit=2))
+    return t.spark.read.parquet(table)
+
+
+@query("stream_daily_snapshot", "SELECT fecha, id, estado FROM snapshots", ["snapshots"])
+def _(t):
+    table = scratch_path(t.spark, "snapshots")
+    jobs.run_to_end(jobs.stream_daily_snapshot(visit_stream(t), table, scratch_path(t.spark, "ck")))
+    return t.spark.read.parquet(table).select("fecha", "id", "estado")
