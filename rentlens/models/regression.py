@@ -178,6 +178,7 @@ def permutation_importance(models: Sequence, df: DataFrame, id_col: str, feature
     all features are then tried in one pass over the pairs.
     """
     narrow = df.select(id_col, target, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features])
+    narrow = materialise(narrow, "narrow")
     first = with_hash_rank(narrow, [], id_col, seed, "_r").drop("group_size")
     ranked = materialise(with_hash_rank(first, [], id_col, seed + 1, "_s").drop("group_size"), "ranks")
     other = ranked.select(F.col("_s").alias("_r"), *[F.col(c).alias(f"_o_{c}") for c in features])

@@ -180,8 +180,9 @@ def lookup_median(points: DataFrame, reference: DataFrame, lat: str, lon: str, v
     )
 
 
-# cell sizes of the nearest-donor search: each four times the one before, the last spans the globe
-NEAREST_LEVELS = [50.0 * 4**k for k in range(11)]
+# cell sizes of the nearest-donor search: each four times the one before, from a few metres (so that dense
+# towns are searched in small cells) to the globe
+NEAREST_LEVELS = [3.125 * 4**k for k in range(13)]
 
 
 def nearest_fill(df: DataFrame, id_col: str, lat: str, lon: str, attr: str) -> DataFrame:

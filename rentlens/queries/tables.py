@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rentlens.operators import joins, writes
-from rentlens.queries.registry import AS_OF, query, rounded
+from rentlens.queries.registry import AS_OF, query
+from rentlens.session import scratch_path
+from rentlens.sources import tables as store
 
 L = ["listings"]
 
@@ -156,3 +158,52 @@ def _(t):
 def _(t):
     g = t.listings.groupBy("comuna").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("estado") == "activo").alias("activos"))
     return g.select("comuna", F.to_json(F.struct("n", "activos")).alias("informe"))
+
+
+# ---- sources and sinks: written to the shared folder and read back ------------------------------
+@query("read_population", f"SELECT l.id, l.estado, o.o_custkey AS cliente FROM listings l JOIN orders o ON o.o_orderkey=l.id WHERE l.tipo='departamento' AND l.estado IN ('activo','finalizado') AND (l.estado<>'finalizado' OR l.fecha >= DATE '{AS_OF}' - 180)", L)
+def _(t):
+    out = store.read_population(t.listings, details(t), "id", kind="departamento", states=["activo", "finalizado"], as_of=AS_OF, max_months=6)
+    return out.select("id", "estado", "cliente")
+
+
+@query("read_dataset", "SELECT id, comuna, dormitorios, precio FROM listings", L)
+def _(t):
+    path = scratch_path(t.spark, "dataset")
+    store.write_dataset(t.listings.select("id", "comuna", "dormitorios", "precio", F.col("banos").alias("Unnamed: 0")), path, "csv")
+    schema = "id bigint, comuna string, dormitorios int, precio double, `Unnamed: 0` int"
+    return store.read_dataset(t.spark, path, schema, ["id", "comuna", "dormitorios", "precio", "ausente"])
+
+
+@query("write_dataset", "SELECT id, estado, precio FROM listings", L)
+def _(t):
+    path = scratch_path(t.spark, "dataset")
+    store.write_dataset(t.listings.select("id", "precio", "estado"), path, partition_by=["estado"])
+    return store.read_table(t.spark, path).select("id", "estado", "precio")
+
+
+@query("replace_table", "SELECT zona, attr FROM zones", ["zones"])
+def _(t):
+    path = scratch_path(t.spark, "zones")
+    store.replace_table(t.zones.select("zona", "attr"), path, ["zona"])
+    return store.read_table(t.spark, path)
+
+
+@query("read_polygons", "SELECT zona, 4 AS lados FROM zones", ["zones"])
+def _(t):
+    return store.read_polygons(t.zones, "zona", "geometria_wkt").groupBy(F.col("zone").alias("zona")).agg(F.count(F.lit(1)).cast("int").alias("lados"))
+
+
+@query("archive_version", "SELECT id, version, value FROM predictions WHERE version='view'", ["predictions"])
+def _(t):
+    root = scratch_path(t.spark, "archive")
+    for v in ("view", "click"):
+        store.archive_version({"scores": t.predictions.filter(F.col("version") == v).select("id", "value")}, root, v)
+    return t.spark.read.option("basePath", root).parquet(f"{root}/version=view/scores").select("id", "version", "value")
+
+
+@query("read_snapshot_history", "SELECT fecha, id, estado FROM snapshots", ["snapshots"])
+def _(t):
+    path = scratch_path(t.spark, "history")
+    store.write_snapshot(t.snapshots, path)
+    return store.read_snapshot_history(t.spark, path).select("fecha", "id", "estado")
