@@ -10,7 +10,8 @@ SMALL = {"maxIter": 3, "maxDepth": 2}
 
 @pytest.fixture(scope="module")
 def table(spark):
-    return spark.range(400).selectExpr("id", "cast(id % 20 AS double) AS a", "cast(id % 3 AS double) AS b", "100 + 10 * cast(id % 20 AS double) AS y").persist()
+    rows = [(i, float(i % 20), float(i % 3), 100.0 + 10 * (i % 20)) for i in range(400)]
+    return spark.createDataFrame(rows, "id long, a double, b double, y double")
 
 
 def test_permutation_importance_finds_the_driver(spark, table):
