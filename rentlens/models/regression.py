@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
@@ -209,9 +208,3 @@ def repeat_over_seeds(
         m = regression_metrics(predict_mean(models, split.filter("split = 'test'"), features), target, "pred").first()
         rows.append((s, m["mae"], m["rmse"], m["r2"], m["mape"], m["mdape"]))
     return df.sparkSession.createDataFrame(rows, "seed int, mae double, rmse double, r2 double, mape double, mdape double")
-
-
-def vector_columns(df: DataFrame, vector: str, names: Sequence[str]) -> DataFrame:
-    """Spread a vector column into named double columns."""
-    arr = vector_to_array(F.col(vector))
-    return df.withColumns({n: arr[i] for i, n in enumerate(names)})

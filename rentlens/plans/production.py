@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rentlens.functions.text import canonical_hash8, version_id
-from rentlens.models.regression import fit_ensemble, predict_matrix, predict_mean
+from rentlens.models.regression import fit_ensemble, predict_matrix
 from rentlens.operators.binning import calibrate, score_rows
 from rentlens.operators.filters import max_value_filter
 from rentlens.operators.joins import fx_convert
@@ -67,7 +67,3 @@ def score_new_rows(
         "id", F.lit(model["version"]).alias("version"), F.col("pred").alias("costo_total_predicho"), "z_robusto",
         F.col("decil").alias("decil_precio"), "etiqueta", "nivel_confianza", F.col("cv").alias("cv_ensamble"),
     )
-
-
-def value_rows(models: Sequence, df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return predict_mean(models, df, features)

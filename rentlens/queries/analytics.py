@@ -13,7 +13,6 @@ S, L, H = ["scored"], ["listings"], ["snapshots"]
 PREDS = [f"p{i}" for i in range(1, 11)]
 MEAN = "((" + "+".join(PREDS) + ")/10)"
 # equal-count right-closed bins by counting the inner edges below the value
-DEC = "(SELECT list_distinct(quantile_cont(y, [0.0::DOUBLE,0.1::DOUBLE,0.2::DOUBLE,0.3::DOUBLE,0.4::DOUBLE,0.5::DOUBLE,0.6::DOUBLE,0.7::DOUBLE,0.8::DOUBLE,0.9::DOUBLE,1.0::DOUBLE])) FROM scored)"
 
 
 def inner_bins(value: str, source: str, q: int, v: str) -> str:
@@ -146,7 +145,6 @@ def _(t):
     return rounded(out.select("n", "mae", "rmse", "media", "mae_sector", F.size("por_quintil").alias("quintiles")), "mae", "rmse", "media", "mae_sector", digits=4)
 
 
-MODELS = "m AS (SELECT {cols} FROM scored)"
 PER_MODEL = ", m AS (" + " UNION ALL ".join(f"SELECT '{p}' AS modelo, avg(abs(y-{p})) AS mae, sqrt(avg(pow(y-{p},2))) AS rmse, 1-avg(pow(y-{p},2))/var_pop(y) AS r2, avg(abs(y-{p})) FILTER (WHERE y > (SELECT quantile_cont(y,0.8::DOUBLE) FROM scored)) AS mae_q5 FROM scored" for p in PREDS) + ")"
 
 
