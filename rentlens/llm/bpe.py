@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +32,9 @@ from pyspark.sql.functions import arrow_udf
 
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NONE = np.iinfo(np.int64).max
-BATCH_BYTES = 12 << 20
-CACHE_WORDS = 1_000_000
+BATCH_BYTES = 4 << 20
+DECODE_BYTES = 1 << 20
+CACHE_WORDS = 300_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -261,9 +263,8 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coder = bpe(path)
         for batch in batches:
-            sizes = [len(x) for x in batch.cast(pa.binary()).to_pylist()]
             out: list[bytes] = []
-            for a, b in slices(sizes, BATCH_BYTES):
+            for a, b in slices(pc.binary_length(batch).to_pylist(), BATCH_BYTES):
                 out += [x.tobytes() for x in coder.encode(batch.slice(a, b - a).to_pylist())]
             yield pa.array(out, pa.binary())
 
@@ -277,11 +278,11 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", text_col: str =
     def text_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coder = bpe(path)
         for batch in batches:
-            raw = batch.to_pylist()
-            out: list[str] = []
-            for a, b in slices([len(x) for x in raw], BATCH_BYTES):
-                out += coder.decode([np.frombuffer(x, "<u4") for x in raw[a:b]])
-            yield pa.array(out, pa.string())
+            out: list[pa.Array] = []
+            for a, b in slices(pc.binary_length(batch).to_pylist(), DECODE_BYTES):
+                ids = [np.frombuffer(x, "<u4") for x in batch.slice(a, b - a).to_pylist()]
+                out.append(pa.array(coder.decode(ids), pa.string()))
+            yield pa.concat_arrays(out) if out else pa.array([], pa.string())
 
     return encoded.withColumn(text_col, text_of(F.coalesce(F.col(ids_col), F.lit(b""))))
 
