@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentlens.llm import bpe, exact_dedup, langid, line_dedup, mixing, url_filter
+from rentlens.llm import bagminhash, bpe, exact_dedup, langid, line_dedup, mixing, url_filter
 from rentlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +61,12 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", bpe.token_count().alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@query()
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bagminhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "class_id", "class_size", "kept")
+
+
 @query()
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
