@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentlens.llm import bagminhash, bpe, exact_dedup, langid, line_dedup, mixing, url_filter
+from rentlens.llm import bagminhash, bpe, chat_format, exact_dedup, imatch, langid, license_scan, line_dedup, mixing, url_filter
 from rentlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,21 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_repeated_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query(r"""
+WITH t AS (SELECT conv_id, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+      row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), coalesce(text, '')) AS n FROM conversations),
+  r AS (SELECT t.*, CAST((n - 1) // 256 AS BIGINT) AS part, speaker, role = speaker AS own, CASE WHEN role = speaker THEN '<|assistant|>' ELSE '<|user:' || role || '|>' END || chr(10) AS head,
+      text || '<|end|>' || chr(10) AS body FROM t JOIN (SELECT DISTINCT conv_id AS c, role AS speaker FROM t) ON conv_id IS NOT DISTINCT FROM c),
+  s AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker, part ORDER BY n) AS upto FROM r)
+SELECT conv_id, speaker, part, count(*) AS n_turns, string_agg(head || body, '' ORDER BY n) AS text,
+  coalesce(string_agg(CAST(upto - length(body) AS BIGINT) || '-' || CAST(upto AS BIGINT), ',' ORDER BY n) FILTER (own), '') AS mask,
+  CAST(coalesce(sum(length(body)) FILTER (own), 0) AS BIGINT) AS n_masked
+FROM s GROUP BY conv_id, speaker, part
+""")
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.rotate_perspectives(table(spark, sf_dir, "conversations"))
+
+
 @query()
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -95,6 +110,49 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+_TEMPLATES = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(license_scan.TEMPLATES))
+
+
+@query(rf"""
+WITH f AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '-') || '/' || coalesce(CAST(doc_id // 1000 AS VARCHAR), '-') || '/' || coalesce(CAST(doc_id // 20 AS VARCHAR), '-') || '/' || coalesce(CAST(doc_id AS VARCHAR), '-') AS path FROM documents),
+  p AS (SELECT path, ltrim(substr(text, 1, 200)) AS start, string_split_regex(text, '{license_scan.SENTENCE_END}') AS ps FROM f),
+  q AS (SELECT path, start, unnest(range(len(ps))) AS pos, lower(unnest(ps)) AS piece FROM p),
+  s AS (SELECT path, pos, starts_with(lower(start), substr(ltrim(piece), 1, 100)) AS head, regexp_extract_all(piece, '{license_scan.TERM}') AS terms FROM q WHERE regexp_matches(piece, '{license_scan.CUE}')),
+  t AS (SELECT * FROM (VALUES {_TEMPLATES}) AS v(template, license, text)),
+  tf AS (SELECT template, license, term, count(*) AS tf FROM (SELECT template, license, unnest(regexp_extract_all(lower(text), '{license_scan.TERM}')) AS term FROM t) GROUP BY ALL),
+  n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM s),
+  d AS (SELECT term, count(*) AS df FROM (SELECT unnest(list_distinct(terms)) AS term FROM s) GROUP BY term),
+  i AS (SELECT v.term, ln((1 + n) / (1 + coalesce(df, 0))) + 1 AS idf FROM (SELECT DISTINCT term FROM tf) v LEFT JOIN d ON d.term = v.term, n),
+  w AS (SELECT template, license, term, tf * idf AS w FROM tf JOIN i USING (term)),
+  u AS (SELECT template, license, term, w / sqrt(sum(w * w) OVER (PARTITION BY template)) AS unit FROM w),
+  c AS (SELECT path, pos, head, term, count(*) AS tf FROM (SELECT path, pos, head, unnest(terms) AS term FROM s) GROUP BY ALL),
+  x AS (SELECT c.*, tf * coalesce(idf, ln(1 + n) + 1) AS v FROM c LEFT JOIN i ON i.term = c.term, n),
+  l AS (SELECT path, pos, bool_or(head) AS head, sqrt(sum(v * v)) AS length FROM x GROUP BY path, pos),
+  b AS (SELECT path, pos, license, template, sum(v * unit) AS dot FROM x JOIN u USING (term) GROUP BY ALL),
+  z AS (SELECT path, pos, head, license, round(dot / length, 6) AS score FROM b JOIN l USING (path, pos)),
+  best AS (SELECT * FROM z WHERE score >= {license_scan.MIN_SCORE} QUALIFY row_number() OVER (PARTITION BY path, pos ORDER BY score DESC, license) = 1),
+  own AS (SELECT path, first(license ORDER BY score DESC, license) AS license, max(score) AS score, bool_or(head) AS head, regexp_replace(path, '/?[^/]*$', '') AS dir FROM best GROUP BY path),
+  given AS (SELECT * FROM own WHERE head QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, path) = 1),
+  r AS (SELECT f.doc_id, f.path, o.license AS lic, o.score AS sc, g.license AS glic, g.score AS gsc, g.path AS gpath
+    FROM f LEFT JOIN own o ON o.path = f.path LEFT JOIN given g ON g.dir = '' OR starts_with(f.path, g.dir || '/')
+    QUALIFY row_number() OVER (PARTITION BY f.doc_id ORDER BY length(g.dir) DESC NULLS LAST) = 1)
+SELECT doc_id, path, coalesce(lic, glic) AS license, coalesce(sc, gsc) AS score, CASE WHEN lic IS NOT NULL THEN 'own' WHEN glic IS NOT NULL THEN 'inherited' END AS origin,
+  CASE WHEN lic IS NOT NULL THEN path ELSE gpath END AS from_path FROM r
+""")
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree: source / thousands of the id / twenties of the id / id."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    parts = [F.col("source"), F.expr("doc_id div 1000"), F.expr("doc_id div 20"), F.col("doc_id")]
+    files = docs.withColumn("path", F.concat_ws("/", *[F.coalesce(p.cast("string"), F.lit("-")) for p in parts]))
+    found = license_scan.scan_licenses(files)
+    return files.select("doc_id", "path").join(found, "path").select("doc_id", "path", "license", "score", "origin", "from_path")
+
+
+@query()
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query(r"""
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
   g AS (SELECT doc_id, t, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size FROM d)
