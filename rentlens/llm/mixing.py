@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rentlens.llm.common import SPACE, empty_if_null, global_rank, materialise
@@ -70,3 +70,20 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), seed: str = "mix"
     return both.withColumn("copies", F.least(crossed, F.lit(max_repeat))).select(
         "doc_id", "source", "size", "source_size", "target", F.col("copies").cast("bigint").alias("copies"), (F.col("copies") * F.col("size")).alias("taken")
     )
+
+
+def repeat(docs: DataFrame, mixed: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with each row as often as ``mixed`` (the result of ``mix`` on them) says. The texts meet it in one join.
+
+    Rows of one id, source and size are numbered on both sides, where there are any.
+    """
+    keys = ["_doc", "_source", "_size"]
+    taken = materialise(mixed.select(F.col("doc_id").alias("_doc"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies")), "copies")
+    rows = docs.withColumns({"_d": F.col("doc_id"), "_s": F.col("source"), "_n": word_count(text_col), "_k": F.lit(1)})
+    taken = taken.withColumn("_no", F.lit(1))
+    if not taken.groupBy(*keys).count().filter("count > 1").isEmpty():
+        rows = rows.withColumn("_k", F.row_number().over(Window.partitionBy("_d", "_s", "_n").orderBy(F.xxhash64(text_col))))
+        taken = taken.withColumn("_no", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("_copies"))))
+    same = F.col("_d").eqNullSafe(F.col("_doc")) & F.col("_s").eqNullSafe(F.col("_source")) & (F.col("_n") == F.col("_size")) & (F.col("_k") == F.col("_no"))
+    joined = rows.join(taken.filter("_copies > 0").hint("shuffle_hash"), same)
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))).select(*docs.columns)

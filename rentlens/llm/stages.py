@@ -1,12 +1,48 @@
-"""Stages of the corpus pipeline: ``(spark, docs, sf_dir) -> DataFrame`` with the columns of documents."""
+"""Stages of the corpus pipeline: ``(spark, docs, sf_dir) -> DataFrame``.
+
+All but the last return the columns of documents. ``docs`` is the written result of the stage before. An empty input
+gives an empty result in every stage; the operators' docstrings define the other cases.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rentlens.llm import bagminhash, bpe, langid, line_dedup, mixing
+
+SOURCE_WEIGHTS = (5, 2, 1)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Documents without a letter, or far from every language's centroids for their length, go; ``lang`` becomes the prediction.
+
+    The model learns from the labelled documents that are not held out.
+    """
+    model = langid.train_model(docs.filter(~langid.held_out()))
+    found = langid.predict(docs, model).filter(~F.col("rejected"))
+    return found.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated long lines go from all documents but the largest id; a document keeps its place even if nothing is left."""
+    return line_dedup.drop_repeated_lines(docs).withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates stays, the one with the smallest id."""
+    return bagminhash.drop_near_duplicates(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document comes as often as the mix takes it, from not at all to three times."""
+    copies = mixing.mix(docs, SOURCE_WEIGHTS)
+    return mixing.repeat(docs, copies).select(*docs.columns)
 
 
-line_dedup_stage = near_dedup_stage = mixing_stage = bpe_stage = language_stage
+def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, n_tokens, ids`` (little-endian unsigned 32-bit), ``ids_sha256`` and whether decoding gives the text back."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    done = bpe.decode(bpe.encode(docs, path), path)
+    return done.select("doc_id", bpe.token_count().alias("n_tokens"), "ids", F.sha2("ids", 256).alias("ids_sha256"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
