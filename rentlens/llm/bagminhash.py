@@ -305,7 +305,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with one document of each class; of rows repeated with one id and text one stays. Texts meet in one join."""
-    kept = near_duplicates(docs, id_col, text_col, threshold).filter("kept").select(F.col("id").alias("_id"), F.col("digest").alias("_digest"))
-    keyed = docs.withColumn("_text", F.unhex(F.md5(normalised(text_col))))
-    found = keyed.join(materialise(kept, "kept"), F.col(id_col).cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_digest")))
-    return found.dropDuplicates(["_id", "_digest"]).select(*docs.columns)
+    kept = near_duplicates(docs, id_col, text_col, threshold).filter("kept").select(F.col("id").alias("__near_id"), F.col("digest").alias("__near_digest"))
+    keyed = docs.withColumn("__near_text", F.unhex(F.md5(normalised(text_col))))
+    found = keyed.join(materialise(kept, "kept"), F.col(id_col).cast("bigint").eqNullSafe(F.col("__near_id")) & (F.col("__near_text") == F.col("__near_digest")))
+    return found.dropDuplicates(["__near_id", "__near_digest"]).select(*docs.columns)

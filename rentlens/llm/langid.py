@@ -214,8 +214,8 @@ def train_model(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     return Model(langs, np.array([langs.index(r["lang"]) for r in fitted], np.int64), matrix, idf, floor)
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score`` (cosine, 0 to 1) and ``rejected``; reads nothing but the text."""
+def predict(docs: DataFrame, model: Model, text_col: str = "text", prefix: str = "") -> DataFrame:
+    """``docs`` with ``lang_pred``, ``score`` (cosine, 0 to 1) and ``rejected``; reads nothing but the text. ``prefix`` stands before the names."""
 
     @arrow_udf("struct<lang_pred:string,score:double,rejected:boolean>")
     def nearest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -228,8 +228,8 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                 rejected += got[2]
             yield pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())], ["lang_pred", "score", "rejected"])
 
-    found = docs.withColumn("_found", nearest(F.coalesce(F.col(text_col), F.lit(""))))
-    return found.withColumns({c: F.col(f"_found.{c}") for c in ("lang_pred", "score", "rejected")}).drop("_found")
+    found = docs.withColumn("__lang_found", nearest(F.coalesce(F.col(text_col), F.lit(""))))
+    return found.withColumns({prefix + c: F.col(f"__lang_found.{c}") for c in ("lang_pred", "score", "rejected")}).drop("__lang_found")
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -145,12 +145,12 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return grouped.withColumn("_bits", keep_bitmap("n_lines", "_at")).select("doc", "text_key", "n_lines", "_bits.n_dropped", "_bits.keep")
 
 
-def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``docs`` with the kept text in place of the text, and ``n_lines`` (before) and ``n_dropped``."""
+def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, prefix: str = "") -> DataFrame:
+    """``docs`` with the kept text in place of the text, and ``n_lines`` (before) and ``n_dropped``, both with ``prefix`` before the name."""
     bitmaps = keep_bitmaps(docs, id_col, text_col, min_chars, min_docs)
-    bitmaps = bitmaps.select(F.col("doc").alias("_doc"), F.col("text_key").alias("_key"), F.col("n_dropped").alias("_dropped"), F.col("keep").alias("_keep"))
+    bitmaps = bitmaps.select(F.col("doc").alias("__line_doc"), F.col("text_key").alias("__line_key"), F.col("n_dropped").alias("__line_dropped"), F.col("keep").alias("__line_keep"))
     text = empty_if_null(text_col)
-    found = docs.join(bitmaps.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("_doc")) & F.xxhash64(text).eqNullSafe(F.col("_key")), "left")
+    found = docs.join(bitmaps.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("__line_doc")) & F.xxhash64(text).eqNullSafe(F.col("__line_key")), "left")
     n_lines = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
-    found = found.withColumns({"n_lines": n_lines.cast("bigint"), "n_dropped": F.coalesce("_dropped", F.lit(0)).cast("bigint"), "_text": apply_bitmap(text.cast("binary"), F.col("_keep"))})
-    return found.withColumn(text_col, F.col("_text")).drop("_doc", "_key", "_keep", "_text", "_dropped")
+    found = found.withColumns({f"{prefix}n_lines": n_lines.cast("bigint"), f"{prefix}n_dropped": F.coalesce("__line_dropped", F.lit(0)).cast("bigint"), "__line_text": apply_bitmap(text.cast("binary"), F.col("__line_keep"))})
+    return found.withColumn(text_col, F.col("__line_text")).drop("__line_doc", "__line_key", "__line_keep", "__line_text", "__line_dropped")

@@ -77,13 +77,13 @@ def repeat(docs: DataFrame, mixed: DataFrame, text_col: str = "text") -> DataFra
 
     Rows of one id, source and size are numbered on both sides, where there are any.
     """
-    keys = ["_doc", "_source", "_size"]
-    taken = materialise(mixed.select(F.col("doc_id").alias("_doc"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies")), "copies")
-    rows = docs.withColumns({"_d": F.col("doc_id"), "_s": F.col("source"), "_n": word_count(text_col), "_k": F.lit(1)})
-    taken = taken.withColumn("_no", F.lit(1))
+    keys = ["__mix_doc", "__mix_source", "__mix_size"]
+    taken = materialise(mixed.select(F.col("doc_id").alias("__mix_doc"), F.col("source").alias("__mix_source"), F.col("size").alias("__mix_size"), F.col("copies").alias("__mix_copies")), "copies")
+    rows = docs.withColumns({"__mix_d": F.col("doc_id"), "__mix_s": F.col("source"), "__mix_n": word_count(text_col), "__mix_k": F.lit(1)})
+    taken = taken.withColumn("__mix_no", F.lit(1))
     if not taken.groupBy(*keys).count().filter("count > 1").isEmpty():
-        rows = rows.withColumn("_k", F.row_number().over(Window.partitionBy("_d", "_s", "_n").orderBy(F.xxhash64(text_col))))
-        taken = taken.withColumn("_no", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("_copies"))))
-    same = F.col("_d").eqNullSafe(F.col("_doc")) & F.col("_s").eqNullSafe(F.col("_source")) & (F.col("_n") == F.col("_size")) & (F.col("_k") == F.col("_no"))
-    joined = rows.join(taken.filter("_copies > 0").hint("shuffle_hash"), same)
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))).select(*docs.columns)
+        rows = rows.withColumn("__mix_k", F.row_number().over(Window.partitionBy("__mix_d", "__mix_s", "__mix_n").orderBy(F.xxhash64(text_col))))
+        taken = taken.withColumn("__mix_no", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("__mix_copies"))))
+    same = F.col("__mix_d").eqNullSafe(F.col("__mix_doc")) & F.col("__mix_s").eqNullSafe(F.col("__mix_source")) & (F.col("__mix_n") == F.col("__mix_size")) & (F.col("__mix_k") == F.col("__mix_no"))
+    joined = rows.join(taken.filter("__mix_copies > 0").hint("shuffle_hash"), same)
+    return joined.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__mix_copies")))).select(*docs.columns)

@@ -21,13 +21,13 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     The model learns from the labelled documents that are not held out.
     """
     model = langid.train_model(docs.filter(~langid.held_out()))
-    found = langid.predict(docs, model).filter(~F.col("rejected"))
-    return found.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    found = langid.predict(docs, model, prefix="__lang_").filter(~F.col("__lang_rejected"))
+    return found.withColumn("lang", F.col("__lang_lang_pred")).select(*docs.columns)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated long lines go from all documents but the largest id; a document keeps its place even if nothing is left."""
-    return line_dedup.drop_repeated_lines(docs).withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    return line_dedup.drop_repeated_lines(docs, prefix="__line_").withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -62,9 +62,9 @@ def char_grams(text: Column, n: int, prefix: str) -> Column:
 
 
 def url_features(df: DataFrame) -> DataFrame:
-    """Adds the hashed n-gram counts of ``host`` and ``path`` as ``_features``."""
+    """Adds the hashed n-gram counts of ``host`` and ``path`` as ``__url_features``."""
     grams = F.concat(*[char_grams(F.col(c), n, f"{c[0]}{n}:") for c in ("host", "path") for n in GRAMS])
-    return HashingTF(numFeatures=FEATURES, inputCol="_grams", outputCol="_features", binary=True).transform(df.withColumn("_grams", grams)).drop("_grams")
+    return HashingTF(numFeatures=FEATURES, inputCol="__url_grams", outputCol="__url_features", binary=True).transform(df.withColumn("__url_grams", grams)).drop("__url_grams")
 
 
 def labelled_urls(parts: DataFrame, rules: Sequence[Rule], max_rows: int) -> DataFrame:
@@ -80,7 +80,7 @@ def train(labelled: DataFrame) -> LogisticRegressionModel | str:
     kinds = {r["label"] for r in labelled.select("label").distinct().collect()}
     if len(kinds) < 2:
         return "block" if kinds == {1.0} else "allow"
-    return LogisticRegression(featuresCol="_features", labelCol="label", maxIter=40, regParam=1e-3).fit(url_features(labelled))
+    return LogisticRegression(featuresCol="__url_features", labelCol="label", maxIter=40, regParam=1e-3).fit(url_features(labelled))
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[Rule], url: str = "url", max_rows: int = 20_000) -> DataFrame:
@@ -95,7 +95,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], url: str = "url", max_ro
         return parts.withColumns({"block_score": F.lit(None).cast("double"), "verdict": F.coalesce(by_rule, F.lit(model))})
     from pyspark.ml.functions import vector_to_array
 
-    model = model.setPredictionCol("_verdict").setProbabilityCol("_share").setRawPredictionCol("_raw")
-    scored = model.transform(url_features(parts)).withColumn("block_score", vector_to_array("_share")[1])
-    scored = scored.withColumn("verdict", F.coalesce(by_rule, F.when(F.col("_verdict") == 1.0, "block").otherwise("allow")))
-    return scored.drop("_features", "_raw", "_share", "_verdict")
+    model = model.setPredictionCol("__url_verdict").setProbabilityCol("__url_share").setRawPredictionCol("__url_raw")
+    scored = model.transform(url_features(parts)).withColumn("block_score", vector_to_array("__url_share")[1])
+    scored = scored.withColumn("verdict", F.coalesce(by_rule, F.when(F.col("__url_verdict") == 1.0, "block").otherwise("allow")))
+    return scored.drop("__url_features", "__url_raw", "__url_share", "__url_verdict")
