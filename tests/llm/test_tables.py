@@ -1,0 +1,162 @@
+"""Exact dedup, mixing, chat, licences, URLs: defined cases beside the SQL checks."""
+
+import hashlib
+import math
+from collections import Counter, defaultdict
+
+import pytest
+
+from rentlens.llm import chat_format, exact_dedup, license_scan, mixing, url_filter
+from rentlens.llm.queries import URL_RULES
+from rentlens.llm.stages import mixing_stage
+
+
+def test_dedup_in_batches(docs):
+    rows = [(5, "a  b"), (2, "a\tb"), (9, "a b"), (7, None), (3, ""), (4, "x" * 200_000), (2, "a b"), (None, "a b"), (None, "n"), (None, "n"), (11, " ")]
+    for batches in (1, 2, 3):
+        found = exact_dedup.dedup_in_batches(docs(rows), batches=batches).collect()
+        assert len(found) == len(rows) and sum(r["kept"] for r in found) == 5
+        size = Counter((r["keep_id"], r["group_size"]) for r in found)
+        assert size == {(2, 5): 5, (3, 2): 2, (4, 1): 1, (None, 2): 2, (11, 1): 1}
+        assert {bytes(r["digest"]).hex() for r in found if r["keep_id"] == 2} == {hashlib.sha256(b"a b").hexdigest()}
+    assert exact_dedup.dedup_in_batches(docs(rows).limit(0)).count() == 0
+
+
+def test_index_is_appended_and_reopened(spark, docs):
+    index = exact_dedup.DigestIndex.new(spark, 3)
+    one = index.ingest(docs([(1, "a"), (2, "b")]))
+    index.ingest(docs([(1, "a"), (2, "b")]))
+    assert index.read().count() == 2
+    again = exact_dedup.DigestIndex(spark, index.path, 3)
+    two = again.ingest(docs([(0, "b"), (3, "c")]))
+    assert again.read().count() == 3
+    rows = {(r["id"], r["keep_id"], r["kept"]) for r in again.resolve(one, two).collect()}
+    assert rows == {(1, 1, True), (2, 2, True), (0, 2, False), (3, 3, True)}
+    assert "SortMergeJoin" in one.groups.join(index.read().hint("merge"), "digest", "left_anti")._jdf.queryExecution().executedPlan().toString()
+
+
+def fill(sizes, weights):
+    """Targets by sharing the excess again and again."""
+    total = sum(sizes.values())
+    target, held, rest = {}, {}, dict(weights)
+    while True:
+        left = total - sum(held.values())
+        share = {s: left * w / sum(rest.values()) for s, w in rest.items()} if rest else {}
+        over = {s for s, t in share.items() if t > 3 * sizes[s]}
+        if not over:
+            return held | share | target
+        for s in over:
+            held[s] = 3.0 * sizes[s]
+            del rest[s]
+
+
+def test_targets_and_sampling(docs):
+    rows = [(i, " ".join(["w"] * (i % 17)), "en", f"s{min(i % 40, 6)}") for i in range(2000)] + [(5000 + i, "a b", "en", None) for i in range(3)] + [(None, None, "en", "s1"), (1, "w", "en", "s1")]
+    found = mixing.mix(docs(rows)).collect()
+    assert len(found) == len(rows)
+    sizes = defaultdict(int)
+    for _, t, _, s in rows:
+        sizes[s] += len((t or "").split())
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    want = fill(sizes, {s: [5, 2, 1][i % 3] for i, s in enumerate(names)})
+    taken = defaultdict(int)
+    for r in found:
+        assert r["source_size"] == sizes[r["source"]] and math.isclose(r["target"], want[r["source"]], rel_tol=1e-9)
+        assert 0 <= r["taken"] <= 3 * r["size"] and r["taken"] == r["copies"] * r["size"]
+        taken[r["source"]] += r["taken"]
+    for s in names:
+        assert abs(taken[s] - want[s]) <= 20
+    assert sorted(map(tuple, found), key=str) == sorted(map(tuple, mixing.mix(docs(rows, partitions=7)).collect()), key=str)
+
+
+def test_mixing_defined_cases(docs):
+    assert mixing.mix(docs([(1, "a")]).limit(0)).count() == 0
+    only_empty = mixing.mix(docs([(1, None), (2, "")])).collect()
+    assert [(r["size"], r["target"], r["taken"]) for r in only_empty] == [(0, 0.0, 0)] * 2
+    one = mixing.mix(docs([(1, "\x0ba b\x85c\td ")])).first()
+    assert (one["size"], one["target"], one["taken"]) == (3, 3.0, 3)
+
+
+def test_mixing_stage_repeats_rows(docs):
+    rows = [(i % 50, "w " * (i % 5 + 1), "en", f"s{i % 4}") for i in range(400)]
+    df = docs(rows)
+    out = mixing_stage(df.sparkSession, df, "")
+    assert out.columns == df.columns
+    want = Counter()
+    for r in mixing.mix(df).collect():
+        want[r["doc_id"], r["source"], r["size"]] += r["copies"]
+    got = Counter((r["doc_id"], r["source"], len(r["text"].split())) for r in out.collect())
+    assert got == Counter({k: v for k, v in want.items() if v})
+
+
+def render(turns, speaker):
+    text, mask = "", []
+    for role, body in turns:
+        text += "<|assistant|>\n" if role == speaker else f"<|user:{role}|>\n"
+        start = len(text)
+        text += body + "<|end|>\n"
+        if role == speaker:
+            mask.append((start, len(text)))
+    return text, ",".join(f"{a}-{b}" for a, b in mask)
+
+
+@pytest.mark.parametrize("per_part", [256, 3])
+def test_chat(spark, per_part):
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "héllo\n"), (1, 2, "user", None), (1, 2, "user", None), (2, None, None, "x"), (2, 5, "b", ""), (None, 1, "a", "z")]
+    rows += [(3, i, f"p{i % 3}", "t" * i) for i in range(20)]
+    found = chat_format.rotate_perspectives(spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string").selectExpr("*", "1 AS part"), per_part).collect()
+    talks = defaultdict(list)
+    for conv, turn, role, text in sorted(rows, key=lambda r: (str(r[0]), r[1] is not None, r[1] or 0, r[2] or "unknown", r[3] or "")):
+        talks[conv].append((role or "unknown", text or ""))
+    want = {(c, s, p): render(t[p * per_part : (p + 1) * per_part], s) for c, t in talks.items() for s in {r for r, _ in t} for p in range(-(-len(t) // per_part))}
+    assert {(r["conv_id"], r["speaker"], r["part"]): (r["text"], r["mask"]) for r in found} == want
+    for r in found:
+        spans = [tuple(map(int, s.split("-"))) for s in r["mask"].split(",") if s]
+        assert all(r["text"][a:b].endswith("<|end|>\n") for a, b in spans) and r["n_masked"] == sum(b - a for a, b in spans)
+    assert chat_format.rotate_perspectives(spark.createDataFrame([], "conv_id bigint, turn int, role string, text string")).count() == 0
+
+
+def test_licences(spark):
+    files = [
+        ("a/LICENSE", "Permission is hereby granted under the MIT License, free of charge, to any person obtaining a copy of this software."),
+        ("a/x.txt", "code"), ("a/b/y.txt", None), ("a/b/c/z.txt", "All rights reserved.\nbody"), ("a/b/c/w.txt", "plain"),
+        ("d/q.txt", "long prose. Licensed under the Apache License, Version 2.0. more prose"), ("d/r.txt", ""), ("top.txt", "words " * 50_000), ("a/x.txt", "code"),
+        ("e/f.txt", "the warranty of this car is void when you drive it"),
+    ]
+    df = spark.createDataFrame(files, "path string, text string").selectExpr("*", "0 AS score")
+    got = {r["path"]: (r["license"], r["origin"], r["from_path"]) for r in license_scan.scan_licenses(df).collect()}
+    assert got == {
+        "a/LICENSE": ("MIT", "own", "a/LICENSE"), "a/x.txt": ("MIT", "inherited", "a/LICENSE"), "a/b/y.txt": ("MIT", "inherited", "a/LICENSE"),
+        "a/b/c/z.txt": ("Proprietary", "own", "a/b/c/z.txt"), "a/b/c/w.txt": ("Proprietary", "inherited", "a/b/c/z.txt"),
+        "d/q.txt": ("Apache-2.0", "own", "d/q.txt"), "d/r.txt": (None, None, None), "top.txt": (None, None, None), "e/f.txt": (None, None, None),
+    }
+    assert license_scan.scan_licenses(df.limit(0)).count() == 0
+
+
+URLS = {
+    "https://X.com/": ("x.com", "/", "com/", "allow"), "http://x.com": ("x.com", "", None, None), "//x.com/a": ("", "", None, None), None: ("", "", None, None),
+    "http://www.example.com/en/1?x=/de/": ("www.example.com", "/en/1", "www.example.com/en/", "allow"), "http://m.example.com/en/#a": ("m.example.com", "/en/", "example.com/en/", "block"),
+    "http://a.net/es/1": ("a.net", "/es/1", "net/es/", "block"), "http://anet/es/1": ("anet", "/es/1", None, None), "http://notexample.com/en/": ("notexample.com", "/en/", "com/", "allow"),
+    "http://a.net#x/es/": ("a.net", "", None, None), "x://y://z/fr/": ("y:", "//z/fr/", None, None), "http://a.net/FR/": ("a.net", "/FR/", None, None),
+}
+
+
+def test_urls(spark):
+    df = spark.createDataFrame([(i, u, "mine") for i, u in enumerate(URLS)] + [(99, "http://q.org/" + "a" * 100_000, "mine")], "page_id bigint, url string, host string")
+    rows = url_filter.judge_urls(df, URL_RULES).collect()
+    assert len(rows) == len(URLS) + 1
+    for r in rows:
+        assert r["verdict"] in ("allow", "block")
+        if r["page_id"] != 99:
+            host, path, rule, verdict = URLS[r["url"]]
+            assert (r["host"], r["path"], r["rule"]) == (host, path, rule) and verdict in (None, r["verdict"])
+    assert url_filter.judge_urls(df.limit(0), URL_RULES).count() == 0
+    assert {r["verdict"] for r in url_filter.judge_urls(df.filter("page_id = 2"), URL_RULES).collect()} == {"allow"}
+
+
+def test_url_model_learns_the_rules(spark):
+    """Held-out accuracy: trained on hosts a*, judged on hosts b* that no rule fits."""
+    rows = [(i, f"http://a{i % 30}.{'net' if i % 2 else 'com'}/{('es', 'fr')[i % 4 // 2] if i % 2 else 'it'}/{i}") for i in range(400)] + [(1000 + i, f"http://b{i}.org/{('es', 'it')[i % 2]}/{i}") for i in range(100)]
+    found = url_filter.judge_urls(spark.createDataFrame(rows, "page_id bigint, url string"), URL_RULES).filter("page_id >= 1000").collect()
+    right = sum((r["verdict"] == "block") == ("/es/" in r["url"]) for r in found)
+    assert right >= 95
