@@ -248,12 +248,12 @@ def without_partner(large: DataFrame, threshold: float) -> DataFrame:
 
 def near_links(docs: DataFrame, nodes: DataFrame, comps: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
     """Links (u, v) between digests whose similarity reaches the threshold, enough to join every class."""
-    sizes = comps.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
-    members = comps.join(sizes, "label").join(nodes, "node").select("node", F.col("label").alias("comp"), "size", "digest", "rep")
+    sizes = materialise(comps.groupBy("label").agg(F.count(F.lit(1)).alias("size")), "component-sizes")
+    members = attach(comps, sizes, "label", "size").join(nodes, "node").select("node", F.col("label").alias("comp"), "size", "digest", "rep")
     members = materialise(members, "members")
     texts = docs.select(F.col(id_col).cast("bigint").alias("_id"), normalised(text_col).alias("text"))
     texts = texts.select("_id", "text", F.xxhash64("text").alias("_node"))
-    found = members.join(texts, (F.col("node") == F.col("_node")) & F.col("rep").eqNullSafe(F.col("_id"))).filter(F.unhex(F.md5("text")) == F.col("digest"))
+    found = members.hint("shuffle_hash").join(texts, (F.col("node") == F.col("_node")) & F.col("rep").eqNullSafe(F.col("_id"))).filter(F.unhex(F.md5("text")) == F.col("digest"))
     found = materialise(found.select("comp", "size", "digest", "text").dropDuplicates(["digest"]), "candidates")
     small, large = found.filter(F.col("size") <= BLOCK), found.filter(F.col("size") > BLOCK)
     rows = small.count()
@@ -307,5 +307,5 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """``docs`` with one document of each class; of rows repeated with one id and text one stays. Texts meet in one join."""
     kept = near_duplicates(docs, id_col, text_col, threshold).filter("kept").select(F.col("id").alias("__near_id"), F.col("digest").alias("__near_digest"))
     keyed = docs.withColumn("__near_text", F.unhex(F.md5(normalised(text_col))))
-    found = keyed.join(materialise(kept, "kept"), F.col(id_col).cast("bigint").eqNullSafe(F.col("__near_id")) & (F.col("__near_text") == F.col("__near_digest")))
+    found = keyed.join(materialise(kept, "kept").hint("shuffle_hash"), F.col(id_col).cast("bigint").eqNullSafe(F.col("__near_id")) & (F.col("__near_text") == F.col("__near_digest")))
     return found.dropDuplicates(["__near_id", "__near_digest"]).select(*docs.columns)

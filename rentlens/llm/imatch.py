@@ -84,10 +84,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     before = ids.select(F.col("at").alias("_at"), F.col("_id").alias("to_id"), F.col("_h").alias("to_h"), F.floor(F.col("n_chars") / 4).cast("int").alias("need"))
     wanted = ids.join(before, F.when(F.col("at") == 1, F.lit(total)).otherwise(F.col("at") - 1) == F.col("_at")).select(*KEY, "to_id", "to_h", "need")
     wanted = materialise(wanted, "wanted-heads")
-    heads = texts.join(wanted, KEY).select(F.col("to_id").alias("_id"), F.col("to_h").alias("_h"), F.substring("text", F.lit(1), F.col("need")).alias("head"), "need")
+    heads = texts.join(wanted.hint("shuffle_hash"), KEY).select(F.col("to_id").alias("_id"), F.col("to_h").alias("_h"), F.substring("text", F.lit(1), F.col("need")).alias("head"), "need")
     # the text before the last quarter, then as much of the next one's head as there is
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - F.col("need")), F.col("head"))
-    both = texts.join(heads, KEY).select(*KEY, "text", edited.alias("edited"))
+    both = texts.join(heads.hint("shuffle_hash"), KEY).select(*KEY, "text", edited.alias("edited"))
     words = lexicon(own.select("text"), band)
     sides = both.select(*KEY, F.posexplode(F.array(terms(F.col("text")), terms(F.col("edited")))).alias("side", "terms"))
     inside = sides.select(*KEY, "side", F.explode("terms").alias("term")).join(F.broadcast(words), "term")

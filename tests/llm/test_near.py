@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from rentlens.llm import bagminhash as B
+from rentlens.llm import graph
 from rentlens.llm.graph import components
 from rentlens.llm.stages import near_dedup_stage
 
@@ -114,7 +115,9 @@ def test_stage_keeps_one_row_of_each_class(docs):
     assert ids == sorted({c for c, _ in want.values()}) and out.filter("doc_id IS NULL").count() == 1
 
 
-def test_components(spark):
+@pytest.mark.parametrize("per_task", [500_000, 10])
+def test_components(spark, monkeypatch, per_task):
+    monkeypatch.setattr(graph, "EDGES_PER_TASK", per_task)
     r = random.Random(1)
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + r.randrange(50)) for _ in range(60)] + [(7, 7), (None, 3)]
     rows = components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()
