@@ -72,7 +72,7 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    done = bpe.decode(bpe.encode(docs, path).drop("text"), path)
+    done = bpe.round_trip(docs, path)
     return done.select("doc_id", bpe.token_count().alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 

@@ -44,5 +44,6 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids`` (little-endian unsigned 32-bit), ``ids_sha256`` and whether decoding gives the text back."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    done = bpe.decode(bpe.encode(docs, path), path)
-    return done.select("doc_id", bpe.token_count().alias("n_tokens"), "ids", F.sha2("ids", 256).alias("ids_sha256"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+    done = bpe.round_trip(docs, path, ids_col="__bpe_ids", decoded_col="__bpe_text").withColumn("ids", F.col("__bpe_ids"))
+    same = F.col("__bpe_text") == F.coalesce("text", F.lit(""))
+    return done.select("doc_id", bpe.token_count().alias("n_tokens"), "ids", F.sha2("ids", 256).alias("ids_sha256"), same.alias("round_trip"))

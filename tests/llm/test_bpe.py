@@ -53,6 +53,8 @@ def test_word_table_is_bounded(monkeypatch):
 def test_frames(docs, library):
     df = docs([(i, t) for i, t in enumerate(TEXTS)] + [(99, None), (None, "no id"), (3, TEXTS[3])])
     rows = bpe.decode(bpe.encode(df, PATH), PATH).withColumn("n", bpe.token_count()).collect()
+    key = lambda r: (r["doc_id"] is None, r["doc_id"], r["ids"], r["decoded"])
+    assert sorted(map(key, rows), key=str) == sorted(map(key, bpe.round_trip(df, PATH).collect()), key=str)
     assert len(rows) == len(TEXTS) + 3
     for r in rows:
         want = library.encode(r["text"] or "", add_special_tokens=False).ids
