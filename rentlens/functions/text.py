@@ -16,6 +16,8 @@ DAYS_THIS_WEEK = 3
 INCLUDED_BELOW = 1000
 AMOUNT_CEILING = 500_000
 
+MOST_DAYS_BACK = 2000 * 365
+
 
 def capture(text: Column | str, pattern: str, group: int = 1) -> Column:
     """First capture of ``pattern``, null (not '') when there is none."""
@@ -23,12 +25,14 @@ def capture(text: Column | str, pattern: str, group: int = 1) -> Column:
 
 
 def to_number(c: Column | str) -> Column:
-    return F.trim(as_col(c).cast("string")).try_cast("double")
+    """Number of a text; null when it is none, or not finite."""
+    value = F.trim(as_col(c).cast("string")).try_cast("double")
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def to_integer(c: Column | str) -> Column:
-    """Integer part of a number text; null when it is not a number."""
-    return to_number(c).cast("int")
+    """Integer part of a number text; null when it is not a number or no 32-bit integer."""
+    return to_number(c).try_cast("int")
 
 
 def decimal_comma(c: Column | str) -> Column:
@@ -58,15 +62,15 @@ def distance_metres(c: Column | str) -> Column:
 
 
 def relative_date(c: Column | str, as_of: Column | str) -> Column:
-    """Date meant by 'hoy', 'esta semana' or 'N día/semana/mes/año', counted back from ``as_of``."""
+    """Date meant by 'hoy', 'esta semana' or 'N día/semana/mes/año', counted back from ``as_of``; null beyond two thousand years."""
     text = F.lower(F.trim(as_col(c)))
     as_of = F.lit(as_of).cast("date") if isinstance(as_of, str) else as_of
     pattern = r"(\d+)\s*(día|dias|semana|mes|año)"
     n = capture(text, pattern, 1).try_cast("int")
     unit = capture(text, pattern, 2)
     days = F.when(unit.isin("día", "dias"), 1).when(unit == "semana", 7).when(unit == "mes", 30).when(unit == "año", 365)
-    back = F.when(text == "hoy", 0).when(text == "esta semana", DAYS_THIS_WEEK).otherwise(n * days)
-    return F.date_sub(as_of, back)
+    back = F.when(text == "hoy", 0).when(text == "esta semana", DAYS_THIS_WEEK).otherwise(F.try_multiply(n, days))
+    return F.when(back <= MOST_DAYS_BACK, F.date_sub(as_of, back))
 
 
 def date_precision(c: Column | str) -> Column:

@@ -52,7 +52,7 @@ POI_KEYS = {
     "farmacias": "farmacias", "centros comerciales": "centros_comerciales", "hospitales": "hospitales", "clinicas": "clinicas",
 }
 # fixed values: result-card markup and attributes
-CARD_MARKER = r"<li class=\"ui-search-layout__item\""
+CARD_CONTAINERS = [("div", "ui-search-result__wrapper"), ("div", "andes-card"), ("li", "ui-search-layout__item")]
 CARD_ROOMS = r"(?i)(\d+)\s*dormitorios?"
 CARD_BATHS = r"(?iu)(\d+)\s*ba[ñn]os?"
 CARD_AREA = r"(?i)([\d.,]+)\s*m[²2](?![a-zA-Z0-9_])"
@@ -113,15 +113,25 @@ def current_price_pair(card: Column | str) -> Column:
     )
 
 
-def split_cards(df: DataFrame, html: str, marker: str = CARD_MARKER, out: str = "card") -> DataFrame:
-    """One row per result card of a page, with its position; pages without a card give none."""
-    pieces = F.slice(F.split(F.col(html), marker), F.lit(2), F.greatest(F.size(F.split(F.col(html), marker)) - 1, F.lit(0)))
+def opening_tag(tag: str, css_class: str) -> str:
+    """Pattern of an opening tag that has the class among its classes, wherever the attribute stands."""
+    return rf"""(?i)<{tag}\b[^>]*?\bclass\s*=\s*["'](?:[^"']*\s)?{css_class}(?:\s[^"']*)?["'][^>]*>"""
+
+
+def split_cards(df: DataFrame, html: str, markers: Sequence[str] | None = None, out: str = "card") -> DataFrame:
+    """One row per result card of a page, with its position; pages without a card give none.
+
+    Of the markers, each page is split at the first that it holds.
+    """
+    parts = [F.split(F.col(html), m) for m in markers or [opening_tag(*c) for c in CARD_CONTAINERS]]
+    split = F.coalesce(*[F.when(F.size(p) > 1, F.slice(p, F.lit(2), F.size(p))) for p in parts])
+    pieces = F.coalesce(split, F.array().cast("array<string>"))
     return df.select(*[c for c in df.columns if c != html], F.posexplode(pieces).alias("pos", out))
 
 
-def extract_cards(df: DataFrame, html: str, marker: str = CARD_MARKER) -> DataFrame:
+def extract_cards(df: DataFrame, html: str, markers: Sequence[str] | None = None) -> DataFrame:
     """One listing per card: title, price and currency, place, url, id and attributes."""
-    cards = split_cards(df, html, marker)
+    cards = split_cards(df, html, markers)
     text = visible_text("card", " ")
     link = F.coalesce(
         capture("card", r'(?s)class="[^"]*(?:ui-search-link|poly-component__title)[^"]*"[^>]*?href="([^"]+)"'),
@@ -163,11 +173,16 @@ CATEGORY_SCHEMA = (
 def find_categories(df: DataFrame, json: str, id_col: str) -> DataFrame:
     """id, categoria, distancia_m for each item of each known subcategory (distance null for an empty one).
 
-    The list is found by its shape, wherever it lies: the first ``categories`` array whose objects have
-    ``subcategories``.
+    Every text after a ``"categories":`` is parsed as JSON; the first array with an object that has
+    ``subcategories`` counts, whatever its other fields hold.
     """
-    tail = capture(json, r'(?s)"categories"\s*:\s*(\[\s*\{[^{}\[\]]*"subcategories".*)$')
-    cats = df.select(id_col, F.explode(F.from_json(tail, CATEGORY_SCHEMA)).alias("c"))
+    marker = r'"categories"\s*:\s*(?=\[)'
+    pieces = F.split(F.col(json), marker)
+    tails = F.transform(F.sequence(F.lit(2), F.size(pieces)), lambda i: F.array_join(F.slice(pieces, i, F.size(pieces)), '"categories":'))
+    lists = F.transform(tails, lambda tail: F.from_json(tail, CATEGORY_SCHEMA))
+    wanted = F.filter(lists, lambda one: F.exists(one, lambda c: c["subcategories"].isNotNull()))
+    found = df.filter(F.size(F.split(F.col(json), marker)) > 1).select(id_col, F.get(wanted, F.lit(0)).alias("_list"))
+    cats = found.select(id_col, F.explode("_list").alias("c"))
     subs = cats.select(id_col, F.explode("c.subcategories").alias("s"))
     keys = F.create_map(*[F.lit(x) for kv in POI_KEYS.items() for x in kv])
     named = subs.withColumn("categoria", F.try_element_at(keys, strip_accents_lower("s.title.text"))).filter("categoria IS NOT NULL")

@@ -72,14 +72,15 @@ def fx_convert(
 ) -> DataFrame:
     """Price in base currency: indexed amounts by the rate of their date, dollars at a fixed rate, others as they are.
 
-    A row without a date, or whose date has no rate, takes the rate of the mean date of the data set.
+    A row without a date, or whose date has no rate, takes the rate of the mean date of the data set. Of several rates for one
+    date the highest counts, so no row is doubled.
     """
     mean_date = df.agg(
         F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.avg(F.unix_date(date))).cast("int")).alias("d")
     )
     # at most one rate per date
     fallback = rates.groupBy("fecha").agg(F.max(rate).alias("_r")).join(F.broadcast(mean_date), F.col("fecha") == F.col("d")).agg(F.max("_r"))
-    own = rates.select(F.col("fecha").alias(date), F.col(rate).alias("_rate"))
+    own = rates.filter("fecha IS NOT NULL").groupBy(F.col("fecha").alias(date)).agg(F.max(rate).alias("_rate"))
     joined = df.join(own, date, "left")
     value = (
         F.when(F.col(currency) == indexed, F.col(price) * F.coalesce(F.col("_rate"), fallback.scalar()))

@@ -185,6 +185,13 @@ def _(t):
     return rounded(selection.correlation_pairs(t.scored, ["l_quantity", "l_discount", "y", "p1"]), "r")
 
 
+@query("correlation_prune_kept", "SELECT feature, kept FROM (VALUES ('y', true), ('l_quantity', true), ('l_discount', true)) v(feature, kept) UNION ALL SELECT 'doble', abs((SELECT corr(2*l_extendedprice+1, l_extendedprice) FROM lineitem)) <= 0.95 UNION ALL SELECT 'p1', abs((SELECT corr(y, p1) FROM scored)) <= 0.95", S)
+def _(t):
+    """Which features stay: one is twice another."""
+    kept, removed = selection.correlation_prune(t.scored.withColumn("doble", F.col("y") * 2 + 1), {"y": 5.0, "p1": 4.0, "doble": 3.0, "l_quantity": 2.0, "l_discount": 1.0})
+    return t.spark.createDataFrame([(f, True) for f in kept] + [(f, False) for f in removed], "feature string, kept boolean")
+
+
 @query("stability_score", """, b AS (SELECT feature, avg(importance) AS m, stddev_pop(importance) AS s, median(importance) AS md, avg((importance>5)::INT) AS pr FROM (SELECT feature, importance, importance FROM importances) GROUP BY 1)
  SELECT feature, round(m,6) AS mean_imp, round(s,6) AS std_imp, round(md,6) AS median_imp, round(s/m,6) AS cv, round(1.0::DOUBLE/(1+s/m),6) AS score, true AS passes FROM b""", ["importances"])
 def _(t):
@@ -323,9 +330,9 @@ def _(t):
 
 
 # ---- counts, facets, order ---------------------------------------------------------------------
-@query("crosstab", "SELECT comuna, count(*) FILTER (WHERE estado='activo') AS activo, count(*) FILTER (WHERE estado='pausado') AS pausado, count(*) FILTER (WHERE estado='finalizado') AS finalizado FROM listings GROUP BY 1", L)
+@query("crosstab", "SELECT comuna, count(*) FILTER (WHERE estado='activo') AS activo, count(*) FILTER (WHERE estado='pausado') AS pausado, count(*) FILTER (WHERE estado='finalizado') AS finalizado, count(*) FILTER (WHERE estado='no_disponible') AS no_disponible FROM listings GROUP BY 1", L)
 def _(t):
-    return quality.crosstab(t.listings, "comuna", "estado", ["activo", "pausado", "finalizado"])
+    return quality.crosstab(t.listings, "comuna", "estado", ["activo", "pausado", "finalizado", "no_disponible"])
 
 
 @query("value_counts", "SELECT event_type, count(*) AS n, round_even(count(*)*100.0::DOUBLE/(SELECT count(*) FROM events),1) AS pct FROM events GROUP BY 1")

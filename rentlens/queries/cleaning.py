@@ -9,6 +9,8 @@ from rentlens.functions import text as T
 from rentlens.operators import filters, impute, joins, levels, quality
 from rentlens.operators.quantiles import iqr_bounds
 from rentlens.queries.registry import AS_OF, query, rounded
+from rentlens.session import scratch_path
+from rentlens.sources import tables
 
 L = ["listings"]
 FX = "CASE WHEN moneda='UF' THEN precio*coalesce(r.valor,(SELECT valor FROM rates WHERE fecha=(SELECT DATE '1970-01-01' + CAST(floor(avg(datediff('day', DATE '1970-01-01', fecha))) AS INT) FROM listings))) WHEN moneda='US$' THEN precio*930.0::DOUBLE ELSE precio END"
@@ -338,9 +340,11 @@ def price_level(t):
 @query("read_level_map", level_sql("SELECT barrio AS clave, nivel AS valor FROM lv"), L)
 def _(t):
     x = t.listings.withColumn("v", N.safe_ratio("precio", "superficie_util"))
-    table, _ = levels.weighted_quantile_levels(x, "v", "barrio")
-    packed = table.agg(F.map_from_entries(F.collect_list(F.struct("barrio", "nivel"))).alias("mapa"))
-    return packed.select(F.explode("mapa").alias("clave", "valor"))
+    table, extras = levels.weighted_quantile_levels(x, "v", "barrio")
+    path = scratch_path(t.spark, "level-map")
+    tables.write_level_map(table, extras, "barrio", path)
+    stored, _ = tables.read_level_map(t.spark, path, "clave")
+    return stored.select("clave", F.col("nivel").alias("valor"))
 
 
 @query("iqr_bounds", """, q AS (SELECT tipo, quantile_cont(precio/nullif(superficie_util,0),0.25) AS a, quantile_cont(precio/nullif(superficie_util,0),0.75) AS b FROM listings GROUP BY 1)

@@ -24,9 +24,29 @@ def _(t):
     return out.select("page_id", *PAGE_PATTERNS)
 
 
-@query("extract_cards", """, c AS (SELECT page_id, unnest(string_split(html,'<li>')[2:]) AS card FROM pages) SELECT page_id, nullif(regexp_extract(card,'href="/([^"]*)"',1),'') AS url, count(*) AS n FROM c GROUP BY 1,2""".lstrip(", ").replace("c AS", "WITH c AS", 1))
+@query("extract_cards", """SELECT p_partkey AS id, p::BIGINT AS pos, p_name||' '||p AS titulo, CASE WHEN p=1 THEN p_size||'.000' ELSE p_size||'' END AS precio, CASE WHEN p=1 THEN '$' ELSE 'UF' END AS moneda, p_type AS ubicacion,
+ 'https://example.org/MLC-'||(p_partkey*10+p)||'-x' AS url, 'MLC-'||(p_partkey*10+p) AS id_aviso, (p_size%5)||'' AS dormitorios, (p_size%3)||'' AS banos, p_size||'' AS superficie_m2 FROM part, (VALUES (0),(1)) v(p) WHERE p_partkey % 4 < 3""")
 def _(t):
-    cards = X.split_cards(t.pages.select("page_id", "html"), "html", "<li>")
+    """Result pages built from the parts table: two cards a page, in one of the three containers, with several classes and attributes."""
+    opening = F.expr("""CASE p_partkey % 4 WHEN 0 THEN '<div id="c" class="x ui-search-result__wrapper y">' WHEN 1 THEN '<div class="andes-card andes-card--flat">'
+        WHEN 2 THEN '<li data-n="1" class="ui-search-layout__item shops">' ELSE '<p class="andes-card__header">' END""")
+
+    def card(p: int):
+        key = (F.col("p_partkey") * 10 + p).cast("string")
+        return F.concat(
+            opening, F.lit('<a class="poly-component__title" href="https://example.org/MLC-'), key, F.lit('-x">'), F.col("p_name"), F.lit(f" {p}</a>"),
+            F.lit('<span class="andes-money-amount"><span class="andes-money-amount__currency-symbol">' + ("UF", "$")[p] + '</span><span class="andes-money-amount__fraction">'),
+            F.col("p_size").cast("string"), F.lit(("", ".000")[p] + '</span></span><span class="poly-component__location">'), F.col("p_type"), F.lit("</span><i>"),
+            (F.col("p_size") % 5).cast("string"), F.lit(" dormitorios</i><i>"), (F.col("p_size") % 3).cast("string"), F.lit(" baños</i><i>"), F.col("p_size").cast("string"), F.lit(" m² totales</i>"),
+        )
+
+    pages = t.part.select(F.col("p_partkey").alias("id"), F.concat(F.lit("<html>"), card(0), card(1)).alias("html"))
+    return X.extract_cards(pages, "html").withColumn("pos", F.col("pos").cast("long"))
+
+
+@query("split_cards", """WITH c AS (SELECT page_id, unnest(string_split(html,'<li>')[2:]) AS card FROM pages) SELECT page_id, nullif(regexp_extract(card,'href="/([^"]*)"',1),'') AS url, count(*) AS n FROM c GROUP BY 1,2""")
+def _(t):
+    cards = X.split_cards(t.pages.select("page_id", "html"), "html", ["<li>"])
     return cards.groupBy("page_id", T.capture("card", r'href="/([^"]*)"').alias("url")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -63,7 +83,7 @@ def _(t):
     """Page state built from events: one known subcategory with one item, next to an unknown one."""
     title = F.expr("CASE event_type WHEN 'click' THEN 'Clínicas' WHEN 'view' THEN 'Jardines Infantiles' WHEN 'purchase' THEN 'Plazas' ELSE 'Otros' END")
     state = F.concat(
-        F.lit('{"x":{"categories":[1]},"y":[{"categories":[{"id":"t","subcategories":[{"title":{"text":"Nada"},"items":[]},{"title":{"text":"'), title,
+        F.lit('{"x":{"categories":[1]},"y":[{"categories":[{"icon":{"name":"[1]","sizes":[1,2]},"title":"a [b] {c}","subcategories":[{"title":{"text":"Nada"},"items":[]},{"title":{"text":"'), title,
         F.lit('"},"items":[{"subtitle":{"label":{"text":"1 mins - '), F.replace(F.col("value").cast("string"), F.lit("."), F.lit(",")),
         F.lit(' metros"}}}]}]}],"z":1}]}'),
     )

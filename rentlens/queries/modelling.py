@@ -133,10 +133,12 @@ def _(t):
 
 @query("stream_new_listings", "SELECT user_id AS id, min(event_id) AS event_id FROM events GROUP BY 1")
 def _(t):
-    """First event of each user, appended by a stream over the events file."""
-    source = jobs.file_stream(t.spark, t.sf_dir, t.events.schema, "events.parquet").selectExpr("user_id AS id", "event_id", "cast(ts AS timestamp) AS ts")
+    """First event of each user, appended by a stream over files that hold the events out of order."""
+    folder = scratch_path(t.spark, "event-files")
+    t.events.select("user_id", "event_id", "ts").repartition(5, "event_id").write.parquet(folder)
+    source = jobs.file_stream(t.spark, folder, t.events.select("user_id", "event_id", "ts").schema).selectExpr("user_id AS id", "event_id")
     table = scratch_path(t.spark, "new-listings")
-    jobs.run_to_end(jobs.stream_new_listings(source, "id", "event_id", "ts", table, scratch_path(t.spark, "ck"), "3650 days"))
+    jobs.run_to_end(jobs.stream_new_listings(source, "id", "event_id", table, scratch_path(t.spark, "ck")))
     return t.spark.read.parquet(table).select("id", "event_id")
 
 

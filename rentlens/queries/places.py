@@ -105,8 +105,9 @@ def _(t):
 
 
 @query("poi_counts", """SELECT o_custkey AS id, count(*) FILTER (WHERE o_orderstatus='O' AND o_totalprice<=200000) + CASE WHEN count(*) FILTER (WHERE o_orderstatus='O')=0 THEN NULL ELSE 0 END AS cantidad_O, min(o_totalprice) FILTER (WHERE o_orderstatus='O' AND o_totalprice<=200000) AS distancia_min_m_O,
- CASE WHEN count(*) FILTER (WHERE o_orderstatus='F')>0 THEN count(*) FILTER (WHERE o_orderstatus='F' AND o_totalprice<=200000) END AS cantidad_F, min(o_totalprice) FILTER (WHERE o_orderstatus='F' AND o_totalprice<=200000) AS distancia_min_m_F FROM orders GROUP BY 1""")
+ CASE WHEN count(*) FILTER (WHERE o_orderstatus='F')>0 THEN count(*) FILTER (WHERE o_orderstatus='F' AND o_totalprice<=200000) END AS cantidad_F, min(o_totalprice) FILTER (WHERE o_orderstatus='F' AND o_totalprice<=200000) AS distancia_min_m_F,
+ CASE WHEN count(*) FILTER (WHERE o_orderstatus='P')>0 THEN count(*) FILTER (WHERE o_orderstatus='P' AND o_totalprice<=200000) END AS cantidad_P, min(o_totalprice) FILTER (WHERE o_orderstatus='P' AND o_totalprice<=200000) AS distancia_min_m_P FROM orders GROUP BY 1""")
 def _(t):
     """Orders stand for items around a customer: status is the category, total price the distance."""
     items = t.orders.select(F.col("o_custkey").alias("id"), F.col("o_orderstatus").alias("categoria"), F.col("o_totalprice").alias("d"))
-    return quality.poi_counts(items, "id", "categoria", "d", ["O", "F"], 200000.0)
+    return quality.poi_counts(items, "id", "categoria", "d", ["O", "F", "P"], 200000.0)

@@ -149,15 +149,19 @@ def _(t):
 @query("feature_list", "SELECT comuna AS feature, row_number() OVER (ORDER BY avg(precio) DESC, comuna) AS orden FROM listings GROUP BY 1", L)
 def _(t):
     """Names ordered by score, numbered as the feature list file keeps them."""
-    g = t.listings.groupBy(F.col("comuna").alias("feature")).agg(F.avg("precio").alias("s"))
-    packed = g.agg(F.sort_array(F.collect_list(F.struct((-F.col("s")).alias("s"), "feature"))).alias("a"))
-    return packed.select(F.posexplode("a").alias("i", "r")).select("r.feature", (F.col("i") + 1).cast("long").alias("orden"))
+    g = t.listings.groupBy(F.col("comuna").alias("feature")).agg(F.avg("precio").alias("s")).orderBy(F.desc("s"), "feature")
+    path = scratch_path(t.spark, "features")
+    store.write_feature_list(t.spark, [r["feature"] for r in g.collect()], path)  # one name per feature
+    rows = [(f, i + 1) for i, f in enumerate(store.read_feature_list(t.spark, path))]
+    return t.spark.createDataFrame(rows, "feature string, orden bigint")
 
 
 @query("nested_report", "SELECT comuna, '{\"n\":'||count(*)||',\"activos\":'||count(*) FILTER (WHERE estado='activo')||'}' AS informe FROM listings GROUP BY 1", L)
 def _(t):
     g = t.listings.groupBy("comuna").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("estado") == "activo").alias("activos"))
-    return g.select("comuna", F.to_json(F.struct("n", "activos")).alias("informe"))
+    path = scratch_path(t.spark, "report")
+    store.write_report(g.select("comuna", F.struct("n", "activos").alias("informe")), path)
+    return t.spark.read.schema("comuna string, informe struct<n: bigint, activos: bigint>").json(path).select("comuna", F.to_json("informe").alias("informe"))
 
 
 # ---- sources and sinks: written to the shared folder and read back ------------------------------

@@ -26,11 +26,13 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a local one only where that is unset."""
+    """The folder named in ``spark.checkpoint.dir``; where that is unset, a temporary one if the master is local, else an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder

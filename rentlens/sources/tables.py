@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,17 +79,30 @@ def read_feature_list(spark: SparkSession, path: str) -> list[str]:
     return [r["feature"] for r in df.orderBy("orden").collect()]
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.schema("_ int").parquet(path)  # looks at the path only
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
 def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
 def insert_new_only(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> int:
-    """Append the batch's unseen keys to a Parquet table; returns how many rows were added."""
+    """Append the batch's unseen keys to a Parquet table; returns how many rows were added, counted as they are written.
+
+    One writer at a time: two at once may both add a key.
+    """
     existing = spark.read.schema(batch.schema).parquet(path)
     unseen = writes.unseen_rows(existing, batch, keys, order)
-    before = existing.count()
-    append_rows(unseen, path)
-    return spark.read.schema(batch.schema).parquet(path).count() - before
+    added = Observation()
+    append_rows(unseen.observe(added, F.count(F.lit(1)).alias("n")), path)
+    return added.get["n"]
 
 
 def replace_table(df: DataFrame, path: str, key: Sequence[str]) -> None:
@@ -130,11 +144,10 @@ def register_version(spark: SparkSession, root: str, version: str, algorithm: st
 
 
 def next_counter(spark: SparkSession, root: str) -> int:
-    try:
-        top = spark.read.parquet(f"{root}/registry").agg(F.max("contador")).first()[0]
-    except Exception:  # no registry yet
-        top = None
-    return (top or 0) + 1
+    """One more than the registry's highest number. Only a registry that is not there counts as empty; other errors come out."""
+    if not table_exists(spark, f"{root}/registry"):
+        return 1
+    return (spark.read.parquet(f"{root}/registry").agg(F.max("contador")).first()[0] or 0) + 1
 
 
 def read_current_model(spark: SparkSession, root: str) -> dict:

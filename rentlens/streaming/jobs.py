@@ -12,6 +12,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from rentlens.operators.writes import last_per_key, unseen_rows
 from rentlens.session import scratch_path
+from rentlens.sources.tables import table_exists
 
 
 def file_stream(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet", max_files: int | None = None) -> DataFrame:
@@ -21,29 +22,22 @@ def file_stream(spark: SparkSession, folder: str, schema, pattern: str = "*.parq
     return reader.parquet(folder)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
-def stream_new_listings(source: DataFrame, key: str, order: str, event_time: str, table: str, checkpoint: str, delay: str = "7 days") -> StreamingQuery:
+def stream_new_listings(source: DataFrame, key: str, order: str, table: str, checkpoint: str) -> StreamingQuery:
     """Append only the first sight of each id to a Parquet table.
 
-    Duplicates within ``delay`` are dropped by bounded streaming state; ids already stored are dropped
-    per batch by an anti-join. A replayed batch finds its own rows stored and adds nothing.
+    Of a batch's rows of one id the first by ``order`` counts; ids already stored are dropped by an anti-join,
+    however late or out of order a row comes. A replayed batch finds its own rows stored and adds nothing.
     """
 
     def add(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        if _exists(spark, table):
+        if table_exists(spark, table):
             batch = unseen_rows(spark.read.schema(batch.schema).parquet(table), batch, [key], [order])
         else:
             batch = unseen_rows(batch.limit(0), batch, [key], [order])
         batch.write.mode("append").parquet(table)
 
-    fresh = source.dropna(subset=[key]).withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
-    return fresh.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return source.dropna(subset=[key]).writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 CHANGE_SCHEMA = "id bigint, seq bigint, estado string, intentos_fallidos bigint, terminal boolean"
@@ -89,7 +83,7 @@ def stream_daily_snapshot(visits: DataFrame, table: str, checkpoint: str, event_
     def merge(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         new = last_per_key(batch.select(F.to_date(event_time).alias("fecha"), "id", "seq", "estado"), ["fecha", "id"], ["seq"])
-        if _exists(spark, table):
+        if table_exists(spark, table):
             days = new.select("fecha").distinct()
             old = spark.read.schema("id bigint, seq bigint, estado string, fecha date").parquet(table).join(days, "fecha", "left_semi")
             new = last_per_key(old.select(*new.columns).unionByName(new), ["fecha", "id"], ["seq"])
