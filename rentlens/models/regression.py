@@ -143,13 +143,15 @@ def stability_selection(
     df: DataFrame, id_col: str, features: Sequence[str], target: str, n_models: int = 30, folds: int = 5, seed: int = 42, params: dict | None = None
 ) -> DataFrame:
     """model, feature, importance: mean over the folds of each seed's model importances."""
+    matrix = materialise(assemble(df, features).select(F.col(id_col), target, "features"), "matrix")
     rows = []
     for i in range(n_models):
-        folded = materialise(kfold_assign(assemble(df, features), id_col, folds, seed + i).select(target, "features", "fold"), "folds")
+        # the fold comes from a hash of the id, so the matrix is written once for all seeds
+        fold = F.pmod(F.xxhash64(id_col, F.lit(seed + i)), F.lit(folds))
         sums = [0.0] * len(features)
         for k in range(folds):
             gbt = GBTRegressor(labelCol=target, featuresCol="features", seed=seed + i, **{**DEFAULT_PARAMS, **(params or {})})
-            imp = gbt.fit(folded.filter(F.col("fold") != k)).featureImportances.toArray()
+            imp = gbt.fit(matrix.filter(fold != k)).featureImportances.toArray()
             sums = [a + float(b) for a, b in zip(sums, imp)]
         rows += [(i, f, s / folds) for f, s in zip(features, sums)]
     return df.sparkSession.createDataFrame(rows, "model int, feature string, importance double")
@@ -162,9 +164,9 @@ def k_curve(
     """k, mae, std (population, over seeds), rmse, r2 of models using the first k features."""
     rows = []
     for k in range(k_min, (k_max or len(ranked)) + 1):
-        for s in range(n_seeds):
-            models = fit_ensemble(train, ranked[:k], target, 1, seed + s, params)
-            m = regression_metrics(predict_mean(models, val, ranked[:k]), target, "pred").first()
+        # the matrix of these k features is written once for all seeds
+        for s, model in enumerate(fit_ensemble(train, ranked[:k], target, n_seeds, seed, params)):
+            m = regression_metrics(predict_mean([model], val, ranked[:k]), target, "pred").first()
             rows.append((k, s, m["mae"], m["rmse"], m["r2"]))
     long = train.sparkSession.createDataFrame(rows, "k int, seed int, mae double, rmse double, r2 double")
     return long.groupBy("k").agg(F.avg("mae").alias("mae"), F.stddev_pop("mae").alias("std"), F.avg("rmse").alias("rmse"), F.avg("r2").alias("r2"))

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rentlens.operators.keys import lookup
 from rentlens.operators.quantiles import exact_median
 
 
@@ -20,7 +21,7 @@ def group_transform(df: DataFrame, by: Sequence[str], **stats: Column) -> DataFr
     table = df.groupBy(*by).agg(*[c.alias(n) for n, c in stats.items()])
     for k in by:
         table = table.filter(F.col(k).isNotNull())
-    return df.join(table, by, "left")
+    return lookup(df, table, by)
 
 
 def group_mean_impute(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
@@ -63,7 +64,7 @@ def group_mode_impute(df: DataFrame, columns: Sequence[str], keys: Sequence[str]
         missing_key = missing_key | F.col(k).isNull()
     out = df
     for c in columns:
-        out = out.join(group_mode(df, keys, c, f"_mode_{c}"), keys, "left")
+        out = lookup(out, group_mode(df, keys, c, f"_mode_{c}"), keys)
     filled = []
     for c in df.columns:
         if c not in columns:
@@ -89,7 +90,7 @@ def median_cascade(
         chain.append(F.col(nearby).cast("double"))
     joined = df
     for i, g in enumerate(groups):
-        joined = joined.join(exact_median(df, column, [g], f"_g{i}").select(g, f"_g{i}"), g, "left")
+        joined = lookup(joined, exact_median(df, column, [g], f"_g{i}").select(g, f"_g{i}"), [g])
         chain.append(F.col(f"_g{i}"))
     chain.append(exact_median(df, column).select("median").scalar())
     value = F.coalesce(*chain)

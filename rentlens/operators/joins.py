@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rentlens.operators.keys import lookup
 from rentlens.operators.quantiles import exact_median, exact_quantiles, iqr_bounds
 from rentlens.operators.spatial import lookup_median
 
@@ -81,7 +82,7 @@ def fx_convert(
     # at most one rate per date
     fallback = rates.groupBy("fecha").agg(F.max(rate).alias("_r")).join(F.broadcast(mean_date), F.col("fecha") == F.col("d")).agg(F.max("_r"))
     own = rates.filter("fecha IS NOT NULL").groupBy(F.col("fecha").alias(date)).agg(F.max(rate).alias("_rate"))
-    joined = df.join(own, date, "left")
+    joined = lookup(df, own, [date])
     value = (
         F.when(F.col(currency) == indexed, F.col(price) * F.coalesce(F.col("_rate"), fallback.scalar()))
         .when(F.col(currency) == dollar, F.col(price) * usd_rate)
@@ -120,10 +121,10 @@ def reference_lookup(
     fair = reference.withColumn("_f", fence).filter("precio_m2 BETWEEN _f.low AND _f.high").drop("_f")
     out = lookup_median(points, fair, lat, lon, "precio_m2", price_radius, "_sector")
     out = lookup_median(out, reference.filter(F.col(age).isNotNull()), lat, lon, age, age_radius, "_age")
-    out = out.join(exact_median(reference, age, [place], "_place_age").select(place, "_place_age"), place, "left")
+    out = lookup(out, exact_median(reference, age, [place], "_place_age").select(place, "_place_age"), [place])
     if indicators:
         means = reference.groupBy(place).agg(*[F.avg(c).alias(f"_mean_{c}") for c in indicators])
-        out = out.join(means, place, "left")
+        out = lookup(out, means, [place])
     overall = reference.agg(*[F.avg(c).alias(c) for c in indicators], F.avg(floor_).alias(floor_))
     overall = overall.select(F.struct(*overall.columns).alias("s"))
     medians = exact_quantiles(fair, "precio_m2", [0.5]).select(F.col("q")[0]).scalar()

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rentlens.operators.keys import lookup
 from rentlens.operators.quantiles import run, running_total
+from rentlens.session import materialise
 
 
 def smoothed_group_mean(df: DataFrame, value: str, by: str, k: float = 20.0) -> DataFrame:
@@ -47,10 +49,10 @@ def weighted_quantile_levels(df: DataFrame, value: str, by: str, levels: int = 5
     Cuts are the 1/levels … quantiles of the cumulative row count over groups ordered by smoothed
     mean. A group's level is the number of cuts strictly below its smoothed mean.
     """
-    g = smoothed_group_mean(df, value, by, k)
+    g = materialise(smoothed_group_mean(df, value, by, k), "group-means")  # one row per group, read by each step below
     positions = [i / levels for i in range(1, levels)]
     shares = running_total(g.filter(F.col("smoothed").isNotNull()), "smoothed", "n", f"`{by}`")
-    cuts = interpolate_at(shares, "smoothed", "cum_share", positions)
+    cuts = materialise(interpolate_at(shares, "smoothed", "cum_share", positions), "cuts")
     level = "cast(coalesce(size(filter(cuts, c -> c < {v})), 0) AS int)"
     table = g.withColumn("cuts", cuts.scalar()).withColumn("nivel", F.expr(f"CASE WHEN smoothed IS NULL THEN 0 ELSE {level.format(v='smoothed')} END"))
     default = cuts.withColumn("_m", df.agg(F.avg(value)).scalar()).withColumn("nivel_default", F.expr(level.format(v="_m"))).drop("_m")
@@ -60,7 +62,7 @@ def weighted_quantile_levels(df: DataFrame, value: str, by: str, levels: int = 5
 def map_with_default(df: DataFrame, mapping: DataFrame, key: str, value: str, default, out: str) -> DataFrame:
     """Lookup in a two-column mapping table, ``default`` (a column or scalar subquery) for unseen or null keys."""
     m = mapping.select(F.col(key), F.col(value).alias("_v"))
-    return df.join(m, key, "left").withColumn(out, F.coalesce(F.col("_v"), default)).drop("_v")
+    return lookup(df, m, [key]).withColumn(out, F.coalesce(F.col("_v"), default)).drop("_v")
 
 
 def add_price_level(df: DataFrame, value: str, by: str, out: str = "nivel", levels: int = 5, k: float = 20.0) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rentlens.operators.keys import lookup
 from rentlens.operators.quantiles import run
 
 NUMBER = r"-?[0-9.]+(?:[eE][-+]?[0-9]+)?"
@@ -69,9 +70,7 @@ def point_in_polygon(
         p=df,
         c=cells,
     )
-    return run(
-        f"SELECT p.*, f.zone AS `{out}` FROM {{p}} p LEFT JOIN {{f}} f ON p.{lat} = f.lat AND p.{lon} = f.lon", p=df, f=found
-    )
+    return lookup(df, found.selectExpr(f"lat AS `{lat}`", f"lon AS `{lon}`", f"zone AS `{out}`"), [lat, lon])
 
 
 def enrich_from_zones(df: DataFrame, zones: DataFrame, lat: str, lon: str, zone: str, wkt: str, attrs: list[str]) -> DataFrame:
