@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rentlens.functions.numeric import LEVEL_NAMES
 from rentlens.operators.keys import lookup
 from rentlens.operators.quantiles import run, running_total
 from rentlens.session import materialise
@@ -44,7 +45,7 @@ def interpolate_at(groups: DataFrame, value: str, share: str, positions: list[fl
 
 
 def weighted_quantile_levels(df: DataFrame, value: str, by: str, levels: int = 5, k: float = 20.0) -> tuple[DataFrame, DataFrame]:
-    """(group, n, mean, smoothed, nivel; one row of cuts and nivel_default).
+    """(group, n, mean, smoothed, nivel, for five levels nivel_nombre; one row of cuts and nivel_default).
 
     Cuts are the 1/levels … quantiles of the cumulative row count over groups ordered by smoothed
     mean. A group's level is the number of cuts strictly below its smoothed mean.
@@ -56,6 +57,8 @@ def weighted_quantile_levels(df: DataFrame, value: str, by: str, levels: int = 5
     level = "cast(coalesce(size(filter(cuts, c -> c < {v})), 0) AS int)"
     table = g.withColumn("cuts", cuts.scalar()).withColumn("nivel", F.expr(f"CASE WHEN smoothed IS NULL THEN 0 ELSE {level.format(v='smoothed')} END"))
     default = cuts.withColumn("_m", df.agg(F.avg(value)).scalar()).withColumn("nivel_default", F.expr(level.format(v="_m"))).drop("_m")
+    if levels == len(LEVEL_NAMES):
+        table = table.withColumn("nivel_nombre", F.element_at(F.array(*[F.lit(n) for n in LEVEL_NAMES]), F.col("nivel") + 1))
     return table.drop("cuts"), default
 
 

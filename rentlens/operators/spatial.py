@@ -190,7 +190,7 @@ def nearest_fill(df: DataFrame, id_col: str, lat: str, lon: str, attr: str) -> D
 
     First the finest grid level is found at which a donor sits in the cells around the point (only
     occupied cells are joined, not donors). A donor in those cells is less than one cell of the next
-    level away, so one join at the next level contains the nearest donor.
+    level away, so one join at the next level contains the nearest donor. Rows to fill without any donor are an error.
     """
     located = df.filter(f"{lat} IS NOT NULL AND {lon} IS NOT NULL").selectExpr(
         f"`{id_col}` AS id", f"{lat} AS lat", f"{lon} AS lon", f"`{attr}` AS attr"
@@ -205,6 +205,8 @@ def nearest_fill(df: DataFrame, id_col: str, lat: str, lon: str, attr: str) -> D
         d=located,
     )
     probes = located.filter("attr IS NULL").select("lat", "lon").distinct()
+    if donors.isEmpty() and not probes.isEmpty():
+        raise ValueError(f"no row with coordinates has {attr}")
     level = run(
         f"""SELECT lat, lon, least(min(level) + 1, {len(NEAREST_LEVELS) - 1}) AS level FROM
         (SELECT lat, lon, level, c.cy AS cy, c.cx AS cx FROM

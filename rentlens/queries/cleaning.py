@@ -323,11 +323,11 @@ def _(t):
     return rounded(rounded(out, "cut"), "p", digits=1)
 
 
-@query("weighted_quantile_levels", level_sql("SELECT barrio, n, round(a,6) AS smoothed, nivel FROM lv"), L)
+@query("weighted_quantile_levels", level_sql("SELECT barrio, n, round(a,6) AS smoothed, nivel, ['muy_barato','barato','medio','alto','muy_alto'][nivel+1] AS nivel_nombre FROM lv"), L)
 def _(t):
     x = t.listings.withColumn("v", N.safe_ratio("precio", "superficie_util"))
     table, _ = levels.weighted_quantile_levels(x, "v", "barrio")
-    return rounded(table.select("barrio", "n", "smoothed", "nivel"), "smoothed")
+    return rounded(table.select("barrio", "n", "smoothed", "nivel", "nivel_nombre"), "smoothed")
 
 
 @query("map_with_default", level_sql("SELECT id, coalesce(nivel, (SELECT count(*) FROM k WHERE cut < (SELECT avg(v) FROM x)))::INT AS nivel FROM listings LEFT JOIN lv USING (barrio)"), L)

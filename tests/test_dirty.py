@@ -53,3 +53,11 @@ def test_next_counter_lets_errors_out(spark):
     spark.range(1).write.parquet(f"{root}x/registry")
     with pytest.raises(Exception, match="contador"):
         tables.next_counter(spark, f"{root}x")
+
+
+def test_nearest_fill_without_a_donor(spark):
+    from rentlens.operators.spatial import nearest_fill
+
+    df = spark.createDataFrame([(1, 1.0, 2.0, None)], "id int, lat double, lon double, a string")
+    with pytest.raises(ValueError, match="no row"):
+        nearest_fill(df, "id", "lat", "lon", "a")
