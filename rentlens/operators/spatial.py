@@ -83,13 +83,16 @@ def neighbour_middle(probes: DataFrame, spots: DataFrame, radius_m: float) -> Da
             s=donors,
         )
 
-    # a spot heavier than the limit has no location below the limit around it
-    copies = run(f"SELECT *, explode(array_repeat(1, cast(w AS int))) AS copy FROM {{s}} WHERE w <= {ARRAY_LIMIT}", s=salted)
-    picks = ", ".join(f"get(vs, cast({r.replace('(n', '(size(vs)')} AS int)) AS s{i}" for i, r in enumerate(_MIDDLE))
+    # (value, weight) in value order, folded once: each wanted rank's value is the one whose weights reach it
+    take = ", ".join(f"CASE WHEN r{i} >= a.c AND r{i} < a.c + x.w THEN x.v ELSE a.s{i} END AS s{i}" for i in range(3))
+    ranks = ", ".join(f"cast({r} AS bigint) AS r{i}" for i, r in enumerate(_MIDDLE))
+    none = ", ".join(f"cast(NULL AS double) AS s{i}" for i in range(3))
     middle = run(
-        f"""SELECT g, plat AS lat, plon AS lon, cast(size(vs) AS bigint) AS n, {picks} FROM
-        (SELECT g, plat, plon, sort_array(collect_list(v)) AS vs FROM {{few}} GROUP BY g, plat, plon)""",
-        few=pairs(f"bound <= {ARRAY_LIMIT}", copies),
+        f"""SELECT g, lat, lon, n, m.s0, m.s1, m.s2 FROM
+        (SELECT g, plat AS lat, plon AS lon, n, aggregate(vs, struct(0L AS c, {none}), (a, x) -> struct(a.c + x.w AS c, {take})) AS m FROM
+          (SELECT *, {ranks} FROM
+            (SELECT g, plat, plon, sum(w) AS n, sort_array(collect_list(struct(cast(v AS double) AS v, w))) AS vs FROM {{few}} GROUP BY g, plat, plon)))""",
+        few=pairs(f"bound <= {ARRAY_LIMIT}", salted),
     )
     if around.filter(F.col("bound") > ARRAY_LIMIT).isEmpty():
         return middle
