@@ -2,18 +2,35 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rentlens.session import materialise, scratch_path
 
-__all__ = ["ASCII_LOWER", "SPACE", "attach", "empty_if_null", "global_rank", "materialise", "scratch_path", "shuffle_partitions", "table"]
+__all__ = ["ASCII_LOWER", "SPACE", "attach", "empty_if_null", "global_rank", "materialise", "scratch_path", "ship_package", "shuffle_partitions", "table"]
 
 SPACE = r"[\x20\x09-\x0D]"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, wherever the driver found it: a zip of it goes out with ``addPyFile``, once per context."""
+    context = spark.sparkContext
+    if getattr(context, "_ships_rentlens", None):
+        return
+    root = Path(__file__).resolve().parents[2]
+    path = f"{tempfile.mkdtemp(prefix='spark-')}/rentlens.zip"  # the driver's own; Spark serves it to the executors
+    with zipfile.ZipFile(path, "w") as package:
+        for source in sorted((root / "rentlens").rglob("*.py")):
+            package.write(source, source.relative_to(root))
+    context.addPyFile(path)
+    context._ships_rentlens = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rentlens.llm import bagminhash, bpe, chat_format, exact_dedup, imatch, langid, license_scan, line_dedup, mixing, url_filter
-from rentlens.llm.common import table
+from rentlens.llm.common import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,10 +27,15 @@ SOURCE_WEIGHTS = (5, 2, 1)
 
 def query(sql: str | None = None):
     def wrap(fn: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[fn.__name__] = fn
+        @functools.wraps(fn)
+        def call(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[fn.__name__] = call
         if sql is not None:
             ORACLES[fn.__name__] = sql
-        return fn
+        return call
 
     return wrap
 
