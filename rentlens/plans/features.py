@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from rentlens.functions import numeric as N
 from rentlens.functions import text as T
 from rentlens.models.regression import apply_surface_imputer, surface_regression_impute
-from rentlens.operators import filters, impute, joins, levels, spatial
+from rentlens.operators import filters, impute, joins, levels, polygons, spatial, writes
 from rentlens.session import materialise
 
 LAT_RANGE, LON_RANGE = (-37.5, -36.0), (-73.7, -72.5)
@@ -45,15 +45,45 @@ def priced(df: DataFrame, rates: DataFrame, max_price: float = MAX_PRICE) -> Dat
     return filters.total_cost(filters.max_value_filter(out, "precio_clp", max_price), "precio_clp", "gastos")
 
 
+DISTANCES = ["dist_place_m", "dist_centre_m"]
+CENTRE = (-36.827, -73.05)
+#: Places with fewer rows share one indicator.
+MIN_PLACE_ROWS = 20
+OTHER_PLACES = "otras comunas"
+
+
+def zone_indicators(df: DataFrame, zones: DataFrame | None, attrs: Sequence[str]) -> DataFrame:
+    """Attributes of the polygon that a row lies in; rows outside get their place's mean, then the overall mean."""
+    if zones is None:
+        return df
+    empty = df.withColumns({"zona": F.lit(None).cast("string"), **{a: F.lit(None).cast("double") for a in attrs}})
+    typed = zones.withColumns({a: F.col(a).cast("double") for a in attrs})
+    found = polygons.enrich_from_zones(empty, typed, "lat", "lon", "zona", "geometria_wkt", list(attrs))
+    return impute.group_mean_impute(found.drop("zona"), list(attrs), "comuna")
+
+
+def place_columns(df: DataFrame, places: Sequence[str]) -> DataFrame:
+    """One 0/1 column per listed place, and one for all others."""
+    named = df.withColumn("_place", F.when(F.col("comuna").isin(list(places)), F.col("comuna")).otherwise(OTHER_PLACES))
+    return named.select(*df.columns, *N.one_hot("_place", [*places, OTHER_PLACES], "comuna")).drop("_place")
+
+
 def feature_table_training(
-    listings: DataFrame, rates: DataFrame, groups: Sequence[str], trees: int = 50, population: dict | None = None
+    listings: DataFrame, rates: DataFrame, groups: Sequence[str], trees: int = 50, population: dict | None = None,
+    zones: DataFrame | None = None, zone_attrs: Sequence[str] = (), details: DataFrame | None = None,
 ) -> tuple[DataFrame, dict]:
-    """(feature table with id, features and costo_total; artifacts: level map, default level, surface models).
+    """(feature table with id, features and costo_total; artifacts: level map, default level, surface models, centroids, places).
+
+    ``details`` (by id) enriches the listings first; ``zones`` (zona, geometria_wkt, attributes) adds zone indicators.
 
     The table is written at three points where several later passes read it again.
     """
-    src = filters.population_filter(listings, **population) if population else listings
-    base = materialise(clean_listings(src), "clean")
+    src = joins.left_enrich(listings, details, "id") if details is not None else listings
+    src = filters.population_filter(src, **population) if population else src
+    base = materialise(zone_indicators(clean_listings(src), zones, zone_attrs), "clean")
+    places = base.groupBy("comuna").agg(F.avg("lat").alias("clat"), F.avg("lon").alias("clon"), F.count(F.lit(1)).alias("n")).filter("comuna IS NOT NULL")
+    places = materialise(places, "places")  # one row per place
+    names = sorted(r["comuna"] for r in places.filter(F.col("n") >= MIN_PLACE_ROWS).select("comuna").collect())
     base = spatial.nearest_fill(base, "id", "lat", "lon", "barrio")
     base = materialise(priced(base, rates), "priced")
 
@@ -77,14 +107,16 @@ def feature_table_training(
     base = spatial.radius_impute(base, "lat", "lon", "antiguedad", "tipo", 200.0, out="_cerca")
     base = impute.median_cascade(base, "antiguedad", "_cerca", ["tipo", "comuna"]).drop("_cerca")
     base = filters.coalesce_surface(base, ["superficie_util", "superficie_total"], "superficie")
+    base = spatial.centroid_distance(base, places, "comuna", "lat", "lon", CENTRE)
     out = base.withColumns(
         {
             "amoblado": T.text_flag("titulo"),
             "ratio_total_util": N.safe_ratio("superficie_total", "superficie_util"),
             "tiene_comparables": F.col("tiene_comparables").cast("int"),
         }
-    ).select("id", "comuna", "lat", "lon", *FEATURES, "gastos", "costo_total")
-    artifacts = {"levels": table, "default": default, "default_level": default_level, "superficie_util": useful, "superficie_total": total}
+    ).select("id", "comuna", "lat", "lon", *FEATURES, *zone_attrs, *DISTANCES, "gastos", "costo_total")
+    out = place_columns(out, names)
+    artifacts = {"places": names, "centroids": places, "zone_attrs": list(zone_attrs), "levels": table, "default": default, "default_level": default_level, "superficie_util": useful, "superficie_total": total}
     return out, artifacts
 
 
@@ -108,12 +140,14 @@ def feature_table_serving(
     pending = joins.unscored_anti_join(listings, predictions, "id", states)
     reason = filters.sanity_reason("dormitorios", "banos", "estacionamientos", ["superficie_util", "superficie_total", "superficie"])
     ok, rejected = filters.sanity_split(pending, "id", reason)
+    attrs = artifacts.get("zone_attrs", [])
+    ok = ok.withColumns({a: F.lit(None).cast("double") for a in attrs if a not in ok.columns})
     numeric = ["dormitorios", "banos"]
     ok = apply_surface_models(ok, artifacts["superficie_util"], "superficie_util", numeric, "tipo")
     ok = apply_surface_models(ok, artifacts["superficie_total"], "superficie_total", [*numeric, "superficie_util"], "tipo")
     ok = materialise(filters.coalesce_surface(ok, ["superficie_util", "superficie_total"], "superficie"), "pending")
     ref = reference.withColumn("precio_m2", N.safe_ratio("costo_total", "superficie_util")).filter("lat IS NOT NULL AND lon IS NOT NULL")
-    out = joins.reference_lookup(ok, ref, "comuna", "lat", "lon", "antiguedad", "piso", [])
+    out = joins.reference_lookup(ok, ref, "comuna", "lat", "lon", "antiguedad", "piso", attrs)
     out = levels.map_with_default(
         out, artifacts["levels"].select("barrio", "nivel"), "barrio", "nivel", F.lit(artifacts["default_level"]), "nivel"
     )
@@ -125,4 +159,10 @@ def feature_table_serving(
             "tiene_comparables": F.col("tiene_comparables").cast("int"),
         }
     )
-    return out.select("id", *FEATURES, "gastos"), rejected
+    out = spatial.centroid_distance(out, artifacts["centroids"], "comuna", "lat", "lon", CENTRE)
+    return place_columns(out.select("id", "comuna", *FEATURES, *attrs, *DISTANCES, "gastos"), artifacts["places"]).drop("comuna"), rejected
+
+
+def write_back_surfaces(table: DataFrame, features: DataFrame) -> DataFrame:
+    """``table`` with the corrected surfaces of the rows in ``features``; other rows stay as they are."""
+    return writes.bulk_update_from(table, features.select("id", "superficie_util", "superficie_total"), "id", ["superficie_util", "superficie_total"])

@@ -135,13 +135,13 @@ def _(t):
 
 
 def training_table(t):
-    return P.feature_table_training(t.listings, t.rates, ["departamento", "casa"], trees=10)
+    return P.feature_table_training(t.listings, t.rates, ["departamento", "casa"], trees=10, zones=t.zones, zone_attrs=["attr"])
 
 
 @query("feature_table_training")
 def _(t):
     out, _ = training_table(t)
-    return out.select("id", *P.FEATURES, "costo_total")
+    return out.drop("comuna", "lat", "lon")
 
 
 @query("feature_table_serving")
