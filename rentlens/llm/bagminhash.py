@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rentlens.llm.common import SPACE, attach, empty_if_null, materialise
+from rentlens.llm.common import SPACE, attach, empty_if_null, give_back, materialise
 from rentlens.llm.graph import components
 
 WORDS, THRESHOLD = 5, 0.8
@@ -162,6 +162,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             if waiting:
                 flush()
             yield pa.record_batch([*(batch.column(i) for i in range(4)), pa.array(bands, schema.field("bands").type)], schema=schema)
+        give_back()
 
     plain = docs.select(F.col(id_col).cast("bigint").alias("id"), F.monotonically_increasing_id().alias("row"), normalised(text_col).alias("text"))
     keyed = plain.select("id", "row", F.unhex(F.md5("text")).alias("digest"), F.xxhash64("text").alias("node"), F.col("text").cast("binary").alias("text"))

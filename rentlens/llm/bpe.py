@@ -6,7 +6,7 @@ every occurrence of the round's pair in all words at once; only pairs next to a
 merging each word's lowest pair first, because a merge list in creation order never makes a pair of a lower rank
 (checked on loading). The work per word grows with its length, so a text without spaces is no special case.
 
-Words already met stay in a bounded table of the Python worker. ``ids`` is a binary column of little-endian unsigned
+Words already met stay in a bounded table until the task ends. ``ids`` is a binary column of little-endian unsigned
 32-bit integers.
 
 Defined cases: a null text counts as empty and has no ids; the file's special tokens are found in the text first, as
@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
+from rentlens.llm.common import give_back
+
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NONE = np.iinfo(np.int64).max
 BATCH_BYTES = 4 << 20
@@ -268,6 +270,9 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
             for a, b in slices(pc.binary_length(batch).to_pylist(), BATCH_BYTES):
                 out += [x.tobytes() for x in coder.encode(batch.slice(a, b - a).to_pylist())]
             yield pa.array(out, pa.binary())
+            out = []
+        coder.clear()
+        give_back()
 
     return docs.withColumn(ids_col, ids_of(F.coalesce(F.col(text_col), F.lit(""))))
 
@@ -303,7 +308,12 @@ def round_trip(docs: DataFrame, path: str, text_col: str = "text", ids_col: str
                 ids.append(pa.array(raw, pa.binary()))
                 for c, d in slices([len(x) for x in raw], DECODE_BYTES):
                     texts.append(pa.array(coder.decode([np.frombuffer(x, "<u4") for x in raw[c:d]]), pa.string()))
-            yield pa.StructArray.from_arrays([pa.concat_arrays(ids), pa.concat_arrays(texts)], ["ids", "decoded"])
+            both_arrays = [pa.concat_arrays(ids), pa.concat_arrays(texts)]
+            del ids, texts
+            yield pa.StructArray.from_arrays(both_arrays, ["ids", "decoded"])
+            del both_arrays
+        coder.clear()
+        give_back()
 
     found = docs.withColumn("__bpe", both(F.coalesce(F.col(text_col), F.lit(""))))
     return found.withColumns({ids_col: F.col("__bpe.ids"), decoded_col: F.col("__bpe.decoded")}).drop("__bpe")

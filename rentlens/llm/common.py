@@ -2,23 +2,33 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import zipfile
 from collections.abc import Sequence
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rentlens.session import materialise, scratch_path
 
-__all__ = ["ASCII_LOWER", "SPACE", "attach", "empty_if_null", "global_rank", "materialise", "scratch_path", "ship_package", "shuffle_partitions", "table"]
+__all__ = ["ASCII_LOWER", "SPACE", "attach", "empty_if_null", "give_back", "global_rank", "materialise", "scratch_path", "prepare", "shuffle_partitions", "table"]
 
+BATCH_ROWS = 1000
 SPACE = r"[\x20\x09-\x0D]"
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers, wherever the driver found it: a zip of it goes out with ``addPyFile``, once per context."""
+def prepare(spark: SparkSession) -> None:
+    """Set a session up for operators with Python workers.
+
+    Arrow batches are held to ``BATCH_ROWS`` rows, as whole texts travel in them. The package becomes importable in the
+    workers, wherever the driver found it: a zip of it goes out with ``addPyFile``, once per context.
+    """
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     context = spark.sparkContext
     if getattr(context, "_ships_rentlens", None):
         return
@@ -31,6 +41,18 @@ def ship_package(spark: SparkSession) -> None:
     context._ships_rentlens = True
 
 
+def give_back() -> None:
+    """At the end of a task's batches: return what Python, Arrow and the C library have freed to the system.
+
+    Python workers are kept for later tasks and stages, and with them the memory they once needed.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

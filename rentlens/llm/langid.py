@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from rentlens.llm.common import materialise
+from rentlens.llm.common import give_back, materialise
 
 FEATURES = 1 << 13
 ORDERS = (1, 2, 3)
@@ -153,6 +153,7 @@ def document_frequencies(train: DataFrame) -> tuple[int, np.ndarray]:
                     if (c := gram_counts(t)) is not None:
                         total += 1
                         found += c > 0
+        give_back()
         yield pa.record_batch([pa.array([total], pa.int64()), pa.array([found.tolist()], pa.list_(pa.int64()))], names=["total", "found"])
 
     parts = train.select("text").mapInArrow(partial, "total bigint, found array<bigint>")
@@ -227,6 +228,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", prefix: str =
                 score += got[1]
                 rejected += got[2]
             yield pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())], ["lang_pred", "score", "rejected"])
+        give_back()
 
     found = docs.withColumn("__lang_found", nearest(F.coalesce(F.col(text_col), F.lit(""))))
     return found.withColumns({prefix + c: F.col(f"__lang_found.{c}") for c in ("lang_pred", "score", "rejected")}).drop("__lang_found")

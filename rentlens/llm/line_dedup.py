@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from rentlens.llm.common import empty_if_null, materialise, shuffle_partitions
+from rentlens.llm.common import empty_if_null, give_back, materialise, shuffle_partitions
 
 MIN_CHARS, MIN_DOCS = 40, 5
 DROP, OPEN, SUMMARY = 0, 1, 2
@@ -63,6 +63,7 @@ def line_rows(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> Da
                     out = []
         if out:
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+        give_back()
 
     text = empty_if_null(text_col).cast("binary")
     return docs.select(F.col(id_col).cast("bigint"), F.xxhash64(empty_if_null(text_col)), text).mapInArrow(rows, LINES)
@@ -127,9 +128,14 @@ def kept_lines(text: bytes, keep: bytes | None) -> bytes:
 
 
 @arrow_udf(T.StringType())
-def apply_bitmap(text: pa.Array, keep: pa.Array) -> pa.Array:
-    raw = [kept_lines(t, k) for t, k in zip(text.to_pylist(), keep.to_pylist())]
-    return pa.array(raw, pa.binary()).cast(pa.string())
+def apply_bitmap(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for text, keep in batches:
+        done = [pa.array([], pa.string())]
+        for a in range(0, len(text), 500):
+            raw = [kept_lines(t.as_py(), k.as_py()) for t, k in zip(text[a : a + 500], keep[a : a + 500])]
+            done.append(pa.array(raw, pa.binary()).cast(pa.string()))
+        yield pa.concat_arrays(done)
+    give_back()
 
 
 def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rentlens.llm import bagminhash, bpe, chat_format, exact_dedup, imatch, langid, license_scan, line_dedup, mixing, url_filter
-from rentlens.llm.common import ship_package, table
+from rentlens.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,7 +29,7 @@ def query(sql: str | None = None):
     def wrap(fn: Callable[[SparkSession, str], DataFrame]):
         @functools.wraps(fn)
         def call(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship_package(spark)
+            prepare(spark)
             return fn(spark, sf_dir)
 
         QUERIES[fn.__name__] = call

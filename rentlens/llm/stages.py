@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rentlens.llm import bagminhash, bpe, langid, line_dedup, mixing
-from rentlens.llm.common import ship_package
+from rentlens.llm.common import prepare
 
 SOURCE_WEIGHTS = (5, 2, 1)
 
@@ -21,7 +21,7 @@ SOURCE_WEIGHTS = (5, 2, 1)
 def stage(fn):
     @functools.wraps(fn)
     def call(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        ship_package(spark)
+        prepare(spark)
         return fn(spark, docs, sf_dir)
 
     return call
