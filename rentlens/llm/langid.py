@@ -32,6 +32,8 @@ CENTROIDS = 4
 SAMPLE_PER_LANG = 1000
 BATCH_CHARS = 1 << 20
 UNKNOWN = "und"
+#: A text is rejected below this share of the similarity that 99 % of the sampled texts of its length reach.
+FLOOR_SHARE = 0.3
 PRIMES = np.array([2654435761, 2246822519, 3266489917, 668265263], np.uint32)
 
 
@@ -210,7 +212,7 @@ def train_model(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
         for c, v in r["low"].items():
             lows[c] = min(v, lows.get(c, 1.0))
     for c in range(64):
-        floor[c] = 0.5 * lows[c] if c in lows else (floor[c - 1] if c else 0.0)
+        floor[c] = FLOOR_SHARE * lows[c] if c in lows else (floor[c - 1] if c else 0.0)
     matrix = np.stack([np.frombuffer(r["centroid"], np.float32) for r in fitted]) if fitted else np.zeros((0, FEATURES), np.float32)
     return Model(langs, np.array([langs.index(r["lang"]) for r in fitted], np.int64), matrix, idf, floor)
 
