@@ -133,6 +133,16 @@ def test_licences(spark):
     assert license_scan.scan_licenses(df.limit(0)).count() == 0
 
 
+def test_licence_label_does_not_depend_on_the_table(spark):
+    lines = ["Code released under the MIT License", "This package is licensed under the GNU General Public License, version 3", "Dataset licensed under CC BY-NC 4.0", "This file is licensed under the Apache License, Version 2.0", "the warranty of this car is void when you drive it"]
+    df = spark.createDataFrame([(f"{i}/x", "prose\n" + line) for i, line in enumerate(lines)], "path string, text string")
+    many = df.crossJoin(spark.range(1000)).selectExpr("concat(id, '/', path) AS path", "text")
+    def labels(table):  # noqa: E306
+        return {(r["path"].split("/")[-2], r["license"], r["score"]) for r in license_scan.scan_licenses(table).collect()}
+    assert labels(df) == labels(many)
+    assert sorted((i, name) for i, name, _ in labels(df)) == [("0", "MIT"), ("1", "GPL-3.0"), ("2", "CC-BY-NC-4.0"), ("3", "Apache-2.0"), ("4", None)]
+
+
 URLS = {
     "https://X.com/": ("x.com", "/", "com/", "allow"), "http://x.com": ("x.com", "", None, None), "//x.com/a": ("", "", None, None), None: ("", "", None, None),
     "http://www.example.com/en/1?x=/de/": ("www.example.com", "/en/1", "www.example.com/en/", "allow"), "http://m.example.com/en/#a": ("m.example.com", "/en/", "example.com/en/", "block"),
