@@ -143,6 +143,16 @@ def test_licence_label_does_not_depend_on_the_table(spark):
     assert sorted((i, name) for i, name, _ in labels(df)) == [("0", "MIT"), ("1", "GPL-3.0"), ("2", "CC-BY-NC-4.0"), ("3", "Apache-2.0"), ("4", None)]
 
 
+def test_licence_heads(spark):
+    line = "Licensed under the Apache License, Version 2.0"
+    heads = ["\n", "\t", " " * 300, "\n" * 300 + "\t", "/*\n * ", "#!/bin/sh\n# ", "#! /bin/sh. x\n\n# ", "<!-- ", "\ufeff// ", "", "\n\n" + "/" * 50_000 + "\n"]
+    not_heads = ["words\n", "#!/bin/sh\nset -e\n# ", "a. ", "x " * 500 + "\n"]
+    texts = [h + line + ". more\nprose" for h in heads + not_heads] + ["prose\n" + line]
+    df = spark.createDataFrame([(f"{i}/a", t) for i, t in enumerate(texts)] + [(f"{i}/b/c", "code") for i in range(len(texts))], "path string, text string")
+    got = {int(r["path"].split("/")[0]): r["origin"] for r in license_scan.scan_licenses(df).collect() if r["path"].endswith("/c")}
+    assert got == {i: "inherited" if i < len(heads) else None for i in range(len(texts))}
+
+
 URLS = {
     "https://X.com/": ("x.com", "/", "com/", "allow"), "http://x.com": ("x.com", "", None, None), "//x.com/a": ("", "", None, None), None: ("", "", None, None),
     "http://www.example.com/en/1?x=/de/": ("www.example.com", "/en/1", "www.example.com/en/", "allow"), "http://m.example.com/en/#a": ("m.example.com", "/en/", "example.com/en/", "block"),
