@@ -16,7 +16,7 @@ from rentlens.sources.tables import read_current_model
 from rentlens.streaming import jobs
 
 FEATS = ["l_quantity", "l_discount", "l_tax", "sector"]
-#: Few and shallow rounds: these queries check sizes, ids, order and bounds, which do not depend on the fit's depth.
+#: Few and shallow rounds for the queries that only store and load models.
 SMALL = {"maxIter": 3, "maxDepth": 3}
 SPLIT = split_sql(42) + ", c AS (SELECT *, round_even(n*0.15,0) AS nt FROM r)"
 
@@ -44,29 +44,31 @@ def _(t):
 @query("predict_matrix", SPLIT + " SELECT id, y, true AS in_bounds FROM c WHERE k<=nt", ["scored"])
 def _(t):
     s = split_scored(t)
-    models = R.fit_ensemble(s.filter("split = 'train'"), FEATS, "y", 2, 42, SMALL)
-    return R.predict_matrix(models, s.filter("split = 'test'"), FEATS).select("id", "y", ((F.col("p1") >= 0) & (F.col("p2") >= 0)).alias("in_bounds"))
+    models = R.fit_ensemble(s.filter("split = 'train'"), FEATS, "y")
+    least = F.least(*[F.col(f"p{i}") for i in range(1, len(models) + 1)])
+    return R.predict_matrix(models, s.filter("split = 'test'"), FEATS).select("id", "y", (least >= 0).alias("in_bounds"))
 
 
 @query("predict_mean", SPLIT + " SELECT id, y, true AS is_mean FROM c WHERE k<=nt", ["scored"])
 def _(t):
     """The mean prediction equals the mean of the matrix."""
     s = split_scored(t)
-    models = R.fit_ensemble(s.filter("split = 'train'"), FEATS, "y", 2, 42, SMALL)
+    models = R.fit_ensemble(s.filter("split = 'train'"), FEATS, "y")
+    total = sum((F.col(f"p{i}") for i in range(2, len(models) + 1)), F.col("p1"))
     both = R.predict_mean(models, R.predict_matrix(models, s.filter("split = 'test'"), FEATS), FEATS)
-    return both.select("id", "y", (F.abs(F.col("pred") - (F.col("p1") + F.col("p2")) / 2) < 1e-6).alias("is_mean"))
+    return both.select("id", "y", (F.abs(F.col("pred") - total / len(models)) < 1e-6).alias("is_mean"))
 
 
 @query("param_search", "SELECT trial::INT AS trial, true AS found FROM (SELECT DISTINCT l_orderkey % 2 AS trial FROM lineitem)")
 def _(t):
     space = {"maxDepth": [2, 3], "maxIter": [2, 3], "stepSize": [0.1, 0.3]}
-    return R.param_search(base(t), "id", FEATS, "y", space, trials=2, folds=2).select("trial", (F.col("error") > 0).alias("found"))
+    return R.param_search(base(t), "id", FEATS, "y", space, trials=2).select("trial", (F.col("error") > 0).alias("found"))
 
 
 @query("stability_selection", "SELECT feature, feature = 'sector' AS leads FROM (VALUES ('l_quantity'), ('l_discount'), ('l_tax'), ('sector')) v(feature) WHERE (SELECT corr(l_extendedprice, l_quantity) FROM lineitem) < 0.999")
 def _(t):
     """Features by importance; the sector price leads."""
-    imp = R.stability_selection(base(t), "id", FEATS, "y", 2, 2, params=SMALL)
+    imp = R.stability_selection(base(t), "id", FEATS, "y")
     score = selection.stability_score(imp, "feature", "importance")
     top = score.agg(F.max_by("feature", "mean_imp")).first()[0]
     return score.select("feature", (F.col("feature") == top).alias("leads"))
@@ -75,14 +77,14 @@ def _(t):
 @query("k_curve", "SELECT k::INT AS k, true AS found FROM (SELECT DISTINCT 1 + l_orderkey % 2 AS k FROM lineitem)")
 def _(t):
     s = split_scored(t)
-    curve = R.k_curve(s.filter("split = 'train'"), s.filter("split = 'val'"), ["sector", "l_quantity"], "y", 1, 2, 2, params=SMALL)
+    curve = R.k_curve(s.filter("split = 'train'"), s.filter("split = 'val'"), ["sector", "l_quantity"], "y")
     return curve.select("k", ((F.col("mae") > 0) & (F.col("rmse") >= F.col("mae")) & (F.col("r2") <= 1)).alias("found"))
 
 
 @query("permutation_importance", "SELECT feature, feature = 'sector' AS leads FROM (VALUES ('l_quantity'), ('l_discount'), ('l_tax'), ('sector')) v(feature) WHERE (SELECT corr(l_extendedprice, l_quantity) FROM lineitem) < 0.999")
 def _(t):
     s = split_scored(t)
-    models = R.fit_ensemble(s.filter("split = 'train'"), FEATS, "y", 2, 42, SMALL)
+    models = R.fit_ensemble(s.filter("split = 'train'"), FEATS, "y")
     out = materialise(R.permutation_importance(models, s.filter("split = 'test'"), "id", FEATS, "y"), "importance")
     top = out.agg(F.max_by("feature", "importance")).first()[0]
     return out.select("feature", (F.col("feature") == top).alias("leads"))
@@ -90,7 +92,7 @@ def _(t):
 
 @query("repeat_over_seeds", "SELECT seed::INT AS seed, true AS fits FROM (SELECT DISTINCT 1 + l_orderkey % 2 AS seed FROM lineitem)")
 def _(t):
-    return R.repeat_over_seeds(base(t), "id", FEATS, "y", [1, 2], 1, SMALL).select("seed", (F.col("r2") > 0).alias("fits"))
+    return R.repeat_over_seeds(base(t), "id", FEATS, "y", [1, 2]).select("seed", (F.col("r2") > 0).alias("fits"))
 
 
 SURFACE = "SELECT id, CASE WHEN superficie_util >= 30 THEN superficie_util END AS kept, superficie_util IS NULL OR superficie_util < 30 AS estimated FROM listings"
@@ -110,7 +112,7 @@ def against_source(out, src):
 @query("surface_regression_impute", SURFACE, ["listings"])
 def _(t):
     src = surfaces(t)
-    out, _ = R.surface_regression_impute(src, "superficie_util", ["dormitorios", "banos"], ["comuna"], "tipo", ["departamento", "casa"], trees=10)
+    out, _ = R.surface_regression_impute(src, "superficie_util", ["dormitorios", "banos"], ["comuna"], "tipo", ["departamento", "casa"])
     return against_source(out, src)
 
 
@@ -128,7 +130,7 @@ def _(t):
     from pyspark.ml import PipelineModel
 
     src = surfaces(t)
-    model = R.fit_surface_imputer(src.filter("tipo = 'departamento'"), "superficie_util", ["dormitorios", "banos"], ["comuna"], trees=10)
+    model = R.fit_surface_imputer(src.filter("tipo = 'departamento'"), "superficie_util", ["dormitorios", "banos"], ["comuna"])
     path = scratch_path(t.spark, "imputer")
     model.write().save(path)
     return against_source(R.apply_surface_imputer(PipelineModel.load(path), src, "superficie_util", ["dormitorios", "banos"]), src)
@@ -153,7 +155,7 @@ def _(t):
 
 @query("train_production", "SELECT 'v0001_20250101000000_gbt' AS version, true AS fits FROM lineitem LIMIT 1")
 def _(t):
-    out = train_production(base(t), FEATS, "y", scratch_path(t.spark, "versions"), "20250101000000", n_models=2, params=SMALL)
+    out = train_production(base(t), FEATS, "y", scratch_path(t.spark, "versions"), "20250101000000")
     return out.select(F.regexp_extract("version", "^(.*)_[0-9a-f]{8}$", 1).alias("version"), (F.col("r2") > 0).alias("fits"))
 
 
