@@ -4,7 +4,7 @@ Texts become normalised TF-IDF vectors of hashed character n-grams (letters only
 are counted over all training documents. The centroids of a language are fitted by spherical k-means on a bounded
 sample: about ``sample_per_lang`` training documents per language, taken by a hash of the id, each sent as a vector of
 at most ``FEATURES`` entries. A text gets the language of the most similar centroid (cosine), and is rejected when that
-similarity is far below what training texts of its length reach.
+similarity is far below what training texts of that language and length reach. Keys and encoded data count as no letters.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0 and is rejected; a text of training language
 null or of blanks only is not trained on; without any training document everything is ``und``; other columns of the
@@ -14,6 +14,7 @@ input stay, except those named as an output, which are replaced.
 from __future__ import annotations
 
 import functools
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,8 +33,10 @@ CENTROIDS = 4
 SAMPLE_PER_LANG = 1000
 BATCH_CHARS = 1 << 20
 UNKNOWN = "und"
-#: A text is rejected below this share of the similarity that 99 % of the sampled texts of its length reach.
-FLOOR_SHARE = 0.3
+#: A text is rejected below this share of the similarity that 99 % of the sampled texts of its language and length reach.
+FLOOR_SHARE = 0.5
+#: Keys and encoded data, which are no words: runs of over 30 Latin letters or base64 characters, runs of letters and digits mixed.
+KEY = re.compile(r"[A-Za-z0-9+/=]{31,}+|(?<![^\W_])(?=[^\W\d_]+\d|\d+[^\W\d_])[^\W_]++|(?<![A-Za-z\u00C0-\u024F])[A-Za-z\u00C0-\u024F]{31,}+")
 PRIMES = np.array([2654435761, 2246822519, 3266489917, 668265263], np.uint32)
 
 
@@ -59,8 +62,8 @@ def letters(text: str) -> np.ndarray:
 
 
 def gram_counts(text: str) -> np.ndarray | None:
-    """Counts of the hashed n-grams; None without a letter."""
-    c = letters(text)
+    """Counts of the hashed n-grams of the words, without keys; None without a letter outside of keys."""
+    c = letters(KEY.sub(" ", text))
     if len(c) < 2 or not (c != 32).any():
         return None
     buckets = []
@@ -88,7 +91,7 @@ def length_class(counts: np.ndarray) -> int:
 
 @dataclass
 class Model:
-    """``centroids``: (languages · k, FEATURES); ``floor``: least similarity by length class."""
+    """``centroids``: (languages · k, FEATURES); ``floor``: least similarity by language and length class."""
 
     langs: list[str]
     owner: np.ndarray
@@ -108,7 +111,7 @@ class Model:
             best = near.argmax(axis=1)
             for i, b, s in zip(part, best.tolist(), near.max(axis=1).tolist()):
                 lang[i], score[i] = self.langs[self.owner[b]], min(1.0, max(0.0, s))
-                rejected[i] = score[i] < self.floor[length_class(counts[i])]
+                rejected[i] = score[i] < self.floor[self.owner[b], length_class(counts[i])]
         return lang, score, rejected
 
 
@@ -131,6 +134,16 @@ def spherical_kmeans(vectors: np.ndarray, k: int, rounds: int = 12) -> np.ndarra
     return centroids
 
 
+def floors(low: dict[int, float]) -> np.ndarray:
+    """Least similarity by length class. A class without enough samples takes the next shorter one's; below the shortest it falls with the root of the length."""
+    floor = np.zeros(64, np.float32)
+    for c in range(min(low, default=64), 64):
+        floor[c] = FLOOR_SHARE * low[c] if c in low else floor[c - 1]
+    for c in range(min(low, default=0) - 1, -1, -1):
+        floor[c] = floor[c + 1] * 0.5**0.5
+    return floor
+
+
 def text_slices(batch: pa.Array) -> Iterator[list[str]]:
     """The texts in runs of about ``BATCH_CHARS``."""
     out, size = [], 0
@@ -200,19 +213,19 @@ def train_model(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
         middle = spherical_kmeans(dense, centroids)
         near = (dense @ middle.T).max(axis=1)
         low = {c: float(np.quantile(near[np.array(lengths) == c], 0.01)) for c in set(lengths) if lengths.count(c) >= 20}
+        if not low and len(rows) >= 20:
+            low = {min(lengths): float(np.quantile(near, 0.01))}
         return pd.DataFrame({"lang": rows["lang"].iloc[0], "centroid": [m.tobytes() for m in middle], "low": [low] * len(middle)})
 
     fitted = drawn.select("lang", "draw", "text").mapInArrow(vectors, "lang string, draw bigint, at binary, n binary")
     fitted = fitted.groupBy("lang").applyInPandas(fit, "lang string, centroid binary, low map<int,double>").collect()
     fitted.sort(key=lambda r: (r["lang"], r["centroid"]))
     langs = sorted({r["lang"] for r in fitted})
-    floor = np.zeros(64, np.float32)
-    lows: dict[int, float] = {}
-    for r in fitted:
-        for c, v in r["low"].items():
-            lows[c] = min(v, lows.get(c, 1.0))
-    for c in range(64):
-        floor[c] = FLOOR_SHARE * lows[c] if c in lows else (floor[c - 1] if c else 0.0)
+    own = {r["lang"]: floors(r["low"]) for r in fitted}
+    # a language of too few documents takes the lowest limit of the others
+    known = [f for f in own.values() if f.any()]
+    lowest = np.min(known, axis=0) if known else np.zeros(64, np.float32)
+    floor = np.array([own[name] if own[name].any() else lowest for name in langs], np.float32).reshape(-1, 64)
     matrix = np.stack([np.frombuffer(r["centroid"], np.float32) for r in fitted]) if fitted else np.zeros((0, FEATURES), np.float32)
     return Model(langs, np.array([langs.index(r["lang"]) for r in fitted], np.int64), matrix, idf, floor)
 

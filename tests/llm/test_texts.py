@@ -1,7 +1,9 @@
 """Language ID, fingerprints and the pipeline."""
 
+import base64
 import hashlib
 import random
+import string
 import zlib
 
 import pytest
@@ -30,6 +32,26 @@ def test_held_out_accuracy(table):
     assert not any(r["rejected"] for r in rows)
 
 
+ITALIAN = """Il governo ha annunciato ieri che le nuove regole per le imprese entreranno in vigore dal prossimo anno, mentre gli studenti delle scuole superiori
+potranno scegliere tra diversi percorsi di studio. Secondo gli esperti, questa decisione avrebbe conseguenze molto importanti per tutti i cittadini, perché cambierebbe
+il modo in cui vengono pagate le tasse e distribuiti i servizi. Nella città vecchia, vicino alla piazza, c'è ancora un piccolo mercato dove si vendono pane, formaggio,
+olio e vino della campagna. Ogni mattina gli anziani si siedono davanti al bar e parlano della loro giovinezza, dei figli che lavorano lontano e delle stagioni che non
+sono più quelle di una volta."""
+
+
+def test_other_languages_and_codes_are_rejected(spark, docs):
+    """And every labelled document stays, also with a long key in it."""
+    r = random.Random(5)
+    junk = [ITALIAN, ITALIAN * 4, base64.b64encode(r.randbytes(600)).decode(), "".join(r.choices(string.ascii_lowercase, k=844))]
+    junk += [" ".join("".join(r.choices(string.ascii_lowercase, k=r.randint(2, 9))) for _ in range(150))]
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.train_model(table)
+    assert all(row["rejected"] for row in langid.predict(docs(list(enumerate(junk))), model).collect())
+    keyed = table.filter("lang IS NOT NULL AND trim(text) <> ''").selectExpr("doc_id", "lang", "text").collect()
+    rows = [(d, f"{t} {r.randbytes(120).hex()}", lang, "s", 1) for d, lang, t in keyed]
+    assert [x["doc_id"] for x in langid.predict(docs(rows), model).collect() if x["rejected"] or x["lang_pred"] != x["lang"]] == []
+
+
 def test_language_cases(docs, table):
     model = langid.train_model(table)
     df = docs([(1, None), (2, ""), (3, "123 !? \n"), (4, "a"), (5, "漢字かな交じり文" * 300), (None, "the and of the that with"), (7, "the and of " * 60_000), (8, "😀😀")]).selectExpr("*", "0 AS score")
