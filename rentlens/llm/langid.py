@@ -2,7 +2,7 @@
 
 Texts become normalised TF-IDF vectors of hashed character n-grams (letters only, lower-cased). Document frequencies
 are counted over all training documents. The centroids of a language are fitted by spherical k-means on a bounded
-sample: about ``sample_per_lang`` training documents per language, taken by a hash of the id, each sent as a vector of
+sample: about ``sample_per_lang`` training documents per language, taken by a hash of id and text, equal rows once, each sent as a vector of
 at most ``FEATURES`` entries. A text gets the language of the most similar centroid (cosine), and is rejected when that
 similarity is far below what training texts of that language and length reach. Keys and encoded data count as no letters.
 
@@ -183,11 +183,11 @@ def document_frequencies(train: DataFrame) -> tuple[int, np.ndarray]:
 
 def train_model(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample_per_lang: int = SAMPLE_PER_LANG, centroids: int = CENTROIDS) -> Model:
     """Fits on the rows with a text and a language. The driver gets counts per language and the centroids."""
-    train = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(id_col).alias("draw"))
+    train = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(id_col, text_col).alias("draw"))
     train = train.filter("text IS NOT NULL AND lang IS NOT NULL AND trim(lang) <> ''")
     total, df = document_frequencies(train)
     idf = (np.log((1 + total) / (1 + df)) + 1).astype(np.float32)
-    sizes = train.groupBy("lang").count()
+    sizes = train.select("lang", "draw").distinct().groupBy("lang").count()
     rate = F.pmod("draw", F.lit(1 << 30)).cast("double") / float(1 << 30)
     drawn = train.join(F.broadcast(sizes), "lang").filter(rate * F.col("count") < sample_per_lang)
 
@@ -217,7 +217,7 @@ def train_model(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
             low = {min(lengths): float(np.quantile(near, 0.01))}
         return pd.DataFrame({"lang": rows["lang"].iloc[0], "centroid": [m.tobytes() for m in middle], "low": [low] * len(middle)})
 
-    fitted = drawn.select("lang", "draw", "text").mapInArrow(vectors, "lang string, draw bigint, at binary, n binary")
+    fitted = drawn.select("lang", "draw", "text").mapInArrow(vectors, "lang string, draw bigint, at binary, n binary").dropDuplicates(["lang", "draw"])
     fitted = fitted.groupBy("lang").applyInPandas(fit, "lang string, centroid binary, low map<int,double>").collect()
     fitted.sort(key=lambda r: (r["lang"], r["centroid"]))
     langs = sorted({r["lang"] for r in fitted})

@@ -2,8 +2,10 @@
 
 import base64
 import hashlib
+import os
 import random
 import string
+import tempfile
 import zlib
 
 import pytest
@@ -32,7 +34,7 @@ def test_held_out_accuracy(table):
     assert not any(r["rejected"] for r in rows)
 
 
-ITALIAN = """Il governo ha annunciato ieri che le nuove regole per le imprese entreranno in vigore dal prossimo anno, mentre gli studenti delle scuole superiori
+ITALIAN = """Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, che la diritta via era smarrita. Il governo ha annunciato ieri che le nuove regole per le imprese entreranno in vigore dal prossimo anno, mentre gli studenti delle scuole superiori
 potranno scegliere tra diversi percorsi di studio. Secondo gli esperti, questa decisione avrebbe conseguenze molto importanti per tutti i cittadini, perché cambierebbe
 il modo in cui vengono pagate le tasse e distribuiti i servizi. Nella città vecchia, vicino alla piazza, c'è ancora un piccolo mercato dove si vendono pane, formaggio,
 olio e vino della campagna. Ogni mattina gli anziani si siedono davanti al bar e parlano della loro giovinezza, dei figli che lavorano lontano e delle stagioni che non
@@ -46,12 +48,31 @@ def test_other_languages_and_codes_are_rejected(spark, docs):
     junk += [" ".join("".join(r.choices(string.ascii_lowercase, k=r.randint(2, 9))) for _ in range(150))]
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = langid.train_model(table)
-    assert all(row["rejected"] for row in langid.predict(docs(list(enumerate(junk))), model).collect())
+    assert [(row["doc_id"], row["score"]) for row in langid.predict(docs(list(enumerate(junk))), model).collect() if not row["rejected"]] == []
     keyed = table.filter("lang IS NOT NULL AND trim(text) <> ''").selectExpr("doc_id", "lang", "text").collect()
     rows = [(d, f"{t} {r.randbytes(120).hex()}", lang, "s", 1) for d, lang, t in keyed]
     assert [x["doc_id"] for x in langid.predict(docs(rows), model).collect() if x["rejected"] or x["lang_pred"] != x["lang"]] == []
 
 
+def test_sample_is_bounded_for_repeated_ids(docs, table, monkeypatch):
+    """Rows that share an id, are equal or have none: each language is learned from about as many rows as asked for."""
+    texts = [(x["text"], x["lang"]) for x in table.filter("lang = 'en'").collect()]
+    rows = [(None if i % 3 else 7, f"{texts[i % len(texts)][0]} {i}", "en", "s", 1) for i in range(2000)]
+    rows += [(9, "un deux trois quatre cinq", "fr", "s", 1)] * 2000 + [(i, f"eins zwei drei {'abcdefghij'[i]}", "de", "s", 1) for i in range(10)]
+    kmeans = langid.spherical_kmeans
+    folder = tempfile.mkdtemp(prefix="spark-")
+
+    def counted(vectors, k):
+        with open(f"{folder}/{random.random()}", "w") as out:
+            out.write(str(len(vectors)))
+        return kmeans(vectors, k)
+
+    monkeypatch.setattr(langid, "spherical_kmeans", counted)
+    model = langid.train_model(docs(rows), sample_per_lang=100)
+    taken = sorted(int(open(f"{folder}/{name}").read()) for name in os.listdir(folder))
+    assert model.langs == ["de", "en", "fr"] and taken[:2] == [1, 10] and 50 < taken[2] < 200
+
+
 def test_language_cases(docs, table):
     model = langid.train_model(table)
     df = docs([(1, None), (2, ""), (3, "123 !? \n"), (4, "a"), (5, "漢字かな交じり文" * 300), (None, "the and of the that with"), (7, "the and of " * 60_000), (8, "😀😀")]).selectExpr("*", "0 AS score")
