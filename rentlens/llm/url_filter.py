@@ -1,7 +1,7 @@
 """URL verdicts: host rules first, else a logistic regression on hashed character n-grams of host and path.
 
-The regression is trained on a small labelled URL table: the URLs that a rule decides, at most ``max_rows`` of them,
-taken in the order of a hash. Features and model run inside the JVM (Spark ML), so there is no Python on the executors.
+The regression is trained on a small labelled URL table: the URLs that a rule decides, at most half of ``max_rows``
+of each verdict, taken in the order of a hash. Features and model run inside the JVM (Spark ML), so there is no Python on the executors.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path; equal URLs get equal verdicts; with no
 labelled URL the verdict is ``allow``, with labels of one kind it is that kind; an empty table gives an empty result.
@@ -68,11 +68,12 @@ def url_features(df: DataFrame) -> DataFrame:
 
 
 def labelled_urls(parts: DataFrame, rules: Sequence[Rule], max_rows: int) -> DataFrame:
-    """The labelled URL table: at most ``max_rows`` distinct (host, path) that a rule decides, with ``label`` 1 for block."""
+    """The labelled URL table: at most half of ``max_rows`` distinct (host, path) of each label that a rule decides, with ``label`` 1 for block."""
     blocked = [r.text for r in rules if r.verdict == "block"]
     known = parts.select("host", "path", "rule").filter("rule IS NOT NULL").distinct()
     known = known.select("host", "path", F.col("rule").isin(blocked).cast("double").alias("label"))
-    return materialise(known.orderBy(F.xxhash64("host", "path"), "host", "path").limit(max_rows), "labelled-urls")
+    first = [known.filter(F.col("label") == label).orderBy(F.xxhash64("host", "path"), "host", "path").limit(max_rows // 2) for label in (0.0, 1.0)]
+    return materialise(first[0].unionByName(first[1]), "labelled-urls")
 
 
 def train(labelled: DataFrame) -> LogisticRegressionModel | str:

@@ -180,3 +180,12 @@ def test_url_model_learns_the_rules(spark):
     found = url_filter.judge_urls(spark.createDataFrame(rows, "page_id bigint, url string"), URL_RULES).filter("page_id >= 1000").collect()
     right = sum((r["verdict"] == "block") == ("/es/" in r["url"]) for r in found)
     assert right >= 95
+
+
+def test_url_model_learns_from_few_blocked_urls(spark):
+    """Both labels are learned, however rare one of them is."""
+    rows = [(i, f"http://a{i}.com/it/{i}") for i in range(2000)] + [(3000, "http://b.net/es/1"), (3001, "http://c.org/es/1")]
+    found = url_filter.judge_urls(spark.createDataFrame(rows, "page_id bigint, url string"), URL_RULES, max_rows=20).collect()
+    assert all(r["block_score"] is not None for r in found)
+    parts = spark.createDataFrame([(f"h{i}", "/", "net/es/" if i % 100 == 0 else "com/") for i in range(2000)], "host string, path string, rule string")
+    assert sorted(r["label"] for r in url_filter.labelled_urls(parts, URL_RULES, 20).collect()) == [0.0] * 10 + [1.0] * 10
