@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentlens.llm import bagminhash, bpe, chat_format, exact_dedup, imatch, langid, license_scan, line_dedup, mixing, url_filter
+from rentlens.llm import bagminhash, bpe, chat_format, exact_dedup, imatch, kmeans_tree, langid, license_scan, line_dedup, mixing, pair_maxscore, token_alignment, url_filter
 from rentlens.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -173,3 +173,33 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "block_score")
+
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query(f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS ts FROM documents),
+  s AS (SELECT count(*) FILTER (WHERE len(ts) > 0) AS n_docs, CAST(sum(len(ts)) AS BIGINT) AS n_terms FROM d),
+  q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+  t AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, CAST(len(ts) AS BIGINT) AS n, unnest(ts) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+  w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM t, s GROUP BY term, n_docs),
+  i AS (SELECT doc_id, t.term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))) AS impact FROM t JOIN w ON w.term = t.term, s),
+  r AS (SELECT item_id, doc_id, CAST(sum(impact) AS BIGINT) AS score FROM q JOIN i ON i.term = q.term GROUP BY item_id, doc_id HAVING sum(impact) > 0),
+  k AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score FROM r)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 50
+""")
+def op11_pair_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item as a query against all documents."""
+    return pair_maxscore.search_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op12_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans_tree.nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_alignment.token_alignment(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
