@@ -4,7 +4,9 @@ The tree is fitted on a bounded sample of the distinct unit vectors (``SAMPLE_RO
 drawn by hash); every vector is then put into a leaf by descent. A query descends to its nearest leaf and keeps the
 branches it passed in a priority queue by distance to their centres; the nearest waiting branch is opened next. How
 many leaves are read is calibrated: for ``CALIBRATION`` queries the true neighbours are found by comparison with all
-vectors, and the number of leaves is widened until ``recall`` of them lie in the leaves read. Leaves and queries meet
+vectors, and the number of leaves is widened until ``recall`` of them lie in the leaves read. The leaves are read in
+rounds, each ``WIDEN`` times as wide as the one before, and a round returns only what reaches the last score that a
+query has kept so far: about ``k`` rows a query and round, however many leaves it reads. Leaves and queries meet
 in a join on (leaf, part of the leaf, part of its queries) of about ``CHUNK`` rows on each side, so neither a large leaf
 nor one that many queries read is one task's work. Scores are cosines in double precision on the original vectors.
 
@@ -37,6 +39,7 @@ SAMPLE_ROWS = 1 << 17
 SAMPLE_BYTES = 64 << 20
 CALIBRATION = 256
 RECALL = 0.95
+WIDEN = 8
 CHUNK = 2048
 #: Vectors within this of the last score kept are compared again with one fixed order of summation.
 SLACK = 1e-9
@@ -208,15 +211,16 @@ def assigned(vectors: DataFrame, tree: Tree, kind: str) -> DataFrame:
 
 
 # ---- search ------------------------------------------------------------------------------------
-def nearest(queries: np.ndarray, rows: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per query the rows that can be among the ``k`` nearest, ties included, and their exact scores."""
+def nearest(queries: np.ndarray, rows: np.ndarray, k: int, least: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per query the rows that can be among the ``k`` nearest, ties included, and their exact scores; only what reaches the query's score in ``least``."""
     out = []
     b = unit(rows)
     for start in range(0, len(queries), 256):
         a = unit(queries[start : start + 256])
         near = a @ b.T
-        for q, s in zip(a, near):
+        for i, (q, s) in enumerate(zip(a, near), start=start):
             last = np.partition(s, len(s) - k)[len(s) - k] if len(s) > k else -2.0
+            last = last if least is None else max(last, least[i])
             at = np.flatnonzero(s >= last - SLACK)
             out.append((at, np.einsum("ij,ij->i", np.broadcast_to(q, (len(at), len(q))), b[at])))
     return out
@@ -276,7 +280,7 @@ def calibrate(leaves: DataFrame, wanted: DataFrame, tree: Tree, kind: str, k: in
 
 
 def routed(wanted: DataFrame, tree: Tree, kind: str, visits: int) -> DataFrame:
-    """``key, raw, leaf``: every query vector once for each leaf it reads."""
+    """``key, raw, leaf, turn``: every query vector once for each leaf it reads, and the leaf's place in its order."""
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -284,9 +288,9 @@ def routed(wanted: DataFrame, tree: Tree, kind: str, visits: int) -> DataFrame:
                 part = b.slice(start, 100)
                 orders = [tree.order(q, visits) for q in unit(rows_of(part.column(1), kind))]
                 take = np.repeat(np.arange(len(orders)), [len(o) for o in orders])
-                yield pa.record_batch([part.column(0).take(take), part.column(1).take(take), pa.array(np.concatenate(orders), pa.int32())], names=["key", "raw", "leaf"])
+                yield pa.record_batch([part.column(0).take(take), part.column(1).take(take), pa.array(np.concatenate(orders), pa.int32()), pa.array(np.concatenate([np.arange(len(o)) for o in orders]), pa.int32())], names=["key", "raw", "leaf", "turn"])
 
-    return wanted.select("key", "raw").mapInArrow(route, "key binary, raw binary, leaf int")
+    return wanted.select("key", "raw").mapInArrow(route, "key binary, raw binary, leaf int, turn int")
 
 
 def parts_of(df: DataFrame) -> dict[int, int]:
@@ -309,8 +313,24 @@ def dealt(df: DataFrame, own: dict[int, int], other: dict[int, int], own_name: s
     return df.withColumn(own_name, mine).withColumn(other_name, F.explode(F.sequence(F.lit(0), looked_up(other).cast("int") - 1)))
 
 
-def search_leaves(leaves: DataFrame, asked: DataFrame, kind: str, k: int) -> DataFrame:
+def search_leaves(leaves: DataFrame, asked: DataFrame, kind: str, k: int, visits: int) -> DataFrame:
     """``key, vec_id, score, place``: the ``k`` nearest of each query vector among the leaves it reads. ``asked`` is a written table."""
+    found, start, width = None, 0, 1
+    while start < visits:
+        now = asked.filter(F.col("turn").between(start, min(start + width, visits) - 1)).drop("turn")
+        if found is not None:
+            kept = found.filter(F.col("place") == k).select("key", F.col("score").alias("least"))
+            now = materialise(now.join(kept, "key", "left"), "asked")
+        else:
+            now = now.withColumn("least", F.lit(None).cast("double"))
+        new = compared(leaves, now, kind, k)
+        found = materialise(first_of(new if found is None else new.unionByName(found.drop("place")), k), "nearest")
+        start, width = start + width, width * WIDEN
+    return found
+
+
+def compared(leaves: DataFrame, asked: DataFrame, kind: str, k: int) -> DataFrame:
+    """``key, vec_id, score``: of each part of a leaf at most ``k`` rows for a query that reads it, none below the query's ``least`` score."""
     sizes, readers = parts_of(leaves), parts_of(asked)
     rows = dealt(leaves.select("leaf", "key", "raw", "ids"), sizes, readers, "part", "reader").groupBy("leaf", "part", "reader")
     ask = dealt(asked, readers, sizes, "reader", "part").groupBy("leaf", "part", "reader")
@@ -318,10 +338,11 @@ def search_leaves(leaves: DataFrame, asked: DataFrame, kind: str, k: int) -> Dat
     def compare(data: pa.Table, queries: pa.Table) -> pa.Table:
         if not data.num_rows or not queries.num_rows:
             return pa.table({"key": pa.array([], pa.binary()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        found = nearest(rows_of(queries["raw"].combine_chunks(), kind), rows_of(data["raw"].combine_chunks(), kind), k)
+        least = np.array([-2.0 if x is None else x for x in queries["least"].to_pylist()])
+        found = nearest(rows_of(queries["raw"].combine_chunks(), kind), rows_of(data["raw"].combine_chunks(), kind), k, least)
         return pa.Table.from_batches([scored(queries["key"].to_pylist(), found, data["ids"].to_pylist(), k)])
 
-    return first_of(rows.cogroup(ask).applyInArrow(compare, SCORED), k)
+    return rows.cogroup(ask).applyInArrow(compare, SCORED)
 
 
 def nearest_neighbours(df: DataFrame, k: int = 5, query_every: int = 50, id_col: str = "vec_id", vector_col: str = "embedding", recall: float = RECALL) -> DataFrame:
@@ -338,7 +359,7 @@ def nearest_neighbours(df: DataFrame, k: int = 5, query_every: int = 50, id_col:
     wanted = materialise(vectors.join(sizes, "key", "left_semi").select("key", "raw"), "query-vectors")
     visits = calibrate(leaves, wanted, tree, kind, k + 1, recall)
     asked = materialise(routed(wanted, tree, kind, visits), "routes")
-    found = search_leaves(leaves, asked, kind, k + 1).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("place", "vec_id", "score"))).alias("near"))
+    found = search_leaves(leaves, asked, kind, k + 1, visits).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("place", "vec_id", "score"))).alias("near"))
     found = materialise(found.join(sizes, "key"), "found")
     near = F.slice(F.filter("near", lambda s: s["vec_id"].isNull() | (s["vec_id"] != F.col("id"))), 1, k)
     out = attach(asking, found, "key", "n").select(F.col("id").alias("query_id"), F.posexplode(near).alias("at", "hit"))
