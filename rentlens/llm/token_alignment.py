@@ -7,7 +7,7 @@ one go. Where they differ, the smaller end advances until both meet, which close
 shift anew.
 
 How often a pair of ids is linked in the whole corpus is counted in blocks: a task adds up its documents' pairs in
-blocks of about ``BLOCK_PAIRS`` distinct ones; only these sums are shuffled by pair. Each block gets the counts of its
+blocks of about ``BLOCK_BYTES``; only these sums are shuffled by pair. Each block gets the counts of its
 own pairs back, so a pair that every document holds costs one row a block, and nothing that grows with the vocabulary
 or the corpus is broadcast.
 
@@ -30,16 +30,13 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rentlens.llm.bpe import ByteBpe, slices
+from rentlens.llm.bpe import ByteBpe, slices, spread
 from rentlens.llm.common import empty_if_null, give_back, materialise
 
 BATCH_BYTES = 1 << 20
-BLOCK_PAIRS = 1 << 16
 BLOCK_BYTES = 8 << 20
-#: Windows up to this length are compared as lists, longer ones as arrays.
-SHORT = 16
 
-ALIGNED = "block string, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, codes binary, links binary"
+ALIGNED = "block string, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, codes binary"
 
 
 class Aligner:
@@ -78,92 +75,95 @@ def aligner(bpe_path: str, piece_path: str) -> Aligner:
     return Aligner(bpe_path, piece_path)
 
 
-def common_ends(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
+def common_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Indexes of the tokens of both sides that end together, for ascending ends with the same last one."""
-    la, lb = a.tolist(), b.tolist()
-    n, m = len(la), len(lb)
-    at_a: list[int] = []
-    at_b: list[int] = []
+    raw_a, raw_b = a.astype("<i8").tobytes(), b.astype("<i8").tobytes()
+    list_a, list_b = a.tolist(), b.tolist()
+    n, m = len(list_a), len(list_b)
+    starts_a: list[int] = []
+    starts_b: list[int] = []
+    lengths: list[int] = []
     i = j = 0
     while i < n and j < m:
-        # along the diagonal: windows of doubling length
-        width = 1
-        while i < n and j < m:
-            w = min(width, n - i, m - j)
-            if w <= SHORT:
-                x, y = la[i : i + w], lb[j : j + w]
-                same = w if x == y else next(k for k in range(w) if x[k] != y[k])
-            else:
-                unlike = a[i : i + w] != b[j : j + w]
-                same = int(unlike.argmax()) if unlike.any() else w
-            at_a.extend(range(i, i + same))
-            at_b.extend(range(j, j + same))
-            i += same
-            j += same
-            if same < w:
-                break
-            width *= 2
+        # along the diagonal: windows of doubling length, the first unlike one halved down to its first difference
+        run, width, left = 0, 8, min(n - i, m - j)
+        while run < left:
+            w = min(width, left - run)
+            p, q = (i + run) * 8, (j + run) * 8
+            if raw_a[p : p + w * 8] == raw_b[q : q + w * 8]:
+                run += w
+                width *= 2
+                continue
+            while w > 1:
+                half = w >> 1
+                if raw_a[p : p + half * 8] == raw_b[q : q + half * 8]:
+                    run, w = run + half, w - half
+                    p, q = p + half * 8, q + half * 8
+                else:
+                    w = half
+            break
+        if run:
+            starts_a.append(i)
+            starts_b.append(j)
+            lengths.append(run)
+            i += run
+            j += run
         # one irregular group: the smaller end advances until both meet
         while i < n and j < m:
-            x, y = la[i], lb[j]
-            if x == y:
-                at_a.append(i)
-                at_b.append(j)
-                i += 1
-                j += 1
-                break
+            x, y = list_a[i], list_b[j]
             if x < y:
                 i += 1
-            else:
+            elif y < x:
                 j += 1
-    return at_a, at_b
+            else:  # where both meet the next run starts, with the shift of the new place
+                break
+    length = np.array(lengths, np.int64)
+    return spread(np.array(starts_a, np.int64), length), spread(np.array(starts_b, np.int64), length)
 
 
-def group_text(a: list[str], b: list[str], at_a: list[int], at_b: list[int]) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the ids of each group."""
-    out, i, j = [], 0, 0
-    for x, y in zip(at_a, at_b):
-        if x == i and y == j:
-            out.append(f"{a[x]}|{b[y]}")
-        else:
-            out.append(f"{','.join(a[i : x + 1])}|{','.join(b[j : y + 1])}")
-        i, j = x + 1, y + 1
-    return ";".join(out)
+def group_text(names: list[str], width: int, a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> str:
+    """``a1,a2|b1;a3|b2,b3``: the ids of each group. ``names`` holds every A id (of ``width``) before a comma and a bar, then every B id before a comma and a semicolon."""
+    last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+    last_a[at_a] = last_b[at_b] = 1
+    # a token stands behind all tokens of its side before it, and behind the other side's of its earlier groups (A) or of its group too (B)
+    before_a = np.concatenate([[0], at_b + 1])[np.cumsum(last_a) - last_a]
+    before_b = np.concatenate([at_a + 1, [len(a)]])[np.cumsum(last_b) - last_b]
+    flat = np.empty(len(a) + len(b), np.int64)
+    flat[np.arange(len(a)) + before_a] = 2 * a + last_a
+    flat[np.arange(len(b)) + before_b] = 2 * (width + b) + last_b
+    return "".join(map(names.__getitem__, flat.tolist()))[:-1]
 
 
 def align(docs: DataFrame, bpe_path: str, piece_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row a document, with the distinct linked pairs as codes (A id · number of B ids + B id) and their number of links."""
+    """One row a document, with its links as codes: A id · number of B ids + B id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         tools = aligner(bpe_path, piece_path)
-        name_a, name_b = [str(i) for i in range(len(tools.a_bytes))], [str(i) for i in range(tools.width)]
-        task, number = TaskContext.get().partitionId(), 0
-        held: set[int] = set()
-        size = 0
+        n_a = len(tools.a_bytes)
+        names = [f"{i}{end}" for i in range(n_a) for end in ",|"] + [f"{i}{end}" for i in range(tools.width) for end in ",;"]
+        task, number, size = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for start, end in slices(pc.binary_length(batch.column(1)).to_pylist(), BATCH_BYTES):
                 texts = batch.column(1).slice(start, end - start).to_pylist()
                 rows = []
                 for doc_id, pair in zip(ids[start:end], tools.encode(texts)):
-                    if len(held) >= BLOCK_PAIRS or size >= BLOCK_BYTES:
-                        number, held, size = number + 1, set(), 0
+                    if size >= BLOCK_BYTES:
+                        number, size = number + 1, 0
                     size += 64
                     if pair is None:
-                        rows.append((f"{task}-{number}", doc_id, 0, 0, 0, 0, "", b"", b""))
+                        rows.append((f"{task}-{number}", doc_id, 0, 0, 0, 0, "", b""))
                         continue
                     a, b = pair
                     at_a, at_b = common_ends(np.cumsum(tools.a_length[a]), np.cumsum(tools.b_length[b]))
-                    groups = group_text([name_a[x] for x in a.tolist()], [name_b[x] for x in b.tolist()], at_a, at_b)
-                    codes, links = np.unique(a[at_a] * tools.width + b[at_b], return_counts=True)
-                    rows.append((f"{task}-{number}", doc_id, len(a), len(b), len(at_a), len(at_a), hashlib.sha256(groups.encode()).hexdigest(), codes.astype("<i8").tobytes(), links.astype("<i8").tobytes()))
-                    held.update(codes.tolist())
-                    size += 16 * len(codes)
-                names = [c.split(" ")[0] for c in ALIGNED.split(", ")]
-                kinds = [pa.string(), *[pa.int64()] * 5, pa.string(), pa.binary(), pa.binary()]
-                yield pa.record_batch([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names=names)
+                    groups = group_text(names, n_a, a, b, at_a, at_b)
+                    codes = (a[at_a] * tools.width + b[at_b]).astype("<i8").tobytes()
+                    rows.append((f"{task}-{number}", doc_id, len(a), len(b), len(at_a), len(at_a), hashlib.sha256(groups.encode()).hexdigest(), codes))
+                    size += len(codes)
+                kinds = [pa.string(), *[pa.int64()] * 5, pa.string(), pa.binary()]
+                yield pa.record_batch([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names=[c.split(" ")[0] for c in ALIGNED.split(", ")])
         tools.a.clear()
         give_back()
 
@@ -174,28 +174,26 @@ def block_pairs(aligned: DataFrame) -> DataFrame:
     """``block, code, links``: the sums of each block's pairs. A block's documents stand together in one file."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, codes, links, size = None, [], [], 0
+        block, codes, size = None, [], 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal codes, links, size
-            code, at = np.unique(np.concatenate(codes), return_inverse=True)
-            total = np.bincount(at, np.concatenate(links), len(code)).astype(np.int64)
-            codes, links, size = [], [], 0
-            return pa.record_batch([pa.array([block] * len(code), pa.string()), pa.array(code, pa.int64()), pa.array(total, pa.int64())], names=["block", "code", "links"])
+            nonlocal codes, size
+            code, links = np.unique(np.concatenate(codes), return_counts=True)
+            codes, size = [], 0
+            return pa.record_batch([pa.array([block] * len(code), pa.string()), pa.array(code, pa.int64()), pa.array(links, pa.int64())], names=["block", "code", "links"])
 
         for batch in batches:
-            for name, c, n in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for name, c in zip(*(batch.column(i).to_pylist() for i in range(2))):
                 if codes and (name != block or size >= BLOCK_BYTES):
                     yield flush()
                 block = name
                 if c:
                     codes.append(np.frombuffer(c, "<i8"))
-                    links.append(np.frombuffer(n, "<i8"))
-                    size += len(c) + len(n)
+                    size += len(c)
         if codes:
             yield flush()
 
-    found = aligned.select("block", "codes", "links").mapInArrow(add, "block string, code bigint, links bigint")
+    found = aligned.select("block", "codes").mapInArrow(add, "block string, code bigint, links bigint")
     return materialise(found, "block-pairs")
 
 
@@ -223,10 +221,10 @@ def token_alignment(docs: DataFrame, bpe_path: str, piece_path: str, id_col: str
             order = np.argsort(code)
             code, count, best = code[order], count[order], best[order]
         n_best, sums = [], []
-        for c, n in zip(docs["codes"].to_pylist(), docs["links"].to_pylist()):
-            at, n = np.searchsorted(code, np.frombuffer(c, "<i8")), np.frombuffer(n, "<i8")
-            n_best.append(int((n * best[at]).sum()) if len(at) else 0)
-            sums.append(int((n * count[at]).sum()) if len(at) else 0)
+        for c in docs["codes"].to_pylist():
+            at = np.searchsorted(code, np.frombuffer(c, "<i8"))
+            n_best.append(int(best[at].sum()) if len(at) else 0)
+            sums.append(int(count[at].sum()) if len(at) else 0)
         return pa.table([*[docs[c] for c in whole], pa.array(n_best, pa.int64()), pa.array(sums, pa.int64()), docs["groups_sha256"]], names=[*whole, "n_best", "count_sum", "groups_sha256"])
 
     schema = ", ".join(f"{c} bigint" for c in (*whole, "n_best", "count_sum")) + ", groups_sha256 string"

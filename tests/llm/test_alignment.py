@@ -51,10 +51,10 @@ TEXTS = [
 ]
 
 
-@pytest.mark.parametrize("pairs", [1, 1 << 16])
-def test_against_the_libraries(spark, docs, monkeypatch, pairs):
+@pytest.mark.parametrize("size", [1, 1 << 23])
+def test_against_the_libraries(spark, docs, monkeypatch, size):
     prepare(spark)
-    monkeypatch.setattr(token_alignment, "BLOCK_PAIRS", pairs)
+    monkeypatch.setattr(token_alignment, "BLOCK_BYTES", size)
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(None, "no id"), (4, "The same id twice")]
     got = token_alignment.token_alignment(docs(rows, 2, ("block", "codes", "n_a")), BPE, PIECES).collect()
     order = lambda r: (r[0] is None, r[0] or 0, r[1])
