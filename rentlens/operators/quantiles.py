@@ -3,7 +3,10 @@
 Spark's ``percentile`` keeps every distinct value of a group in one aggregation buffer. Here the
 values are first counted per coarse bucket (a monotone, data-independent function of the value, so
 counting combines before the shuffle), the bucket holding each wanted rank is read off the bounded
-bucket table, and only the rows of those buckets are looked at again. The answer is exact.
+bucket table, and only the rows of those buckets are looked at again. A bucket of more than
+``SORT_ROWS`` rows is refined: the range from its least to its greatest value is cut into ``CELLS``
+cells, these are counted, and the rank goes on in one cell, until what is left is small or one value.
+So whatever the values, no task sorts more than ``SORT_ROWS`` of them. The answer is exact.
 
 ``value`` and ``weight`` arguments are SQL expressions over the input's columns.
 """
@@ -13,10 +16,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from rentlens.session import materialise
+from rentlens.session import materialise, parallelism
 
 BUCKETS_PER_OCTAVE = 256
+SORT_ROWS = 1 << 18
+CELLS = 4096
 
 
 def names(cols: Sequence[str], prefix: str = "", trailing: bool = True) -> str:
@@ -40,24 +46,57 @@ def _over(keys: Sequence[str], order: str = "") -> str:
     return f"OVER ({part} ORDER BY {order} ROWS UNBOUNDED PRECEDING)" if order else f"OVER ({part})"
 
 
-def _rank_ctes(keys: Sequence[str], value: str, ranks: str, weight: str, small: bool) -> str:
-    """CTEs ending in ``found(keys…, n, tag, v)``. ``ranks`` is SQL for an array of (tag, rank) given ``n``."""
+def _wanted(totals: DataFrame, keys: Sequence[str], at: str, ranks: str, few: bool) -> DataFrame:
+    """The pieces ``at`` of each group that hold a wanted rank: ``keys…, at, n, lo, hi, size, targets``.
+
+    ``totals`` has per piece its weight ``bw``, its least and greatest value and its number of rows; ``ranks`` is SQL for
+    an array of (tag, rank) given the group's weight ``n``. Written, or for few groups held by the driver.
+    """
+    k, ka = names(keys), names([*keys, at], trailing=False)
+    out = run(
+        f"""
+WITH offs AS (SELECT *, sum(bw) {_over(keys, at)} AS upto, sum(bw) {_over(keys)} AS total FROM {{t}})
+SELECT {ka}, max(coalesce(n, total)) AS n, max(lo) AS lo, max(hi) AS hi, max(size) AS size, collect_list(struct(t.tag AS tag, t.rank - upto + bw AS rank)) AS targets
+FROM (SELECT *, explode({ranks}) AS t FROM (SELECT * EXCEPT (n), coalesce(n, total) AS n FROM offs)) WHERE t.rank >= upto - bw AND t.rank < upto GROUP BY {ka}""",
+        t=totals,
+    )
+    if few:
+        spark = out.sparkSession
+        return spark.createDataFrame(out.collect(), out.schema)
+    return materialise(out, "wanted")
+
+
+def _refined(rows: DataFrame, wanted: DataFrame, keys: Sequence[str], few: bool) -> tuple[DataFrame, DataFrame]:
+    """(rows, wanted) one level deeper: each wanted piece ``b`` cut into cells, of which only those with a wanted rank stay."""
+    k = names(keys)
+    hint = "/*+ BROADCAST(wanted) */" if few else ""
+    kb = names([*keys, "b"], trailing=False)
+    cell = f"cast(CASE WHEN hi > lo THEN least({CELLS - 1}D, floor((v - lo) / (hi - lo) * {CELLS})) ELSE 0 END AS bigint)"
+    split = run(f"WITH wanted AS (SELECT {kb}, lo, hi FROM {{w}}) SELECT {hint} {k} b, v, w, {cell} AS c FROM {{r}} JOIN wanted USING ({kb})", w=wanted, r=rows)
+    split = materialise(split, "cells")
+    totals = run(
+        f"""SELECT {hint} {k} b, c, bw, lo, hi, size, n, targets FROM
+ (SELECT {k} b, c, sum(w) AS bw, min(v) AS lo, max(v) AS hi, count(*) AS size FROM {{s}} GROUP BY {kb}, c) JOIN (SELECT {kb}, n, targets FROM {{w}}) wanted USING ({kb})""",
+        s=split, w=wanted,
+    )
+    deeper = _wanted(totals, [*keys, "b"], "c", "targets", few)
+    piece = "struct(b, c)"
+    deeper = deeper.selectExpr(*[f"`{c}`" for c in keys], f"{piece} AS b", "n", "lo", "hi", "size", "targets")
+    return split.selectExpr(*[f"`{c}`" for c in keys], f"{piece} AS b", "v", "w"), deeper
+
+
+def _found(rows: DataFrame, wanted: DataFrame, keys: Sequence[str], few: bool) -> DataFrame:
+    """``keys…, n, tag, v`` for every wanted rank; the rows of a piece are sorted by value in one task."""
     k, kb = names(keys), names([*keys, "b"], trailing=False)
-    not_null = "".join(f" AND `{c}` IS NOT NULL" for c in keys)
-    semi = f"LEFT SEMI JOIN wanted USING ({kb})" if small else ""
-    hint = "/*+ BROADCAST(wanted) */" if small else ""
-    return f"""
-WITH clean AS (SELECT {k} v, w, {value_bucket('v')} AS b FROM
-    (SELECT {k} cast({value} AS double) AS v, cast({weight} AS bigint) AS w FROM {{df}}) WHERE v IS NOT NULL{not_null}),
-  totals AS (SELECT {k} b, sum(w) AS bw FROM clean GROUP BY {kb}),
-  offs AS (SELECT {k} b, bw, sum(bw) {_over(keys, 'b')} AS hi, sum(bw) {_over(keys)} AS n FROM totals),
-  wanted AS (SELECT {k} b, max(n) AS n, collect_list(struct(t.tag AS tag, t.rank - hi + bw AS rank)) AS targets
-    FROM (SELECT *, explode({ranks}) AS t FROM offs) WHERE t.rank >= hi - bw AND t.rank < hi GROUP BY {kb}),
-  inside AS (SELECT {hint} {k} b, v, sum(w) AS w FROM clean {semi} GROUP BY {kb}, v),
-  ranked AS (SELECT {hint} {k} b, v, w, n, targets, sum(w) {_over([*keys, 'b'], 'v')} AS upto
-    FROM inside JOIN wanted USING ({kb})),
-  found AS (SELECT {k} n, t.tag AS tag, v FROM
-    (SELECT *, explode(filter(targets, t -> t.rank < upto AND t.rank >= upto - w)) AS t FROM ranked))"""
+    hint = "/*+ BROADCAST(wanted) */" if few else ""
+    return run(
+        f"""
+WITH wanted AS (SELECT {kb}, n, targets FROM {{w}}),
+  inside AS (SELECT {hint} {k} b, v, sum(w) AS w FROM {{r}} LEFT SEMI JOIN wanted USING ({kb}) GROUP BY {kb}, v),
+  ranked AS (SELECT {hint} {k} b, v, w, n, targets, sum(w) {_over([*keys, 'b'], 'v')} AS upto FROM inside JOIN wanted USING ({kb}))
+SELECT {k} n, t.tag AS tag, v FROM (SELECT *, explode(filter(targets, t -> t.rank < upto AND t.rank >= upto - w)) AS t FROM ranked)""",
+        r=rows, w=wanted,
+    )
 
 
 def ranked_values(
@@ -67,18 +106,29 @@ def ranked_values(
 
     Each rank is SQL over ``n`` (the group's weight); a rank outside ``0…n-1`` gives null. Null keys
     and values are left out. ``few_groups`` states that the number of groups is bounded by
-    construction (bins, tiers), so the table of wanted buckets may be broadcast; without keys it
-    always is, having at most one row per rank.
+    construction (bins, tiers), so the table of wanted buckets may be held by the driver and broadcast;
+    without keys it always is, having at most one row per rank.
     """
-    by = list(by)
+    by, few = list(by), few_groups or not by
     array = "array(" + ", ".join(f"struct({i} AS tag, cast({r} AS bigint) AS rank)" for i, r in enumerate(ranks)) + ")"
-    picks = ", ".join(f"max(CASE WHEN tag = {i} THEN v END) AS s{i}" for i in range(len(ranks)))
-    group = f"GROUP BY {names(by, trailing=False)}" if by else ""
-    return run(
-        _rank_ctes(by, value, array, weight, few_groups or not by)
-        + f"\nSELECT {names(by)} max(n) AS n, {picks} FROM found {group}",
+    not_null = "".join(f" AND `{c}` IS NOT NULL" for c in by)
+    k, kb = names(by), names([*by, "b"], trailing=False)
+    rows = run(
+        f"""SELECT {k} v, w, {value_bucket('v')} AS b FROM
+ (SELECT {k} cast({value} AS double) AS v, cast({weight} AS bigint) AS w FROM {{df}}) WHERE v IS NOT NULL{not_null}""",
         df=df,
     )
+    totals = run(f"SELECT {kb}, sum(w) AS bw, min(v) AS lo, max(v) AS hi, count(*) AS size, cast(NULL AS bigint) AS n FROM {{r}} GROUP BY {kb}", r=rows)
+    wanted = _wanted(totals, by, "b", array, few)
+    while True:
+        # a piece of one value needs no sort, however many rows it has
+        large = wanted.filter(f"size > {SORT_ROWS} AND hi > lo")
+        if large.isEmpty():
+            break
+        rows, wanted = _refined(rows, wanted, by, few)
+    picks = ", ".join(f"max(CASE WHEN tag = {i} THEN v END) AS s{i}" for i in range(len(ranks)))
+    group = f"GROUP BY {names(by, trailing=False)}" if by else ""
+    return run(f"SELECT {names(by)} max(n) AS n, {picks} FROM {{f}} {group}", f=_found(rows, wanted, by, few))
 
 
 def exact_quantiles(
@@ -152,20 +202,21 @@ def median_mad(df: DataFrame, value: str, by: Sequence[str] = (), few_groups: bo
 
 
 def running_total(df: DataFrame, order: str, value: str, tie: str) -> DataFrame:
-    """Adds ``cum`` and ``cum_share``: the running sum of ``value`` in (order, tie) order.
+    """Adds ``cum`` and ``cum_share``: the running sum of ``value`` in (order, tie) order, nulls first.
 
-    Totals per value bucket give each bucket its offset; the window then runs inside one bucket, so
-    the whole table is never sorted in one task.
+    Rows are dealt by ranges of (order, tie), so rows of one value spread too; the window runs inside one
+    range, and the totals of the ranges, one row each, give every range its offset.
     """
+    n = parallelism(df.sparkSession)
+    placed = df.repartitionByRange(n, F.expr(order).asc_nulls_first(), F.expr(tie).asc_nulls_first()).withColumn("_p", F.spark_partition_id())
     return run(
         f"""
-WITH b AS (SELECT *, {value_bucket(f'cast({order} AS double)')} AS _b FROM {{df}}),
-  t AS (SELECT _b, sum({value}) AS _bw FROM b GROUP BY _b),
-  o AS (SELECT _b, sum(_bw) {_over([], '_b')} - _bw AS _before, sum(_bw) {_over([])} AS _total FROM t)
-SELECT * EXCEPT (_b, _before, _total), cum / _total AS cum_share FROM
-  (SELECT *, sum({value}) OVER (PARTITION BY _b ORDER BY {order}, {tie} ROWS UNBOUNDED PRECEDING) + _before AS cum
-   FROM b JOIN o USING (_b))""",
-        df=df,
+WITH t AS (SELECT _p, sum({value}) AS _bw FROM {{d}} GROUP BY _p),
+  o AS (SELECT _p, sum(_bw) {_over([], '_p')} - _bw AS _before, sum(_bw) {_over([])} AS _total FROM t)
+SELECT /*+ BROADCAST(o) */ * EXCEPT (_p, _before, _total), cum / _total AS cum_share FROM
+  (SELECT *, sum({value}) OVER (PARTITION BY _p ORDER BY {order}, {tie} ROWS UNBOUNDED PRECEDING) + _before AS cum
+   FROM {{d}} JOIN o USING (_p))""",
+        d=materialise(placed, "ranges"),
     )
 
 

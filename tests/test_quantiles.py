@@ -2,7 +2,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from rentlens.operators import binning, levels
+from rentlens.operators import binning, levels, quantiles
 from rentlens.operators.quantiles import bucketed_rank, exact_median, exact_quantiles, median_mad, ranked_values, running_total
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.77, 1.0]
@@ -105,3 +105,50 @@ def test_levels_equal_numpy(spark):
     np.testing.assert_allclose(row["cuts"], cuts)
     assert row["nivel_default"] == sum(overall > c for c in cuts)
     assert {r["g"]: r["nivel"] for r in table.collect()} == {g: sum(a > c for c in cuts) for g, a in s["a"].items()}
+
+
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_crowded_values_are_refined(spark, monkeypatch, by):
+    """Values that share one bucket: epoch seconds, a narrow range, copies of one value, and a cluster far smaller than its range."""
+    monkeypatch.setattr(quantiles, "SORT_ROWS", 50)
+    sizes = []
+    real = quantiles._found
+
+    def spied(rows, wanted, keys, few):
+        sizes.append(wanted.filter("hi > lo").agg({"size": "max"}).first()[0] or 0)
+        return real(rows, wanted, keys, few)
+
+    monkeypatch.setattr(quantiles, "_found", spied)
+    rng = np.random.default_rng(7)
+    data = {
+        "epoch": 1.7e9 + rng.integers(0, 10**6, 4000), "narrow": 1e5 + 300 * rng.random(4000), "copies": np.append(np.full(3000, 1.5), 1.5000001),
+        "cluster": np.concatenate([1000 + 1e-9 * rng.random(3000), [1000.9, 1001.5]]), "negative": -(1e5 + 300 * rng.random(2000)), "few": rng.random(10),
+    }
+    pdf = pd.concat([pd.DataFrame({"g": k, "v": v}) for k, v in data.items()])
+    df = spark.createDataFrame(pdf)
+    if by:
+        got = {r["g"]: (r["n"], r["q"]) for r in exact_quantiles(df, "v", PROBS, by).collect()}
+    else:
+        got = {}
+        for k in data:
+            row = exact_quantiles(df.filter(df["g"] == k), "v", PROBS).first()
+            got[k] = (row["n"], row["q"])
+    for k, v in data.items():
+        assert got[k][0] == len(v)
+        np.testing.assert_allclose(got[k][1], np.quantile(v, PROBS), rtol=1e-13)
+    assert max(sizes) <= 50
+
+
+def test_a_million_values_in_one_bucket(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "SORT_ROWS", 2000)
+    df = spark.range(0, 10**6, 1, 8).selectExpr("1e5D + pmod(id * 7919, 1000003) / 1000003D * 300 AS v")
+    v = 1e5 + (np.arange(10**6) * 7919 % 1000003) / 1000003 * 300
+    row = exact_median(df, "v").first()
+    assert row["n"] == 10**6 and row["median"] == pytest.approx(np.median(v), rel=1e-14)
+
+
+def test_running_total_of_one_hot_value(spark):
+    df = spark.range(1000).selectExpr("id AS k", "CASE WHEN id % 10 = 0 THEN NULL WHEN id % 3 = 0 THEN 2D ELSE 5D END AS o", "1 AS w")
+    got = {r["k"]: r["cum"] for r in running_total(df, "o", "w", "k").collect()}
+    want = sorted(range(1000), key=lambda i: (i % 10 != 0, 0 if i % 10 == 0 else 2 if i % 3 == 0 else 5, i))
+    assert got == {k: i + 1 for i, k in enumerate(want)}
