@@ -1,4 +1,4 @@
-"""Ensemble regression, surface imputation, searches and importances with Spark ML."""
+"""Ensemble regression by shared boosting passes, surface imputation with Spark ML, searches and importances."""
 
 from __future__ import annotations
 
@@ -6,59 +6,49 @@ import random
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rentlens.operators.filters import require_columns
+from rentlens.models.boosting import Ensemble, Spec, errors_of, feature_array, fit_many, quantised
 from rentlens.operators.metrics import regression_metrics
 from rentlens.operators.quantiles import run
-from rentlens.operators.sampling import kfold_assign, stratified_split, with_hash_rank
+from rentlens.operators.sampling import stratified_split, with_hash_rank
 from rentlens.session import materialise
 
 DEFAULT_PARAMS = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 0.8}
 
 
-def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
-    """Adds the feature vector; missing values count as 0. A missing column is an error, never a made-up 0."""
-    require_columns(df, features)
-    filled = df.withColumns({f"_f_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features})
-    cols = [f"_f_{c}" for c in features]
-    return VectorAssembler(inputCols=cols, outputCol=out).transform(filled).drop(*cols)
+def spec(features: Sequence[str], seed: int, params: dict | None = None, **masks) -> Spec:
+    """A model with ``DEFAULT_PARAMS`` where ``params`` says nothing else. Names outside of them are an error."""
+    p = {**DEFAULT_PARAMS, **(params or {})}
+    if unknown := set(p) - set(DEFAULT_PARAMS):
+        raise ValueError(f"unknown parameters: {sorted(unknown)}")
+    return Spec(tuple(features), seed, p["maxIter"], p["maxDepth"], p["stepSize"], p["subsamplingRate"], **masks)
 
 
 def fit_ensemble(
     train: DataFrame, features: Sequence[str], target: str, n_models: int = 10, seed: int = 42,
-    params: dict | None = None, validation: str | None = None,
-) -> list:
-    """``n_models`` boosted regressors that differ in seed only; ``validation`` names a boolean column for early stopping.
+    params: dict | None = None, validation: str | None = None, id_col: str = "id",
+) -> Ensemble:
+    """``n_models`` boosted regressors that differ in seed only, fitted together; ``validation`` names a boolean column for early stopping.
 
-    The training matrix is assembled and written once and read by every fit.
+    Row subsets come from a hash of ``id_col``.
     """
-    keep = [target, "features", *([validation] if validation else [])]
-    matrix = materialise(assemble(train, features).select(*keep), "matrix")
-    models = []
-    for i in range(n_models):
-        gbt = GBTRegressor(labelCol=target, featuresCol="features", seed=seed + i, **{**DEFAULT_PARAMS, **(params or {})})
-        if validation:
-            gbt = gbt.setValidationIndicatorCol(validation)
-        models.append(gbt.fit(matrix))
-    return models
-
-
-def predict_matrix(models: Sequence, df: DataFrame, features: Sequence[str], prefix: str = "p") -> DataFrame:
+    matrix = quantised(train, id_col, features, target, [validation] if validation else [])
+    return fit_many(matrix, [spec(features, seed + i, params, validation=validation) for i in range(n_models)])
+
+
+def predict_matrix(models: Ensemble, df: DataFrame, features: Sequence[str], prefix: str = "p") -> DataFrame:
     """Adds one clipped prediction column per model (p1…pN). Map-only: all models score in one pass."""
-    out = assemble(df, features)
-    for i, m in enumerate(models, start=1):
-        name = f"{prefix}{i}"
-        out = m.copy({m.predictionCol: name}).transform(out).withColumn(name, F.greatest(F.col(name), F.lit(0.0)))
-    return out.drop("features")
+    if tuple(features) != models.features:
+        raise ValueError(f"the models were fitted on {models.features}")
+    scored = models.predictions(df, feature_array(df, features), "_p")
+    return scored.withColumns({f"{prefix}{i + 1}": F.greatest(F.col("_p")[i], F.lit(0.0)) for i in range(len(models))}).drop("_p")
 
 
-def predict_mean(models: Sequence, df: DataFrame, features: Sequence[str], out: str = "pred") -> DataFrame:
+def predict_mean(models: Ensemble, df: DataFrame, features: Sequence[str], out: str = "pred") -> DataFrame:
     scored = predict_matrix(models, df, features, "_p")
     names = [f"_p{i}" for i in range(1, len(models) + 1)]
     return scored.withColumn(out, F.expr(f"({' + '.join(names)}) / {len(names)}")).drop(*names)
@@ -123,56 +113,46 @@ def validate_surface_imputer(df: DataFrame, id_col: str, target: str, numeric: S
 # ---- searches ----------------------------------------------------------------------------------
 def param_search(
     train: DataFrame, id_col: str, features: Sequence[str], target: str, space: dict[str, Sequence], trials: int = 10,
-    folds: int = 5, seed: int = 42, metric: str = "mae", parallelism: int = 2,
+    folds: int = 5, seed: int = 42, metric: str = "mae",
 ) -> DataFrame:
-    """Cross-validated error of ``trials`` random draws from the space: one row per draw, best first."""
+    """Cross-validated ``error`` (``metric``: mae or rmse, mean over the folds) of ``trials`` random draws from the space: one row per draw, best first.
+
+    All trials and folds are fitted together.
+    """
     rng = random.Random(seed)
-    matrix = kfold_assign(assemble(train, features), id_col, folds, seed).select(target, "features", "fold")
-    matrix = materialise(matrix, "folds")
-    gbt = GBTRegressor(labelCol=target, featuresCol="features", seed=seed)
     draws = [{k: rng.choice(list(v)) for k, v in sorted(space.items())} for _ in range(trials)]
-    grid = [{getattr(gbt, k): v for k, v in d.items()} for d in draws]
-    evaluator = RegressionEvaluator(labelCol=target, metricName=metric)
-    cv = CrossValidator(estimator=gbt, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds, foldCol="fold", parallelism=parallelism)
-    scores = cv.fit(matrix).avgMetrics
-    rows = [(i, str(d), float(s)) for i, (d, s) in enumerate(zip(draws, scores))]
-    return train.sparkSession.createDataFrame(rows, "trial int, params string, error double").orderBy("error", "trial")
+    matrix = quantised(train, id_col, features, target)
+    models = fit_many(matrix, [spec(features, seed, d, fold=(seed, folds, k)) for d in draws for k in range(folds)])
+    errors = errors_of(matrix, models).groupBy((F.col("model") / folds).cast("int").alias("trial")).agg(F.avg(metric).alias("error"))
+    rows = [(i, {k: str(v) for k, v in d.items()}) for i, d in enumerate(draws)]
+    return train.sparkSession.createDataFrame(rows, "trial int, params map<string,string>").join(F.broadcast(errors), "trial").orderBy("error", "trial")
 
 
 def stability_selection(
     df: DataFrame, id_col: str, features: Sequence[str], target: str, n_models: int = 30, folds: int = 5, seed: int = 42, params: dict | None = None
 ) -> DataFrame:
-    """model, feature, importance: mean over the folds of each seed's model importances."""
-    matrix = materialise(assemble(df, features).select(F.col(id_col), target, "features"), "matrix")
-    rows = []
-    for i in range(n_models):
-        # the fold comes from a hash of the id, so the matrix is written once for all seeds
-        fold = F.pmod(F.xxhash64(id_col, F.lit(seed + i)), F.lit(folds))
-        sums = [0.0] * len(features)
-        for k in range(folds):
-            gbt = GBTRegressor(labelCol=target, featuresCol="features", seed=seed + i, **{**DEFAULT_PARAMS, **(params or {})})
-            imp = gbt.fit(matrix.filter(fold != k)).featureImportances.toArray()
-            sums = [a + float(b) for a, b in zip(sums, imp)]
-        rows += [(i, f, s / folds) for f, s in zip(features, sums)]
+    """model, feature, importance: mean over the folds of each seed's model importances. All seeds and folds are fitted together."""
+    matrix = quantised(df, id_col, features, target)
+    specs = [spec(features, seed + i, params, fold=(seed + i, folds, k)) for i in range(n_models) for k in range(folds)]
+    mean = fit_many(matrix, specs).importances().reshape(n_models, folds, len(features)).mean(axis=1)
+    rows = [(i, f, float(v)) for i, row in enumerate(mean) for f, v in zip(features, row)]
     return df.sparkSession.createDataFrame(rows, "model int, feature string, importance double")
 
 
 def k_curve(
-    train: DataFrame, val: DataFrame, ranked: Sequence[str], target: str, k_min: int = 1, k_max: int | None = None, n_seeds: int = 5,
+    train: DataFrame, val: DataFrame, id_col: str, ranked: Sequence[str], target: str, k_min: int = 1, k_max: int | None = None, n_seeds: int = 5,
     seed: int = 42, params: dict | None = None,
 ) -> DataFrame:
-    """k, mae, std (population, over seeds), rmse, r2 of models using the first k features."""
-    rows = []
-    for k in range(k_min, (k_max or len(ranked)) + 1):
-        # the matrix of these k features is written once for all seeds
-        for s, model in enumerate(fit_ensemble(train, ranked[:k], target, n_seeds, seed, params)):
-            m = regression_metrics(predict_mean([model], val, ranked[:k]), target, "pred").first()
-            rows.append((k, s, m["mae"], m["rmse"], m["r2"]))
-    long = train.sparkSession.createDataFrame(rows, "k int, seed int, mae double, rmse double, r2 double")
+    """k, mae, std (population, over seeds), rmse, r2 on ``val`` of models using the first k features, all fitted together."""
+    both = [d.select(id_col, target, *ranked, F.lit(v).alias("_val"), F.lit(not v).alias("_train")) for d, v in ((train, False), (val, True))]
+    matrix = quantised(both[0].unionByName(both[1]), id_col, ranked, target, ["_train", "_val"])
+    ks = range(k_min, (k_max or len(ranked)) + 1)
+    models = fit_many(matrix, [spec(ranked[:k], seed + i, params, train="_train") for k in ks for i in range(n_seeds)])
+    long = errors_of(matrix, models, "_val").withColumn("k", (F.col("model") / n_seeds + k_min).cast("int"))
     return long.groupBy("k").agg(F.avg("mae").alias("mae"), F.stddev_pop("mae").alias("std"), F.avg("rmse").alias("rmse"), F.avg("r2").alias("r2"))
 
 
-def permutation_importance(models: Sequence, df: DataFrame, id_col: str, features: Sequence[str], target: str, seed: int = 42) -> DataFrame:
+def permutation_importance(models: Ensemble, df: DataFrame, id_col: str, features: Sequence[str], target: str, seed: int = 42) -> DataFrame:
     """feature, importance: how much the mean absolute error grows when the feature comes from another row.
 
     Each row is paired with another by two hash orders (an exact permutation, made by a join on rank);
@@ -183,18 +163,12 @@ def permutation_importance(models: Sequence, df: DataFrame, id_col: str, feature
     first = with_hash_rank(narrow, [], id_col, seed, "_r").drop("group_size")
     ranked = materialise(with_hash_rank(first, [], id_col, seed + 1, "_s").drop("group_size"), "ranks")
     other = ranked.select(F.col("_s").alias("_r"), *[F.col(c).alias(f"_o_{c}") for c in features])
-    pairs = materialise(ranked.drop("_s").join(other, "_r"), "pairs")
-    variants = ["_none", *features]
-    scored = pairs
-    for j, v in enumerate(variants):
-        cols = [f"_o_{c}" if c == v else c for c in features]
-        scored = VectorAssembler(inputCols=cols, outputCol="_v").transform(scored)
-        parts = []
-        for i, m in enumerate(models):
-            scored = m.copy({m.predictionCol: f"_m{j}_{i}", m.featuresCol: "_v"}).transform(scored)
-            parts.append(f"greatest(_m{j}_{i}, 0D)")
-        scored = scored.withColumn(f"_e{j}", F.expr(f"abs({target} - ({' + '.join(parts)}) / {len(parts)})")).drop("_v")
-    one = scored.agg(*[F.avg(f"_e{j}").alias(f"e{j}") for j in range(len(variants))])
+    scored = materialise(ranked.drop("_s").join(other, "_r"), "pairs")
+    for j, v in enumerate(["_none", *features]):
+        scored = models.predictions(scored, F.array(*[F.col(f"_o_{c}" if c == v else c) for c in features]), f"_p{j}")
+        mean = F.aggregate(f"_p{j}", F.lit(0.0), lambda total, p: total + F.greatest(p, F.lit(0.0))) / len(models)
+        scored = scored.withColumn(f"_e{j}", F.abs(F.col(target) - mean))
+    one = scored.agg(*[F.avg(f"_e{j}").alias(f"e{j}") for j in range(len(features) + 1)])
     long = ", ".join(f"struct('{f}' AS feature, e{j} - e0 AS importance)" for j, f in enumerate(features, start=1))
     return run(f"SELECT inline(array({long})) FROM {{d}}", d=one)
 
@@ -202,11 +176,19 @@ def permutation_importance(models: Sequence, df: DataFrame, id_col: str, feature
 def repeat_over_seeds(
     df: DataFrame, id_col: str, features: Sequence[str], target: str, seeds: Sequence[int], n_models: int = 3, params: dict | None = None
 ) -> DataFrame:
-    """seed, mae, rmse, r2, mape, mdape on the test part of a fresh stratified split per seed."""
-    rows = []
+    """seed, mae, rmse, r2, mape, mdape on the test part of a fresh stratified split per seed; the models of all seeds are fitted together."""
+    rows = materialise(df.select(id_col, target, *features), "rows")
     for s in seeds:
-        split = materialise(stratified_split(df.select(id_col, target, *features), id_col, target, seed=s), "split")
-        models = fit_ensemble(split.filter("split = 'train'"), features, target, n_models, s, params)
-        m = regression_metrics(predict_mean(models, split.filter("split = 'test'"), features), target, "pred").first()
-        rows.append((s, m["mae"], m["rmse"], m["r2"], m["mape"], m["mdape"]))
-    return df.sparkSession.createDataFrame(rows, "seed int, mae double, rmse double, r2 double, mape double, mdape double")
+        split = stratified_split(rows, id_col, target, seed=s)
+        rows = split.withColumns({f"_train_{s}": F.col("split") == "train", f"_test_{s}": F.col("split") == "test"}).drop("split", "estrato")
+    rows = materialise(rows, "splits")
+    matrix = quantised(rows, id_col, features, target, [f"_train_{s}" for s in seeds])
+    models = fit_many(matrix, [spec(features, s + i, params, train=f"_train_{s}") for s in seeds for i in range(n_models)])
+    scored = materialise(predict_matrix(models, rows, features, "_p"), "scored")
+    out = None
+    for i, s in enumerate(seeds):
+        names = [f"_p{i * n_models + j + 1}" for j in range(n_models)]
+        test = scored.filter(f"_test_{s}").withColumn("pred", F.expr(f"({' + '.join(names)}) / {n_models}"))
+        one = regression_metrics(test, target, "pred").select(F.lit(s).alias("seed"), "mae", "rmse", "r2", "mape", "mdape")
+        out = one if out is None else out.unionByName(one)
+    return out

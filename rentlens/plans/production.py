@@ -43,8 +43,7 @@ def train_production(
         version_id(F.lit(counter), F.lit(stamp), F.lit(algorithm), canonical_hash8(*settings)).alias("v")
     ).first()["v"]
     base = f"{root}/version={version}"
-    for i, m in enumerate(models):
-        m.write().overwrite().save(f"{base}/model_{i}")
+    models.save(spark, f"{base}/models")
     calibration.write.mode("overwrite").parquet(f"{base}/calibration")
     meta = spark.createDataFrame([(algorithm, n_models, list(features))], "algoritmo string, n_models int, features array<string>")
     meta.write.mode("overwrite").parquet(f"{base}/meta")

@@ -9,16 +9,13 @@ from rentlens.operators import selection
 from rentlens.operators.sampling import stratified_split
 from rentlens.plans import features as P
 from rentlens.plans.production import score_new_rows, train_production
-from rentlens.queries.analytics import split_sql
 from rentlens.queries.registry import query
 from rentlens.session import materialise, scratch_path
 from rentlens.sources.tables import read_current_model
 from rentlens.streaming import jobs
 
 FEATS = ["l_quantity", "l_discount", "l_tax", "sector"]
-#: Few and shallow rounds for the queries that only store and load models.
-SMALL = {"maxIter": 3, "maxDepth": 3}
-SPLIT = split_sql(42) + ", c AS (SELECT *, round_even(n*0.15,0) AS nt FROM r)"
+SPACE = {"maxDepth": [3, 4, 5, 6], "maxIter": [10, 20, 30], "stepSize": [0.05, 0.1, 0.3], "subsamplingRate": [0.6, 0.8, 1.0]}
 
 
 def base(t):
@@ -30,69 +27,68 @@ def split_scored(t):
     return materialise(stratified_split(base(t), "id", "y").withColumn("es_val", F.col("split") == "val"), "split")
 
 
-@query("seed_ensemble", SPLIT + " SELECT count(*) AS n, true AS beats_mean, true AS beats_sector FROM c WHERE k<=nt", ["scored"])
-def _(t):
-    """Ten models, early-stopped on the validation part: test rows, and whether their mean beats both plain guesses."""
+def fitted(t):
+    """Ten models, early-stopped on the validation part, and the split rows."""
     s = split_scored(t)
-    models = R.fit_ensemble(s.filter("split <> 'test'"), FEATS, "y", 10, 42, {"maxIter": 10, "maxDepth": 4}, validation="es_val")
-    scored = R.predict_mean(models, s.filter("split = 'test'"), FEATS)
-    mean = s.filter("split <> 'test'").agg(F.avg("y")).first()[0]
-    e = scored.agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(F.col("y") - F.col("pred"))).alias("own"), F.avg(F.abs(F.col("y") - mean)).alias("mean"), F.avg(F.abs(F.col("y") - F.col("sector"))).alias("sector"))
-    return e.select("n", (F.col("own") < F.col("mean")).alias("beats_mean"), (F.col("own") < F.col("sector")).alias("beats_sector"))
+    return R.fit_ensemble(s.filter("split <> 'test'"), FEATS, "y", validation="es_val"), s
 
 
-@query("predict_matrix", SPLIT + " SELECT id, y, true AS in_bounds FROM c WHERE k<=nt", ["scored"])
+@query("seed_ensemble")
 def _(t):
-    s = split_scored(t)
-    models = R.fit_ensemble(s.filter("split = 'train'"), FEATS, "y")
-    least = F.least(*[F.col(f"p{i}") for i in range(1, len(models) + 1)])
-    return R.predict_matrix(models, s.filter("split = 'test'"), FEATS).select("id", "y", (least >= 0).alias("in_bounds"))
+    """Error of each of the ten models and of their mean (model 0) on the test part, with the rounds that early stopping kept."""
+    models, s = fitted(t)
+    scored = materialise(R.predict_mean(models, R.predict_matrix(models, s.filter("split = 'test'"), FEATS), FEATS), "scored")
+    rounds = {i + 1: len(trees) for i, trees in enumerate(models.trees)}
+    errors = F.inline(F.array(*[F.struct(F.lit(i).alias("model"), F.lit(rounds.get(i)).cast("int").alias("rounds"), F.abs(F.col("y") - F.col(f"p{i}" if i else "pred")).alias("e")) for i in range(len(models) + 1)]))
+    return scored.select(errors).groupBy("model", "rounds").agg(F.count(F.lit(1)).alias("n"), F.avg("e").alias("mae"), F.sqrt(F.avg(F.col("e") * F.col("e"))).alias("rmse"))
 
 
-@query("predict_mean", SPLIT + " SELECT id, y, true AS is_mean FROM c WHERE k<=nt", ["scored"])
+@query("predict_matrix")
 def _(t):
-    """The mean prediction equals the mean of the matrix."""
-    s = split_scored(t)
-    models = R.fit_ensemble(s.filter("split = 'train'"), FEATS, "y")
-    total = sum((F.col(f"p{i}") for i in range(2, len(models) + 1)), F.col("p1"))
-    both = R.predict_mean(models, R.predict_matrix(models, s.filter("split = 'test'"), FEATS), FEATS)
-    return both.select("id", "y", (F.abs(F.col("pred") - total / len(models)) < 1e-6).alias("is_mean"))
+    models, s = fitted(t)
+    return R.predict_matrix(models, s.filter("split = 'test'"), FEATS).select("id", "y", *[f"p{i}" for i in range(1, len(models) + 1)])
 
 
-@query("param_search", "SELECT trial::INT AS trial, true AS found FROM (SELECT DISTINCT l_orderkey % 2 AS trial FROM lineitem)")
+@query("predict_mean")
 def _(t):
-    space = {"maxDepth": [2, 3], "maxIter": [2, 3], "stepSize": [0.1, 0.3]}
-    return R.param_search(base(t), "id", FEATS, "y", space, trials=2).select("trial", (F.col("error") > 0).alias("found"))
+    models, s = fitted(t)
+    return R.predict_mean(models, s.filter("split = 'test'"), FEATS).select("id", "y", "pred")
 
 
-@query("stability_selection", "SELECT feature, feature = 'sector' AS leads FROM (VALUES ('l_quantity'), ('l_discount'), ('l_tax'), ('sector')) v(feature) WHERE (SELECT corr(l_extendedprice, l_quantity) FROM lineitem) < 0.999")
+@query("param_search")
 def _(t):
-    """Features by importance; the sector price leads."""
-    imp = R.stability_selection(base(t), "id", FEATS, "y")
-    score = selection.stability_score(imp, "feature", "importance")
-    top = score.agg(F.max_by("feature", "mean_imp")).first()[0]
-    return score.select("feature", (F.col("feature") == top).alias("leads"))
+    return R.param_search(base(t), "id", FEATS, "y", SPACE)
 
 
-@query("k_curve", "SELECT k::INT AS k, true AS found FROM (SELECT DISTINCT 1 + l_orderkey % 2 AS k FROM lineitem)")
+@query("stability_selection")
 def _(t):
-    s = split_scored(t)
-    curve = R.k_curve(s.filter("split = 'train'"), s.filter("split = 'val'"), ["sector", "l_quantity"], "y")
-    return curve.select("k", ((F.col("mae") > 0) & (F.col("rmse") >= F.col("mae")) & (F.col("r2") <= 1)).alias("found"))
+    """Importance statistics of each feature over 30 seeds of 5 folds."""
+    return selection.stability_score(R.stability_selection(base(t), "id", FEATS, "y"), "feature", "importance")
 
 
-@query("permutation_importance", "SELECT feature, feature = 'sector' AS leads FROM (VALUES ('l_quantity'), ('l_discount'), ('l_tax'), ('sector')) v(feature) WHERE (SELECT corr(l_extendedprice, l_quantity) FROM lineitem) < 0.999")
+@query("k_curve")
 def _(t):
     s = split_scored(t)
-    models = R.fit_ensemble(s.filter("split = 'train'"), FEATS, "y")
-    out = materialise(R.permutation_importance(models, s.filter("split = 'test'"), "id", FEATS, "y"), "importance")
-    top = out.agg(F.max_by("feature", "importance")).first()[0]
-    return out.select("feature", (F.col("feature") == top).alias("leads"))
+    return R.k_curve(s.filter("split = 'train'"), s.filter("split = 'val'"), "id", ["sector", "l_quantity", "l_discount", "l_tax"], "y")
 
 
-@query("repeat_over_seeds", "SELECT seed::INT AS seed, true AS fits FROM (SELECT DISTINCT 1 + l_orderkey % 2 AS seed FROM lineitem)")
+@query("permutation_importance")
 def _(t):
-    return R.repeat_over_seeds(base(t), "id", FEATS, "y", [1, 2]).select("seed", (F.col("r2") > 0).alias("fits"))
+    models, s = fitted(t)
+    return R.permutation_importance(models, s.filter("split = 'test'"), "id", FEATS, "y")
+
+
+@query("row_attributions")
+def _(t):
+    """What each feature adds to a test row's prediction along the paths of the trees; ``base`` and the four add up to ``pred``."""
+    models, s = fitted(t)
+    out = models.contributions(R.predict_mean(models, s.filter("split = 'test'"), FEATS))
+    return out.select("id", "pred", "base", *[F.col("contributions")[f].alias(f"by_{f}") for f in FEATS])
+
+
+@query("repeat_over_seeds")
+def _(t):
+    return R.repeat_over_seeds(base(t), "id", FEATS, "y", [1, 2, 3, 4, 5])
 
 
 SURFACE = "SELECT id, CASE WHEN superficie_util >= 30 THEN superficie_util END AS kept, superficie_util IS NULL OR superficie_util < 30 AS estimated FROM listings"
@@ -116,12 +112,10 @@ def _(t):
     return against_source(out, src)
 
 
-@query("validate_surface_imputer", "SELECT true AS fits FROM listings HAVING count(*) FILTER (WHERE superficie_util >= 30) > 0", ["listings"])
+@query("validate_surface_imputer")
 def _(t):
-    """Error of the imputer on the held-out fifth of the trusted rows, against their own spread."""
-    src = surfaces(t)
-    spread = src.filter("superficie_util >= 30").agg(F.max("superficie_util") - F.min("superficie_util")).first()[0]
-    return R.validate_surface_imputer(src, "id", "superficie_util", ["dormitorios", "banos"], ["comuna"], trees=10).select((F.col("mae") < spread).alias("fits"))
+    """Error of the imputer on the held-out fifth of the trusted rows."""
+    return R.validate_surface_imputer(surfaces(t), "id", "superficie_util", ["dormitorios", "banos"], ["comuna"])
 
 
 @query("apply_saved_imputer", SURFACE, ["listings"])
@@ -137,7 +131,7 @@ def _(t):
 
 
 def training_table(t):
-    return P.feature_table_training(t.listings, t.rates, ["departamento", "casa"], trees=10, zones=t.zones, zone_attrs=["attr"])
+    return P.feature_table_training(t.listings, t.rates, ["departamento", "casa"], zones=t.zones, zone_attrs=["attr"])
 
 
 @query("feature_table_training")
@@ -153,21 +147,24 @@ def _(t):
     return out
 
 
-@query("train_production", "SELECT 'v0001_20250101000000_gbt' AS version, true AS fits FROM lineitem LIMIT 1")
+@query("train_production")
 def _(t):
-    out = train_production(base(t), FEATS, "y", scratch_path(t.spark, "versions"), "20250101000000")
-    return out.select(F.regexp_extract("version", "^(.*)_[0-9a-f]{8}$", 1).alias("version"), (F.col("r2") > 0).alias("fits"))
+    """Test metrics of a new version."""
+    return train_production(base(t), FEATS, "y", scratch_path(t.spark, "versions"), "20250101000000")
 
 
-@query("read_current_model", "SELECT 'gbt' AS algoritmo, 2 AS n_models, feature, true AS newest FROM (VALUES ('l_quantity'), ('sector')) v(feature) WHERE (SELECT count(*) FROM lineitem) > 0")
+@query("read_current_model", """SELECT 'gbt' AS algoritmo, 10 AS n_models, feature, true AS newest, n FROM (VALUES ('l_quantity'), ('sector')) v(feature),
+ (SELECT count(*) AS n FROM scored) c""", ["scored"])
 def _(t):
-    """Two versions are stored; the second is current, with its models and features."""
+    """Two versions are stored; the second is current, with its models and features. ``n``: rows that its models score."""
     root = scratch_path(t.spark, "versions")
     rows = materialise(base(t), "rows")
     for stamp, feats in (("20250101000000", FEATS), ("20250102000000", ["l_quantity", "sector"])):
-        train_production(rows, feats, "y", root, stamp, n_models=2, params=SMALL)
+        train_production(rows, feats, "y", root, stamp)
     m = read_current_model(t.spark, root)
-    return t.spark.createDataFrame([(m["algoritmo"], len(m["models"]), f, m["version"].startswith("v0002_20250102")) for f in m["features"]], "algoritmo string, n_models int, feature string, newest boolean")
+    scored = R.predict_mean(m["models"], rows, m["features"]).filter("pred >= 0").agg(F.count(F.lit(1)).alias("n"))
+    found = [(m["algoritmo"], len(m["models"]), f, m["version"].startswith("v0002_20250102")) for f in m["features"]]
+    return t.spark.createDataFrame(found, "algoritmo string, n_models int, feature string, newest boolean").withColumn("n", scored.scalar())
 
 
 @query("score_pending_rows")
@@ -176,7 +173,7 @@ def _(t):
     table, artifacts = training_table(t)
     table = materialise(table, "reference")
     root = scratch_path(t.spark, "versions")
-    train_production(table, P.FEATURES, "costo_total", root, "20250101000000", n_models=2, params=SMALL)
+    train_production(table, P.FEATURES, "costo_total", root, "20250101000000")
     pending, _ = P.feature_table_serving(t.listings, t.predictions, table, artifacts)
     return score_new_rows(t.spark, root, pending, t.listings, t.rates)
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,3 +56,17 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 def parallelism(spark: SparkSession) -> int:
     """Task count for a step whose work is far larger than its input bytes, so size-based splitting would give one task."""
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable in Python workers, wherever the driver found it: a zip goes out with ``addPyFile``, once per context."""
+    context = spark.sparkContext
+    if getattr(context, "_ships_rentlens", None):
+        return
+    root = Path(__file__).resolve().parents[1]
+    path = f"{tempfile.mkdtemp(prefix='spark-')}/rentlens.zip"  # the driver's own; Spark serves it to the executors
+    with zipfile.ZipFile(path, "w") as package:
+        for source in sorted((root / "rentlens").rglob("*.py")):
+            package.write(source, source.relative_to(root))
+    context.addPyFile(path)
+    context._ships_rentlens = True

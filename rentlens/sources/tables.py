@@ -152,7 +152,7 @@ def next_counter(spark: SparkSession, root: str) -> int:
 
 def read_current_model(spark: SparkSession, root: str) -> dict:
     """The current version's id, algorithm, models and calibration; the two records must agree on the algorithm."""
-    from pyspark.ml.regression import GBTRegressionModel
+    from rentlens.models.boosting import Ensemble
 
     registry = require_columns(spark.read.parquet(f"{root}/registry"), ["contador", "version", "algoritmo"])
     row = registry.orderBy(F.desc("contador")).first()
@@ -160,7 +160,7 @@ def read_current_model(spark: SparkSession, root: str) -> dict:
     meta = spark.read.parquet(f"{base}/meta").first()
     if meta["algoritmo"] != row["algoritmo"]:
         raise ValueError(f"registry says {row['algoritmo']}, version {row['version']} was trained with {meta['algoritmo']}")
-    models = [GBTRegressionModel.load(f"{base}/model_{i}") for i in range(meta["n_models"])]
+    models = Ensemble.load(spark, f"{base}/models")
     return {
         "version": row["version"], "algoritmo": row["algoritmo"], "models": models, "features": list(meta["features"]),
         "calibration": spark.read.parquet(f"{base}/calibration"),
