@@ -4,7 +4,8 @@ Texts become normalised TF-IDF vectors of hashed character n-grams (letters only
 are counted over all training documents. The centroids of a language are fitted by spherical k-means on a bounded
 sample: about ``sample_per_lang`` training documents per language, taken by a hash of id and text, equal rows once, each sent as a vector of
 at most ``FEATURES`` entries. A text gets the language of the most similar centroid (cosine), and is rejected when that
-similarity is far below what training texts of that language and length reach. Keys and encoded data count as no letters.
+similarity is far below what training texts of that language and length reach. Keys and encoded data among other words
+are left out; a text that holds nothing else is taken as it is, so every text with a letter gets a language.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0 and is rejected; a text of training language
 null or of blanks only is not trained on; without any training document everything is ``und``; other columns of the
@@ -35,8 +36,9 @@ BATCH_CHARS = 1 << 20
 UNKNOWN = "und"
 #: A text is rejected below this share of the similarity that 99 % of the sampled texts of its language and length reach.
 FLOOR_SHARE = 0.5
-#: Keys and encoded data, which are no words: runs of over 30 Latin letters or base64 characters, runs of letters and digits mixed.
-KEY = re.compile(r"[A-Za-z0-9+/=]{31,}+|(?<![^\W_])(?=[^\W\d_]+\d|\d+[^\W\d_])[^\W_]++|(?<![A-Za-z\u00C0-\u024F])[A-Za-z\u00C0-\u024F]{31,}+")
+#: Keys and encoded data, which are no words: of ASCII letters and digits standing alone, those that mix both, and runs of
+#: over 30 base64 characters that hold a digit or a capital after a small letter.
+KEY = re.compile(r"(?<![^\W_])(?=[A-Za-z]*\d[A-Za-z0-9]*[A-Za-z]|[A-Za-z]+\d)[A-Za-z0-9]++(?![^\W_])|(?<![A-Za-z0-9+/=])(?=[A-Za-z0-9+/=]*?(?:\d|[a-z][A-Z]))[A-Za-z0-9+/=]{31,}+")
 PRIMES = np.array([2654435761, 2246822519, 3266489917, 668265263], np.uint32)
 
 
@@ -62,9 +64,11 @@ def letters(text: str) -> np.ndarray:
 
 
 def gram_counts(text: str) -> np.ndarray | None:
-    """Counts of the hashed n-grams of the words, without keys; None without a letter outside of keys."""
+    """Counts of the hashed n-grams of the words, without keys if there are other words; None without a letter."""
     c = letters(KEY.sub(" ", text))
-    if len(c) < 2 or not (c != 32).any():
+    if not (c != 32).any():
+        c = letters(text)
+    if not (c != 32).any():
         return None
     buckets = []
     with np.errstate(over="ignore"):

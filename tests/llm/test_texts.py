@@ -2,11 +2,13 @@
 
 import base64
 import hashlib
+import math
 import os
 import random
 import string
 import tempfile
 import zlib
+from collections import Counter
 
 import pytest
 import regex
@@ -83,6 +85,52 @@ def test_language_cases(docs, table):
     assert langid.predict(df.limit(0), model).count() == 0
 
 
+MIXED = ["mp3", "COVID19", "我在2024年去了北京参加会议", "2024年は日本に行きました", "rindfleischetikettierungsüberwachungsaufgabenübertragungsgesetz"[:63], "A4", "x1y2z3 " * 50, "été2", "QmFzZTY0" * 40, "①é", "٣ب"]
+
+
+def test_every_letter_gives_a_language(docs, table):
+    """Letters beside digits, scripts without spaces, long compounds and texts of nothing but keys: a learned language, never ``und``."""
+    model = langid.train_model(table)
+    got = langid.predict(docs(list(enumerate(MIXED))), model).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in got if r["lang_pred"] not in model.langs} == {}
+    assert all(langid.gram_counts(t) is not None for t in MIXED)
+    prose = "the words of this text are plain and simple"
+    assert (langid.gram_counts(f"{prose} a1b2c3d4 {'aB3' * 20}") == langid.gram_counts(prose)).all()
+    assert (langid.gram_counts("我在A4纸") != langid.gram_counts("我在纸")).any()
+
+
+def test_nearest_centroid_by_hand(docs, table):
+    """The prediction is the language of the centroid with the highest cosine, all of it computed in plain Python."""
+    model = langid.train_model(table)
+    texts = [r["text"] for r in table.limit(15).collect() if r["text"]] + MIXED + ["Über den Wolken", "ÇA VA, ÊTES-VOUS LÀ ?"]
+
+    def grams(text):
+        chars = [ord(c.lower()[0]) if c.isalpha() else 32 for c in text]
+        c = [x for i, x in enumerate([32, *chars, 32]) if x != 32 or i == 0 or [32, *chars, 32][i - 1] != 32]
+        out = Counter()
+        for n in langid.ORDERS:
+            for at in range(len(c) - n + 1):
+                h = n * 374761393 & 0xFFFFFFFF
+                for i in range(n):
+                    h = (h ^ (c[at + i] * int(langid.PRIMES[i]) & 0xFFFFFFFF)) * 2246822519 & 0xFFFFFFFF
+                    h ^= h >> 15
+                out[h >> 19] += 1
+        return out
+
+    got = {r["doc_id"]: r for r in langid.predict(docs(list(enumerate(texts))), model).collect()}
+    for i, text in enumerate(texts):
+        left = langid.KEY.sub(" ", text)
+        counts = grams(left if any(c.isalpha() for c in left) else text)
+        v = {g: math.log1p(n) * float(model.idf[g]) for g, n in counts.items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        near = [sum(x * float(c[g]) for g, x in v.items()) / norm for c in model.centroids]
+        best = max(range(len(near)), key=near.__getitem__)
+        assert got[i]["score"] == pytest.approx(min(1.0, max(0.0, near[best])), abs=1e-4), text[:50]
+        assert near[[model.langs[o] for o in model.owner].index(got[i]["lang_pred"])] <= near[best]
+        if sorted(near)[-1] - sorted(near)[-2] > 1e-4:
+            assert got[i]["lang_pred"] == model.langs[model.owner[best]]
+
+
 def test_nothing_to_learn_from(docs):
     df = docs([(1, "some text", None, "s", 9), (2, None)])
     model = langid.train_model(df)
