@@ -2,7 +2,9 @@
 
 The index is a Parquet table in the shared folder, bucketed and sorted by digest. A batch is reduced to one row per
 digest (combined before the shuffle), sort-merge anti-joined with the index, and what is new is appended. Appending a
-batch again adds nothing, so a job that broke off can be run again. Only digests and ids are shuffled, never texts.
+batch again adds nothing, and the row that an earlier, broken run put into the index is known again by its id: a job
+that broke off can be run again, against the index that it left, and keeps the same rows. Only digests and ids are
+shuffled, never texts.
 
 Defined cases: a null text counts as empty; a null id is larger than any other; of rows repeated with one id and one
 text a single row stays; an empty batch changes nothing.
@@ -26,8 +28,9 @@ def normalised_text(text: str) -> F.Column:
 
 @dataclass
 class Batch:
-    """What one batch leaves behind: ``rows`` (id, digest, row) and ``groups`` (digest, keep_id, row, n)."""
+    """What one batch leaves behind: ``rows`` (id, digest, row, batch) and ``groups`` (digest, keep_id, keep_row, n)."""
 
+    name: str
     rows: DataFrame
     groups: DataFrame
 
@@ -68,18 +71,30 @@ class DigestIndex:
         fresh = groups.join(self.read().select("digest").hint("merge"), "digest", "left_anti")
         fresh = fresh.repartition(self.buckets, "digest").select("digest", "keep_id", F.lit(name).alias("batch"), "keep_row")
         fresh.write.insertInto(self.table)
-        return Batch(rows, groups)
+        return Batch(name, rows, groups)
 
     def resolve(self, *batches: Batch) -> DataFrame:
         """Per row of the batches: ``id, digest, keep_id, group_size`` (rows in these batches) and ``kept``."""
-        groups, rows = batches[0].groups, batches[0].rows
-        for b in batches[1:]:
-            groups, rows = groups.unionByName(b.groups), rows.unionByName(b.rows)
-        groups = groups.groupBy("digest").agg(F.sum("n").alias("group_size"))
-        kept = self.read().withColumnRenamed("batch", "keep_batch")
-        groups = materialise(groups.join(kept, "digest"), "digest-found")
-        found = attach(rows, groups, "digest", "group_size")
-        return found.select("id", "digest", "keep_id", "group_size", ((F.col("batch") == F.col("keep_batch")) & (F.col("row") == F.col("keep_row"))).alias("kept"))
+        groups, rows = None, None
+        for place, b in enumerate(batches):
+            own = b.groups.select("digest", "n", F.struct(F.lit(place).alias("place"), F.lit(b.name).alias("batch"), F.col("keep_row").alias("row")).alias("here"), F.col("keep_id").alias("here_id"))
+            groups = own if groups is None else groups.unionByName(own)
+            rows = b.rows if rows is None else rows.unionByName(b.rows)
+        found = groups.join(self.read().hint("merge"), "digest")
+        # a row of these batches, or the row of an earlier run that one of them holds again
+        again = F.min(F.when(F.col("here_id").eqNullSafe(F.col("keep_id")), F.col("here")))
+        known = F.first(F.struct("keep_id", "batch", "keep_row"))
+        found = found.groupBy("digest").agg(F.sum("n").alias("group_size"), known.alias("known"), again.alias("again"))
+        ours = F.col("known.batch").isin([b.name for b in batches])
+        keeper = F.when(ours, F.struct(F.col("known.batch").alias("batch"), F.col("known.keep_row").alias("row"))).otherwise(F.struct("again.batch", "again.row"))
+        found = materialise(found.select("digest", "group_size", "known.keep_id", keeper.alias("keeper")), "digest-found")
+        out = attach(rows, found, "digest", "group_size")
+        kept = F.coalesce((F.col("batch") == F.col("keeper.batch")) & (F.col("row") == F.col("keeper.row")), F.lit(False))
+        return out.select("id", "digest", "keep_id", "group_size", kept.alias("kept"))
+
+    def close(self) -> None:
+        """Takes the table out of the catalog; the folder stays and can be opened again."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
 
 
 def dedup_in_batches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = 2) -> DataFrame:
@@ -94,4 +109,6 @@ def dedup_in_batches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         inside = inside & (F.col(id_col) <= right) if right is not None else inside | F.col(id_col).isNull()
         done.append(index.ingest(docs.filter(inside), id_col, text_col))
         left = right
-    return index.resolve(*done)
+    out = index.resolve(*done)
+    index.close()
+    return out
