@@ -52,6 +52,7 @@ class Aligner:
         self.b_bytes = [self.piece_bytes(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
         self.a_length, self.b_length = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
         self.width = len(self.b_bytes)
+        self.code = code_type(len(self.a_bytes) * self.width)
 
     @staticmethod
     def piece_bytes(piece: str) -> bytes:
@@ -70,6 +71,11 @@ class Aligner:
         return out
 
 
+def code_type(n: int) -> str:
+    """The type of a pair's code, of ``n`` possible ones: four bytes where they suffice."""
+    return "<u4" if n <= 1 << 32 else "<i8"
+
+
 @functools.lru_cache(maxsize=1)
 def aligner(bpe_path: str, piece_path: str) -> Aligner:
     return Aligner(bpe_path, piece_path)
@@ -159,7 +165,7 @@ def align(docs: DataFrame, bpe_path: str, piece_path: str, id_col: str = "doc_id
                     a, b = pair
                     at_a, at_b = common_ends(np.cumsum(tools.a_length[a]), np.cumsum(tools.b_length[b]))
                     groups = group_text(names, n_a, a, b, at_a, at_b)
-                    codes = (a[at_a] * tools.width + b[at_b]).astype("<i8").tobytes()
+                    codes = (a[at_a] * tools.width + b[at_b]).astype(tools.code).tobytes()
                     rows.append((f"{task}-{number}", doc_id, len(a), len(b), len(at_a), len(at_a), hashlib.sha256(groups.encode()).hexdigest(), codes))
                     size += len(codes)
                 kinds = [pa.string(), *[pa.int64()] * 5, pa.string(), pa.binary()]
@@ -170,7 +176,7 @@ def align(docs: DataFrame, bpe_path: str, piece_path: str, id_col: str = "doc_id
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), empty_if_null(text_col).alias("text")).mapInArrow(run, ALIGNED)
 
 
-def block_pairs(aligned: DataFrame) -> DataFrame:
+def block_pairs(aligned: DataFrame, code_kind: str) -> DataFrame:
     """``block, code, links``: the sums of each block's pairs. A block's documents stand together in one file."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,7 +186,7 @@ def block_pairs(aligned: DataFrame) -> DataFrame:
             nonlocal codes, size
             code, links = np.unique(np.concatenate(codes), return_counts=True)
             codes, size = [], 0
-            return pa.record_batch([pa.array([block] * len(code), pa.string()), pa.array(code, pa.int64()), pa.array(links, pa.int64())], names=["block", "code", "links"])
+            return pa.record_batch([pa.array([block] * len(code), pa.string()), pa.array(code.astype(np.int64)), pa.array(links, pa.int64())], names=["block", "code", "links"])
 
         for batch in batches:
             for name, c in zip(*(batch.column(i).to_pylist() for i in range(2))):
@@ -188,7 +194,7 @@ def block_pairs(aligned: DataFrame) -> DataFrame:
                     yield flush()
                 block = name
                 if c:
-                    codes.append(np.frombuffer(c, "<i8"))
+                    codes.append(np.frombuffer(c, code_kind))
                     size += len(c)
         if codes:
             yield flush()
@@ -207,8 +213,10 @@ def pair_counts(blocks: DataFrame, width: int) -> DataFrame:
 def token_alignment(docs: DataFrame, bpe_path: str, piece_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256``."""
     aligned = materialise(align(docs, bpe_path, piece_path, id_col, text_col), "aligned")
-    blocks = block_pairs(aligned)
-    known = pair_counts(blocks, sentencepiece.SentencePieceProcessor(model_file=piece_path).get_piece_size())
+    width = sentencepiece.SentencePieceProcessor(model_file=piece_path).get_piece_size()
+    code_kind = code_type(ByteBpe(bpe_path).size * width)
+    blocks = block_pairs(aligned, code_kind)
+    known = pair_counts(blocks, width)
     wanted = blocks.select("block", "code").distinct().join(known, "code")
     tables = wanted.groupBy("block").agg(F.collect_list(F.struct("code", "count", "best")).alias("pairs"))
     whole = "doc_id", "n_a", "n_b", "n_groups", "n_links"
@@ -222,7 +230,7 @@ def token_alignment(docs: DataFrame, bpe_path: str, piece_path: str, id_col: str
             code, count, best = code[order], count[order], best[order]
         n_best, sums = [], []
         for c in docs["codes"].to_pylist():
-            at = np.searchsorted(code, np.frombuffer(c, "<i8"))
+            at = np.searchsorted(code, np.frombuffer(c, code_kind))
             n_best.append(int(best[at].sum()) if len(at) else 0)
             sums.append(int(count[at].sum()) if len(at) else 0)
         return pa.table([*[docs[c] for c in whole], pa.array(n_best, pa.int64()), pa.array(sums, pa.int64()), docs["groups_sha256"]], names=[*whole, "n_best", "count_sum", "groups_sha256"])
