@@ -116,26 +116,30 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
-_TEMPLATES = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(license_scan.TEMPLATES))
+_TEMPLATES = ", ".join("({}, '{}', '{}')".format(i, name, text.replace("'", "''")) for i, (name, text) in enumerate(license_scan.templates()))
+_MARKS = license_scan.MARKS.replace("'", "''")
+_PARAGRAPH_END = license_scan.PARAGRAPH_END.replace("'", "''")
 
 
 @query(rf"""
 WITH f AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '-') || '/' || coalesce(CAST(doc_id // 1000 AS VARCHAR), '-') || '/' || coalesce(CAST(doc_id // 20 AS VARCHAR), '-') || '/' || coalesce(CAST(doc_id AS VARCHAR), '-') AS path FROM documents),
-  p AS (SELECT path, ltrim(substr(text, 1, 200)) AS start, string_split_regex(text, '{license_scan.SENTENCE_END}') AS ps FROM f),
-  q AS (SELECT path, start, unnest(range(len(ps))) AS pos, lower(unnest(ps)) AS piece FROM p),
-  s AS (SELECT path, pos, starts_with(lower(start), substr(ltrim(piece), 1, 100)) AS head, regexp_extract_all(piece, '{license_scan.TERM}') AS terms FROM q WHERE regexp_matches(piece, '{license_scan.CUE}')),
+  b AS (SELECT path, text, regexp_extract(text, '^\x{{FEFF}}?[\x20\x09-\x0D]*(?:#![^\n]*\n)?{_MARKS}*', 0) AS before FROM f),
+  p AS (SELECT path, 's' AS kind, string_split_regex(text, '{license_scan.STATEMENT_END}') AS ps, len(string_split_regex(before, '{license_scan.STATEMENT_END}')) AS place FROM b
+    UNION ALL SELECT path, 'p', string_split_regex(text, '{_PARAGRAPH_END}'), len(string_split_regex(before, '{_PARAGRAPH_END}')) FROM b
+    UNION ALL SELECT path, 'w', [text], 0 FROM b),
+  q AS (SELECT path, kind, place, unnest(range(1, len(ps) + 1)) AS n, unnest(ps) AS piece FROM p),
+  s AS (SELECT path, kind || n AS pos, n = place AS head, regexp_extract_all(lower(piece), '{license_scan.TERM}') AS terms FROM q),
   t AS (SELECT * FROM (VALUES {_TEMPLATES}) AS v(template, license, text)),
   tf AS (SELECT template, license, term, count(*) AS tf FROM (SELECT template, license, unnest(regexp_extract_all(lower(text), '{license_scan.TERM}')) AS term FROM t) GROUP BY ALL),
-  n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM s),
-  d AS (SELECT term, count(*) AS df FROM (SELECT unnest(list_distinct(terms)) AS term FROM s) GROUP BY term),
-  i AS (SELECT v.term, ln((1 + n) / (1 + coalesce(df, 0))) + 1 AS idf FROM (SELECT DISTINCT term FROM tf) v LEFT JOIN d ON d.term = v.term, n),
-  w AS (SELECT template, license, term, tf * idf AS w FROM tf JOIN i USING (term)),
+  n AS (SELECT ln(CAST(1 + count(*) AS DOUBLE)) AS unseen FROM t),
+  i AS (SELECT term, unseen - ln(CAST(1 + count(*) AS DOUBLE)) AS idf FROM tf, n GROUP BY term, unseen),
+  w AS (SELECT template, license, tf.term AS term, (1 + ln(CAST(tf AS DOUBLE))) * idf AS w FROM tf JOIN i ON i.term = tf.term),
   u AS (SELECT template, license, term, w / sqrt(sum(w * w) OVER (PARTITION BY template)) AS unit FROM w),
   c AS (SELECT path, pos, head, term, count(*) AS tf FROM (SELECT path, pos, head, unnest(terms) AS term FROM s) GROUP BY ALL),
-  x AS (SELECT c.*, tf * coalesce(idf, ln(1 + n) + 1) AS v FROM c LEFT JOIN i ON i.term = c.term, n),
+  x AS (SELECT c.*, (1 + ln(CAST(tf AS DOUBLE))) * coalesce(idf, unseen) AS v FROM c LEFT JOIN i ON i.term = c.term, n),
   l AS (SELECT path, pos, bool_or(head) AS head, sqrt(sum(v * v)) AS length FROM x GROUP BY path, pos),
-  b AS (SELECT path, pos, license, template, sum(v * unit) AS dot FROM x JOIN u USING (term) GROUP BY ALL),
-  z AS (SELECT path, pos, head, license, round(dot / length, 6) AS score FROM b JOIN l USING (path, pos)),
+  dots AS (SELECT path, pos, license, template, sum(v * unit) AS dot FROM x JOIN u ON u.term = x.term WHERE pos[1] = 's' OR template >= {len(license_scan.NAMES) + len(license_scan.STATEMENTS)} GROUP BY path, pos, license, template),
+  z AS (SELECT path, pos, head, license, round(dot / length, 6) AS score FROM dots JOIN l USING (path, pos)),
   best AS (SELECT * FROM z WHERE score >= {license_scan.MIN_SCORE} QUALIFY row_number() OVER (PARTITION BY path, pos ORDER BY score DESC, license) = 1),
   own AS (SELECT path, first(license ORDER BY score DESC, license) AS license, max(score) AS score, bool_or(head) AS head, regexp_replace(path, '/?[^/]*$', '') AS dir FROM best GROUP BY path),
   given AS (SELECT * FROM own WHERE head QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, path) = 1),

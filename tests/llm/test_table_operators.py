@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -35,6 +36,22 @@ def test_index_is_appended_and_reopened(spark, docs):
     assert "SortMergeJoin" in one.groups.join(index.read().hint("merge"), "digest", "left_anti")._jdf.queryExecution().executedPlan().toString()
 
 
+def test_rerun_after_a_broken_run_keeps_the_same_rows(spark, docs):
+    """The first run ended after its batch was in the index: the next run knows its rows again, in other batches and order too."""
+    rows = [(i, f"text {i % 40}") for i in range(100)] + [(None, "text 3"), (7, "text 7"), (500, None)]
+    index = exact_dedup.DigestIndex.new(spark, 3)
+    want = sorted((r["id"] is None, r["id"] or 0, r["keep_id"], r["kept"]) for r in index.resolve(index.ingest(docs(rows))).collect())
+    assert sum(kept for *_, kept in want) == 41
+    index.close()
+    for parts in (1, 5):
+        again = exact_dedup.DigestIndex(spark, index.path, 3)
+        half = [again.ingest(docs(rows, parts).filter(c)) for c in ("doc_id >= 50 OR doc_id IS NULL", "doc_id < 50")]
+        assert again.read().count() == 41
+        assert sorted((r["id"] is None, r["id"] or 0, r["keep_id"], r["kept"]) for r in again.resolve(*half).collect()) == want
+        again.close()
+    assert not [t for t in spark.catalog.listTables() if t.name == again.table]
+
+
 def fill(sizes, weights):
     """Targets by sharing the excess again and again."""
     total = sum(sizes.values())
@@ -133,6 +150,31 @@ def test_licences(spark):
     assert license_scan.scan_licenses(df.limit(0)).count() == 0
 
 
+def test_headers_licence_files_and_near_misses(spark):
+    texts = dict(license_scan.TEXTS)
+    commented = "/*\n * Copyright 2021 Some Person\n *\n" + "\n".join(f" * {x}" for x in texts["Apache-2.0"].split("\n")) + "\n */\nint main() {}\n" + "code goes here\n" * 50
+    cases = [
+        ("SPDX-License-Identifier: MIT", "MIT"), ("# SPDX-License-Identifier: Apache-2.0\nimport os\n", "Apache-2.0"), ("// SPDX-License-Identifier: BSD-3-Clause", "BSD-3-Clause"),
+        (commented, "Apache-2.0"), ("# " + texts["GPL-3.0"].replace("\n", "\n# ") + "\n\nx = 1\n", "GPL-3.0"), (texts["GPL-2.0"].upper(), "GPL-2.0"),
+        ("MIT License\n\nCopyright (c) 2020 Some Person\n\n" + texts["MIT"], "MIT"), ("Copyright 2020\n\n" + texts["BSD-3-Clause"], "BSD-3-Clause"), (texts["BSD-2-Clause"], "BSD-2-Clause"),
+        ("Copyright (c) 2020, A. Person\n" + texts["ISC"], "ISC"), ("-- " + texts["MPL-2.0"].replace("\n", "\n-- "), "MPL-2.0"), (texts["Unlicense"], "Unlicense"),
+        ("Permission is hereby granted, free of charge, to any person obtaining a copy", "MIT"), ("words. " * 40 + "Code released under the MIT License. " + "words. " * 40, "MIT"),
+        # licences outside of the list, and prose that has only some of the words
+        ("Licensed under the EUPL, Version 1.2 or later", None), ("This is the Eclipse Public License - v 2.0, with an exhibit", None), ("SPDX-License-Identifier: WTFPL", None), ("he lost his driving license on the public road", None),
+        ("the software is provided with a manual and a warranty card", None), ("the source of the river is free to all", None), ("a permission slip to use the library", None), ("We reserve all rights to be wrong", None),
+    ]
+    df = spark.createDataFrame([(f"{i}/x", t) for i, (t, _) in enumerate(cases)], "path string, text string")
+    got = {int(r["path"].split("/")[0]): r["license"] for r in license_scan.scan_licenses(df).collect()}
+    assert {i: got[i] for i in got if got[i] != cases[i][1]} == {}
+
+
+def test_parts_without_key_terms_cannot_score(spark):
+    """Every template's words without the key terms stay below the limit with all templates."""
+    rows = [(str(i), " ".join(t for t in re.findall(license_scan.TERM, text.lower()) if t not in set(license_scan.key_terms()))) for i, (_, text) in enumerate(license_scan.templates())]
+    found = spark.createDataFrame(rows, "path string, text string").selectExpr("path", "'w' AS part", "true AS head", f"regexp_extract_all(text, '{license_scan.TERM}', 0) AS terms")
+    assert license_scan.scores(found.filter("size(terms) > 0")).agg({"score": "max"}).first()[0] < license_scan.MIN_SCORE
+
+
 def test_licence_label_does_not_depend_on_the_table(spark):
     lines = ["Code released under the MIT License", "This package is licensed under the GNU General Public License, version 3", "Dataset licensed under CC BY-NC 4.0", "This file is licensed under the Apache License, Version 2.0", "the warranty of this car is void when you drive it"]
     df = spark.createDataFrame([(f"{i}/x", "prose\n" + line) for i, line in enumerate(lines)], "path string, text string")
