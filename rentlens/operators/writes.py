@@ -41,12 +41,14 @@ def upsert_by_key(existing: DataFrame, batch: DataFrame, keys: Sequence[str], or
     return existing.join(new.select(*keys), list(keys), "left_anti").select(*existing.columns).unionByName(new)
 
 
-def upsert_columns(existing: DataFrame, batch: DataFrame, key: str, columns: Sequence[str], insert: bool = True) -> DataFrame:
+def upsert_columns(existing: DataFrame, batch: DataFrame, key: str, columns: Sequence[str], insert: bool = True, order: Sequence[str] = ()) -> DataFrame:
     """Write only the listed columns of matching rows; unmatched batch rows are inserted when ``insert``.
 
-    The batch must hold one row per key.
+    Of several batch rows with one key the last in ``order`` counts, by default the one with the largest values; batch
+    rows without a key are left out.
     """
-    new = batch.select(F.col(key), F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in columns])
+    new = last_per_key(batch.select(key, *columns, *[c for c in order if c not in (key, *columns)]), [key], order or columns)
+    new = new.select(F.col(key), F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in columns])
     joined = existing.join(new, key, "full_outer" if insert else "left")
     return joined.select(
         *[
@@ -65,12 +67,15 @@ def update_status(existing: DataFrame, ids: DataFrame, key: str, state: str, as_
     return upsert_columns(existing, change, key, [state_col, date_col], insert=False)
 
 
-def daily_snapshot(existing: DataFrame, listings: DataFrame, as_of: str, states: Sequence[str], id_col: str = "id", state: str = "estado") -> DataFrame:
-    """The history with the day's (date, id, state) rows replaced: a rerun of the same day overwrites."""
-    day = listings.filter(F.col(state).isin(list(states))).select(
+def day_rows(listings: DataFrame, as_of: str, states: Sequence[str], id_col: str = "id", state: str = "estado") -> DataFrame:
+    return listings.filter(F.col(state).isin(list(states))).select(
         F.lit(as_of).cast("date").alias("fecha"), F.col(id_col).alias("id"), F.col(state).alias("estado")
     )
-    return upsert_by_key(existing, day, ["fecha", "id"], ["estado"])
+
+
+def daily_snapshot(existing: DataFrame, listings: DataFrame, as_of: str, states: Sequence[str], id_col: str = "id", state: str = "estado") -> DataFrame:
+    """The history with the day's (date, id, state) rows replaced: a rerun of the same day overwrites."""
+    return upsert_by_key(existing, day_rows(listings, as_of, states, id_col, state), ["fecha", "id"], ["estado"])
 
 
 def run_record(visits: DataFrame, run_id: str, started: str, ended: str, new_condition: str, error_condition: str) -> DataFrame:

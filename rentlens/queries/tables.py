@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rentlens.operators import joins, writes
-from rentlens.queries.registry import AS_OF, query
+from rentlens.queries.registry import AS_OF, ORACLES, query
 from rentlens.session import scratch_path
 from rentlens.sources import tables as store
+from rentlens.sources.keyed_store import KeyedStore
 
 L = ["listings"]
 
@@ -107,6 +108,61 @@ def _(t):
     return writes.daily_snapshot(t.snapshots, t.listings, "2024-01-30", ["activo", "pausado"])
 
 
+# ---- the same writes through the keyed store: the same checks ------------------------------------
+def kept(t, rows, keys=("id",)):
+    """A new keyed store that holds ``rows``."""
+    table = KeyedStore.create(t.spark, scratch_path(t.spark, "store"), rows.schema, keys, 16)
+    table.upsert(rows, keys, "start")
+    return table
+
+
+@query("store_insert_new_only")
+def _(t):
+    """Applied twice under one batch id: the second time changes nothing."""
+    table = kept(t, stored(t))
+    for _ in range(2):
+        table.insert_new(batch(t), ["seq"], "b1")
+    return table.read()
+
+
+@query("store_upsert_by_key")
+def _(t):
+    """Applied twice under one batch id: the second time changes nothing."""
+    table = kept(t, stored(t))
+    for _ in range(2):
+        table.upsert(batch(t), ["seq"], "b1")
+    return table.read()
+
+
+@query("store_upsert_columns")
+def _(t):
+    """Applied twice under one batch id: the second time changes nothing."""
+    table = kept(t, stored(t))
+    for _ in range(2):
+        table.update_columns(batch(t), ["fecha_chequeo", "precio"], "b1", ["seq"])
+    return table.read()
+
+
+@query("store_bulk_update_from")
+def _(t):
+    """Applied twice under one batch id: the second time changes nothing."""
+    table = kept(t, stored(t))
+    for _ in range(2):
+        table.update_columns(batch(t), ["precio"], "b1", ["seq"], insert=False)
+    return table.read()
+
+
+@query("store_daily_snapshot")
+def _(t):
+    table = kept(t, t.snapshots.select("fecha", "id", "estado"), ("fecha", "id"))
+    table.replace_day(t.listings, "2024-01-30", ["activo", "pausado"], "2024-01-30")
+    return table.read()
+
+
+for _name in ("insert_new_only", "upsert_by_key", "upsert_columns", "bulk_update_from", "daily_snapshot"):
+    ORACLES[f"store_{_name}"] = ORACLES[_name]
+
+
 @query("version_registry", ", v AS (SELECT version, min(fecha) AS f, min(seq) AS s FROM predictions GROUP BY 1), n AS (SELECT *, row_number() OVER (ORDER BY s, version) AS contador FROM v) SELECT version, contador, contador=(SELECT max(contador) FROM n) AS vigente FROM n", ["predictions"])
 def _(t):
     runs = t.predictions.groupBy("version").agg(F.min("seq").alias("s"))
