@@ -6,7 +6,6 @@ shifted by bucket counts, so strata of any size spread over many tasks and the s
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -15,15 +14,14 @@ from pyspark.sql import functions as F
 from rentlens.operators.binning import quantile_bin
 from rentlens.operators.quantiles import bucketed_rank
 
-ROWS_PER_RANGE = 100_000
+#: Hash digits of a range: 65,536 ranges of about equal size, whatever the table's; the ranks do not depend on it.
+HASH_DIGITS = 4
 
 
 def with_hash_rank(df: DataFrame, by: Sequence[str], id_col: str, seed: int, out: str = "rank") -> DataFrame:
     """Adds ``rank`` (1-based, in hash order within the group) and ``group_size``."""
     hashed = df.withColumn("_h", F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}"))))
-    # as many hash ranges as give about ROWS_PER_RANGE rows each; the ranks do not depend on it
-    digits = max(3, math.ceil(math.log(max(df.count(), 1) / ROWS_PER_RANGE, 16)))
-    return bucketed_rank(hashed, by, "_h", id_col, f"substr(_h, 1, {digits})", out).drop("_h")
+    return bucketed_rank(hashed, by, "_h", id_col, f"substr(_h, 1, {HASH_DIGITS})", out).drop("_h")
 
 
 def stratified_split(

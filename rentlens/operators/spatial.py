@@ -183,50 +183,83 @@ def lookup_median(points: DataFrame, reference: DataFrame, lat: str, lon: str, v
     )
 
 
-# cell sizes of the nearest-donor search: each four times the one before, from a few metres (so that dense
-# towns are searched in small cells) to the globe
-NEAREST_LEVELS = [3.125 * 4**k for k in range(13)]
+# degrees of the cells of the donor tree, finest (about 11 m) first; each level's cells hold 8 x 8 of the one before,
+# and the globe has two of the last
+DONOR_LEVELS = [0.0001 * 8**k for k in range(8)]
+#: Metres by which rounding may put a bound wrong.
+BOUND_SLACK = 1e-3
+
+
+def donor_tree(donors: DataFrame) -> list[DataFrame]:
+    """Per level the occupied cells: cy, cx, their cell py, px of the next level, and a circle around their donors (clat, clon, r).
+
+    Donors are read once, for the finest level; a circle of a coarser level is made from the circles inside, so it may
+    be wider than need be.
+    """
+    levels, below = [], None
+    for k, size in enumerate(DONOR_LEVELS):
+        up = DONOR_LEVELS[k + 1] if k + 1 < len(DONOR_LEVELS) else None
+        parent = f"cast(floor((clat + 90) / {up!r}D) AS bigint) AS py, cast(floor((clon + 180) / {up!r}D) AS bigint) AS px" if up else "0L AS py, 0L AS px"
+        if below is None:
+            rows = run(f"SELECT cy, cx, lat, lon, 0D AS r FROM {{d}}", d=donors)
+        else:
+            rows = run("SELECT py AS cy, px AS cx, clat AS lat, clon AS lon, r FROM {b}", b=below)
+        centred = f"""SELECT *, (cy + 0.5D) * {size!r}D - 90 AS clat, (cx + 0.5D) * {size!r}D - 180 AS clon FROM {{r}}"""
+        below = materialise(
+            run(
+                f"""SELECT *, {parent} FROM (SELECT cy, cx, any_value(clat) AS clat, any_value(clon) AS clon,
+ max(r + {haversine('lat', 'lon', 'clat', 'clon')}) AS r FROM ({centred}) GROUP BY cy, cx)""",
+                r=rows,
+            ),
+            "donor-cells",
+        )
+        levels.append(below)
+    return levels
 
 
 def nearest_fill(df: DataFrame, id_col: str, lat: str, lon: str, attr: str) -> DataFrame:
     """Null ``attr`` of rows with coordinates becomes that of the nearest row having it (smallest id among ties).
 
-    First the finest grid level is found at which a donor sits in the cells around the point (only
-    occupied cells are joined, not donors). A donor in those cells is less than one cell of the next
-    level away, so one join at the next level contains the nearest donor. Rows to fill without any donor are an error.
+    A branch-and-bound search down a tree of occupied cells, for all points together. A cell's donors lie in a circle, so
+    their distance from a point is between (distance to the centre - radius) and (distance + radius). At every level a
+    point keeps the cells whose least distance does not exceed its best greatest distance; only cells are joined, and
+    donors at the finest level alone, where a cell is about 11 m wide. Rows to fill without any donor are an error.
     """
     located = df.filter(f"{lat} IS NOT NULL AND {lon} IS NOT NULL").selectExpr(
         f"`{id_col}` AS id", f"{lat} AS lat", f"{lon} AS lon", f"`{attr}` AS attr"
     )
-    sizes = "array(" + ", ".join(f"{s!r}D" for s in NEAREST_LEVELS) + ")"
+    fine = DONOR_LEVELS[0]
     # one donor per point: the smallest id stands for its twins
-    donors = run(
-        f"""SELECT *, {cell_column('lon', 'cy', 'size')} AS cx FROM
-        (SELECT *, {cell_row('lat', 'size')} AS cy FROM
-          (SELECT lat, lon, min(id) AS id, min_by(attr, id) AS attr, posexplode({sizes}) AS (level, size)
-           FROM {{d}} WHERE attr IS NOT NULL GROUP BY lat, lon))""",
-        d=located,
+    donors = materialise(
+        run(
+            f"""SELECT lat, lon, min(id) AS id, min_by(attr, id) AS attr, cast(floor((lat + 90) / {fine!r}D) AS bigint) AS cy,
+ cast(floor((lon + 180) / {fine!r}D) AS bigint) AS cx FROM {{d}} WHERE attr IS NOT NULL GROUP BY lat, lon""",
+            d=located,
+        ),
+        "donors",
     )
     probes = located.filter("attr IS NULL").select("lat", "lon").distinct()
-    if donors.isEmpty() and not probes.isEmpty():
-        raise ValueError(f"no row with coordinates has {attr}")
-    level = run(
-        f"""SELECT lat, lon, least(min(level) + 1, {len(NEAREST_LEVELS) - 1}) AS level FROM
-        (SELECT lat, lon, level, c.cy AS cy, c.cx AS cx FROM
-          (SELECT *, explode({cells_around('lat', 'lon', 'size')}) AS c FROM
-            (SELECT lat, lon, posexplode({sizes}) AS (level, size) FROM {{p}})))
-        LEFT SEMI JOIN (SELECT DISTINCT level, cy, cx FROM {{d}}) USING (level, cy, cx)
-        GROUP BY lat, lon""",
-        p=probes,
-        d=donors,
-    )
+    if donors.isEmpty():
+        if not probes.isEmpty():
+            raise ValueError(f"no row with coordinates has {attr}")
+        return df
+    tree = donor_tree(donors)
+    top = ", ".join(f"struct({r['cy']}L AS py, {r['cx']}L AS px)" for r in tree.pop().collect())
+    near = run(f"SELECT lat, lon, inline(array({top})) FROM {{p}}", p=probes)
+    for cells in reversed(tree):
+        far = haversine("p.lat", "p.lon", "c.clat", "c.clon")
+        near = run(
+            f"""SELECT lat, lon, cy AS py, cx AS px FROM
+ (SELECT *, min(d + r) OVER (PARTITION BY lat, lon) AS best FROM
+   (SELECT p.lat, p.lon, c.cy, c.cx, c.r, {far} AS d FROM {{p}} p JOIN {{c}} c ON p.py = c.py AND p.px = c.px))
+ WHERE d - r <= best + {BOUND_SLACK!r}D""",
+            p=near,
+            c=cells,
+        )
     best = run(
-        f"""SELECT a.lat, a.lon, min_by(d.attr, struct({haversine('a.lat', 'a.lon', 'd.lat', 'd.lon')}, d.id)) AS near FROM
-        (SELECT lat, lon, level, c.cy AS cy, c.cx AS cx FROM
-          (SELECT *, explode({cells_around('lat', 'lon', f'element_at({sizes}, level + 1)')}) AS c FROM {{l}})) a
-        JOIN {{d}} d ON a.level = d.level AND a.cy = d.cy AND a.cx = d.cx
-        GROUP BY a.lat, a.lon""",
-        l=level,
+        f"""SELECT p.lat, p.lon, min_by(d.attr, struct({haversine('p.lat', 'p.lon', 'd.lat', 'd.lon')}, d.id)) AS near
+ FROM {{p}} p JOIN {{d}} d ON p.py = d.cy AND p.px = d.cx GROUP BY p.lat, p.lon""",
+        p=near,
         d=donors,
     )
     keep = ", ".join(f"coalesce(m.`{c}`, b.near) AS `{c}`" if c == attr else f"m.`{c}`" for c in df.columns)

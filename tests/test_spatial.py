@@ -118,3 +118,37 @@ def test_empty_polygons_fail(spark):
 def test_haversine_known_distance(spark):
     row = spark.range(1).select(haversine_m("0D", "0D", "0D", "180D")).first()
     assert row[0] == pytest.approx(np.pi * R)
+
+
+@pytest.mark.parametrize("spread", [0.0005, 0.3, 60.0])
+def test_nearest_donors_by_branch_and_bound(spark, spread):
+    """Donors in towns, at the poles, on both sides of 180 degrees and on a circle around a point; ties go to the smallest id."""
+    r = np.random.default_rng(int(spread * 10) + 1)
+    at = [(-36.8, -73.05), (-36.81, -73.0), (89.9, 10.0), (-89.99, -170.0), (0.0, 179.99), (0.0, -179.99)]
+    rows = []
+    for i in range(300):
+        la, lo = at[r.integers(len(at))]
+        lo = (lo + r.normal() * spread + 180) % 360 - 180
+        rows.append((i, float(np.clip(la + r.normal() * spread, -89.995 + 0.004 * r.random(), 89.995 - 0.004 * r.random())), float(lo), f"b{i}" if r.random() < 0.6 else None))
+    centre = (10.0, 10.0)
+    rows += [(1000 + i, centre[0] + 0.1 * float(np.sin(a)), centre[1] + 0.1 * float(np.cos(a)), f"c{i}") for i, a in enumerate(np.linspace(0, 6.28, 40))]
+    rows += [(2000, *centre, None), (2001, None, 1.0, None), (3001, 50.0, 0.001, "later"), (3000, 50.0, -0.001, "first"), (3002, 50.0, 0.0, None), (5000, 50.0, 0.001, "twin")]
+    df = spark.createDataFrame(rows, "id long, lat double, lon double, b string")
+    got = {x["id"]: x["b"] for x in S.nearest_fill(df, "id", "lat", "lon", "b").collect()}
+    assert len(got) == len(rows)
+    donors = [x for x in rows if x[3] is not None and x[1] is not None]
+    for i, la, lo, b in rows:
+        want = b if b is not None or la is None else min(donors, key=lambda d: (round(dist((la, lo), (d[1], d[2])), 6), d[0]))[3]
+        assert got[i] == want, (i, la, lo, got[i], want, [(d, dist((la, lo), d[1:3])) for d in donors if d[3] in (got[i], want)])
+
+
+def test_nearest_joins_cells_not_donors(spark):
+    """A thousand donors in one town: the keys of all joins together hold few more rows than there are points."""
+    r = np.random.default_rng(1)
+    rows = [(i, -36.8 + 0.02 * r.random(), -73.0 + 0.02 * r.random(), "b" if i % 2 else None) for i in range(4000)]
+    df = spark.createDataFrame([(i, float(a), float(o), b) for i, a, o, b in rows], "id long, lat double, lon double, b string")
+    donors = df.filter("b IS NOT NULL").selectExpr("lat", "lon", "id", "b AS attr", f"cast(floor((lat + 90) / {S.DONOR_LEVELS[0]!r}D) AS bigint) AS cy", f"cast(floor((lon + 180) / {S.DONOR_LEVELS[0]!r}D) AS bigint) AS cx")
+    levels = S.donor_tree(donors)
+    assert max(c.groupBy("py", "px").count().agg({"count": "max"}).first()[0] for c in levels) <= 64
+    assert donors.groupBy("cy", "cx").count().agg({"count": "max"}).first()[0] <= 20
+    assert S.nearest_fill(df, "id", "lat", "lon", "b").filter("b IS NULL").count() == 0
