@@ -6,8 +6,8 @@ the standard header and, of the short licences, the full text, each whole and by
 compared with these last alone, as a statement does not stand for a block around it. Vectors have weight
 (1 + ln tf) · idf per term; document frequencies are counted over the templates, where a term of no template is never seen, so a score
 depends on neither the table's size nor its other rows. A text has the licence of its most similar template if that
-reaches ``MIN_SCORE``; other licences stay unknown. Only parts with one of ``key_terms`` are scored: a part without any
-of them has a score below ``MIN_SCORE`` with every template, so this loses nothing.
+reaches ``MIN_SCORE``; other licences stay unknown. Only parts with one of the ``key_terms`` of their templates are
+scored: a part without any of them has a score below ``MIN_SCORE`` with every template, so this loses nothing.
 
 A file whose name says so (LICENSE, COPYING, NOTICE), or whose first statement or paragraph is one, is a licence file
 and speaks for its directory; a file without an own licence inherits from the
@@ -180,15 +180,17 @@ def parts(files: DataFrame) -> DataFrame:
     """``path, part, head, terms``: the statements, paragraphs and whole texts that hold a key term; ``head`` where nothing but blanks, comment marks and a ``#!`` line stands before."""
     text = empty_if_null("text")
     before = F.regexp_extract(text, BEFORE_HEAD, 0)
-    keyed = files.select("path", text.alias("text"), before.alias("before")).filter(F.lower("text").rlike(key_pattern()))
+    keyed = files.select("path", text.alias("text"), before.alias("before"))
 
-    def pieces(kind: str, end: str) -> DataFrame:
+    def pieces(kind: str, end: str, keys: str) -> DataFrame:
         first = F.size(F.split("before", end)) - 1
-        cut = keyed.select("path", first.alias("_first"), F.posexplode(F.split("text", end)).alias("pos", "piece"))
-        return cut.select("path", F.concat(F.lit(kind), F.col("pos")).alias("part"), (F.col("pos") == F.col("_first")).alias("head"), F.lower("piece").alias("piece"))
+        cut = keyed.filter(F.lower("text").rlike(keys)).select("path", first.alias("_first"), F.posexplode(F.split("text", end)).alias("pos", "piece"))
+        cut = cut.select("path", F.concat(F.lit(kind), F.col("pos")).alias("part"), (F.col("pos") == F.col("_first")).alias("head"), F.lower("piece").alias("piece"))
+        return cut.filter(F.col("piece").rlike(keys))
 
-    whole = keyed.select("path", F.lit("w").alias("part"), F.lit(False).alias("head"), F.lower("text").alias("piece"))
-    every = pieces("s", STATEMENT_END).unionByName(pieces("p", PARAGRAPH_END)).unionByName(whole).filter(F.col("piece").rlike(key_pattern()))
+    blocks = key_pattern(FIRST_BLOCK)
+    whole = keyed.select("path", F.lit("w").alias("part"), F.lit(False).alias("head"), F.lower("text").alias("piece")).filter(F.col("piece").rlike(blocks))
+    every = pieces("s", STATEMENT_END, key_pattern()).unionByName(pieces("p", PARAGRAPH_END, blocks)).unionByName(whole)
     return every.select("path", "part", "head", F.regexp_extract_all("piece", F.lit(TERM), F.lit(0)).alias("terms"))
 
 
@@ -207,9 +209,13 @@ def template_weights() -> tuple[list[tuple[str, float]], list[tuple[str, str, in
     return sorted(idf.items()), weights, unseen
 
 
-@functools.lru_cache(maxsize=1)
-def key_terms() -> list[str]:
-    """Terms of which every part that reaches ``MIN_SCORE`` holds one.
+#: Number of the first template that stands for a block of text; those before it are single statements.
+FIRST_BLOCK = len(NAMES) + len(STATEMENTS)
+
+
+@functools.lru_cache(maxsize=2)
+def key_terms(first: int = 0) -> list[str]:
+    """Terms of which every part that reaches ``MIN_SCORE`` with a template from number ``first`` on holds one.
 
     Of each template the rarest terms, everyday words last, until the weight of the others, which bounds the cosine of a
     part without any of these, is below ``MIN_SCORE``.
@@ -217,7 +223,8 @@ def key_terms() -> list[str]:
     by_template: dict[int, list[tuple[float, str]]] = {}
     idf = dict(template_weights()[0])
     for term, _, i, unit in template_weights()[1]:
-        by_template.setdefault(i, []).append((unit, term))
+        if i >= first:
+            by_template.setdefault(i, []).append((unit, term))
     keys = set()
     for terms in by_template.values():
         rest = 1.0
@@ -229,8 +236,8 @@ def key_terms() -> list[str]:
     return sorted(keys)
 
 
-def key_pattern() -> str:
-    return f"(?:^|[^a-z0-9])(?:{'|'.join(key_terms())})(?:$|[^a-z0-9])"
+def key_pattern(first: int = 0) -> str:
+    return f"(?:^|[^a-z0-9])(?:{'|'.join(key_terms(first))})(?:$|[^a-z0-9])"
 
 
 def scores(found: DataFrame) -> DataFrame:
@@ -243,7 +250,7 @@ def scores(found: DataFrame) -> DataFrame:
     counts = counts.join(F.broadcast(idf), "term", "left").withColumn("v", (1 + F.ln("tf")) * F.coalesce("idf", F.lit(unseen)))
     counts = materialise(counts, "part-terms")
     lengths = counts.groupBy("path", "part", "head").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("length"))
-    fits = F.col("part").startswith("s") | (F.col("template") >= len(NAMES) + len(STATEMENTS))
+    fits = F.col("part").startswith("s") | (F.col("template") >= FIRST_BLOCK)
     dots = counts.join(F.broadcast(weights), "term").filter(fits).groupBy("path", "part", "license", "template").agg(F.sum(F.col("v") * F.col("unit")).alias("dot"))
     both = dots.join(lengths, ["path", "part"]).withColumn("score", F.round(F.col("dot") / F.col("length"), 6))
     return both.groupBy("path", "part", "head").agg(F.min_by("license", F.struct(-F.col("score"), "license")).alias("license"), F.max("score").alias("score"))

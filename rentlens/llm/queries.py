@@ -138,7 +138,7 @@ WITH f AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '-') || '
   c AS (SELECT path, pos, head, term, count(*) AS tf FROM (SELECT path, pos, head, unnest(terms) AS term FROM s) GROUP BY ALL),
   x AS (SELECT c.*, (1 + ln(CAST(tf AS DOUBLE))) * coalesce(idf, unseen) AS v FROM c LEFT JOIN i ON i.term = c.term, n),
   l AS (SELECT path, pos, bool_or(head) AS head, sqrt(sum(v * v)) AS length FROM x GROUP BY path, pos),
-  dots AS (SELECT path, pos, license, template, sum(v * unit) AS dot FROM x JOIN u ON u.term = x.term WHERE pos[1] = 's' OR template >= {len(license_scan.NAMES) + len(license_scan.STATEMENTS)} GROUP BY path, pos, license, template),
+  dots AS (SELECT path, pos, license, template, sum(v * unit) AS dot FROM x JOIN u ON u.term = x.term WHERE pos[1] = 's' OR template >= {license_scan.FIRST_BLOCK} GROUP BY path, pos, license, template),
   z AS (SELECT path, pos, head, license, round(dot / length, 6) AS score FROM dots JOIN l USING (path, pos)),
   best AS (SELECT * FROM z WHERE score >= {license_scan.MIN_SCORE} QUALIFY row_number() OVER (PARTITION BY path, pos ORDER BY score DESC, license) = 1),
   own AS (SELECT path, first(license ORDER BY score DESC, license) AS license, max(score) AS score, bool_or(head) AS head, regexp_replace(path, '/?[^/]*$', '') AS dir FROM best GROUP BY path),
