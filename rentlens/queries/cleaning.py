@@ -285,11 +285,17 @@ def _(t):
     return rounded(out.select("id", "media", "maxima"), "media")
 
 
-@query("null_profile", """, l AS (SELECT antiguedad, barrio, lat, piso, superficie, precio FROM listings), u AS (SELECT 'antiguedad' AS columna, count(*) AS filas, count(*)-count(antiguedad) AS nulos FROM l UNION ALL SELECT 'barrio', count(*), count(*)-count(barrio) FROM l
- UNION ALL SELECT 'lat', count(*), count(*)-count(lat) FROM l UNION ALL SELECT 'piso', count(*), count(*)-count(piso) FROM l UNION ALL SELECT 'superficie', count(*), count(*)-count(superficie) FROM l UNION ALL SELECT 'precio', count(*), count(*)-count(precio) FROM l)
- SELECT columna, filas, nulos, round(nulos*100.0::DOUBLE/filas,6) AS pct FROM u WHERE nulos>0""", L)
+#: Every column of the listings view.
+LISTING_COLUMNS = (
+    "id comuna tipo barrio0 barrio titulo moneda precio dormitorios banos estacionamientos superficie superficie_util superficie_total gastos antiguedad piso "
+    "ascensor piscina cantidad_plazas cantidad_colegios lat lon estado fecha fecha_chequeo url"
+).split()
+PROFILE = " UNION ALL ".join(f"SELECT '{c}' AS columna, count(*) AS filas, count(*)-count({c}) AS nulos FROM listings" for c in LISTING_COLUMNS)
+
+
+@query("null_profile", f", u AS ({PROFILE}) SELECT columna, filas, nulos, round(nulos*100.0::DOUBLE/filas,6) AS pct FROM u WHERE nulos>0", L)
 def _(t):
-    return rounded(quality.null_profile(t.listings, ["antiguedad", "barrio", "lat", "piso", "superficie", "precio"]), "pct")
+    return rounded(quality.null_profile(t.listings), "pct")
 
 
 def level_sql(tail: str) -> str:

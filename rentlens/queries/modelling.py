@@ -86,6 +86,15 @@ def _(t):
     return out.select("id", "pred", "base", *[F.col("contributions")[f].alias(f"by_{f}") for f in FEATS])
 
 
+@query("model_attribution_summary")
+def _(t):
+    """Per feature the mean absolute contribution to the test rows' predictions and the direction it pushes them in."""
+    models, s = fitted(t)
+    rows = models.contributions(s.filter("split = 'test'"))
+    long = rows.select(F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v"), F.col("contributions")[f].alias("c")) for f in FEATS])))
+    return selection.attribution_summary(materialise(long, "contributions"), "feature", "v", "c")
+
+
 @query("repeat_over_seeds")
 def _(t):
     return R.repeat_over_seeds(base(t), "id", FEATS, "y", [1, 2, 3, 4, 5])
