@@ -25,6 +25,7 @@ import functools
 import math
 import re
 from collections import Counter
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -180,17 +181,19 @@ def parts(files: DataFrame) -> DataFrame:
     """``path, part, head, terms``: the statements, paragraphs and whole texts that hold a key term; ``head`` where nothing but blanks, comment marks and a ``#!`` line stands before."""
     text = empty_if_null("text")
     before = F.regexp_extract(text, BEFORE_HEAD, 0)
-    keyed = files.select("path", text.alias("text"), before.alias("before"))
+    # read again for each kind of part, so the few texts with a key term are written
+    keyed = materialise(files.select("path", text.alias("text"), before.alias("before")).filter(F.lower("text").rlike(key_pattern())), "keyed")
 
-    def pieces(kind: str, end: str, keys: str) -> DataFrame:
+    def pieces(rows: DataFrame, kind: str, end: str, keys: str) -> DataFrame:
         first = F.size(F.split("before", end)) - 1
-        cut = keyed.filter(F.lower("text").rlike(keys)).select("path", first.alias("_first"), F.posexplode(F.split("text", end)).alias("pos", "piece"))
+        cut = rows.select("path", first.alias("_first"), F.posexplode(F.split("text", end)).alias("pos", "piece"))
         cut = cut.select("path", F.concat(F.lit(kind), F.col("pos")).alias("part"), (F.col("pos") == F.col("_first")).alias("head"), F.lower("piece").alias("piece"))
         return cut.filter(F.col("piece").rlike(keys))
 
     blocks = key_pattern(FIRST_BLOCK)
-    whole = keyed.select("path", F.lit("w").alias("part"), F.lit(False).alias("head"), F.lower("text").alias("piece")).filter(F.col("piece").rlike(blocks))
-    every = pieces("s", STATEMENT_END, key_pattern()).unionByName(pieces("p", PARAGRAPH_END, blocks)).unionByName(whole)
+    some = keyed.filter(F.lower("text").rlike(blocks))
+    whole = some.select("path", F.lit("w").alias("part"), F.lit(False).alias("head"), F.lower("text").alias("piece"))
+    every = pieces(keyed, "s", STATEMENT_END, key_pattern()).unionByName(pieces(some, "p", PARAGRAPH_END, blocks)).unionByName(whole)
     return every.select("path", "part", "head", F.regexp_extract_all("piece", F.lit(TERM), F.lit(0)).alias("terms"))
 
 
@@ -236,8 +239,20 @@ def key_terms(first: int = 0) -> list[str]:
     return sorted(keys)
 
 
+def any_of(words: Sequence[str]) -> str:
+    """A pattern for the words with their common beginnings written once, so that a text's word is given up at its first unlike letter."""
+    heads: dict[str, list[str]] = {}
+    for w in words:
+        heads.setdefault(w[:1], []).append(w[1:])
+    branches = [c + any_of(rest) for c, rest in sorted(heads.items()) if c]
+    if not branches:
+        return ""
+    body = branches[0] if len(branches) == 1 and "" not in heads else f"(?:{'|'.join(branches)})"
+    return body + ("?" if "" in heads else "")
+
+
 def key_pattern(first: int = 0) -> str:
-    return f"(?:^|[^a-z0-9])(?:{'|'.join(key_terms(first))})(?:$|[^a-z0-9])"
+    return f"(?:^|[^a-z0-9]){any_of(key_terms(first))}(?:$|[^a-z0-9])"
 
 
 def scores(found: DataFrame) -> DataFrame:

@@ -177,6 +177,14 @@ def test_parts_without_key_terms_cannot_score(spark, part, first):
     assert license_scan.scores(found.filter("size(terms) > 0")).agg({"score": "max"}).first()[0] < license_scan.MIN_SCORE
 
 
+def test_pattern_of_words():
+    keys = license_scan.key_terms()
+    pattern = re.compile(license_scan.key_pattern())
+    for k in keys:
+        assert pattern.search(k) and pattern.search(f"x {k}.") and not (pattern.search(f"zq{k}qz") or pattern.search(f"{k}qz"))
+    assert not pattern.search("zebra quilt zz")
+
+
 def test_licence_label_does_not_depend_on_the_table(spark):
     lines = ["Code released under the MIT License", "This package is licensed under the GNU General Public License, version 3", "Dataset licensed under CC BY-NC 4.0", "This file is licensed under the Apache License, Version 2.0", "the warranty of this car is void when you drive it"]
     df = spark.createDataFrame([(f"{i}/x", "prose\n" + line) for i, line in enumerate(lines)], "path string, text string")
