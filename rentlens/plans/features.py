@@ -52,14 +52,18 @@ MIN_PLACE_ROWS = 20
 OTHER_PLACES = "otras comunas"
 
 
+def zone_values(df: DataFrame, zones: DataFrame, attrs: Sequence[str]) -> DataFrame:
+    """Attributes of the polygon that a row lies in, null outside of all."""
+    empty = df.withColumns({"zona": F.lit(None).cast("string"), **{a: F.lit(None).cast("double") for a in attrs}})
+    typed = zones.withColumns({a: F.col(a).cast("double") for a in attrs})
+    return polygons.enrich_from_zones(empty, typed, "lat", "lon", "zona", "geometria_wkt", list(attrs)).drop("zona")
+
+
 def zone_indicators(df: DataFrame, zones: DataFrame | None, attrs: Sequence[str]) -> DataFrame:
-    """Attributes of the polygon that a row lies in; rows outside get their place's mean, then the overall mean."""
+    """``zone_values``; rows outside get their place's mean, then the overall mean."""
     if zones is None:
         return df
-    empty = df.withColumns({"zona": F.lit(None).cast("string"), **{a: F.lit(None).cast("double") for a in attrs}})
-    typed = zones.withColumns({a: F.col(a).cast("double") for a in attrs})
-    found = polygons.enrich_from_zones(empty, typed, "lat", "lon", "zona", "geometria_wkt", list(attrs))
-    return impute.group_mean_impute(found.drop("zona"), list(attrs), "comuna")
+    return impute.group_mean_impute(zone_values(df, zones, attrs), list(attrs), "comuna")
 
 
 def place_columns(df: DataFrame, places: Sequence[str]) -> DataFrame:
@@ -72,7 +76,7 @@ def feature_table_training(
     listings: DataFrame, rates: DataFrame, groups: Sequence[str], trees: int = 50, population: dict | None = None,
     zones: DataFrame | None = None, zone_attrs: Sequence[str] = (), details: DataFrame | None = None,
 ) -> tuple[DataFrame, dict]:
-    """(feature table with id, features and costo_total; artifacts: level map, default level, surface models, centroids, places).
+    """(feature table with id, features and costo_total; artifacts: level map, default level, surface models, centroids, places, zones).
 
     ``details`` (by id) enriches the listings first; ``zones`` (zona, geometria_wkt, attributes) adds zone indicators.
 
@@ -116,7 +120,7 @@ def feature_table_training(
         }
     ).select("id", "comuna", "lat", "lon", *FEATURES, *zone_attrs, *DISTANCES, "gastos", "costo_total")
     out = place_columns(out, names)
-    artifacts = {"places": names, "centroids": places, "zone_attrs": list(zone_attrs), "levels": table, "default": default, "default_level": default_level, "superficie_util": useful, "superficie_total": total}
+    artifacts = {"places": names, "centroids": places, "zone_attrs": list(zone_attrs), "zones": zones, "levels": table, "default": default, "default_level": default_level, "superficie_util": useful, "superficie_total": total}
     return out, artifacts
 
 
@@ -134,13 +138,16 @@ def feature_table_serving(
 ) -> tuple[DataFrame, DataFrame]:
     """(features of the rows still to be scored, rejected ids with their reason).
 
-    ``reference`` is a training feature table with coordinates. Unknown parking counts as none here,
-    while training drops such rows.
+    ``reference`` is a training feature table with coordinates. Zone attributes come from the polygons of training; rows
+    outside of all get their place's mean in the reference. Unknown parking counts as none here, while training drops
+    such rows.
     """
     pending = joins.unscored_anti_join(listings, predictions, "id", states)
     reason = filters.sanity_reason("dormitorios", "banos", "estacionamientos", ["superficie_util", "superficie_total", "superficie"])
     ok, rejected = filters.sanity_split(pending, "id", reason)
     attrs = artifacts.get("zone_attrs", [])
+    if artifacts.get("zones") is not None:
+        ok = zone_values(ok, artifacts["zones"], attrs)
     ok = ok.withColumns({a: F.lit(None).cast("double") for a in attrs if a not in ok.columns})
     numeric = ["dormitorios", "banos"]
     ok = apply_surface_models(ok, artifacts["superficie_util"], "superficie_util", numeric, "tipo")
