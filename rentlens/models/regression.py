@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,11 @@ def spec(features: Sequence[str], seed: int, params: dict | None = None, **masks
     return Spec(tuple(features), seed, p["maxIter"], p["maxDepth"], p["stepSize"], p["subsamplingRate"], **masks)
 
 
+def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
+    """Adds the feature vector for Spark ML's estimators; missing values count as 0. A missing column is an error, never a made-up 0."""
+    return df.withColumn(out, array_to_vector(feature_array(df, features)))
+
+
 def fit_ensemble(
     train: DataFrame, features: Sequence[str], target: str, n_models: int = 10, seed: int = 42,
     params: dict | None = None, validation: str | None = None, id_col: str = "id",
