@@ -35,9 +35,9 @@ from rentlens.llm.common import give_back
 
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NONE = np.iinfo(np.int64).max
-BATCH_BYTES = 4 << 20
-DECODE_BYTES = 1 << 20
-CACHE_WORDS = 300_000
+BATCH_BYTES = 2 << 20
+DECODE_BYTES = 1 << 19
+CACHE_WORDS = 100_000
 
 
 def byte_letters() -> dict[str, int]:
