@@ -30,19 +30,19 @@ def haversine_m(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
     return F.expr(haversine(lat1, lon1, lat2, lon2))
 
 
-def _degrees(size_m: float | str) -> str:
+def cell_degrees(size_m: float | str) -> str:
     if isinstance(size_m, str):
         return f"({size_m} * {SLACK / METRES_PER_DEGREE!r}D)"
     return f"{float(size_m) * SLACK / METRES_PER_DEGREE!r}D"
 
 
 def cell_row(lat: str, size_m: float | str) -> str:
-    return f"cast(floor(({lat} + 90) / {_degrees(size_m)}) AS bigint)"
+    return f"cast(floor(({lat} + 90) / {cell_degrees(size_m)}) AS bigint)"
 
 
 def columns_in_row(row: str, size_m: float | str) -> str:
     """How many columns the row has: 360° over the cell width at the row's most polar degree."""
-    d = _degrees(size_m)
+    d = cell_degrees(size_m)
     pole = f"least(greatest(abs({row} * {d} - 90), abs(({row} + 1) * {d} - 90)), 90D)"
     return f"greatest(cast(floor(360 * cos(radians({pole})) / {d}) AS bigint), 1L)"
 
@@ -54,7 +54,7 @@ def cell_column(lon: str, row: str, size_m: float | str) -> str:
 
 def cells_around(lat: str, lon: str, size_m: float | str) -> str:
     """Array of distinct struct(cy, cx): the cells that can hold a point within ``size_m`` of this one."""
-    d = _degrees(size_m)
+    d = cell_degrees(size_m)
     row = cell_row(lat, size_m)
     # widest longitude difference a point in reach can have, taken at the most polar latitude in reach
     pole = f"least(abs({lat}) + {d}, 90D)"

@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rentlens.functions.geo import cell_column, cell_row, cells_around, haversine, unit_vector, within
-from rentlens.operators.quantiles import exact_quantiles, iqr_bounds, ranked_values, run
+from rentlens.operators.counttree import ranked_around
+from rentlens.operators.quantiles import exact_quantiles, iqr_bounds, run
 from rentlens.session import materialise, parallelism
 
 # a location whose surrounding cells hold at most this many donor rows is solved from one array
-ARRAY_LIMIT = 20_000
+ARRAY_LIMIT = 4_000
 # a cell with more spots than this is split into several salted parts, each joined by its own task
 SALT_ROWS = 2_000
 # ranks around the middle: enough for the plain median and for the median without one own value
@@ -40,7 +41,7 @@ def neighbour_middle(probes: DataFrame, spots: DataFrame, radius_m: float) -> Da
 
     How many rows can lie around a location is known from cell counts before any pair is made.
     Locations below ``ARRAY_LIMIT`` are solved from a bounded array; crowded ones, when there are
-    any, by rank selection, which spreads one location over many tasks.
+    any, over a tree of counts, where the pairs grow with the rim of the circle, not with its points.
     """
     placed = run(
         f"""SELECT *, {cell_column('lon', 'cy', radius_m)} AS cx FROM
@@ -94,13 +95,10 @@ def neighbour_middle(probes: DataFrame, spots: DataFrame, radius_m: float) -> Da
             (SELECT g, plat, plon, sum(w) AS n, sort_array(collect_list(struct(cast(v AS double) AS v, w))) AS vs FROM {{few}} GROUP BY g, plat, plon)))""",
         few=pairs(f"bound <= {ARRAY_LIMIT}", salted),
     )
-    if around.filter(F.col("bound") > ARRAY_LIMIT).isEmpty():
+    crowded = around.filter(F.col("bound") > ARRAY_LIMIT)
+    if crowded.isEmpty():
         return middle
-    crowded = pairs(f"bound > {ARRAY_LIMIT}", salted).groupBy("g", "plat", "plon", "v").agg(F.sum("w").alias("w"))
-    large = ranked_values(crowded, "v", _MIDDLE, ["g", "plat", "plon"], "w").select(
-        "g", F.col("plat").alias("lat"), F.col("plon").alias("lon"), "n", "s0", "s1", "s2"
-    )
-    return middle.unionByName(large)
+    return middle.unionByName(ranked_around(crowded, spots.withColumn("v", F.col("v").cast("double")), radius_m, _MIDDLE))
 
 
 def spot_median(spots: DataFrame, out: str = "fallback") -> DataFrame:
