@@ -160,8 +160,20 @@ def extract_state_json(html: Column | str, pattern: str = STATE_JSON) -> Column:
 
 
 def find_first_value(json: Column | str, key: str) -> Column:
-    """First non-empty string stored under ``key`` anywhere in the JSON text."""
-    return F.get(F.regexp_extract_all(as_col(json), F.lit(f'"{key}"\\s*:\\s*"([^"]+)"'), F.lit(1)), F.lit(0))
+    """First non-empty string stored under ``key`` anywhere in the JSON text, with its escapes decoded.
+
+    Every string of the text is one match, so the key's name inside another string does not count. Escaped backslashes
+    and quotes stand aside for the search as control characters, which no JSON string may hold.
+    """
+    escapes = ((r"\\", "\x01"), (r"\"", "\x02"))
+    plain = as_col(json)
+    for text, mark in escapes:
+        plain = F.replace(plain, F.lit(text), F.lit(mark))
+    strings = F.regexp_extract_all(plain, F.lit(rf'"\Q{key}\E"\s*:\s*"([^"]+)"|"[^"]*"'), F.lit(1))
+    raw = F.get(F.filter(strings, lambda x: x != ""), F.lit(0))
+    for text, mark in escapes:
+        raw = F.replace(raw, F.lit(mark), F.lit(text))
+    return F.coalesce(F.get_json_object(F.concat(F.lit('{"v":"'), raw, F.lit('"}')), "$.v"), raw)
 
 
 CATEGORY_SCHEMA = (

@@ -67,3 +67,20 @@ def test_coordinates_description_links(spark):
     assert one(X.extract_description(F.lit('<p class="ui-pdp-description__content"> Hola <b>mundo</b></p>'))) == "Hola mundo"
     assert one(X.canonical_link(F.lit('<link href="u/MLC-1" rel="canonical">'))) == "u/MLC-1"
     assert one(X.og_url(F.lit('<meta property="og:url" content="u">'))) == "u"
+
+
+def test_first_value_of_a_key(spark):
+    import json
+
+    states = [
+        ({"a": [{"k": ""}, {"k": None}, {"k": 3}], "b": {"c": [[{"k": 'Villa "El Roble" \\ 2/3\n'}]]}}, 'Villa "El Roble" \\ 2/3\n'),
+        ({"t": 'text with "k":"no" inside', "u": '\\"k":"no', "k": "yes"}, "yes"),
+        ({"t": "k", "xk": "no", "kx": "no", "k": "ñandú"}, "ñandú"),
+        ({"t": "ends with \\", "k": 'x"'}, 'x"'),
+        ({"t": ["k", "x"]}, None),
+        ({"k": "a" * 100_000 + '"' * 20_000}, "a" * 100_000 + '"' * 20_000),
+    ]
+    rows = [(i, json.dumps(s, ensure_ascii=bool(i % 2))) for i, (s, _) in enumerate(states)] + [(90, None), (91, ""), (92, '{"k" : "spaced"}'), (93, '{"k":"cut')]
+    df = spark.createDataFrame(rows, "id int, j string")
+    got = {r[0]: r[1] for r in df.select("id", X.find_first_value("j", "k")).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(states)} | {90: None, 91: None, 92: "spaced", 93: None}
