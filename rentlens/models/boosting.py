@@ -1,13 +1,16 @@
 """Gradient boosting of many models in shared passes.
 
-The matrix is quantised once into blocks (one byte a value, ``BINS`` bins a feature, edges from a bounded sample drawn
-by hash). Then the trees of all models, whatever their seeds, folds, features or parameters, grow level by level
-together: every task adds up the gradients of its rows per (model, node, feature, bin), these sums are shuffled by
-model, and each model's best splits come back. A level costs one job for all models, and what travels depends on the
-number of models, nodes, features and bins, never on the rows.
-
-Residuals are rounded to a fixed unit, so that all sums are whole numbers: a fit depends neither on the partitioning nor
-on which other models are fitted with it. Row subsets (subsample of a round, fold) come from a hash of the id.
+The matrix is quantised once (one byte a value, ``BINS`` bins a feature, edges from a bounded sample drawn by hash). Rows
+are dealt and sorted by their bins and written in blocks, in which rows of equal bins, a cell, are neighbours. All rows of a
+cell end in the same leaf of every tree, so a fit reads rows only to add up, per cell, the targets that a round draws: once
+for several rounds, since what is drawn does not depend on the trees. Then the trees of all models, whatever their seeds,
+folds, features or parameters, grow level by level together over these sums: every task adds up the residuals of its cells
+per (model, node, feature, bin), these are shuffled by model, and each model's best splits come back. What travels depends
+on the number of models, nodes, features and bins, and a level's work on the cells, never on the rows of a cell. Where cells
+are about as many as rows, and their sums would be large, a level adds up the rows of its blocks instead.
+
+Targets and predictions are rounded to a fixed unit, so that all sums are whole numbers: a fit depends neither on the partitioning
+nor on which other models are fitted with it. Row subsets (subsample of a round, fold) come from a hash of the id.
 
 Defined cases: a missing feature value counts as 0, NaN as larger than any number; rows without a target take no part;
 the first tree has weight 1, the others ``step``; a node without a gain stays a leaf; a model without rows predicts the mean of all targets; an empty table predicts 0.
@@ -18,6 +21,7 @@ from __future__ import annotations
 from collections import namedtuple
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -31,17 +35,26 @@ from rentlens.session import materialise, parallelism, ship_package
 BINS = 32
 #: Rows from which bin edges are taken, drawn by hash.
 EDGE_SAMPLE = 50_000
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 1 << 17
+#: Rows of a partition of blocks, at most about this many.
+PART_ROWS = 1 << 20
 #: Bytes of gradient sums that a task holds at once; more models than fit go in several passes.
 SUM_BYTES = 64 << 20
 #: Sums of all tasks up to this size go straight to the driver, larger ones are added up in tasks; the splits are the same.
 DRIVER_BYTES = 16 << 20
-#: Rounds after which the predictions so far are written with the blocks instead of being computed from the trees.
+#: Rounds after which the predictions so far are written with the cells instead of being computed from the trees.
 STATE_ROUNDS = 5
-#: Residuals are multiples of the range of the target divided by this.
-RESOLUTION = 1 << 22
+#: Sums by cell of all the rounds that are written together; a round whose sums are larger is added up from the rows.
+ROUND_BYTES = 512 << 20
+#: Cells that a task joins into one row, by the bytes of their sums.
+ROW_BYTES = 16 << 20
+#: Models that are fitted together where a round is added up from the rows, whose predictions are then written.
+ROW_MODELS = 16
+#: Cells whose predictions a task remembers.
+KNOWN_CELLS = 1 << 17
 
-BLOCKS = "rows int, bins binary, target binary, hash binary, masks binary, state binary"
+BLOCKS = "rows int, cells binary, lengths binary, target binary, hash binary, masks binary, state binary, sums binary, counts binary, held binary"
+BLOCK_NAMES = [c.split(" ")[0] for c in BLOCKS.split(", ")]
 
 
 @dataclass(frozen=True)
@@ -115,11 +128,16 @@ class Layout:
     mean: float
     unit: float
 
+    def whole(self, values: np.ndarray) -> np.ndarray:
+        """Differences from the mean in units."""
+        return np.rint(values / self.unit).astype(np.int64)
+
 
 @dataclass
 class Matrix:
     table: DataFrame
     layout: Layout
+    cells: int
 
 
 def feature_array(df: DataFrame, features: Sequence[str]) -> F.Column:
@@ -132,40 +150,94 @@ def binned(flat: np.ndarray, rows: int, edges: list[np.ndarray]) -> np.ndarray:
     return np.stack([np.searchsorted(e, x[:, j], "left") for j, e in enumerate(edges)]).astype(np.uint8) if rows else np.zeros((len(edges), 0), np.uint8)
 
 
+def bytes_column(values: np.ndarray) -> pa.Array:
+    """One binary value per row of a matrix of bytes."""
+    rows, width = values.shape
+    return pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(np.arange(0, rows * width + 1, width, np.int32) if width else np.zeros(rows + 1, np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def byte_rows(column: pa.Array, width: int) -> np.ndarray:
+    """The matrix of bytes of a column made by ``bytes_column``."""
+    if not len(column):
+        return np.zeros((0, width), np.uint8)
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + 2]
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] :][: len(column) * width].reshape(len(column), width)
+
+
 def quantised(df: DataFrame, id_col: str, features: Sequence[str], target: str, masks: Sequence[str] = (), bins: int = BINS) -> Matrix:
     """Writes the matrix in blocks. Boolean columns named in ``masks`` choose rows for models; null counts as false."""
-    ship_package(df.sparkSession)
+    spark = df.sparkSession
+    ship_package(spark)
     flags = F.array(*[F.coalesce(F.col(m), F.lit(False)).cast("double") for m in masks]) if masks else F.array(F.lit(0.0))
     rows = df.filter(F.col(target).isNotNull()).select(
         feature_array(df, features).alias("x"), F.col(target).cast("double").alias("y"), F.xxhash64(F.col(id_col).cast("string")).alias("hash"), flags.alias("masks"))
-    rows = materialise(rows.repartition(parallelism(df.sparkSession)), "matrix")
+    rows = materialise(rows, "matrix")
     n, low, high, mean = rows.agg(F.count(F.lit(1)), F.min("y"), F.max("y"), F.avg("y")).first()
     drawn = rows.filter(F.pmod("hash", F.lit(1 << 30)) < int(min(1.0, EDGE_SAMPLE / max(n, 1)) * (1 << 30)) + 1).select("x").collect()
     sample = np.array([r["x"] for r in drawn]).reshape(-1, len(features))
     edges = [np.unique(np.quantile(c[~np.isnan(c)], np.arange(1, bins) / bins, method="lower")) if (~np.isnan(c)).any() else np.zeros(0) for c in sample.T]
     # the largest value as an edge would leave the bin above it empty
     edges = [e[e < np.nanmax(c)] if len(e) else e for e, c in zip(edges, sample.T)]
+    width, flag_count = len(features), max(len(masks), 1)
+
+    def to_bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            k = batch.num_rows
+            cells = binned(batch.column(0).flatten().to_numpy(), k, edges).T
+            flagged = batch.column(3).flatten().to_numpy().reshape(k, flag_count).astype(np.uint8)
+            yield pa.record_batch([bytes_column(cells), batch.column(1), batch.column(2), bytes_column(flagged)], names=["cell", "y", "hash", "masks"])
+
+    def block(parts: list[tuple]) -> pa.RecordBatch:
+        cells, y, hashes, flagged = (np.concatenate(p) for p in zip(*parts))
+        first = np.flatnonzero(np.r_[True, (cells[1:] != cells[:-1]).any(axis=1)])
+        raw = [cells[first].T, np.diff(np.r_[first, len(y)]).astype(np.int32), y, hashes, flagged.T]
+        return pa.record_batch([pa.array([len(y)], pa.int32()), *[pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()) for x in raw], *[pa.array([b""], pa.binary())] * 4], names=BLOCK_NAMES)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have, size = [], 0
         for batch in batches:
             for start in range(0, batch.num_rows, BLOCK_ROWS):
                 part = batch.slice(start, BLOCK_ROWS)
-                k = part.num_rows
-                flat = [part.column(i).flatten().to_numpy() for i in (0, 3)]
-                raw = [binned(flat[0], k, edges), part.column(1).to_numpy(), part.column(2).to_numpy(), flat[1].reshape(k, -1).T.astype(np.uint8)]
-                yield pa.record_batch([pa.array([k], pa.int32()), *[pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()) for x in raw], pa.array([b""], pa.binary())], names=[c.split(" ")[0] for c in BLOCKS.split(", ")])
-
-    table = materialise(rows.mapInArrow(pack, BLOCKS), "blocks")
-    return Matrix(table, Layout(tuple(features), edges, tuple(masks), float(mean or 0.0), float(high - low) / RESOLUTION if n and high > low else 1.0))
+                if have and size + part.num_rows > BLOCK_ROWS:
+                    yield block(have)
+                    have, size = [], 0
+                have.append((byte_rows(part.column(0), width).copy(), part.column(1).to_numpy().copy(), part.column(2).to_numpy().copy(), byte_rows(part.column(3), flag_count).copy()))
+                size += part.num_rows
+        if have:
+            yield block(have)
+
+    dealt = rows.mapInArrow(to_bins, "cell binary, y double, hash bigint, masks binary")
+    dealt = dealt.repartitionByRange(max(parallelism(spark), n // PART_ROWS), "cell", "hash").sortWithinPartitions("cell", "hash")
+    table = materialise(dealt.mapInArrow(pack, BLOCKS), "blocks")
+    cells = table.agg(F.sum(F.octet_length("lengths") / 4)).first()[0] or 0
+    # sums of n residuals stay below 2^53, so that they are exact in doubles too
+    steps = 2.0 ** max(20, 51 - int(n).bit_length())
+    unit = float(high - low) / steps if n and high > low else 1.0
+    # a whole number of units from the least target: the order of a sum does not show
+    start = low + round((mean - low) / unit) * unit if n else 0.0
+    return Matrix(table, Layout(tuple(features), edges, tuple(masks), float(start), unit), int(cells))
 
 
 class Block:
+    """Rows in order of their cells, ``lengths`` rows each, or only sums of the rows by cell; and each model's prediction for a cell, less the mean."""
+
     def __init__(self, row: dict, layout: Layout, models: int):
-        n = self.n = row["rows"]
-        self.bins = np.frombuffer(row["bins"], np.uint8).reshape(len(layout.features), n)
+        self.n = row["rows"]
+        self.cells = np.frombuffer(row["cells"], np.uint8).reshape(len(layout.features), -1)
+        count = self.cells.shape[1]
+        self.lengths = np.frombuffer(row["lengths"], np.int32)
         self.target, self.hash = np.frombuffer(row["target"]), np.frombuffer(row["hash"], np.int64)
-        self.masks = np.frombuffer(row["masks"], np.uint8).reshape(-1, n).astype(bool)
-        self.state = np.frombuffer(row["state"]).reshape(models, n) if row["state"] else np.full((models, n), layout.mean)
+        self.masks = np.frombuffer(row["masks"], np.uint8).reshape(-1, max(self.n, 1)).astype(bool)
+        self.state = np.frombuffer(row["state"]).reshape(models, count) if row["state"] else np.zeros((models, count))
+        self.sums, self.counts, self.held_sums = np.frombuffer(row["sums"], np.int64), np.frombuffer(row["counts"], np.int32), np.frombuffer(row["held"])
+
+    @cached_property
+    def bins(self) -> np.ndarray:
+        return np.repeat(self.cells, self.lengths, axis=1)
+
+    @cached_property
+    def first(self) -> np.ndarray:
+        return np.cumsum(self.lengths) - self.lengths
 
     def mask(self, layout: Layout, name: str | None) -> np.ndarray:
         return np.ones(self.n, bool) if name is None else self.masks[layout.masks.index(name)]
@@ -185,17 +257,102 @@ class Block:
             return None
         return mixed(self.hash, (spec.seed << 20) + round_ + 1) < np.uint64(int(spec.subsample * 2.0**64) if spec.subsample > 0 else 0)
 
-    def prediction(self, number: int, trees: Sequence[Tree]) -> np.ndarray:
-        out = self.state[number].copy()
-        for tree in trees:
-            out += tree.value[tree.leaves(self.bins)]
-        return out
+    def add_up(self, layout: Layout, draws: Sequence[Spec], rounds: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
+        """(rounds, draws, cells): sums of the targets, and numbers, of the rows that each draw trains on."""
+        shape = (len(rounds), len(draws), len(self.lengths))
+        sums, counts = np.zeros(shape, np.int64), np.zeros(shape, np.int32)
+        whole = layout.whole(self.target - layout.mean)
+        subsets, folds = {}, {}
+        for d, spec in enumerate(draws):
+            chosen = self.mask(layout, spec.train)
+            if spec.validation is not None:
+                chosen = chosen & ~self.mask(layout, spec.validation)
+            if spec.fold:
+                if spec.fold[:2] not in folds:
+                    folds = {spec.fold[:2]: self.folds(spec)}  # draws of a seed are neighbours
+                chosen = chosen & (folds[spec.fold[:2]] != spec.fold[2])
+            for r, round_ in enumerate(rounds):
+                key = spec.seed, spec.subsample, round_
+                if key not in subsets:
+                    if any(k[0] != spec.seed for k in subsets):
+                        subsets = {}
+                    subsets[key] = self.drawn(spec, round_)
+                rows = chosen if subsets[key] is None else chosen & subsets[key]
+                sums[r, d] = np.add.reduceat(whole * rows, self.first)
+                counts[r, d] = np.add.reduceat(rows, self.first, dtype=np.int32)
+        return sums, counts
+
+    def held(self, layout: Layout, spec: Spec) -> np.ndarray:
+        """(3, cells): number, mean (less the overall one) and squared deviations of a cell's validation rows."""
+        rows = self.mask(layout, spec.validation) & self.mask(layout, spec.train)
+        y = (self.target - layout.mean) * rows
+        n = np.add.reduceat(rows, self.first, dtype=np.int64)
+        mean = np.add.reduceat(y, self.first) / np.maximum(n, 1)
+        return np.stack([n, mean, np.add.reduceat(((y - np.repeat(mean, self.lengths)) * rows) ** 2, self.first)])
+
+
+def prediction(cells: np.ndarray, trees: Sequence[Tree], start: np.ndarray | float = 0.0) -> np.ndarray:
+    out = np.zeros(cells.shape[1]) + start
+    for tree in trees:
+        out += tree.value[tree.leaves(cells)]
+    return out
 
 
 def rows_in(batches: Iterator[pa.RecordBatch], layout: Layout, models: int) -> Iterator[Block]:
     for batch in batches:
         for i in range(batch.num_rows):
-            yield Block({c: batch.column(c)[i].as_py() for c in ("rows", "bins", "target", "hash", "masks", "state")}, layout, models)
+            yield Block({c: batch.column(j)[i].as_py() for j, c in enumerate(BLOCK_NAMES)}, layout, models)
+
+
+@dataclass
+class Draws:
+    """Which rows the models of some rounds train on. Models of the same seed, share, fold and masks have the same rows."""
+
+    specs: list[Spec]
+    rounds: range
+
+    def __post_init__(self):
+        keyed = {self.key(s): s for s in self.specs}
+        self.kinds = [keyed[k] for k in sorted(keyed, key=repr)]
+        self.place = {self.key(s): i for i, s in enumerate(self.kinds)}
+        self.checks = sorted({(s.validation, s.train) for s in self.specs if s.validation is not None}, key=repr)
+
+    @staticmethod
+    def key(spec: Spec) -> tuple:
+        return spec.seed, spec.subsample, spec.fold, spec.train, spec.validation
+
+
+def prepared(layout: Layout, table: DataFrame, specs: list[Spec], trees: list[list[Tree]], draws: Draws, by_rows: bool) -> DataFrame:
+    """The cells with the predictions of the ``trees`` and either the sums of the draws, many blocks in a row, or the rows as they were."""
+
+    def joined(parts: list[tuple]) -> pa.RecordBatch:
+        cells, sums, counts, held = (np.concatenate(p, axis=-1) for p in zip(*parts))
+        state = np.stack([prediction(cells, t) for t in trees])
+        raw = [cells, b"", b"", b"", b"", state, sums, counts, held]
+        return pa.record_batch([pa.array([0], pa.int32()), *[pa.array([x if isinstance(x, bytes) else np.ascontiguousarray(x).tobytes()], pa.binary()) for x in raw]], names=BLOCK_NAMES)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have, size = [], 0
+        for block in rows_in(batches, layout, 0):
+            sums, counts = block.add_up(layout, draws.kinds, draws.rounds)
+            held = np.stack([block.held(layout, Spec((), validation=v, train=t)) for v, t in draws.checks]) if draws.checks else np.zeros((0, 3, len(block.lengths)))
+            have.append((block.cells, sums, counts, held))
+            size += sums.nbytes + counts.nbytes + 8 * len(specs) * len(block.lengths)
+            if size > ROW_BYTES:
+                yield joined(have)
+                have, size = [], 0
+        if have:
+            yield joined(have)
+
+    def renew(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                cells = Block(row.to_pylist()[0], layout, 0).cells
+                state = np.stack([prediction(cells, t) for t in trees])
+                yield pa.record_batch([*row.columns[:6], pa.array([state.tobytes()], pa.binary()), *row.columns[7:]], names=BLOCK_NAMES)
+
+    return materialise(table.mapInArrow(renew if by_rows else add, BLOCKS), "rounds")
 
 
 SUMS = "model int, sums binary, counts binary, error double, n bigint"
@@ -203,35 +360,44 @@ Split = namedtuple("Split", "model node feature bin gain total count left left_c
 SPLITS = "model int, node int, feature int, bin int, gain double, total bigint, count bigint, left bigint, left_count bigint, error double, n bigint"
 
 
-def level_sums(layout: Layout, table: DataFrame, group: list[int], specs: list[Spec], recent: list[list[Tree]], growing: list[Tree], level: int, round_: int) -> DataFrame:
+def level_sums(layout: Layout, table: DataFrame, group: list[int], specs: list[Spec], draws: Draws, recent: list[list[Tree]], growing: list[Tree], level: int, round_: int) -> DataFrame:
     """Per task and model of the group the sums of residuals and the rows by (node, feature, bin) of one level, and the error on its validation rows."""
     nodes, base, width = 2**level, 2**level - 1, len(layout.features)
+    kinds = sorted({draws.place[draws.key(specs[m])] for m in group})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = nodes * width * BINS_USED
-        sums, counts = np.zeros((len(group), cells), np.int64), np.zeros((len(group), cells), np.int64)
+        size = nodes * width * BINS_USED
+        sums, counts = np.zeros((len(group), size), np.int64), np.zeros((len(group), size), np.int64)
         error, held = np.zeros(len(group)), np.zeros(len(group), np.int64)
         offset = np.arange(width, dtype=np.int64)[:, None] * BINS_USED
         for block in rows_in(batches, layout, len(specs)):
-            cell_of = block.bins + offset
+            cell_of = block.cells + offset
+            if block.n:
+                some_sums, some_counts = (x[0] for x in block.add_up(layout, [draws.kinds[k] for k in kinds], [round_]))
+            else:
+                shape = len(draws.rounds), len(draws.kinds), -1
+                at_round = draws.rounds.index(round_)
+                some_sums, some_counts = (x.reshape(shape)[at_round, kinds] for x in (block.sums, block.counts))
             for g, m in enumerate(group):
                 spec = specs[m]
-                left = block.target - block.prediction(m, recent[m])
+                predicted = prediction(block.cells, recent[m], block.state[m])
                 if level == 0 and spec.validation is not None:
-                    held_rows = block.mask(layout, spec.validation) & block.mask(layout, spec.train)
-                    error[g] += float((left[held_rows] ** 2).sum())
-                    held[g] += int(held_rows.sum())
-                chosen = block.training(layout, spec)
-                if (some := block.drawn(spec, round_)) is not None:
-                    chosen = chosen & some
-                node = growing[m].leaves(block.bins) - base
-                at = np.flatnonzero(chosen & (node >= 0))
+                    if block.n:
+                        n, mean, spread = block.held(layout, spec)
+                    else:
+                        n, mean, spread = block.held_sums.reshape(len(draws.checks), 3, -1)[draws.checks.index((spec.validation, spec.train))]
+                    error[g] += float((spread + n * (mean - predicted) ** 2).sum())
+                    held[g] += int(n.sum())
+                k = kinds.index(draws.place[draws.key(spec)])
+                node = growing[m].leaves(block.cells) - base
+                at = np.flatnonzero((some_counts[k] > 0) & (node >= 0))
                 if not len(at):
                     continue
-                whole = np.rint(left[at] / layout.unit)
+                rows = some_counts[k][at].astype(np.int64)
+                left = some_sums[k][at] - rows * layout.whole(predicted[at])
                 cell = (node[at] * (width * BINS_USED) + cell_of[:, at]).ravel()
-                counts[g] += np.bincount(cell, minlength=cells)
-                sums[g] += np.rint(np.bincount(cell, np.tile(whole, width), cells)).astype(np.int64)
+                counts[g] += np.bincount(cell, np.tile(rows, width), size).astype(np.int64)
+                sums[g] += np.rint(np.bincount(cell, np.tile(left, width), size)).astype(np.int64)
         yield pa.record_batch([pa.array(group, pa.int32()), *[pa.array([x.tobytes() for x in v], pa.binary()) for v in (sums, counts)], pa.array(error), pa.array(held)], names=[c.split(" ")[0] for c in SUMS.split(", ")])
 
     return table.mapInArrow(add, SUMS)
@@ -283,18 +449,27 @@ def best_splits(sums: DataFrame, specs: list[Spec], features: tuple[str, ...], l
     return sums.repartition(min(len(specs), parallelism(sums.sparkSession)), "model").mapInArrow(choose, SPLITS)
 
 
-def with_state(layout: Layout, table: DataFrame, specs: list[Spec], recent: list[list[Tree]]) -> DataFrame:
-    """The blocks with the predictions after the ``recent`` trees."""
+class Remembered:
+    """``compute`` (bins to one row of values per column) with the values of cells that came before; without memory for more than eight features."""
 
-    def renew(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1)
-                block = Block(row.to_pylist()[0], layout, len(specs))
-                state = np.stack([block.prediction(m, trees) for m, trees in enumerate(recent)])
-                yield pa.record_batch([*row.columns[:-1], pa.array([state.tobytes()], pa.binary())], names=row.schema.names)
+    def __init__(self, compute):
+        self.compute, self.codes, self.values = compute, np.zeros(0, np.uint64), None
 
-    return materialise(table.mapInArrow(renew, BLOCKS), "blocks")
+    def __call__(self, bins: np.ndarray) -> np.ndarray:
+        width, n = bins.shape
+        if not 0 < width <= 8:
+            return self.compute(bins)
+        padded = np.zeros((n, 8), np.uint8)
+        padded[:, :width] = bins.T
+        codes = padded.view(np.uint64).ravel()
+        new = np.setdiff1d(codes, self.codes)
+        if len(self.codes) + len(new) > KNOWN_CELLS:
+            self.codes, self.values, new = self.codes[:0], None, np.unique(codes)
+        if len(new):
+            values = self.compute(new.view(np.uint8).reshape(-1, 8)[:, :width].T)
+            order = np.argsort(both := np.concatenate([self.codes, new]))
+            self.codes, self.values = both[order], (values if self.values is None else np.concatenate([self.values, values]))[order]
+        return self.values[np.searchsorted(self.codes, codes)] if n else self.compute(bins)
 
 
 @dataclass
@@ -328,10 +503,10 @@ class Ensemble:
 
         @arrow_udf("array<double>")
         def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            known = Remembered(lambda bins: np.stack([self.start + prediction(bins, trees) for trees in self.trees]).T)
             for x in batches:
-                bins = binned(x.flatten().to_numpy(), len(x), self.edges)
-                got = np.stack([self.start + sum((t.value[t.leaves(bins)] for t in trees), np.zeros(len(x))) for trees in self.trees])
-                yield pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * len(self.trees), got.T.ravel())
+                got = known(binned(x.flatten().to_numpy(), len(x), self.edges))
+                yield pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * len(self.trees), got.ravel())
 
         return df.withColumn(out, score(features))
 
@@ -341,15 +516,19 @@ class Ensemble:
         n = len(self.trees)
         start = self.start + sum(t.value[0] for trees in self.trees for t in trees) / max(n, 1)
 
+        def added(bins: np.ndarray) -> np.ndarray:
+            got = np.zeros(bins.shape)
+            for trees in self.trees:
+                for t in trees:
+                    t.contributions(bins, got)
+            return (got / max(n, 1)).T
+
         @arrow_udf("array<double>")
         def explain(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            known = Remembered(added)
             for x in batches:
-                bins = binned(x.flatten().to_numpy(), len(x), self.edges)
-                got = np.zeros(bins.shape)
-                for trees in self.trees:
-                    for t in trees:
-                        t.contributions(bins, got)
-                yield pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * len(self.features), (got / max(n, 1)).T.ravel())
+                got = known(binned(x.flatten().to_numpy(), len(x), self.edges))
+                yield pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * len(self.features), got.ravel())
 
         names = F.array(*[F.lit(f) for f in self.features])
         return df.withColumn(out, F.map_from_arrays(names, explain(feature_array(df, self.features)))).withColumn(base, F.lit(float(start)))
@@ -396,20 +575,26 @@ def fit_many(matrix: Matrix, specs: Sequence[Spec]) -> Ensemble:
     """All models of ``specs`` in shared passes. With a validation mask a model keeps the rounds up to its least error there."""
     specs = list(specs)
     layout = matrix.layout
+    last = max((s.rounds for s in specs), default=0)
+    bytes_ = max(1, 12 * matrix.cells * len(Draws(specs, range(1)).kinds))
+    by_rows = bytes_ > ROUND_BYTES
+    if by_rows and len(specs) > ROW_MODELS:
+        parts = [fit_many(matrix, specs[i : i + ROW_MODELS]) for i in range(0, len(specs), ROW_MODELS)]
+        return replace(parts[0], specs=specs, trees=[t for p in parts for t in p.trees])
+    chunk = max(1, min(STATE_ROUNDS, ROUND_BYTES // bytes_))
     done = Ensemble(layout.features, layout.edges, layout.mean, specs, [[] for _ in specs])
     errors: list[list[float]] = [[] for _ in specs]
-    table, recent = matrix.table, [[] for _ in specs]
-    partitions = table.rdd.getNumPartitions()
-    for round_ in range(max(s.rounds for s in specs) if specs else 0):
-        if round_ and round_ % STATE_ROUNDS == 0:
-            table, recent = with_state(layout, table, specs, recent), [[] for _ in specs]
-            partitions = table.rdd.getNumPartitions()
+    for round_ in range(last):
         active = [m for m, s in enumerate(specs) if round_ < s.rounds]
+        if round_ % chunk == 0:
+            draws = Draws(specs, range(round_, min(round_ + chunk, last)))
+            table = prepared(layout, matrix.table, specs, done.trees, draws, by_rows)
+            recent, partitions = [[] for _ in specs], table.rdd.getNumPartitions()
         growing = [Tree.empty(s.depth) for s in specs]
         open_ = {m: {0} for m in active}
         for level in range(max(specs[m].depth for m in active)):
             here = [m for m in active if level < specs[m].depth and open_[m]]
-            for found in level_splits(layout, table, partitions, here, specs, recent, growing, level, round_):
+            for found in level_splits(layout, table, partitions, here, specs, draws, recent, growing, level, round_):
                 m = found.model
                 grow(growing[m], (specs[m].step if round_ else 1.0) * layout.unit, layout.unit, found, level, open_[m])
                 if level == 0 and found.n:
@@ -419,9 +604,9 @@ def fit_many(matrix: Matrix, specs: Sequence[Spec]) -> Ensemble:
         for m in active:
             recent[m].append(growing[m])
             done.trees[m].append(growing[m])
-    checked = [m for m, s in enumerate(specs) if s.validation is not None]
+    checked = [m for m, s in enumerate(specs) if s.validation is not None] if last else []
     if checked:  # the error before each round is known; the one after the last is not
-        for found in level_splits(layout, table, partitions, checked, specs, recent, [Tree.empty(0) for _ in specs], 0, -1):
+        for found in level_splits(layout, table, partitions, checked, specs, draws, recent, [Tree.empty(0) for _ in specs], 0, last - 1):
             if found.n and found.node == 0:
                 errors[found.model].append(found.error / found.n)
         for m in checked:
@@ -430,12 +615,12 @@ def fit_many(matrix: Matrix, specs: Sequence[Spec]) -> Ensemble:
     return done
 
 
-def level_splits(layout: Layout, table: DataFrame, partitions: int, models: list[int], specs: list[Spec], recent: list[list[Tree]], growing: list[Tree], level: int, round_: int) -> Iterator:
+def level_splits(layout: Layout, table: DataFrame, partitions: int, models: list[int], specs: list[Spec], draws: Draws, recent: list[list[Tree]], growing: list[Tree], level: int, round_: int) -> Iterator:
     """Best splits of a level, one row a model and node; the models in groups whose sums fit into a task."""
     size = max(1, SUM_BYTES // (2**level * len(layout.features) * BINS_USED * 16))
     for a in range(0, len(models), size):
         group = models[a : a + size]
-        sums = level_sums(layout, table, group, specs, recent, growing, level, round_)
+        sums = level_sums(layout, table, group, specs, draws, recent, growing, level, round_)
         if len(group) * 2**level * len(layout.features) * BINS_USED * 16 * partitions <= DRIVER_BYTES:
             yield from (Split(*row) for row in choose_splits((tuple(r) for r in sums.collect()), specs, layout.features, level))
         else:
@@ -466,11 +651,14 @@ def errors_of(matrix: Matrix, models: Ensemble, rows: str | None = None) -> Data
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(models), 5))
         for block in rows_in(batches, layout, 0):
+            cell, chosen_by = np.repeat(np.arange(len(block.lengths)), block.lengths), {}
             for m, (spec, trees) in enumerate(zip(models.specs, models.trees)):
-                chosen = block.mask(layout, rows) if rows is not None or spec.fold is None else block.folds(spec) == spec.fold[2]
-                y = block.target[chosen]
-                p = models.start + sum((t.value[t.leaves(block.bins)] for t in trees), np.zeros(block.n))
-                e = y - np.maximum(p[chosen], 0.0)
+                held_out = None if rows is not None else spec.fold
+                if held_out not in chosen_by:
+                    chosen = block.mask(layout, rows) if held_out is None else block.folds(spec) == spec.fold[2]
+                    chosen_by[held_out] = block.target[chosen], cell[chosen]
+                y, at = chosen_by[held_out]
+                e = y - np.maximum(models.start + prediction(block.cells, trees), 0.0)[at]
                 total[m] += [len(y), np.abs(e).sum(), (e**2).sum(), (y - models.start).sum(), ((y - models.start) ** 2).sum()]
         kinds = [pa.int64(), *[pa.float64()] * 4]
         yield pa.record_batch([pa.array(range(len(models)), pa.int32()), *[pa.array(total[:, i].astype(np.int64) if i == 0 else total[:, i], k) for i, k in enumerate(kinds)]], names=[c.split(" ")[0] for c in ERRORS.split(", ")])

@@ -173,3 +173,44 @@ def test_empty_and_constant_tables(spark, table):
     assert R.predict_mean(none, table.limit(2), FEATURES).select("pred").distinct().collect()[0][0] == 0.0
     flat = R.fit_ensemble(table.withColumn("y", F.lit(7.0)), FEATURES, "y", 1, params={"maxIter": 2})
     assert R.predict_mean(flat, table.limit(2), FEATURES).select("pred").distinct().collect()[0][0] == 7.0
+
+
+def test_passes_read_cells_not_rows(spark, monkeypatch):
+    """Ten times the rows of the same bins give the same cells and passes of the same size; adding up rows instead gives the same trees."""
+    def matrix(n):
+        rows = spark.range(n).selectExpr("id", "double(id % 5) AS a", "double(id * 7 % 3) AS b", "double(id % 5 * 3 + id % 11) AS y", "id % 4 = 0 AS val")
+        return B.quantised(rows, "id", ["a", "b"], "y", ["val"])
+
+    specs = [B.Spec(("a", "b"), i, 6, 3, 0.3, 0.7, fold=(i, 3, 1), validation="val") for i in range(3)]
+    few, many = matrix(2_000), matrix(20_000)
+    assert few.cells <= 15 + 4 and many.cells <= 15 + 4
+    draws = B.Draws(specs, range(3))
+    table = B.prepared(many.layout, many.table, specs, [[] for _ in specs], draws, False)
+    got = table.selectExpr("sum(rows)", "sum(length(sums)) + sum(length(counts))", "sum(length(hash)) + sum(length(target))").first()
+    assert got[0] == 0 and got[1] == many.cells * 3 * 3 * 12 and got[2] == 0
+    want = B.fit_many(many, specs).trees
+    monkeypatch.setattr(B, "ROUND_BYTES", 0)
+    monkeypatch.setattr(B, "ROW_MODELS", 2)
+    again = B.fit_many(many, specs).trees
+    assert [len(t) for t in want] == [len(t) for t in again]
+    for t, u in zip([t for m in want for t in m], [t for m in again for t in m]):
+        assert (t.feature == u.feature).all() and (t.bin == u.bin).all() and (t.value == u.value).all()
+
+
+def test_remembered_cells_give_the_computed_values(monkeypatch):
+    monkeypatch.setattr(B, "KNOWN_CELLS", 40)
+    seen, r = [], np.random.default_rng(0)
+
+    def compute(bins):
+        seen.append(bins.shape[1])
+        return np.stack([bins[0] * 7.0 + bins[-1], bins[-1] - 3.0]).T
+
+    for width in (1, 3, 8, 9):
+        known = B.Remembered(compute)
+        for n in (30, 0, 200, 25):
+            bins = r.integers(0, 4, (width, n)).astype(np.uint8)
+            np.testing.assert_array_equal(known(bins), compute(bins))
+    known, bins = B.Remembered(compute), np.array([[1, 2, 1, 2]], np.uint8)
+    seen.clear()
+    known(bins), known(bins[:, :1])
+    assert seen == [2]
