@@ -151,3 +151,19 @@ def test_snapshot_overwrites_only_its_day(spark, tmp_path):
     tables.write_snapshot(mk([(D(2024, 1, 1), 1, "activo"), (D(2024, 1, 2), 1, "activo")]), p)
     tables.write_snapshot(mk([(D(2024, 1, 2), 1, "pausado")]), p)
     assert [(r["fecha"], r["estado"]) for r in tables.read_snapshot_history(spark, p).collect()] == [(D(2024, 1, 1), "activo"), (D(2024, 1, 2), "pausado")]
+
+
+def test_splits_need_no_ranks_of_rows(spark):
+    """Rows are told apart by the hash at which a part ends; repeated ids, which share a hash, are ranked."""
+    df = spark.range(2000).selectExpr("id", "cast(id * 37 % 997 AS double) AS y")
+    for out in (sampling.stratified_split(df, "id", "y"), sampling.holdout_split_production(df, "id", "y")):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "Exchange" not in plan
+    ranked = sampling.with_hash_rank(sampling.stratified_split(df, "id", "y"), ["estrato"], "id", 42)
+    sizes = {r["estrato"]: r["n"] for r in ranked.groupBy("estrato").agg(F.count("*").alias("n")).collect()}
+    for r in ranked.collect():
+        n_test = round(sizes[r["estrato"]] * 0.15)
+        n_val = round((sizes[r["estrato"]] - n_test) * (0.15 / 0.85))
+        assert r["split"] == ("test" if r["rank"] <= n_test else "val" if r["rank"] <= n_test + n_val else "train")
+    twins = spark.range(1000).selectExpr("id % 7 AS id", "cast(id AS double) AS y")
+    assert dict(sampling.stratified_split(twins, "id", "y").groupBy("split").count().collect()) == {"test": 150, "val": 150, "train": 700}
