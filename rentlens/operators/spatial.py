@@ -7,22 +7,32 @@ rows. Points meet through an equi-join on grid cells; there is no cross join.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rentlens.functions.geo import cell_column, cell_row, cells_around, haversine, unit_vector, within
 from rentlens.operators.counttree import ranked_around
+from rentlens.operators.tiles import ranked_in_tiles
 from rentlens.operators.quantiles import exact_quantiles, iqr_bounds, run
 from rentlens.session import materialise, parallelism
 
 # a location whose surrounding cells hold at most this many donor rows is solved from one array
-ARRAY_LIMIT = 4_000
+ARRAY_LIMIT = 256
+# a place with more spots in the cells around it is solved over a tree of counts, not in one task's tiles
+TILE_LIMIT = 1_000_000
+SPOTS_AROUND = "aggregate(cells, 0L, (n, c) -> n + c.spots)"
 # a cell with more spots than this is split into several salted parts, each joined by its own task
 SALT_ROWS = 2_000
 # ranks around the middle: enough for the plain median and for the median without one own value
 _MIDDLE = ["floor((n - 2) / 2)", "floor((n - 2) / 2) + 1", "floor((n - 2) / 2) + 2"]
 
 
+def middle_ranks(n: np.ndarray) -> np.ndarray:
+    """``_MIDDLE`` for arrays."""
+    return (n - 2) // 2 + np.arange(len(_MIDDLE))[:, None]
+
+
 def collapse(points: DataFrame) -> DataFrame:
     """Distinct (g, lat, lon, v) with their row count w, written once: every later step reads this small table."""
     counted = run(
@@ -40,8 +50,9 @@ def neighbour_middle(probes: DataFrame, spots: DataFrame, radius_m: float) -> Da
     probe location that has a spot in reach: ``g, lat, lon, n, s0, s1, s2`` (see ``_MIDDLE``).
 
     How many rows can lie around a location is known from cell counts before any pair is made.
-    Locations below ``ARRAY_LIMIT`` are solved from a bounded array; crowded ones, when there are
-    any, over a tree of counts, where the pairs grow with the rim of the circle, not with its points.
+    Locations below ``ARRAY_LIMIT`` are solved from a bounded array; crowded ones, when there are any, tile
+    by tile, where each cell's task holds the spots around the cell (up to ``TILE_LIMIT``); denser places
+    over a tree of counts. Either way the work of a place grows with the rim of the circle, not with its points.
     """
     placed = run(
         f"""SELECT *, {cell_column('lon', 'cy', radius_m)} AS cx FROM
@@ -50,13 +61,13 @@ def neighbour_middle(probes: DataFrame, spots: DataFrame, radius_m: float) -> Da
     )
     cells = materialise(
         run(
-            f"SELECT g, cy, cx, sum(w) AS cw, count(*) DIV {SALT_ROWS} + 1 AS parts FROM {{s}} GROUP BY g, cy, cx", s=placed
+            f"SELECT g, cy, cx, sum(w) AS cw, count(*) AS spots, count(*) DIV {SALT_ROWS} + 1 AS parts FROM {{s}} GROUP BY g, cy, cx", s=placed
         ),
         "cells",
     )
     around = materialise(
         run(
-            f"""SELECT g, plat, plon, sum(cw) AS bound, collect_list(struct(cy, cx, parts)) AS cells FROM
+            f"""SELECT g, plat, plon, sum(cw) AS bound, collect_list(struct(cy, cx, parts, spots)) AS cells FROM
             (SELECT g, plat, plon, c.cy AS cy, c.cx AS cx FROM
               (SELECT g, lat AS plat, lon AS plon, explode({cells_around('lat', 'lon', radius_m)}) AS c FROM
                 (SELECT DISTINCT g, lat, lon FROM {{p}} WHERE g IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL)))
@@ -98,7 +109,13 @@ def neighbour_middle(probes: DataFrame, spots: DataFrame, radius_m: float) -> Da
     crowded = around.filter(F.col("bound") > ARRAY_LIMIT)
     if crowded.isEmpty():
         return middle
-    return middle.unionByName(ranked_around(crowded, spots.withColumn("v", F.col("v").cast("double")), radius_m, _MIDDLE))
+    numbers = spots.withColumn("v", F.col("v").cast("double"))
+    tiled = crowded.filter(SPOTS_AROUND + f" <= {TILE_LIMIT}").select("g", "plat", "plon", "cells")
+    middle = middle.unionByName(ranked_in_tiles(tiled, placed, radius_m, middle_ranks, len(_MIDDLE)))
+    denser = crowded.filter(SPOTS_AROUND + f" > {TILE_LIMIT}")
+    if denser.isEmpty():
+        return middle
+    return middle.unionByName(ranked_around(denser, numbers, radius_m, _MIDDLE))
 
 
 def spot_median(spots: DataFrame, out: str = "fallback") -> DataFrame:
