@@ -1,13 +1,15 @@
 """Gradient boosting of many models in shared passes.
 
 The matrix is quantised once (one byte a value, ``BINS`` bins a feature, edges from a bounded sample drawn by hash). Rows
-are dealt and sorted by their bins and written in blocks, in which rows of equal bins, a cell, are neighbours. All rows of a
+are dealt by the sample and sorted by their bins and written in blocks, in which rows of equal bins, a cell, are neighbours. All rows of a
 cell end in the same leaf of every tree, so a fit reads rows only to add up, per cell, the targets that a round draws: once
 for several rounds, since what is drawn does not depend on the trees. Then the trees of all models, whatever their seeds,
 folds, features or parameters, grow level by level together over these sums: every task adds up the residuals of its cells
 per (model, node, feature, bin), these are shuffled by model, and each model's best splits come back. What travels depends
 on the number of models, nodes, features and bins, and a level's work on the cells, never on the rows of a cell. Where cells
-are about as many as rows, and their sums would be large, a level adds up the rows of its blocks instead.
+are about as many as rows, and their sums would be large, a level adds up the rows of its blocks instead. Where the whole
+matrix has few cells (``TASK_CELLS``, however many rows), the sums are shuffled by what is drawn instead, and a task grows all
+levels of its models' rounds: two stages for many rounds in place of a job a level. The trees are the same in all three ways.
 
 Targets and predictions are rounded to a fixed unit, so that all sums are whole numbers: a fit depends neither on the partitioning
 nor on which other models are fitted with it. Row subsets (subsample of a round, fold) come from a hash of the id.
@@ -38,6 +40,8 @@ EDGE_SAMPLE = 50_000
 BLOCK_ROWS = 1 << 17
 #: Rows of a partition of blocks, at most about this many.
 PART_ROWS = 1 << 20
+#: Rows that a task sorts at once.
+SORT_ROWS = 1 << 21
 #: Bytes of gradient sums that a task holds at once; more models than fit go in several passes.
 SUM_BYTES = 64 << 20
 #: Sums of all tasks up to this size go straight to the driver, larger ones are added up in tasks; the splits are the same.
@@ -46,6 +50,8 @@ DRIVER_BYTES = 16 << 20
 STATE_ROUNDS = 5
 #: Sums by cell of all the rounds that are written together; a round whose sums are larger is added up from the rows.
 ROUND_BYTES = 512 << 20
+#: Cells of a matrix, at most, whose sums of one draw a single task holds to grow the trees of the draw's models.
+TASK_CELLS = 1 << 18
 #: Cells that a task joins into one row, by the bytes of their sums.
 ROW_BYTES = 16 << 20
 #: Models that are fitted together where a round is added up from the rows, whose predictions are then written.
@@ -140,14 +146,28 @@ class Matrix:
     cells: int
 
 
+def number(column: str) -> F.Column:
+    return F.coalesce(F.col(column).cast("double"), F.lit(0.0))
+
+
 def feature_array(df: DataFrame, features: Sequence[str]) -> F.Column:
     require_columns(df, features)
-    return F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features])
+    return F.array(*[number(c) for c in features])
+
+
+def binned(columns: Sequence[np.ndarray], edges: list[np.ndarray]) -> np.ndarray:
+    """(features, rows): the bin of every value."""
+    return np.stack([np.searchsorted(e, x, "left").astype(np.uint8) for x, e in zip(columns, edges)])
+
 
+def binned_rows(flat: np.ndarray, rows: int, edges: list[np.ndarray]) -> np.ndarray:
+    return binned(list(flat.reshape(rows, len(edges)).T), edges)
 
-def binned(flat: np.ndarray, rows: int, edges: list[np.ndarray]) -> np.ndarray:
-    x = flat.reshape(rows, len(edges))
-    return np.stack([np.searchsorted(e, x[:, j], "left") for j, e in enumerate(edges)]).astype(np.uint8) if rows else np.zeros((len(edges), 0), np.uint8)
+
+def sort_keys(cells: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Byte strings that order rows by cell, then by hash."""
+    raw = np.concatenate([cells.T, np.ascontiguousarray(hashes).astype(">i8").view(np.uint8).reshape(-1, 8)], axis=1)
+    return np.ascontiguousarray(raw).view(f"S{raw.shape[1]}").ravel()
 
 
 def bytes_column(values: np.ndarray) -> pa.Array:
@@ -168,46 +188,54 @@ def quantised(df: DataFrame, id_col: str, features: Sequence[str], target: str,
     """Writes the matrix in blocks. Boolean columns named in ``masks`` choose rows for models; null counts as false."""
     spark = df.sparkSession
     ship_package(spark)
-    flags = F.array(*[F.coalesce(F.col(m), F.lit(False)).cast("double") for m in masks]) if masks else F.array(F.lit(0.0))
+    width, flag_count = len(features), max(len(masks), 1)
+    require_columns(df, features)
+    values, flags = [f"x{j}" for j in range(width)], [f"m{j}" for j in range(flag_count)]
     rows = df.filter(F.col(target).isNotNull()).select(
-        feature_array(df, features).alias("x"), F.col(target).cast("double").alias("y"), F.xxhash64(F.col(id_col).cast("string")).alias("hash"), flags.alias("masks"))
+        *[number(c).alias(x) for c, x in zip(features, values)], F.col(target).cast("double").alias("y"), F.xxhash64(F.col(id_col).cast("string")).alias("hash"),
+        *[F.coalesce(F.col(m), F.lit(False)).cast("byte").alias(f) for m, f in zip(masks, flags)], *([] if masks else [F.lit(0).cast("byte").alias("m0")]))
     rows = materialise(rows, "matrix")
     n, low, high, mean = rows.agg(F.count(F.lit(1)), F.min("y"), F.max("y"), F.avg("y")).first()
-    drawn = rows.filter(F.pmod("hash", F.lit(1 << 30)) < int(min(1.0, EDGE_SAMPLE / max(n, 1)) * (1 << 30)) + 1).select("x").collect()
-    sample = np.array([r["x"] for r in drawn]).reshape(-1, len(features))
+    drawn = rows.filter(F.pmod("hash", F.lit(1 << 30)) < int(min(1.0, EDGE_SAMPLE / max(n, 1)) * (1 << 30)) + 1).select(*values, "hash").collect()
+    sample = np.array([r[:width] for r in drawn], float).reshape(-1, width)
     edges = [np.unique(np.quantile(c[~np.isnan(c)], np.arange(1, bins) / bins, method="lower")) if (~np.isnan(c)).any() else np.zeros(0) for c in sample.T]
     # the largest value as an edge would leave the bin above it empty
     edges = [e[e < np.nanmax(c)] if len(e) else e for e, c in zip(edges, sample.T)]
-    width, flag_count = len(features), max(len(masks), 1)
+    # the sample also shows where parts of about equal size end, so that the rows are dealt without another pass over them
+    parts = max(parallelism(spark), n // PART_ROWS)
+    known = np.sort(sort_keys(binned(list(sample.T), edges), np.array([r["hash"] for r in drawn], np.int64)))
+    ends = known[np.arange(1, parts) * len(known) // parts] if len(known) else known
 
     def to_bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            k = batch.num_rows
-            cells = binned(batch.column(0).flatten().to_numpy(), k, edges).T
-            flagged = batch.column(3).flatten().to_numpy().reshape(k, flag_count).astype(np.uint8)
-            yield pa.record_batch([bytes_column(cells), batch.column(1), batch.column(2), bytes_column(flagged)], names=["cell", "y", "hash", "masks"])
+            columns = [c.to_numpy() for c in batch.columns]
+            cells, hashes = binned(columns[:width], edges), columns[width + 1]
+            part = np.searchsorted(ends, sort_keys(cells, hashes), "right")
+            yield pa.record_batch([pa.array(part, pa.int32()), bytes_column(cells.T), batch.column(width), batch.column(width + 1), bytes_column(np.stack(columns[width + 2 :], axis=1).astype(np.uint8))], names=["part", "cell", "y", "hash", "masks"])
 
-    def block(parts: list[tuple]) -> pa.RecordBatch:
-        cells, y, hashes, flagged = (np.concatenate(p) for p in zip(*parts))
+    def block(cells: np.ndarray, y: np.ndarray, hashes: np.ndarray, flagged: np.ndarray) -> pa.RecordBatch:
         first = np.flatnonzero(np.r_[True, (cells[1:] != cells[:-1]).any(axis=1)])
         raw = [cells[first].T, np.diff(np.r_[first, len(y)]).astype(np.int32), y, hashes, flagged.T]
         return pa.record_batch([pa.array([len(y)], pa.int32()), *[pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()) for x in raw], *[pa.array([b""], pa.binary())] * 4], names=BLOCK_NAMES)
 
+    def sorted_blocks(have: list[tuple]) -> Iterator[pa.RecordBatch]:
+        columns = [np.concatenate(c) for c in zip(*have)]
+        order = np.lexsort((columns[2], *columns[0].T[::-1]))
+        for start in range(0, len(order), BLOCK_ROWS):
+            yield block(*[c[order[start : start + BLOCK_ROWS]] for c in columns])
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have, size = [], 0
         for batch in batches:
-            for start in range(0, batch.num_rows, BLOCK_ROWS):
-                part = batch.slice(start, BLOCK_ROWS)
-                if have and size + part.num_rows > BLOCK_ROWS:
-                    yield block(have)
-                    have, size = [], 0
-                have.append((byte_rows(part.column(0), width).copy(), part.column(1).to_numpy().copy(), part.column(2).to_numpy().copy(), byte_rows(part.column(3), flag_count).copy()))
-                size += part.num_rows
+            have.append((byte_rows(batch.column(0), width).copy(), batch.column(1).to_numpy().copy(), batch.column(2).to_numpy().copy(), byte_rows(batch.column(3), flag_count).copy()))
+            size += batch.num_rows
+            if size >= SORT_ROWS:  # a part of more rows is sorted piece by piece
+                yield from sorted_blocks(have)
+                have, size = [], 0
         if have:
-            yield block(have)
+            yield from sorted_blocks(have)
 
-    dealt = rows.mapInArrow(to_bins, "cell binary, y double, hash bigint, masks binary")
-    dealt = dealt.repartitionByRange(max(parallelism(spark), n // PART_ROWS), "cell", "hash").sortWithinPartitions("cell", "hash")
+    dealt = rows.mapInArrow(to_bins, "part int, cell binary, y double, hash bigint, masks binary").repartitionById(parts, "part").drop("part")
     table = materialise(dealt.mapInArrow(pack, BLOCKS), "blocks")
     cells = table.agg(F.sum(F.octet_length("lengths") / 4)).first()[0] or 0
     # sums of n residuals stay below 2^53, so that they are exact in doubles too
@@ -355,6 +383,17 @@ def prepared(layout: Layout, table: DataFrame, specs: list[Spec], trees: list[li
     return materialise(table.mapInArrow(renew if by_rows else add, BLOCKS), "rounds")
 
 
+def node_sums(cells: np.ndarray, node: np.ndarray, sums: np.ndarray, counts: np.ndarray, predicted: np.ndarray, nodes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the residuals, and rows, by (node, feature, bin). ``node`` is the cell's place in its level, negative where it ended before; ``predicted`` is in units."""
+    width = len(cells)
+    size = nodes * width * BINS_USED
+    at = np.flatnonzero((counts > 0) & (node >= 0))
+    rows = counts[at].astype(np.int64)
+    left = sums[at] - rows * predicted[at]
+    place = (node[at] * (width * BINS_USED) + cells[:, at] + np.arange(width, dtype=np.int64)[:, None] * BINS_USED).ravel()
+    return np.rint(np.bincount(place, np.tile(left, width), size)).astype(np.int64), np.bincount(place, np.tile(rows, width), size).astype(np.int64)
+
+
 SUMS = "model int, sums binary, counts binary, error double, n bigint"
 Split = namedtuple("Split", "model node feature bin gain total count left left_count error n")
 SPLITS = "model int, node int, feature int, bin int, gain double, total bigint, count bigint, left bigint, left_count bigint, error double, n bigint"
@@ -369,9 +408,7 @@ def level_sums(layout: Layout, table: DataFrame, group: list[int], specs: list[S
         size = nodes * width * BINS_USED
         sums, counts = np.zeros((len(group), size), np.int64), np.zeros((len(group), size), np.int64)
         error, held = np.zeros(len(group)), np.zeros(len(group), np.int64)
-        offset = np.arange(width, dtype=np.int64)[:, None] * BINS_USED
         for block in rows_in(batches, layout, len(specs)):
-            cell_of = block.cells + offset
             if block.n:
                 some_sums, some_counts = (x[0] for x in block.add_up(layout, [draws.kinds[k] for k in kinds], [round_]))
             else:
@@ -389,15 +426,9 @@ def level_sums(layout: Layout, table: DataFrame, group: list[int], specs: list[S
                     error[g] += float((spread + n * (mean - predicted) ** 2).sum())
                     held[g] += int(n.sum())
                 k = kinds.index(draws.place[draws.key(spec)])
-                node = growing[m].leaves(block.cells) - base
-                at = np.flatnonzero((some_counts[k] > 0) & (node >= 0))
-                if not len(at):
-                    continue
-                rows = some_counts[k][at].astype(np.int64)
-                left = some_sums[k][at] - rows * layout.whole(predicted[at])
-                cell = (node[at] * (width * BINS_USED) + cell_of[:, at]).ravel()
-                counts[g] += np.bincount(cell, np.tile(rows, width), size).astype(np.int64)
-                sums[g] += np.rint(np.bincount(cell, np.tile(left, width), size)).astype(np.int64)
+                more_sums, more_counts = node_sums(block.cells, growing[m].leaves(block.cells) - base, some_sums[k], some_counts[k], layout.whole(predicted), nodes)
+                sums[g] += more_sums
+                counts[g] += more_counts
         yield pa.record_batch([pa.array(group, pa.int32()), *[pa.array([x.tobytes() for x in v], pa.binary()) for v in (sums, counts)], pa.array(error), pa.array(held)], names=[c.split(" ")[0] for c in SUMS.split(", ")])
 
     return table.mapInArrow(add, SUMS)
@@ -505,7 +536,7 @@ class Ensemble:
         def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             known = Remembered(lambda bins: np.stack([self.start + prediction(bins, trees) for trees in self.trees]).T)
             for x in batches:
-                got = known(binned(x.flatten().to_numpy(), len(x), self.edges))
+                got = known(binned_rows(x.flatten().to_numpy(), len(x), self.edges))
                 yield pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * len(self.trees), got.ravel())
 
         return df.withColumn(out, score(features))
@@ -527,7 +558,7 @@ class Ensemble:
         def explain(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             known = Remembered(added)
             for x in batches:
-                got = known(binned(x.flatten().to_numpy(), len(x), self.edges))
+                got = known(binned_rows(x.flatten().to_numpy(), len(x), self.edges))
                 yield pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * len(self.features), got.ravel())
 
         names = F.array(*[F.lit(f) for f in self.features])
@@ -581,9 +612,14 @@ def fit_many(matrix: Matrix, specs: Sequence[Spec]) -> Ensemble:
     if by_rows and len(specs) > ROW_MODELS:
         parts = [fit_many(matrix, specs[i : i + ROW_MODELS]) for i in range(0, len(specs), ROW_MODELS)]
         return replace(parts[0], specs=specs, trees=[t for p in parts for t in p.trees])
-    chunk = max(1, min(STATE_ROUNDS, ROUND_BYTES // bytes_))
     done = Ensemble(layout.features, layout.edges, layout.mean, specs, [[] for _ in specs])
     errors: list[list[float]] = [[] for _ in specs]
+    if matrix.cells <= TASK_CELLS and not by_rows:
+        chunk = max(1, ROUND_BYTES // bytes_)
+        for start in range(0, last, chunk):
+            grow_in_tasks(layout, matrix.table, specs, done.trees, errors, Draws(specs, range(start, min(start + chunk, last))))
+        return until_least(done, errors)
+    chunk = max(1, min(STATE_ROUNDS, ROUND_BYTES // bytes_))
     for round_ in range(last):
         active = [m for m, s in enumerate(specs) if round_ < s.rounds]
         if round_ % chunk == 0:
@@ -609,10 +645,99 @@ def fit_many(matrix: Matrix, specs: Sequence[Spec]) -> Ensemble:
         for found in level_splits(layout, table, partitions, checked, specs, draws, recent, [Tree.empty(0) for _ in specs], 0, last - 1):
             if found.n and found.node == 0:
                 errors[found.model].append(found.error / found.n)
-        for m in checked:
-            if errors[m]:
-                done.trees[m] = done.trees[m][: int(np.argmin(errors[m]))]
-    return done
+    return until_least(done, errors)
+
+
+def until_least(models: Ensemble, errors: list[list[float]]) -> Ensemble:
+    """Each model with the rounds before its least error; ``errors`` are before every round and after the last, or none."""
+    return replace(models, trees=[trees[: int(np.argmin(e))] if e else trees for trees, e in zip(models.trees, errors)])
+
+
+DRAWN = "kind int, cells binary, sums binary, counts binary, held binary"
+GROWN = "model int, round int, feature binary, bin binary, value binary, gain binary, error double"
+
+
+def drawn_sums(layout: Layout, table: DataFrame, draws: Draws) -> DataFrame:
+    """One row per draw and some blocks: the cells, and by round and cell the sums and numbers of the drawn rows."""
+
+    def joined(parts: list[tuple]) -> pa.RecordBatch:
+        cells, sums, counts, held = (np.concatenate(p, axis=-1) for p in zip(*parts))
+        raw = [[cells.tobytes()] * len(draws.kinds), *[[x.tobytes() for x in np.ascontiguousarray(v.swapaxes(0, 1))] for v in (sums, counts)]]
+        of = [draws.checks.index((s.validation, s.train)) if s.validation is not None else None for s in draws.kinds]
+        raw.append([b"" if i is None else np.ascontiguousarray(held[i]).tobytes() for i in of])
+        return pa.record_batch([pa.array(range(len(draws.kinds)), pa.int32()), *[pa.array(x, pa.binary()) for x in raw]], names=[c.split(" ")[0] for c in DRAWN.split(", ")])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have, size = [], 0
+        for block in rows_in(batches, layout, 0):
+            sums, counts = block.add_up(layout, draws.kinds, draws.rounds)
+            held = np.stack([block.held(layout, Spec((), validation=v, train=t)) for v, t in draws.checks]) if draws.checks else np.zeros((0, 3, len(block.lengths)))
+            have.append((block.cells, sums, counts, held))
+            size += sums.nbytes + counts.nbytes
+            if size > ROW_BYTES:
+                yield joined(have)
+                have, size = [], 0
+        if have:
+            yield joined(have)
+
+    return table.mapInArrow(add, DRAWN)
+
+
+def grow_in_tasks(layout: Layout, table: DataFrame, specs: list[Spec], trees: list[list[Tree]], errors: list[list[float]], draws: Draws) -> None:
+    """Appends the trees of the draws' rounds, and the errors before them, for all models; the models of one draw grow in one task."""
+    members: dict[int, list[int]] = {}
+    for m, spec in enumerate(specs):
+        if draws.rounds.start < spec.rounds:
+            members.setdefault(draws.place[draws.key(spec)], []).append(m)
+    width = len(layout.features)
+
+    def fit(group: pa.Table) -> pa.Table:
+        # in an order of its own, so that the errors do not depend on which task came first
+        parts = sorted(zip(*(group[c].to_pylist() for c in ("cells", "sums", "counts", "held"))))
+        shapes = (np.uint8, width), (np.int64, len(draws.rounds)), (np.int32, len(draws.rounds)), (np.float64, 3)
+        cells, sums, counts, held = (np.concatenate([np.frombuffer(x, kind).reshape(n, -1) for x in column], axis=1) for column, (kind, n) in zip(zip(*parts), shapes))
+        out = []
+        for m in members.get(group["kind"][0].as_py(), []):
+            spec, predicted = specs[m], prediction(cells, trees[m])
+            for at, round_ in enumerate(draws.rounds):
+                if round_ >= spec.rounds:
+                    break
+                tree, error = Tree.empty(spec.depth), error_of(held, predicted)
+                grow_tree(layout, tree, spec, round_, cells, sums[at], counts[at], layout.whole(predicted))
+                predicted += tree.value[tree.leaves(cells)]
+                out.append((m, round_, tree.feature.tobytes(), tree.bin.tobytes(), tree.value.tobytes(), tree.gain.tobytes(), error))
+            if draws.rounds.start < spec.rounds <= draws.rounds.stop:
+                out.append((m, spec.rounds, None, None, None, None, error_of(held, predicted)))
+        kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4, pa.float64()]
+        return pa.table([pa.array(c, k) for c, k in zip(list(zip(*out)) or [[]] * len(kinds), kinds)], names=[c.split(" ")[0] for c in GROWN.split(", ")])
+
+    found = {(r["model"], r["round"]): r for r in drawn_sums(layout, table, draws).groupBy("kind").applyInArrow(fit, GROWN).collect()}
+    for m, spec in enumerate(specs):
+        for round_ in range(draws.rounds.start, min(draws.rounds.stop, spec.rounds) + 1):
+            r = found.get((m, round_))
+            if r is not None and r["error"] is not None:
+                errors[m].append(r["error"])
+            if round_ < min(draws.rounds.stop, spec.rounds):
+                # without any row there is no task, and the trees stay empty
+                trees[m].append(Tree.empty(spec.depth) if r is None else Tree(*[np.frombuffer(r[c], kind).copy() for c, kind in (("feature", np.int32), ("bin", np.int32), ("value", float), ("gain", float))]))
+
+
+def error_of(held: np.ndarray, predicted: np.ndarray) -> float | None:
+    """Mean squared error on the validation rows of all cells; None without any."""
+    n, mean, spread = held if held.size else np.zeros((3, 0))
+    return float((spread + n * (mean - predicted) ** 2).sum() / n.sum()) if n.any() else None
+
+
+def grow_tree(layout: Layout, tree: Tree, spec: Spec, round_: int, cells: np.ndarray, sums: np.ndarray, counts: np.ndarray, predicted: np.ndarray) -> None:
+    """All levels of one tree over the sums of one draw by cell."""
+    open_ = {0}
+    for level in range(spec.depth):
+        if not open_:
+            break
+        part = node_sums(cells, tree.leaves(cells) - (2**level - 1), sums, counts, predicted, 2**level)
+        for row in choose_splits(iter([(0, *part, 0.0, 0)]), [spec], layout.features, level):
+            grow(tree, (spec.step if round_ else 1.0) * layout.unit, layout.unit, Split(*row), level, open_)
+        open_ = {i for i in open_ if i >= 2 ** (level + 1) - 1}
 
 
 def level_splits(layout: Layout, table: DataFrame, partitions: int, models: list[int], specs: list[Spec], draws: Draws, recent: list[list[Tree]], growing: list[Tree], level: int, round_: int) -> Iterator:

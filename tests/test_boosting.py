@@ -214,3 +214,42 @@ def test_remembered_cells_give_the_computed_values(monkeypatch):
     seen.clear()
     known(bins), known(bins[:, :1])
     assert seen == [2]
+
+
+def same_trees(one, other):
+    assert [len(t) for t in one.trees] == [len(t) for t in other.trees]
+    for a, b in zip((t for trees in one.trees for t in trees), (t for trees in other.trees for t in trees)):
+        for part in ("feature", "bin", "value", "gain"):
+            np.testing.assert_array_equal(getattr(a, part), getattr(b, part))
+
+
+@pytest.mark.parametrize("round_bytes", [512 << 20, 1])
+def test_trees_grown_in_tasks_equal_those_grown_level_by_level(spark, table, monkeypatch, round_bytes):
+    """Seeds, shares, folds, masks, features, rounds and depths of many kinds, in one and in many passes over the rows."""
+    marked = table.withColumn("some", F.col("id") % 3 != 0)
+    matrix = B.quantised(marked, "id", FEATURES, "y", ["val", "some"])
+    specs = [
+        B.Spec(("a", "b", "c"), rounds=7, validation="val"), B.Spec(("a", "b"), seed=43, rounds=4, depth=2, subsample=1.0, validation="val"),
+        B.Spec(("b", "c"), rounds=6, depth=3, step=0.5, fold=(7, 3, 1)), B.Spec(("a",), rounds=3, fold=(7, 3, 1), train="some"),
+        B.Spec(("c",), rounds=2, depth=0), B.Spec(("a", "b", "c"), rounds=3, subsample=0.0, validation="val"),
+    ]
+    monkeypatch.setattr(B, "TASK_CELLS", 0)
+    by_level = B.fit_many(matrix, specs)
+    monkeypatch.setattr(B, "TASK_CELLS", matrix.cells)
+    if round_bytes > 1:
+        in_tasks = B.fit_many(matrix, specs)
+    else:  # one round a pass, as with sums that fill a pass
+        monkeypatch.setattr(B, "ROUND_BYTES", 12 * matrix.cells * len(B.Draws(specs, range(1)).kinds))
+        in_tasks = B.fit_many(matrix, specs)
+    same_trees(by_level, in_tasks)
+
+
+def test_a_fit_over_few_cells_needs_few_jobs(spark, table):
+    """Jobs by the round, not by the level, would cost a cluster's start of a job a hundred times."""
+    matrix = B.quantised(table, "id", FEATURES, "y")
+    spark.sparkContext.setJobGroup("few-cells", "fit")
+    try:
+        B.fit_many(matrix, [B.Spec(tuple(FEATURES), seed=s) for s in range(3)])
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("few-cells")) <= 5
