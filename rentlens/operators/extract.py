@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,22 +95,29 @@ def convert_typed(
     return df.withColumns({c: e for c, e in casts.items() if c in df.columns})
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, where the value is computed once however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def price_widget(card: Column | str) -> Column:
     """The card's current price widget: the marked one, else the first not struck through, else the first."""
-    card = as_col(card)
-    widgets = F.regexp_extract_all(card, F.lit(r'(?s)(<(?:span|s|div)\s+class="[^"]*andes-money-amount[ "].*?(?=<(?:span|s|div)\s+class="[^"]*andes-money-amount[ "]|$))'), F.lit(1))
-    current = F.filter(widgets, lambda w: w.rlike(r'^<\w+\s+class="[^"]*poly-price__amount'))
-    live = F.filter(widgets, lambda w: ~w.rlike(r'^<\w+\s+class="[^"]*andes-money-amount--previous'))
-    return F.coalesce(F.get(current, F.lit(0)), F.get(live, F.lit(0)), F.get(widgets, F.lit(0)))
+    widgets = F.regexp_extract_all(as_col(card), F.lit(r'(?s)(<(?:span|s|div)\s+class="[^"]*andes-money-amount[ "].*?(?=<(?:span|s|div)\s+class="[^"]*andes-money-amount[ "]|$))'), F.lit(1))
+
+    def best(found: Column) -> Column:
+        current = F.filter(found, lambda w: w.rlike(r'^<\w+\s+class="[^"]*poly-price__amount'))
+        live = F.filter(found, lambda w: ~w.rlike(r'^<\w+\s+class="[^"]*andes-money-amount--previous'))
+        return F.coalesce(F.get(current, F.lit(0)), F.get(live, F.lit(0)), F.get(found, F.lit(0)))
+
+    return once(widgets, best)
 
 
 def current_price_pair(card: Column | str) -> Column:
     """struct(precio, moneda), both read from the same widget, so they never mix two prices."""
-    w = price_widget(card)
-    return F.struct(
+    return once(price_widget(card), lambda w: F.struct(
         F.trim(capture(w, r'andes-money-amount__fraction[^>]*>([^<]+)<')).alias("precio"),
         F.trim(capture(w, r'andes-money-amount__currency-symbol[^>]*>([^<]+)<')).alias("moneda"),
-    )
+    ))
 
 
 def opening_tag(tag: str, css_class: str) -> str:
@@ -124,7 +131,7 @@ def split_cards(df: DataFrame, html: str, markers: Sequence[str] | None = None,
     Of the markers, each page is split at the first that it holds.
     """
     parts = [F.split(F.col(html), m) for m in markers or [opening_tag(*c) for c in CARD_CONTAINERS]]
-    split = F.coalesce(*[F.when(F.size(p) > 1, F.slice(p, F.lit(2), F.size(p))) for p in parts])
+    split = F.coalesce(*[once(p, lambda found: F.when(F.size(found) > 1, F.slice(found, F.lit(2), F.size(found)))) for p in parts])
     pieces = F.coalesce(split, F.array().cast("array<string>"))
     return df.select(*[c for c in df.columns if c != html], F.posexplode(pieces).alias("pos", out))
 

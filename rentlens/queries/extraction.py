@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rentlens.functions import text as T
 from rentlens.operators import extract as X
 from rentlens.queries.registry import query, rounded
+from rentlens.session import dealt
 
 PAGE_PATTERNS = {
     "titulo": r"<title>([^<]+)</title>",
@@ -40,7 +41,9 @@ def _(t):
             (F.col("p_size") % 5).cast("string"), F.lit(" dormitorios</i><i>"), (F.col("p_size") % 3).cast("string"), F.lit(" baños</i><i>"), F.col("p_size").cast("string"), F.lit(" m² totales</i>"),
         )
 
-    pages = t.part.select(F.col("p_partkey").alias("id"), F.concat(F.lit("<html>"), card(0), card(1)).alias("html"))
+    # the parts are narrow and may come as one task's rows; a page's patterns are much more work than its part's bytes
+    parts = t.part.select("p_partkey", "p_name", "p_size", "p_type")
+    pages = dealt(parts, parts.count(), "p_partkey").select(F.col("p_partkey").alias("id"), F.concat(F.lit("<html>"), card(0), card(1)).alias("html"))
     return X.extract_cards(pages, "html").withColumn("pos", F.col("pos").cast("long"))
 
 

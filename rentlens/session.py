@@ -58,6 +58,15 @@ def parallelism(spark: SparkSession) -> int:
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+#: Rows of a task, at most about this many, where rows are dealt evenly before work that is far larger than their bytes.
+DEALT_ROWS = 1 << 18
+
+
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """The ``rows`` of ``df`` evenly over the tasks, by ``keys`` or in turn: a narrow table may come from one file block, as one task's rows."""
+    return df.repartition(max(parallelism(df.sparkSession), -(-rows // DEALT_ROWS)), *keys)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make the package importable in Python workers, wherever the driver found it: a zip goes out with ``addPyFile``, once per context."""
     context = spark.sparkContext

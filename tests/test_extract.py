@@ -84,3 +84,14 @@ def test_first_value_of_a_key(spark):
     df = spark.createDataFrame(rows, "id int, j string")
     got = {r[0]: r[1] for r in df.select("id", X.find_first_value("j", "k")).collect()}
     assert got == {i: want for i, (_, want) in enumerate(states)} | {90: None, 91: None, 92: "spaced", 93: None}
+
+
+def test_cards_of_a_small_file_are_read_by_all_tasks(spark):
+    """The parts come as one task's rows; each page's price pattern runs once."""
+    from __spark_entry__ import queries
+    from rentlens.session import parallelism
+
+    cards = queries()["extract_cards"](spark, "/root/testdata/sf0.001")
+    assert cards.rdd.getNumPartitions() >= parallelism(spark)
+    plan = cards._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
