@@ -16,7 +16,7 @@ from rentlens.models.boosting import Ensemble, Spec, errors_of, feature_array, f
 from rentlens.operators.metrics import regression_metrics
 from rentlens.operators.quantiles import run
 from rentlens.operators.sampling import stratified_split, with_hash_rank
-from rentlens.session import materialise
+from rentlens.session import dealt, materialise
 
 DEFAULT_PARAMS = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 0.8}
 
@@ -66,8 +66,9 @@ def fit_surface_imputer(
     min_rows: int = 20, trees: int = 50, seed: int = 42,
 ) -> PipelineModel | None:
     """A forest trained on the trusted rows (target ≥ ``minimum``); None when there are too few of them."""
-    trusted = df.filter(F.col(target) >= minimum).fillna(0.0, subset=list(numeric))
-    if trusted.limit(min_rows).count() < min_rows:
+    trusted = df.filter(F.col(target) >= minimum).fillna(0.0, subset=list(numeric)).select(target, *numeric, *categorical)
+    rows = trusted.count()
+    if rows < min_rows:
         return None
     indexed, encoded = [f"_i_{c}" for c in categorical], [f"_e_{c}" for c in categorical]
     stages = [
@@ -76,7 +77,8 @@ def fit_surface_imputer(
         VectorAssembler(inputCols=[*numeric, *encoded], outputCol="features"),
         RandomForestRegressor(labelCol=target, featuresCol="features", predictionCol="_estimate", numTrees=trees, seed=seed, maxBins=64),
     ]
-    return Pipeline(stages=stages).fit(trusted)
+    # a level of the forest reads all rows of a partition, with their places in all trees
+    return Pipeline(stages=stages).fit(dealt(trusted, rows))
 
 
 def apply_surface_imputer(model: PipelineModel, df: DataFrame, target: str, numeric: Sequence[str], minimum: float = 30.0) -> DataFrame:

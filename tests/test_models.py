@@ -43,3 +43,18 @@ def test_version_round_trip(spark, table, tmp_path):
     cur = read_current_model(spark, root)
     assert cur["version"].startswith("v0002_20250101000000_gbt_") and len(cur["models"]) == 2
     assert len(cur["calibration"].first()["stats_por_decil"]) >= 1
+
+
+def test_the_imputers_rows_are_dealt_over_tasks(spark, monkeypatch):
+    """Rows of one task are all read by it at every level of the forest, so a task has a bounded number of them."""
+    from rentlens import session
+
+    rows = spark.range(0, 900, 1, 1).selectExpr("cast(30 + id % 50 AS double) AS s", "id % 4 AS d", "concat('c', id % 3) AS c")
+    seen = []
+    monkeypatch.setattr(R.Pipeline, "fit", lambda self, df: seen.append(df))
+    R.fit_surface_imputer(rows, "s", ["d"], ["c"])
+    monkeypatch.setattr(session, "DEALT_ROWS", 100)
+    R.fit_surface_imputer(rows, "s", ["d"], ["c"])
+    assert seen[0].rdd.getNumPartitions() >= session.parallelism(spark) and seen[1].rdd.getNumPartitions() >= 9
+    for df in seen:
+        assert max(df.rdd.glom().map(len).collect()) <= 900 // df.rdd.getNumPartitions() + 5 and df.count() == 900
