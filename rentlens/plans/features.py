@@ -17,7 +17,7 @@ from rentlens.functions import numeric as N
 from rentlens.functions import text as T
 from rentlens.models.regression import apply_surface_imputer, surface_regression_impute
 from rentlens.operators import filters, impute, joins, levels, polygons, spatial, writes
-from rentlens.session import materialise
+from rentlens.session import dealt, materialise
 
 LAT_RANGE, LON_RANGE = (-37.5, -36.0), (-73.7, -72.5)
 MAX_PRICE = 8_000_000.0
@@ -80,10 +80,11 @@ def feature_table_training(
 
     ``details`` (by id) enriches the listings first; ``zones`` (zona, geometria_wkt, attributes) adds zone indicators.
 
-    The table is written at three points where several later passes read it again.
+    The rows are dealt over the tasks first; the table is written wherever several later passes read it again.
     """
     src = joins.left_enrich(listings, details, "id") if details is not None else listings
     src = filters.population_filter(src, **population) if population else src
+    src = materialise(dealt(src, src.count(), "id"), "listings")  # narrow rows, which may come as one task's
     base = materialise(zone_indicators(clean_listings(src), zones, zone_attrs), "clean")
     places = base.groupBy("comuna").agg(F.avg("lat").alias("clat"), F.avg("lon").alias("clon"), F.count(F.lit(1)).alias("n")).filter("comuna IS NOT NULL")
     places = materialise(places, "places")  # one row per place
@@ -96,9 +97,11 @@ def feature_table_training(
     table, default = materialise(table, "levels"), materialise(default, "level-default")
     default_level = default.first()["nivel_default"]
     base = levels.map_with_default(base, table.select("barrio", "nivel"), "barrio", "nivel", F.lit(default_level), "nivel")
+    base = materialise(base, "levelled")
 
     numeric = ["dormitorios", "banos"]
     base, useful = surface_regression_impute(base, "superficie_util", numeric, ["comuna"], "tipo", groups, trees=trees)
+    base = materialise(base, "useful-surfaces")
     base, total = surface_regression_impute(
         base, "superficie_total", [*numeric, "superficie_util"], ["comuna"], "tipo", groups, trees=trees
     )
@@ -143,12 +146,14 @@ def feature_table_serving(
     such rows.
     """
     pending = joins.unscored_anti_join(listings, predictions, "id", states)
+    pending = materialise(dealt(pending, pending.count(), "id"), "unscored")
     reason = filters.sanity_reason("dormitorios", "banos", "estacionamientos", ["superficie_util", "superficie_total", "superficie"])
     ok, rejected = filters.sanity_split(pending, "id", reason)
     attrs = artifacts.get("zone_attrs", [])
     if artifacts.get("zones") is not None:
         ok = zone_values(ok, artifacts["zones"], attrs)
     ok = ok.withColumns({a: F.lit(None).cast("double") for a in attrs if a not in ok.columns})
+    ok = materialise(ok, "sane")  # each imputer reads its rows again
     numeric = ["dormitorios", "banos"]
     ok = apply_surface_models(ok, artifacts["superficie_util"], "superficie_util", numeric, "tipo")
     ok = apply_surface_models(ok, artifacts["superficie_total"], "superficie_total", [*numeric, "superficie_util"], "tipo")

@@ -48,3 +48,20 @@ def test_surfaces_are_written_back(served):
         assert (r["superficie_util"], r["superficie_total"], r["precio"]) == (*want, before[r["id"]][2])
         if r["id"] in fixed and before[r["id"]][0] is not None and before[r["id"]][0] >= 30:
             assert r["superficie_util"] == before[r["id"]][0]
+
+
+def test_listings_of_one_file_block_are_dealt_over_tasks_first(spark, monkeypatch):
+    """All later passes read as many parts as there are tasks, though the file came as one."""
+    from rentlens.session import parallelism
+    from rentlens.sources.views import load
+
+    class Enough(Exception):
+        pass
+
+    def seen(df, label):
+        assert df.rdd.getNumPartitions() >= parallelism(spark) and df.count() == load(spark, "/root/testdata/sf0.001", "listings").count()
+        raise Enough
+
+    monkeypatch.setattr(P, "materialise", seen)
+    with pytest.raises(Enough):
+        P.feature_table_training(load(spark, "/root/testdata/sf0.001", "listings"), load(spark, "/root/testdata/sf0.001", "rates"), ["casa"])
