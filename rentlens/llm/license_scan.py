@@ -30,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rentlens.llm.common import empty_if_null, materialise
+from rentlens.llm.common import empty_if_null, materialise, shuffle_partitions
 
 MIN_SCORE = 0.6
 MARKS = r"""[\x20\x09-\x0D/*#;%<>"'!-]"""
@@ -256,18 +256,25 @@ def key_pattern(first: int = 0) -> str:
 
 
 def scores(found: DataFrame) -> DataFrame:
-    """``path, part, head, license, score``: the best template of each part. ``found`` is a written table."""
+    """``path, part, head, license, score``: the best template of each part. ``found`` is read once.
+
+    Parts are dealt by path with their terms still together; terms are counted, weighed and compared inside these
+    partitions, so that no row per term is shuffled or written.
+    """
     spark = found.sparkSession
     terms, units, unseen = template_weights()
     idf = spark.createDataFrame(terms, "term string, idf double")
     weights = spark.createDataFrame(units, "term string, license string, template int, unit double")
-    counts = found.select("path", "part", "head", F.explode("terms").alias("term")).groupBy("path", "part", "head", "term").agg(F.count(F.lit(1)).alias("tf"))
+    dealt = found.repartition(shuffle_partitions(spark), "path")
+    counts = dealt.select("path", "part", "head", F.explode("terms").alias("term")).groupBy("path", "part", "head", "term").agg(F.count(F.lit(1)).alias("tf"))
     counts = counts.join(F.broadcast(idf), "term", "left").withColumn("v", (1 + F.ln("tf")) * F.coalesce("idf", F.lit(unseen)))
-    counts = materialise(counts, "part-terms")
-    lengths = counts.groupBy("path", "part", "head").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("length"))
+    # of a part's terms only those of templates, which are few, stay with its length
+    known = F.collect_list(F.when(F.col("idf").isNotNull(), F.struct("term", "v"))).alias("known")
+    vectors = counts.groupBy("path", "part").agg(F.max("head").alias("head"), F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("length"), known)
     fits = F.col("part").startswith("s") | (F.col("template") >= FIRST_BLOCK)
-    dots = counts.join(F.broadcast(weights), "term").filter(fits).groupBy("path", "part", "license", "template").agg(F.sum(F.col("v") * F.col("unit")).alias("dot"))
-    both = dots.join(lengths, ["path", "part"]).withColumn("score", F.round(F.col("dot") / F.col("length"), 6))
+    own = vectors.select("path", "part", "head", "length", F.inline("known"))
+    both = own.join(F.broadcast(weights), "term").filter(fits).groupBy("path", "part", "head", "length", "license", "template").agg(F.sum(F.col("v") * F.col("unit")).alias("dot"))
+    both = both.withColumn("score", F.round(F.col("dot") / F.col("length"), 6))
     return both.groupBy("path", "part", "head").agg(F.min_by("license", F.struct(-F.col("score"), "license")).alias("license"), F.max("score").alias("score"))
 
 
@@ -277,8 +284,7 @@ def directory(path: Column) -> Column:
 
 def scan_licenses(files: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """``files`` (path, text) -> one row per distinct path: ``path, license, score, origin`` (own, inherited or null), ``from_path``."""
-    found = materialise(parts(files.select("path", "text")), "parts")
-    best = scores(found).filter(F.col("score") >= min_score)
+    best = scores(parts(files.select("path", "text"))).filter(F.col("score") >= min_score)
     own = best.groupBy("path").agg(
         F.min_by("license", F.struct(-F.col("score"), "license")).alias("license"), F.max("score").alias("score"), F.max("head").alias("head")
     )

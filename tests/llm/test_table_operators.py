@@ -241,3 +241,13 @@ def test_url_model_learns_from_few_blocked_urls(spark):
     assert all(r["block_score"] is not None for r in found)
     parts = spark.createDataFrame([(f"h{i}", "/", "net/es/" if i % 100 == 0 else "com/") for i in range(2000)], "host string, path string, rule string")
     assert sorted(r["label"] for r in url_filter.labelled_urls(parts, URL_RULES, 20).collect()) == [0.0] * 10 + [1.0] * 10
+
+
+def test_license_scores_shuffle_parts_not_terms(spark):
+    """One exchange of parts with their terms together; rows per term stay inside its partitions."""
+    files = spark.createDataFrame([("a/x", "Released under the MIT License. " * 3), ("b", "All rights reserved"), ("a/x", "Licensed under CC BY 4.0")], "path string, text string")
+    scored = license_scan.scores(license_scan.parts(files))
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    best = {(r["path"], r["part"]): (r["license"], r["score"]) for r in scored.collect()}
+    assert best["b", "s0"] == ("Proprietary", 1.0) and best["a/x", "s1"][0] == "MIT"
