@@ -35,6 +35,8 @@ from rentlens.llm.common import empty_if_null, give_back, materialise
 
 BATCH_BYTES = 1 << 20
 BLOCK_BYTES = 8 << 20
+#: Groups of a stretch that are compared one by one before windows are.
+SHORT = 8
 
 ALIGNED = "block string, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, codes binary"
 
@@ -91,9 +93,13 @@ def common_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     lengths: list[int] = []
     i = j = 0
     while i < n and j < m:
-        # along the diagonal: windows of doubling length, the first unlike one halved down to its first difference
-        run, width, left = 0, 8, min(n - i, m - j)
-        while run < left:
+        # along the diagonal: most stretches are short, so the first ends are compared one by one; then windows of doubling
+        # length, the first unlike one halved down to its first difference
+        run, width, left = 0, SHORT, min(n - i, m - j)
+        first = min(SHORT, left)
+        while run < first and list_a[i + run] == list_b[j + run]:
+            run += 1
+        while SHORT <= run < left:
             w = min(width, left - run)
             p, q = (i + run) * 8, (j + run) * 8
             if raw_a[p : p + w * 8] == raw_b[q : q + w * 8]:

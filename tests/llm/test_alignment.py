@@ -76,3 +76,19 @@ def test_runs_are_skipped_right(seed):
     at_a, at_b = token_alignment.common_ends(a, b)
     shared = np.intersect1d(a, b)
     assert a[at_a].tolist() == b[at_b].tolist() == shared.tolist()
+
+
+def test_stretches_around_the_first_windows_are_found_whole():
+    import numpy as np
+
+    from rentlens.llm.token_alignment import common_ends
+
+    rng = np.random.default_rng(3)
+    for length in [*range(1, 20), 31, 32, 33, 100, 1000]:
+        for apart in (0, 1, 2):
+            ends = np.cumsum(rng.integers(2, 5, 3 * length + 3))
+            drop_a, drop_b = (rng.permutation(len(ends) - 1)[:apart] for _ in range(2))
+            a, b = np.delete(ends, drop_a), np.delete(ends, drop_b)
+            at_a, at_b = common_ends(a, b)
+            np.testing.assert_array_equal(a[at_a], np.intersect1d(a, b))
+            np.testing.assert_array_equal(b[at_b], np.intersect1d(a, b))
