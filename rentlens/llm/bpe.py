@@ -4,7 +4,9 @@ The symbols of all new words of a batch lie in one flat array, linked to their n
 rank is found by binary search over the sorted pair keys. Rounds go through the ranks in ascending order and merge
 every occurrence of the round's pair in all words at once; only pairs next to a merge are looked up again. That equals
 merging each word's lowest pair first, because a merge list in creation order never makes a pair of a lower rank
-(checked on loading). The work per word grows with its length, so a text without spaces is no special case.
+(checked on loading). The work per word grows with its length, so a text without spaces is no special case. Words of at
+most ``SHORT_WORDS[-1]`` bytes are one row each instead: a round merges every word's own lowest pair, so the number of
+rounds follows the longest word and not the number of different pairs.
 
 Words already met stay in a bounded table until the task ends. ``ids`` is a binary column of little-endian unsigned
 32-bit integers.
@@ -38,6 +40,8 @@ NONE = np.iinfo(np.int64).max
 BATCH_BYTES = 2 << 20
 DECODE_BYTES = 1 << 19
 CACHE_WORDS = 100_000
+#: Words of more bytes than one limit and at most the next are merged together, a row each.
+SHORT_WORDS = (0, 4, 6, 8, 10, 12, 16, 24, 32)
 
 
 def byte_letters() -> dict[str, int]:
@@ -193,16 +197,61 @@ class ByteBpe:
             push(near)
         return alive
 
-    def learn(self, words: list[str]) -> None:
-        """Encodes new words, in the order of their numbers, and keeps them."""
+    def merge_rows(self, symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """One row a word: its symbols after all merges, then -1. Each round merges the lowest pair of every word, of equal ones the first."""
+        n, wide = len(lengths), int(lengths.max())
+        inside = np.arange(wide) < lengths[:, None]
+        ids, ranks = np.full((n, wide + 1), -1), np.full((n, wide), NONE)
+        ids[:, :wide][inside] = symbols
+        pair = inside[:, 1:]
+        ranks[:, : wide - 1][pair] = self.pair_ranks(ids[:, : wide - 1][pair], ids[:, 1:wide][pair])
+        out, word = np.full((n, wide), -1), np.arange(n)
+        while len(word):
+            at = ranks.argmin(1)
+            rank = ranks[np.arange(len(at)), at]
+            some = rank < NONE
+            if not some.all():
+                out[word[~some]] = ids[~some, :wide]
+                ids, ranks, word, at, rank = ids[some], ranks[some], word[some], at[some], rank[some]
+            row, later = np.arange(len(at)), np.arange(wide) > at[:, None]
+            ids[:, :wide] = np.where(later, ids[:, 1:], ids[:, :wide])
+            ranks[:, : wide - 1] = np.where(later[:, : wide - 1], ranks[:, 1:], ranks[:, : wide - 1])
+            ids[row, at] = self.merged[rank]
+            right = ids[row, at + 1]
+            ranks[row, at] = np.where(right >= 0, self.pair_ranks(ids[row, at], right), NONE)
+            row, at = row[at > 0], at[at > 0]
+            ranks[row, at - 1] = self.pair_ranks(ids[row, at - 1], ids[row, at])
+        return out
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, one after another, and how many each has."""
         raw = [w.encode() for w in words]
         lengths = np.array([len(b) for b in raw], np.int64)
         symbols = self.byte_id[np.frombuffer(b"".join(raw), np.uint8)]
-        first = np.zeros(len(symbols), bool)
-        first[np.cumsum(lengths) - lengths] = True
-        alive = self.merge(symbols, first)
-        left = np.add.reduceat(alive.astype(np.int64), np.flatnonzero(first))
-        self._store(symbols[alive], left)
+        starts, counts = np.cumsum(lengths) - lengths, np.zeros(len(words), np.int64)
+        found = []
+        for low, high in zip(SHORT_WORDS, SHORT_WORDS[1:]):
+            at = np.flatnonzero((lengths > low) & (lengths <= high))
+            if len(at):
+                rows = self.merge_rows(symbols[spread(starts[at], lengths[at])], lengths[at])
+                counts[at] = (rows >= 0).sum(1)
+                found.append((at, rows[rows >= 0]))
+        at = np.flatnonzero(lengths > SHORT_WORDS[-1])
+        if len(at):
+            long = symbols[spread(starts[at], lengths[at])]
+            first = np.zeros(len(long), bool)
+            first[np.cumsum(lengths[at]) - lengths[at]] = True
+            alive = self.merge(long, first)
+            counts[at] = np.add.reduceat(alive.astype(np.int64), np.flatnonzero(first))
+            found.append((at, long[alive]))
+        ids, starts = np.empty(counts.sum(), np.int64), np.cumsum(counts) - counts
+        for at, part in found:
+            ids[spread(starts[at], counts[at])] = part
+        return ids, counts
+
+    def learn(self, words: list[str]) -> None:
+        """Encodes new words, in the order of their numbers, and keeps them."""
+        self._store(*self.encode_words(words))
 
     def pieces(self, text: str) -> list[str]:
         find = self.find_low if text.isascii() or max(text) < "\U00010000" else self.find_all

@@ -6,6 +6,13 @@ holds one token of each side: stretches of such groups are found by probing wind
 one go. Where they differ, the smaller end advances until both meet, which closes one irregular group and sets the
 shift anew.
 
+A text is cut into units: the words that the byte-level BPE splits it into, put together again wherever the piece model
+could make a piece over the cut, which is where some piece of its vocabulary holds the two characters around it one after
+the other. Its merges cannot pass any other cut, so a unit has the same tokens in every text, and both sides end a token at
+its end. A unit is therefore encoded, compared with its bytes and aligned when a task first meets it, all new units of a
+batch along one diagonal walk, and then remembered in a bounded table until the task ends; a text is put together of its
+units. A piece model that is no plain BPE over unchanged characters gives no such cuts: each whole text is then one unit.
+
 How often a pair of ids is linked in the whole corpus is counted in blocks: a task adds up its documents' pairs in
 blocks of about ``BLOCK_BYTES``; only these sums are shuffled by pair. Each block gets the counts of its
 own pairs back, so a pair that every document holds costs one row a block, and nothing that grows with the vocabulary
@@ -22,6 +29,7 @@ import functools
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,19 +38,26 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rentlens.llm.bpe import ByteBpe, slices, spread
+from sentencepiece import sentencepiece_model_pb2
+
+from rentlens.llm.bpe import ByteBpe, Codes, slices, spread
 from rentlens.llm.common import empty_if_null, give_back, materialise
 
 BATCH_BYTES = 1 << 20
 BLOCK_BYTES = 8 << 20
 #: Groups of a stretch that are compared one by one before windows are.
 SHORT = 8
+#: Units that a task remembers before it starts anew, and the bytes of their texts.
+CACHE_UNITS, CACHE_BYTES = 250_000, 8 << 20
+#: Stands before a unit that does not begin with a space, so that the space which the piece model adds is no part of it.
+MARK = "\0"
+CHARACTERS = 0x110000
 
 ALIGNED = "block string, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, codes binary"
 
 
 class Aligner:
-    """Both tokenizers' tables, once per Python worker."""
+    """Both tokenizers' tables and the units met so far, once per Python worker."""
 
     def __init__(self, bpe_path: str, piece_path: str):
         self.a = ByteBpe(bpe_path)
@@ -55,24 +70,124 @@ class Aligner:
         self.a_length, self.b_length = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
         self.width = len(self.b_bytes)
         self.code = code_type(len(self.a_bytes) * self.width)
+        self.names = [b"%d%c" % (i, end) for i in range(len(self.a_bytes)) for end in b",|"] + [b"%d%c" % (i, end) for i in range(self.width) for end in b",;"]
+        self.bonds = self.inner_pairs(self.b)
+        self.clear()
 
     @staticmethod
     def piece_bytes(piece: str) -> bytes:
         byte = re.fullmatch("<0x([0-9A-Fa-f]{2})>", piece)
         return bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
-        """Ids of both sides for each text, or None for a text without tokens."""
-        out: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(texts)
+    @staticmethod
+    def inner_pairs(b: sentencepiece.SentencePieceProcessor) -> np.ndarray | None:
+        """The pairs of characters that stand side by side inside some piece, as ascending codes; None if a text's tokens may depend on more."""
+        model = sentencepiece_model_pb2.ModelProto.FromString(b.serialized_model_proto())
+        train, norm, kind = model.trainer_spec, model.normalizer_spec, sentencepiece_model_pb2.ModelProto.SentencePiece
+        plain = train.model_type == train.BPE and train.byte_fallback and not train.treat_whitespace_as_suffix
+        plain &= norm.add_dummy_prefix and norm.escape_whitespaces and not norm.remove_extra_whitespaces and not norm.precompiled_charsmap
+        plain &= all(p.type in (kind.NORMAL, kind.BYTE, kind.CONTROL, kind.UNKNOWN) for p in model.pieces)
+        pieces = [p.piece for p in model.pieces if p.type == kind.NORMAL]
+        if not plain or any(MARK in p for p in pieces) or b.encode(MARK) != [b.piece_to_id("▁"), b.piece_to_id("<0x00>")]:
+            return None
+        return np.array(sorted({ord(x) * CHARACTERS + ord(y) for p in pieces for x, y in zip(p, p[1:])}), np.int64)
+
+    def clear(self) -> None:
+        """Forgets all units."""
+        self.units, self.kept = Codes(), 0
+        self.groups: list[bytes] = []
+        self.first, self.last, self.a_start, self.n_a, self.n_b, self.link_start, self.n_links, self.good, self.a_ids = (np.zeros(0, np.int64) for _ in range(9))
+        self.links = np.zeros(0, self.code)
+
+    def learn(self, units: list[str], a: np.ndarray, n_a: np.ndarray) -> None:
+        """Encodes, checks and aligns new units, in the order of their numbers; ``a`` holds the ids of their words."""
+        raw = [u.encode() for u in units]
+        bare = [u[0] == " " and len(u) > 1 for u in units]
+        found = self.b.encode([u[1:] if x else MARK + u for u, x in zip(units, bare)], num_threads=1)
+        found = [ids if x else ids[2:] for ids, x in zip(found, bare)]
+        n_b = np.array([len(ids) for ids in found], np.int64)
+        b = np.fromiter(chain.from_iterable(found), np.int64, n_b.sum())
+        good = same_bytes(self.a_bytes, self.a_length, a, n_a, raw) & same_bytes(self.b_bytes, self.b_length, b, n_b, raw)
+        self.a_start, self.a_ids = np.append(self.a_start, len(self.a_ids) + np.cumsum(n_a) - n_a), np.append(self.a_ids, a)
+        a, b, use_a, use_b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)], n_a * good, n_b * good
+        at_a, at_b = common_ends(np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b]))
+        n_links = np.diff(np.searchsorted(at_a, np.cumsum(use_a)), prepend=0)
+        names = list(map(self.names.__getitem__, group_order(len(self.a_bytes), a, b, at_a, at_b).tolist()))
+        ends = np.cumsum(use_a + use_b).tolist()
+        self.groups += [b"".join(names[s:e]) for s, e in zip([0, *ends], ends)]
+        self.link_start = np.append(self.link_start, len(self.links) + np.cumsum(n_links) - n_links)
+        self.links = np.append(self.links, (a[at_a] * self.width + b[at_b]).astype(self.code))
+        self.n_a, self.n_b, self.n_links = np.append(self.n_a, n_a), np.append(self.n_b, n_b), np.append(self.n_links, n_links)
+        self.good = np.append(self.good, good)
+        self.first = np.append(self.first, [ord("▁" if u[0] == " " else u[0]) for u in units])
+        self.last = np.append(self.last, [ord("▁" if u[-1] == " " else u[-1]) for u in units])
+        self.kept += sum(map(len, raw))
+
+    def cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the units of all texts, none of them empty, and how many each text has."""
+        if len(self.units) > CACHE_UNITS or self.kept > CACHE_BYTES:
+            self.clear()
+        words: list[str] = []
+        ends = []
+        for text in texts:
+            words += self.a.pieces(" " + text)
+            ends.append(len(words))
+        numbers = np.array(list(map(self.units.__getitem__, words)), np.int64)
+        if fresh := self.units.fresh:
+            self.learn(fresh, *self.a.encode_words(fresh))
+            self.units.fresh = []
+        starts = np.array([0, *ends[:-1]])
+        joined = np.ones(len(words), bool)
+        if self.bonds is not None:
+            around = self.last[numbers[:-1]] * CHARACTERS + self.first[numbers[1:]]
+            at = np.searchsorted(self.bonds, around)
+            joined[1:] = self.bonds[np.minimum(at, len(self.bonds) - 1)] == around
+        joined[starts] = False
+        if joined.any():  # words that a piece may reach over are one unit, known by its words
+            heads = np.flatnonzero(~joined)
+            stops = np.append(heads[1:], len(words))
+            whole = numbers[heads]
+            long = np.flatnonzero(stops - heads > 1)
+            whole[long] = [self.units[tuple(words[s:e])] for s, e in zip(heads[long].tolist(), stops[long].tolist())]
+            if fresh := self.units.fresh:
+                of = np.array([self.units[w] for unit in fresh for w in unit])
+                n = np.array([len(unit) for unit in fresh])
+                n_a = np.add.reduceat(self.n_a[of], np.cumsum(n) - n)
+                self.learn(["".join(unit) for unit in fresh], self.a_ids[spread(self.a_start[of], self.n_a[of])], n_a)
+                self.units.fresh = []
+            return whole, np.add.reduceat((~joined).astype(np.int64), starts)
+        return numbers, np.diff(ends, prepend=0)
+
+    def align(self, texts: list[str]) -> list[tuple[int, int, int, str, bytes]]:
+        """Of each text: tokens of both sides, groups, the digest of the groups, and the links' codes."""
+        out = [(0, 0, 0, "", b"")] * len(texts)
         some = [i for i, t in enumerate(texts) if t]
-        framed = [" " + texts[i] for i in some]
-        for i, want, a, b in zip(some, framed, self.a.encode(framed), self.b.encode([texts[i] for i in some], num_threads=1)):
-            raw = want.encode()
-            if b"".join(map(self.b_bytes.__getitem__, b)) == raw and b"".join(map(self.a_bytes.__getitem__, a.tolist())) == raw:
-                out[i] = a.astype(np.int64), np.array(b, np.int64)
+        if not some:
+            return out
+        units, counts = self.cut([texts[i] for i in some])
+        stops = np.cumsum(counts)
+        n_a, n_b, n_links = (np.add.reduceat(n[units], stops - counts) for n in (self.n_a, self.n_b, self.n_links))
+        good = np.minimum.reduceat(self.good[units], stops - counts)
+        codes = self.links[spread(self.link_start[units], self.n_links[units])]
+        ends, numbers = np.cumsum(n_links), units.tolist()
+        for i, fine, s, e, na, nb, n, end in zip(some, *(x.tolist() for x in (good, stops - counts, stops, n_a, n_b, n_links, ends))):
+            if fine:
+                groups = b"".join(map(self.groups.__getitem__, numbers[s:e]))
+                out[i] = na, nb, n, hashlib.sha256(memoryview(groups)[:-1]).hexdigest(), codes[end - n : end].tobytes()
         return out
 
 
+def same_bytes(tokens: list[bytes], lengths: np.ndarray, ids: np.ndarray, counts: np.ndarray, raw: list[bytes]) -> np.ndarray:
+    """Whether the joined bytes of each item's tokens are the item's."""
+    stops = np.cumsum(counts)
+    ends = np.concatenate([[0], np.cumsum(lengths[ids])])
+    same = ends[stops] - ends[stops - counts] == np.array([len(r) for r in raw])
+    joined = list(map(tokens.__getitem__, ids.tolist()))
+    if same.all() and b"".join(joined) == b"".join(raw):
+        return same
+    return np.array([b"".join(joined[s:e]) == r for s, e, r in zip((stops - counts).tolist(), stops.tolist(), raw)])
+
+
 def code_type(n: int) -> str:
     """The type of a pair's code, of ``n`` possible ones: four bytes where they suffice."""
     return "<u4" if n <= 1 << 32 else "<i8"
@@ -133,8 +248,8 @@ def common_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return spread(np.array(starts_a, np.int64), length), spread(np.array(starts_b, np.int64), length)
 
 
-def group_text(names: list[str], width: int, a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the ids of each group. ``names`` holds every A id (of ``width``) before a comma and a bar, then every B id before a comma and a semicolon."""
+def group_order(width: int, a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> np.ndarray:
+    """The ids of all groups as ``a1,a2|b1;a3|b2,b3;`` has them: numbers of names, which are every A id (of ``width``) before a comma and a bar, then every B id before a comma and a semicolon."""
     last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
     last_a[at_a] = last_b[at_b] = 1
     # a token stands behind all tokens of its side before it, and behind the other side's of its earlier groups (A) or of its group too (B)
@@ -143,7 +258,7 @@ def group_text(names: list[str], width: int, a: np.ndarray, b: np.ndarray, at_a:
     flat = np.empty(len(a) + len(b), np.int64)
     flat[np.arange(len(a)) + before_a] = 2 * a + last_a
     flat[np.arange(len(b)) + before_b] = 2 * (width + b) + last_b
-    return "".join(map(names.__getitem__, flat.tolist()))[:-1]
+    return flat
 
 
 def align(docs: DataFrame, bpe_path: str, piece_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -153,30 +268,20 @@ def align(docs: DataFrame, bpe_path: str, piece_path: str, id_col: str = "doc_id
         from pyspark import TaskContext
 
         tools = aligner(bpe_path, piece_path)
-        n_a = len(tools.a_bytes)
-        names = [f"{i}{end}" for i in range(n_a) for end in ",|"] + [f"{i}{end}" for i in range(tools.width) for end in ",;"]
         task, number, size = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for start, end in slices(pc.binary_length(batch.column(1)).to_pylist(), BATCH_BYTES):
                 texts = batch.column(1).slice(start, end - start).to_pylist()
                 rows = []
-                for doc_id, pair in zip(ids[start:end], tools.encode(texts)):
+                for doc_id, (n_a, n_b, n, digest, codes) in zip(ids[start:end], tools.align(texts)):
                     if size >= BLOCK_BYTES:
                         number, size = number + 1, 0
-                    size += 64
-                    if pair is None:
-                        rows.append((f"{task}-{number}", doc_id, 0, 0, 0, 0, "", b""))
-                        continue
-                    a, b = pair
-                    at_a, at_b = common_ends(np.cumsum(tools.a_length[a]), np.cumsum(tools.b_length[b]))
-                    groups = group_text(names, n_a, a, b, at_a, at_b)
-                    codes = (a[at_a] * tools.width + b[at_b]).astype(tools.code).tobytes()
-                    rows.append((f"{task}-{number}", doc_id, len(a), len(b), len(at_a), len(at_a), hashlib.sha256(groups.encode()).hexdigest(), codes))
-                    size += len(codes)
+                    rows.append((f"{task}-{number}", doc_id, n_a, n_b, n, n, digest, codes))
+                    size += 64 + len(codes)
                 kinds = [pa.string(), *[pa.int64()] * 5, pa.string(), pa.binary()]
                 yield pa.record_batch([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names=[c.split(" ")[0] for c in ALIGNED.split(", ")])
-        tools.a.clear()
+        tools.clear()
         give_back()
 
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), empty_if_null(text_col).alias("text")).mapInArrow(run, ALIGNED)

@@ -92,3 +92,45 @@ def test_stretches_around_the_first_windows_are_found_whole():
             at_a, at_b = common_ends(a, b)
             np.testing.assert_array_equal(a[at_a], np.intersect1d(a, b))
             np.testing.assert_array_equal(b[at_b], np.intersect1d(a, b))
+
+
+class Counted:
+    """A piece model that adds up the characters it is asked to encode."""
+
+    def __init__(self, model):
+        self.model, self.characters = model, 0
+
+    def encode(self, texts, num_threads):
+        self.characters += sum(map(len, texts))
+        return self.model.encode(texts, num_threads=num_threads)
+
+
+def test_a_word_is_encoded_and_aligned_once(monkeypatch):
+    walked, walk = [], token_alignment.common_ends
+    monkeypatch.setattr(token_alignment, "common_ends", lambda a, b: walked.append(len(a)) or walk(a, b))
+    tools = token_alignment.Aligner(BPE, PIECES)
+    tools.b = Counted(tools.b)
+    text = "Some words, and the same words again.\n" * 50
+    first = tools.align([text] * 3)
+    assert first[0] == first[2] and first[0][0] > 400
+    assert tools.b.characters < 100 and sum(walked) < 30
+    assert tools.align([text + "New"])[0][:3] == tuple(n + 1 for n in first[0][:3])
+    assert tools.b.characters < 110
+
+
+@pytest.mark.parametrize("units", [1, 1 << 20])
+def test_units_of_odd_texts_against_the_libraries(monkeypatch, units):
+    monkeypatch.setattr(token_alignment, "CACHE_UNITS", units)
+    r = np.random.default_rng(7)
+    parts = [*"ab cde \n\t .,'s1  23-_\r(){};é漢🎉  ́　ﬁ\x00\x1c<>|e t", "the", "ing", " and", "'re", "    ", "\n\n", ">\r", "();", "\r\n", "x" * 40]
+    rows = [(i, "".join(r.choice(parts, r.integers(1, 60)))) for i in range(400)] + [(400, "a▁b"), (401, "a ▁"), (402, " " * 50)]
+    wanted = sorted(by_hand(rows))
+    tools, whole = token_alignment.Aligner(BPE, PIECES), token_alignment.Aligner(BPE, PIECES)
+    whole.bonds = None  # as for a model whose tokens may depend on the whole text
+    for start in range(0, len(rows), 50):
+        texts = [t for _, t in rows[start : start + 50]]
+        found = tools.align(texts)
+        assert found == whole.align(texts)
+        assert [(n_a, n_b, n, sha) for n_a, n_b, n, sha, _ in found] == [(w[1], w[2], w[3], w[-1]) for w in wanted[start : start + 50]]
+        assert [len(codes) // 4 for *_, codes in found] == [w[4] for w in wanted[start : start + 50]]
+    assert tools.bonds is not None

@@ -66,3 +66,27 @@ def test_frames(docs, library):
 def test_digest_is_of_little_endian_words(docs, library):
     row = bpe.encode(docs([(1, "ab cd")]), PATH).selectExpr("sha2(ids, 256) AS h").first()
     assert row["h"] == hashlib.sha256(np.array(library.encode("ab cd").ids, "<u4").tobytes()).hexdigest()
+
+
+def test_rows_of_short_words_merge_as_the_rounds_by_rank():
+    coder = bpe.ByteBpe(PATH)
+    r = np.random.default_rng(11)
+    words = sorted({"".join(r.choice([*"aeitnhs A.é", "the", "ing"], r.integers(1, 33))) for _ in range(3000)} | {"a" * n for n in range(1, 70)})
+    raw = [w.encode() for w in words]
+    first = np.zeros(sum(map(len, raw)), bool)
+    first[np.cumsum([0, *map(len, raw[:-1])])] = True
+    symbols = coder.byte_id[np.frombuffer(b"".join(raw), np.uint8)]
+    alive = coder.merge(symbols, first)
+    ids, counts = coder.encode_words(words)
+    assert ids.tolist() == symbols[alive].tolist()
+    assert counts.tolist() == np.add.reduceat(alive.astype(int), np.flatnonzero(first)).tolist()
+
+
+def test_new_words_take_rounds_by_their_length_not_by_their_pairs(monkeypatch):
+    coder = bpe.ByteBpe(PATH)
+    calls, look_up = [], coder.pair_ranks
+    monkeypatch.setattr(coder, "pair_ranks", lambda *pairs: calls.append(len(pairs[0])) or look_up(*pairs))
+    r = np.random.default_rng(12)
+    words = sorted({"".join(r.choice([*"abcdefghijklmnopqrstuvwxyz"], 12)) for _ in range(2000)})
+    coder.encode([" ".join(words)])
+    assert len(calls) < 200
