@@ -770,7 +770,7 @@ ERRORS = "model int, n bigint, abs_error double, sq_error double, target double,
 
 
 def errors_of(matrix: Matrix, models: Ensemble, rows: str | None = None) -> DataFrame:
-    """``model, n, mae, rmse, r2`` of each model's predictions, cut at 0, on its held-out fold, or on the rows of mask ``rows``."""
+    """``model, n, mae, rmse, r2`` of each model's predictions, cut at 0, on its held-out fold (of the rows of its ``train`` mask), or on the rows of mask ``rows``."""
     layout = matrix.layout
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -778,9 +778,9 @@ def errors_of(matrix: Matrix, models: Ensemble, rows: str | None = None) -> Data
         for block in rows_in(batches, layout, 0):
             cell, chosen_by = np.repeat(np.arange(len(block.lengths)), block.lengths), {}
             for m, (spec, trees) in enumerate(zip(models.specs, models.trees)):
-                held_out = None if rows is not None else spec.fold
+                held_out = None if rows is not None or not spec.fold else (spec.fold, spec.train)
                 if held_out not in chosen_by:
-                    chosen = block.mask(layout, rows) if held_out is None else block.folds(spec) == spec.fold[2]
+                    chosen = block.mask(layout, rows) if held_out is None else (block.folds(spec) == spec.fold[2]) & block.mask(layout, spec.train)
                     chosen_by[held_out] = block.target[chosen], cell[chosen]
                 y, at = chosen_by[held_out]
                 e = y - np.maximum(models.start + prediction(block.cells, trees), 0.0)[at]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Sequence
 
@@ -12,13 +13,15 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rentlens.models.boosting import Ensemble, Spec, errors_of, feature_array, fit_many, quantised
-from rentlens.operators.metrics import regression_metrics
+from rentlens.models.boosting import Ensemble, Matrix, Spec, errors_of, feature_array, fit_many, quantised
+from rentlens.operators.metrics import metrics_by_group, regression_metrics
 from rentlens.operators.quantiles import run
 from rentlens.operators.sampling import stratified_split, with_hash_rank
 from rentlens.session import dealt, materialise
 
 DEFAULT_PARAMS = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 0.8}
+#: What a search draws from.
+SPACE = {"maxDepth": [3, 4, 5, 6], "maxIter": [10, 20, 30], "stepSize": [0.05, 0.1, 0.3], "subsamplingRate": [0.6, 0.8, 1.0]}
 
 
 def spec(features: Sequence[str], seed: int, params: dict | None = None, **masks) -> Spec:
@@ -119,6 +122,17 @@ def validate_surface_imputer(df: DataFrame, id_col: str, target: str, numeric: S
 
 
 # ---- searches ----------------------------------------------------------------------------------
+def drawn_params(space: dict[str, Sequence], trials: int, seed: int) -> list[dict]:
+    rng = random.Random(seed)
+    return [{k: rng.choice(list(v)) for k, v in sorted(space.items())} for _ in range(trials)]
+
+
+def cross_validated(matrix: Matrix, trials: Sequence[tuple[int, dict, str | None]], folds: int, metric: str) -> DataFrame:
+    """trial, error: ``metric`` as the mean over the folds, for each (seed, parameters, mask of the rows used). All trials and folds are fitted together."""
+    models = fit_many(matrix, [spec(matrix.layout.features, s, d, fold=(s, folds, k), train=train) for s, d, train in trials for k in range(folds)])
+    return errors_of(matrix, models).groupBy((F.col("model") / folds).cast("int").alias("trial")).agg(F.avg(metric).alias("error"))
+
+
 def param_search(
     train: DataFrame, id_col: str, features: Sequence[str], target: str, space: dict[str, Sequence], trials: int = 10,
     folds: int = 5, seed: int = 42, metric: str = "mae",
@@ -127,11 +141,9 @@ def param_search(
 
     All trials and folds are fitted together.
     """
-    rng = random.Random(seed)
-    draws = [{k: rng.choice(list(v)) for k, v in sorted(space.items())} for _ in range(trials)]
+    draws = drawn_params(space, trials, seed)
     matrix = quantised(train, id_col, features, target)
-    models = fit_many(matrix, [spec(features, seed, d, fold=(seed, folds, k)) for d in draws for k in range(folds)])
-    errors = errors_of(matrix, models).groupBy((F.col("model") / folds).cast("int").alias("trial")).agg(F.avg(metric).alias("error"))
+    errors = cross_validated(matrix, [(seed, d, None) for d in draws], folds, metric)
     rows = [(i, {k: str(v) for k, v in d.items()}) for i, d in enumerate(draws)]
     return train.sparkSession.createDataFrame(rows, "trial int, params map<string,string>").join(F.broadcast(errors), "trial").orderBy("error", "trial")
 
@@ -182,21 +194,39 @@ def permutation_importance(models: Ensemble, df: DataFrame, id_col: str, feature
 
 
 def repeat_over_seeds(
-    df: DataFrame, id_col: str, features: Sequence[str], target: str, seeds: Sequence[int], n_models: int = 3, params: dict | None = None
+    df: DataFrame, id_col: str, features: Sequence[str], target: str, seeds: Sequence[int], n_models: int = 10, params: dict | None = None,
+    space: dict[str, Sequence] | None = None, trials: int = 10, folds: int = 5, metric: str = "mae",
 ) -> DataFrame:
-    """seed, mae, rmse, r2, mape, mdape on the test part of a fresh stratified split per seed; the models of all seeds are fitted together."""
+    """The whole training per seed, one row each: a fresh stratified split, the search of ``param_search`` on its train part, ``n_models``
+    with the best draw, early-stopped on the validation part, and their mean's errors: seed, mae, rmse, r2, mape, mdape, mae_q5 (highest
+    fifth of the targets) on the test part and val_mae, val_rmse, val_r2 on the validation part, which the search does not see.
+
+    ``params`` are fixed, the search draws the rest of ``space`` (``SPACE``). The searches of all seeds are fitted together, then all their models.
+    """
     rows = materialise(df.select(id_col, target, *features), "rows")
-    for s in seeds:
-        split = stratified_split(rows, id_col, target, seed=s)
-        rows = split.withColumns({f"_train_{s}": F.col("split") == "train", f"_test_{s}": F.col("split") == "test"}).drop("split", "estrato")
-    rows = materialise(rows, "splits")
-    matrix = quantised(rows, id_col, features, target, [f"_train_{s}" for s in seeds])
-    models = fit_many(matrix, [spec(features, s + i, params, train=f"_train_{s}") for s in seeds for i in range(n_models)])
-    scored = materialise(predict_matrix(models, rows, features, "_p"), "scored")
-    out = None
     for i, s in enumerate(seeds):
-        names = [f"_p{i * n_models + j + 1}" for j in range(n_models)]
-        test = scored.filter(f"_test_{s}").withColumn("pred", F.expr(f"({' + '.join(names)}) / {n_models}"))
-        one = regression_metrics(test, target, "pred").select(F.lit(s).alias("seed"), "mae", "rmse", "r2", "mape", "mdape")
-        out = one if out is None else out.unionByName(one)
-    return out
+        rows = stratified_split(rows, id_col, target, seed=s).withColumnRenamed("split", f"_split_{i}").drop("estrato")
+    rows = materialise(rows, "splits")
+    part, masks = {i: F.col(f"_split_{i}") for i in range(len(seeds))}, {}
+    for i in part:
+        masks |= {f"_train_{i}": part[i] == "train", f"_val_{i}": part[i] == "val", f"_fit_{i}": part[i] != "test"}
+    matrix = quantised(rows.withColumns(masks), id_col, features, target, list(masks))
+
+    choices = (SPACE if space is None else space) | {k: [v] for k, v in (params or {}).items()}
+    draws = [(s, d, f"_train_{i}") for i, s in enumerate(seeds) for d in drawn_params(choices, trials, s)]
+    # less than nine digits apart is rounding: of equal draws the first is taken
+    errors = {r["trial"]: float(f"{r['error']:.9g}") for r in cross_validated(matrix, draws, folds, metric).collect() if r["error"] is not None}
+    best = [draws[min(range(i * trials, (i + 1) * trials), key=lambda t: errors.get(t, math.inf))][1] for i in part]
+
+    # seeds of their own for the models of each split
+    models = fit_many(matrix, [spec(features, s * 1000 + j, best[i], train=f"_fit_{i}", validation=f"_val_{i}") for i, s in enumerate(seeds) for j in range(n_models)])
+    scored = None
+    for i in part:
+        held = rows.filter(part[i] != "train").select(F.lit(i).alias("_i"), part[i].alias("_part"), F.col(target).cast("double").alias("_y"), *features)
+        one = predict_mean(models.part(range(i * n_models, (i + 1) * n_models)), held, features, "_pred").select("_i", "_part", "_y", "_pred")
+        scored = one if scored is None else scored.unionByName(one)
+    found = materialise(metrics_by_group(materialise(scored, "scored"), "_y", "_pred", ["_i", "_part"]), "metrics")
+    test = found.filter("_part = 'test'").select("_i", "mae", "rmse", "r2", "mape", "mdape", "mae_q5")
+    val = found.filter("_part = 'val'").select("_i", *[F.col(c).alias(f"val_{c}") for c in ("mae", "rmse", "r2")])
+    places = df.sparkSession.range(len(seeds)).select(F.col("id").cast("int").alias("_i"), F.array(*map(F.lit, seeds))[F.col("id").cast("int")].alias("seed"))
+    return places.join(F.broadcast(test), "_i", "left").join(F.broadcast(val), "_i", "left").orderBy("_i").drop("_i")

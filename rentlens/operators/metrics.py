@@ -4,26 +4,42 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rentlens.functions.numeric import ape
 from rentlens.operators.binning import quantile_bin
-from rentlens.operators.quantiles import exact_median, run
+from rentlens.operators.quantiles import exact_median, exact_quantiles, run
 
 
-def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """One row: n, mae, rmse, r2, mape, mdape (percent). Predictions are clipped at 0."""
-    e = df.select(F.col(actual).alias("y"), F.greatest(F.col(predicted), F.lit(0.0)).alias("p"))
-    median = exact_median(e, "abs(y - p) / nullif(y, 0D)").select("median").scalar()
+def _global_metrics() -> list[Column]:
+    """n, mae, rmse, r2, mape of the columns ``y`` and ``p``."""
     # total sum of squares about the mean, from the population variance
-    one = e.agg(
+    return [
         F.count("y").alias("n"), F.avg(F.abs(F.col("y") - F.col("p"))).alias("mae"),
         F.sqrt(F.avg((F.col("y") - F.col("p")) * (F.col("y") - F.col("p")))).alias("rmse"),
         (1 - F.avg((F.col("y") - F.col("p")) * (F.col("y") - F.col("p"))) / F.nullif(F.var_pop("y"), F.lit(0.0))).alias("r2"),
         (F.avg(ape("y", "p")) * 100).alias("mape"),
-    )
-    return one.withColumn("mdape", median * 100)
+    ]
+
+
+def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
+    """One row: n, mae, rmse, r2, mape, mdape (percent). Predictions are clipped at 0."""
+    e = df.select(F.col(actual).alias("y"), F.greatest(F.col(predicted), F.lit(0.0)).alias("p"))
+    median = exact_median(e, "abs(y - p) / nullif(y, 0D)").select("median").scalar()
+    return e.agg(*_global_metrics()).withColumn("mdape", median * 100)
+
+
+def metrics_by_group(df: DataFrame, actual: str, predicted: str, by: Sequence[str], bins: int = 5) -> DataFrame:
+    """by…, the columns of ``regression_metrics`` and ``mae_q{bins}``, the mae of the highest quantile bin, for each of a few groups."""
+    by = list(by)
+    e = df.select(*by, F.col(actual).alias("y"), F.greatest(F.col(predicted), F.lit(0.0)).alias("p"))
+    median = exact_median(e, "abs(y - p) / nullif(y, 0D)", by, "mdape", few_groups=True).select(*by, (F.col("mdape") * 100).alias("mdape"))
+    edges = exact_quantiles(e, "y", [i / bins for i in range(bins + 1)], by, out="_q", few_groups=True)
+    # rows above the last distinct edge but one, or all
+    last = edges.selectExpr(*[f"`{c}`" for c in by], "try_element_at(array_distinct(_q), -2) AS _last", "size(array_distinct(_q)) AS _edges")
+    top = F.avg(F.when((F.col("_edges") <= 2) | (F.col("y") > F.col("_last")), F.abs(F.col("y") - F.col("p")))).alias(f"mae_q{bins}")
+    return e.join(F.broadcast(last), by, "left").groupBy(*by).agg(*_global_metrics(), top).join(F.broadcast(median), by, "left")
 
 
 def metrics_by_quantile(df: DataFrame, actual: str, predicted: str, bins: int = 5) -> DataFrame:

@@ -15,7 +15,6 @@ from rentlens.sources.tables import read_current_model
 from rentlens.streaming import jobs
 
 FEATS = ["l_quantity", "l_discount", "l_tax", "sector"]
-SPACE = {"maxDepth": [3, 4, 5, 6], "maxIter": [10, 20, 30], "stepSize": [0.05, 0.1, 0.3], "subsamplingRate": [0.6, 0.8, 1.0]}
 
 
 def base(t):
@@ -57,7 +56,7 @@ def _(t):
 
 @query("param_search")
 def _(t):
-    return R.param_search(base(t), "id", FEATS, "y", SPACE)
+    return R.param_search(base(t), "id", FEATS, "y", R.SPACE)
 
 
 @query("stability_selection")
@@ -97,6 +96,7 @@ def _(t):
 
 @query("repeat_over_seeds")
 def _(t):
+    """Split, search, early-stopped ensemble and its errors, once more for each seed."""
     return R.repeat_over_seeds(base(t), "id", FEATS, "y", [1, 2, 3, 4, 5])
 
 

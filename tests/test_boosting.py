@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from rentlens.models import boosting as B
 from rentlens.models import regression as R
+from rentlens.operators.binning import quantile_bin
+from rentlens.operators.metrics import metrics_by_group, metrics_by_quantile, regression_metrics
+from rentlens.operators.sampling import stratified_split
 
 FEATURES = ["a", "b", "c"]
 
@@ -168,11 +171,65 @@ def test_searches_return_their_errors(spark, table):
         R.fit_ensemble(table, FEATURES, "y", 1, params={"max_depth": 3})
 
 
+def test_a_repetition_is_split_search_ensemble_and_errors_of_each_seed(spark):
+    """As if each seed's steps were taken one by one: the search on the train part only, early stopping on the validation part, both parts' errors."""
+    y = "100 + 20 * (id % 5) * (id * 7 % 3) - 3 * pow(id * 13 % 8, 2) + xxhash64(id) % 40"
+    table = spark.range(1500).selectExpr("id", "double(id % 5) AS a", "double(id * 7 % 3) AS b", "double(id * 13 % 8) AS c", f"double({y}) AS y")
+    space = {"maxDepth": [1, 4], "maxIter": [2, 12], "subsamplingRate": [0.5, 1.0]}
+    got = R.repeat_over_seeds(table, "id", FEATURES, "y", [4, 3], 2, {"stepSize": 0.6}, space, trials=4, folds=3).collect()
+    assert [r["seed"] for r in got] == [4, 3]
+    for r in got:
+        s, split = r["seed"], stratified_split(table, "id", "y", seed=r["seed"])
+        train = split.filter("split = 'train'")
+        found = R.param_search(train, "id", FEATURES, "y", {**space, "stepSize": [0.6]}, trials=4, folds=3, seed=s).collect()
+        best = {k: type(R.DEFAULT_PARAMS[k])(v) for k, v in found[0]["params"].items()}
+        assert (best["maxDepth"], best["maxIter"]) != (R.DEFAULT_PARAMS["maxDepth"], R.DEFAULT_PARAMS["maxIter"]) and found[0]["error"] < found[-1]["error"]
+        models = R.fit_ensemble(split.filter("split <> 'test'").withColumn("held", F.col("split") == "val"), FEATURES, "y", 2, s * 1000, best, "held")
+        assert len(models) == 2
+        for part, names in (("test", ["mae", "rmse", "r2", "mape", "mdape"]), ("val", ["val_mae", "val_rmse", "val_r2"])):
+            scored = R.predict_mean(models, split.filter(F.col("split") == part), FEATURES)
+            want = regression_metrics(scored, "y", "pred").first()
+            for name in names:
+                assert r[name] == pytest.approx(want[name.removeprefix("val_")], rel=1e-6), (s, name)
+            if part == "test":
+                top = metrics_by_quantile(scored, "y", "pred").orderBy(F.desc("bin")).first()
+                assert r["mae_q5"] == pytest.approx(top["mae"], rel=1e-6)
+
+
+def test_held_out_folds_are_those_of_the_rows_a_model_may_train_on(spark, table):
+    """Rows outside of the mask of a search, even in the held-out fold, do not count for its errors."""
+    marked = table.withColumn("some", F.col("id") % 3 != 0)
+    matrix = B.quantised(marked, "id", FEATURES, "y", ["some"])
+    models = B.fit_many(matrix, [B.Spec(tuple(FEATURES), 1, 3, 3, fold=(9, 4, k), train="some") for k in (1, 2)])
+    whole = all_rows(matrix)
+    for k, r in zip((1, 2), sorted(B.errors_of(matrix, models).collect())):
+        held = (whole.folds(models.specs[0]) == k) & whole.mask(matrix.layout, "some")
+        e = whole.target - (matrix.layout.mean + sum(t.value[t.leaves(whole.bins)] for t in models.trees[k - 1]))
+        assert r["n"] == held.sum() and r["mae"] == pytest.approx(np.abs(e[held]).mean())
+
+
+def test_errors_of_groups_equal_those_of_each_group(spark):
+    """Ordinary values, targets tied at the top, one value only, zeros, and predictions below 0."""
+    rows = [("plain", float(i), i * 0.9 - 4) for i in range(41)] + [("tied", min(float(i), 9.0), i + 1.0) for i in range(30)]
+    rows += [("one", 7.0, i + 5.0) for i in range(4)] + [("zero", 0.0, 1.0)]
+    df = spark.createDataFrame(rows, "g string, y double, p double")
+    got = {r["g"]: r for r in metrics_by_group(df, "y", "p", ["g"]).collect()}
+    assert set(got) == {"plain", "tied", "one", "zero"}
+    for g, r in got.items():
+        own = df.filter(F.col("g") == g)
+        want = regression_metrics(own, "y", "p").first().asDict()
+        assert {c: r[c] for c in want} == {c: pytest.approx(v) for c, v in want.items()}
+        top = quantile_bin(own, "y", 5).groupBy("bin").agg(F.avg(F.abs(F.col("y") - F.greatest("p", F.lit(0.0)))).alias("mae")).orderBy(F.desc("bin")).first()
+        assert r["mae_q5"] == pytest.approx(top["mae"])
+
+
 def test_empty_and_constant_tables(spark, table):
     none = R.fit_ensemble(table.filter("false"), FEATURES, "y", 2, params={"maxIter": 2})
     assert R.predict_mean(none, table.limit(2), FEATURES).select("pred").distinct().collect()[0][0] == 0.0
     flat = R.fit_ensemble(table.withColumn("y", F.lit(7.0)), FEATURES, "y", 1, params={"maxIter": 2})
     assert R.predict_mean(flat, table.limit(2), FEATURES).select("pred").distinct().collect()[0][0] == 7.0
+    few = R.repeat_over_seeds(table.limit(2), "id", FEATURES, "y", [5, 6], 1, {"maxIter": 2}, trials=2, folds=2).collect()
+    assert [r["seed"] for r in few] == [5, 6] and all(r["mae"] is None and r["val_mae"] is None for r in few)
 
 
 def test_passes_read_cells_not_rows(spark, monkeypatch):
